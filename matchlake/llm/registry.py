@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, quality, sharding
+from matchlake.llm import mixing, quality, secrets, sharding, urls
 from matchlake.llm.scratch import with_workers
 
 
@@ -15,10 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return with_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = secrets.of_kinds(F.col("spans"), *secrets.BASE)
+    counts = [F.size(secrets.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.ledger(table(spark, sf_dir, "documents"))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"), quality.passes(quality.POLICIES["v1"]).alias("kept"), "failures")
@@ -29,9 +40,54 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP5_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM parts
+), hosts AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM split
+), rules(action, rule_host, rule_path) AS (
+  VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')
+), fits AS (
+  SELECT page_id, rule_host || rule_path AS rule, action,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS r
+  FROM hosts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.action, 'allow') AS verdict
+FROM hosts h LEFT JOIN (SELECT * FROM fits WHERE r = 1) f ON h.page_id = f.page_id
+"""
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM starts
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(8) AS r(k) WHERE n > 1 GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN repeated USING (doc_id) LEFT JOIN lines USING (doc_id)
+), f AS (
+  SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT
+    + 8 * (n_lines >= 4 AND 10 * n_dup_lines > 6 * n_lines)::INT + 16 * (n_words > 0 AND word_chars < 2 * n_words)::INT
+    + 32 * (n_words > 0 AND word_chars > 20 * n_words)::INT AS BIGINT) AS failures FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_mixing, op6_quality_rules, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_mixing, op5_url_filter, op6_quality_rules, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL}
