@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, quality, secrets, sharding, urls
+from matchlake.llm import mixing, packing, quality, secrets, sharding, tokens, urls
 from matchlake.llm.scratch import with_workers
 
 
@@ -22,6 +22,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.joined(base).cast("binary"), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
 
 
+def vocabulary(name: str) -> str:
+    """The JSON of a public tokenizer, read on the driver; tasks get it by broadcast."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -35,6 +48,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"), quality.passes(quality.POLICIES["v1"]).alias("kept"), "failures")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = tokens.counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return n.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sharding.assign(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -86,7 +104,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op3_mixing, op5_url_filter, op6_quality_rules, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op5_url_filter, op6_quality_rules, op8_token_counts, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
