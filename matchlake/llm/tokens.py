@@ -7,6 +7,7 @@ those of the text; pieces repeat far more than texts, and each task keeps those
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -26,6 +27,46 @@ ODD = re.compile(f" (?:(?![{PLAIN}])|(?<![{PLAIN}] ))")
 SAFE = re.compile(f" (?<=[{PLAIN}] )(?=[{PLAIN}])")
 
 
+class WordEnds:
+    """Ids of Latin words under a lower-casing vocabulary whose tokens mark the ends of words.
+
+    The vocabulary as merge ranks: byte 0xFF, which UTF-8 never has, stands for the end of a word.
+    Such words are most of what is new in a text and several times cheaper this way; the tests hold the
+    ids against the library's. `ids` is None for any piece with other characters, which the library encodes.
+    """
+
+    #: ASCII and Latin letters that lower-casing and composition leave in this range, and line feeds.
+    LATIN = re.compile(r"[\n!-~\u00a1-\u012f\u0131-\u017f]*\Z")
+    WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[^\sa-z0-9\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f\u00b2\u00b3\u00b9\u00bc-\u00be]+")
+    END = "</w>"
+
+    def __init__(self, model: dict):
+        import tiktoken
+
+        # Bytes that print stand for themselves in the vocabulary, the others for characters from 256 on.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in plain)}
+        ranks = {}
+        for token, i in model["vocab"].items():
+            if all(c in byte for c in token):
+                ends = token.endswith(self.END) and token != self.END
+                ranks[bytes(byte[c] for c in (token[: -len(self.END)] if ends else token)) + b"\xff" * ends] = i
+        self.piece = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    @classmethod
+    def of(cls, tokenizer: dict) -> WordEnds | None:
+        steps = [n["type"] for n in (tokenizer.get("normalizer") or {}).get("normalizers", [])]
+        return cls(tokenizer["model"]) if tokenizer["model"].get("end_of_word_suffix") == cls.END and steps == ["NFC", "Replace", "Lowercase"] else None
+
+    def ids(self, piece: str) -> list[int] | None:
+        if not self.LATIN.match(piece) or "<|" in piece:
+            return None
+        out: list[int] = []
+        for w in self.WORD.findall(piece.lower()):
+            out += self.piece(w.encode() + b"\xff")
+        return out
+
+
 class Pieces:
     """Values of pieces, kept across texts: `of` maps ids to what is kept for a piece."""
 
@@ -37,6 +78,7 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.of, self.most = of, most
+        self.words = WordEnds.of(json.loads(tokenizer_json))
         self.kept: dict[str, object] = {}
 
     def values(self, texts: list[str]) -> Iterator[list[object]]:
@@ -49,6 +91,10 @@ class Pieces:
         if len(self.kept) + len(new) > self.most:
             self.kept = dict(islice(self.kept.items(), self.most // 4))  # the first seen are the common ones
             new = list(set(chain.from_iterable(cut_up)).difference(self.kept))
+        if self.words:
+            quick = [(p, self.words.ids(p.removeprefix(" "))) for p in new]
+            self.kept.update((p, self.of(ids)) for p, ids in quick if ids is not None)
+            new = [p for p, ids in quick if ids is None]
         encoded = self.tokenizer.encode_batch_fast([p[1:] if p[0] == " " else " " + p for p in new], add_special_tokens=False)
         self.kept.update(zip(new, [self.of(e.ids) for e in encoded], strict=True))
         get = self.kept.__getitem__

@@ -54,3 +54,10 @@ def test_counts_and_cache(spark, tmp_path):
     assert kept == 6  # distinct texts
     assert tokens.counts(docs, json, cache).count() == 9 and spark.read.parquet(cache).count() == kept
     assert tokens.counts(docs.limit(0), json).collect() == []
+
+
+def test_rare_words(both, spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    words = sorted({w for t in texts for w in t.split(" ")})
+    letters = "".join(map(chr, range(0xA1, 0x250)))
+    same(both, words + [letters, *letters, *(a + "n" + a for a in letters)])
