@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, packing, quality, secrets, sharding, tokens, urls
+from matchlake.llm import mixing, neardup, packing, quality, secrets, sharding, tokens, urls
 from matchlake.llm.scratch import with_workers
 
 
@@ -48,6 +48,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"), quality.passes(quality.POLICIES["v1"]).alias("kept"), "failures")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = tokens.counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return n.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -104,7 +108,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op5_url_filter, op6_quality_rules, op8_token_counts, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
