@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, neardup, packing, quality, secrets, sharding, tokens, urls
+from matchlake.llm import mixing, neardup, packing, quality, secrets, sharding, tokens, urls, vectors
 from matchlake.llm.scratch import with_workers
 
 
@@ -39,6 +39,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -108,7 +112,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
