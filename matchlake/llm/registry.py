@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, neardup, packing, quality, secrets, sharding, tokens, urls, vectors
+from matchlake.llm import mixing, neardup, packing, quality, repeats, secrets, sharding, tokens, urls, vectors
 from matchlake.llm.scratch import with_workers
 
 
@@ -61,6 +61,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = sharding.assign(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -112,7 +118,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:

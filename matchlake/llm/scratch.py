@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -32,3 +33,9 @@ def with_workers(spark: SparkSession) -> SparkSession:
     """Python workers on this machine find this package even if the driver only put it on sys.path."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that `cut` has ended: Spark deletes them once the driver's JVM has collected their plans."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
