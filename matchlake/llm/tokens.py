@@ -72,49 +72,60 @@ class WordEnds:
         return out
 
 
-class Pieces:
-    """Values of pieces, kept across texts: `of` maps ids to what is kept for a piece."""
+class Pieces(dict):
+    """What `of` makes of the ids of each piece, kept across texts: up to about `most` pieces.
+
+    A piece after a text's first stands for itself with the space before it. A first piece has a key
+    that no other has: it starts with a space, and the others never do.
+    """
 
     def __init__(self, tokenizer_json: str, of: Callable[[list[int]], object], most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.of, self.most = of, most
         self.words = WordEnds.of(json.loads(tokenizer_json))
-        self.kept: dict[str, object] = {}
 
-    def values(self, texts: list[str]) -> Iterator[list[object]]:
-        """The values of each text's pieces, in order. A piece after the first stands for itself with its space."""
+    def __missing__(self, piece: str) -> object:
+        ids = self.words.ids(piece[1:] if piece[:1] == " " else piece) if self.words else None
+        if ids is None:
+            self.add([piece])
+            return self[piece]
+        self[piece] = value = self.of(ids)
+        return value
+
+    def add(self, pieces: list[str]) -> None:
+        encoded = self.tokenizer.encode_batch_fast([p[1:] if p[:1] == " " else " " + p for p in pieces], add_special_tokens=False)
+        self.update(zip(pieces, [self.of(e.ids) for e in encoded], strict=True))
+
+    def values_of(self, texts: list[str]) -> Iterator[Iterator[object]]:
+        """The values of each text's pieces, in order."""
+        if len(self) > self.most:  # the first seen are the common ones
+            first = dict(islice(self.items(), self.most // 2))
+            self.clear()
+            self.update(first)
         cut_up = [t.split(" ") if not ODD.search(t) else SAFE.split(t) for t in texts]
-        # A first piece is kept under a key that no other has: it starts with a space and the others never do.
         for p in cut_up:
             p[0] = " " + p[0]
-        new = list(set(chain.from_iterable(cut_up)).difference(self.kept))
-        if len(self.kept) + len(new) > self.most:
-            self.kept = dict(islice(self.kept.items(), self.most // 2))  # the first seen are the common ones
-            new = list(set(chain.from_iterable(cut_up)).difference(self.kept))
-        if self.words:
-            quick = [(p, self.words.ids(p.removeprefix(" "))) for p in new]
-            self.kept.update((p, self.of(ids)) for p, ids in quick if ids is not None)
-            new = [p for p, ids in quick if ids is None]
-        encoded = self.tokenizer.encode_batch_fast([p[1:] if p[0] == " " else " " + p for p in new], add_special_tokens=False)
-        self.kept.update(zip(new, [self.of(e.ids) for e in encoded], strict=True))
-        get = self.kept.__getitem__
-        return (list(map(get, p)) for p in cut_up)
+        if not self.words:  # the library is quicker with all new pieces at once
+            self.add(list(set(chain.from_iterable(cut_up)).difference(self)))
+        get = self.__getitem__
+        return (map(get, p) for p in cut_up)
 
 
 def encode_ids(texts: pa.Array, pieces: Pieces) -> Iterator[bytes]:
     """The ids of each text as bytes of what `pieces` keeps; nulls are empty texts."""
     for part in segments(texts, 4 << 20):
-        yield from map(b"".join, pieces.values([t or "" for t in part.to_pylist()]))
+        yield from map(b"".join, pieces.values_of([t or "" for t in part.to_pylist()]))
 
 
 def count_ids(texts: pa.Array, pieces: Pieces) -> Iterator[int]:
     for part in segments(texts, 4 << 20):
-        yield from map(sum, pieces.values([t or "" for t in part.to_pylist()]))
+        yield from map(sum, pieces.values_of([t or "" for t in part.to_pylist()]))
 
 
 def counts(docs: DataFrame, tokenizer_json: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
