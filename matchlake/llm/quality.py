@@ -75,7 +75,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # Each repeated window adds the words up to the next repeated window, at most all of its own.
     added = F.transform("p", lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get("p", i + 1) - x, F.lit(WINDOW))).cast("long"))
     repeat = F.coalesce(F.aggregate(added, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).cast("long")
-    return d.select(F.col("id").alias(id_col), *counts, repeat.alias("n_repeat_words"))
+    # Through inline, so that a filter on the counts is not moved below them, where each mention would compute them again.
+    return d.select(F.inline(F.array(F.struct(F.col("id").alias(id_col), *counts, repeat.alias("n_repeat_words")))))
 
 
 def bit(rule: str, rules: Mapping[str, str] = RULES) -> int:

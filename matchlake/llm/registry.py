@@ -117,8 +117,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
