@@ -6,9 +6,9 @@ of the signature. Equal bands of coordinates make two documents candidates, and
 confirmed on the full sets.
 
 Documents with equal sets are one class; only classes are banded. Within a bucket the classes are
-first compared with one pivot, then with another, and then only pairs that are still in
-different components are compared, so a large group of near copies costs a few comparisons
-for each of its members and no link between components is left out.
+first compared with the most central one; then only pairs that are still in different components
+are compared, in large buckets block by block, so a group of near copies costs few comparisons and
+rows for each of its members, and no link between components is left out.
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ SHINGLE = 5
 #: A pair with similarity 0.75 shares a band with probability 1 - (1 - 0.75 ** ROWS) ** BANDS = 0.9997.
 BANDS, ROWS = 30, 5
 PERCENT = 75
-PIVOTS = 2
+#: Larger buckets are compared in blocks of BLOCK classes.
+SMALL, BLOCK = 64, 256
 _CHUNK = 1024
 
 
@@ -119,39 +120,79 @@ def similar(n_a: Column, n_b: Column, both: Column) -> Column:
     return both * 100 >= (n_a + n_b - both) * PERCENT
 
 
+def confirm(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets are similar."""
+    side = lambda s: full.select(F.col("cls").alias(s), F.col("hashes").alias(f"h{s}"))
+    checked = pairs.join(side("a"), "a").join(side("b"), "b")
+    return checked.where(similar(F.size("ha"), F.size("hb"), F.size(F.array_intersect("ha", "hb")))).select("a", "b").distinct()
+
+
+def near_in_size(n: str, m: str) -> Column:
+    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+
+
+def compare_blocks(t: pa.Table) -> pa.Table:
+    """The links within two blocks of a large bucket, as a spanning set.
+
+    A pair is compared in the first band that it shares, if it is in different components so far.
+    """
+    cls, component, n, mine = (t[c].to_numpy() for c in ("cls", "component", "n", "mine"))
+    codes = np.array(t["bands"].to_pylist(), np.int64).reshape(len(t), BANDS)
+    band = int(np.flatnonzero(codes[0] == t["h"][0].as_py())[0])
+    open_ = component[:, None] != component[None, :]
+    open_ &= np.minimum(n[:, None], n[None, :]) * 100 >= np.maximum(n[:, None], n[None, :]) * PERCENT
+    if t["i"][0].as_py() != t["j"][0].as_py():
+        open_ &= mine[:, None] != mine[None, :]
+    for q in range(band):
+        open_ &= codes[:, q, None] != codes[None, :, q]
+    sets_ = [frozenset(s) for s in t["hashes"].to_pylist()]
+    up = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    found = []
+    for x, y in zip(*(k.tolist() for k in np.nonzero(np.triu(open_, 1))), strict=True):
+        a, b = root(component[x].item()), root(component[y].item())
+        if a != b:
+            both = len(sets_[x] & sets_[y])
+            if 100 * both >= PERCENT * (len(sets_[x]) + len(sets_[y]) - both):
+                up[a] = b
+                found.append((cls[x], cls[y]))
+    return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+
 def links(buckets: DataFrame, full: DataFrame) -> DataFrame:
     """Confirmed links (a, b) among classes that share a bucket, enough of them to connect all that are linked.
 
-    buckets: h, cls, n, with at least two classes each; full: cls, hashes.
+    buckets: h, cls, n, m (classes in the bucket, two at least); full: cls, hashes, bands.
     """
-    found, tested = None, None
-    state = buckets.withColumn("component", F.col("cls"))
-    for step in range(PIVOTS + 1):
-        if step < PIVOTS:
-            # The pivot's hash differs from step to step; a bucket's pivot meets those in other components.
-            pivot = F.min(F.struct(F.xxhash64("cls", F.lit(step)).alias("o"), F.col("cls").alias("p"), F.col("n").alias("pn"), F.col("component").alias("pc"))).alias("p")
-            pairs = state.join(state.groupBy("h").agg(pivot), "h").where("component <> p.pc").select(F.least("cls", "p.p").alias("a"), F.greatest("cls", "p.p").alias("b"), F.col("n"), F.col("p.pn").alias("pn"))
-        else:
-            other = state.select("h", F.col("cls").alias("b"), F.col("n").alias("pn"), F.col("component").alias("pc"))
-            pairs = state.withColumnRenamed("cls", "a").join(other, "h").where("a < b AND component <> pc").select("a", "b", "n", "pn")
-        pairs = pairs.where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * PERCENT).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        side = lambda s: full.select(F.col("cls").alias(s), F.col("hashes").alias(f"h{s}"))
-        checked = pairs.join(side("a"), "a").join(side("b"), "b")
-        linked = checked.where(similar(F.size("ha"), F.size("hb"), F.size(F.array_intersect("ha", "hb"))))
-        linked = cut(linked.select("a", "b").distinct(), "confirmed")
-        found = linked if found is None else found.union(linked)
-        if step == PIVOTS:
-            return found
-        at = components(found).select(F.col("id").alias("cls"), F.col("component").alias("to"))
-        state = buckets.join(at, "cls", "left").select("h", "cls", "n", F.coalesce("to", "cls").alias("component"))
-        # Only buckets that still hold two components, and more than one pair, go on.
-        open_ = state.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("m")).where("x < y AND m > 2").select("h")
-        state = cut(state.join(open_, "h", "left_semi"), "open-buckets")
-    raise AssertionError
+    # 1. Each bucket's pivot, the member whose buckets are largest together, meets the others.
+    central = buckets.groupBy("cls").agg(F.sum("m").alias("met"))
+    ranked = buckets.join(central, "cls")
+    pivot = F.max(F.struct("met", F.col("cls").alias("p"), F.col("n").alias("pn"))).alias("p")
+    pairs = ranked.join(ranked.groupBy("h").agg(pivot), "h").where(F.col("cls") != F.col("p.p")).where(near_in_size("n", "p.pn"))
+    pairs = cut(pairs.select(F.least("cls", "p.p").alias("a"), F.greatest("cls", "p.p").alias("b")).distinct(), "pairs")
+    found = cut(confirm(pairs, full), "confirmed")
+    # 2. Buckets of three or more that still hold several components go on; a smaller one has been compared.
+    at = components(found).select(F.col("id").alias("cls"), F.col("component").alias("to"))
+    state = buckets.where("m > 2").join(at, "cls", "left").withColumn("component", F.coalesce("to", "cls")).drop("to")
+    open_ = state.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("h")
+    state = cut(state.join(open_, "h", "left_semi"), "open-buckets")
+    # 3. In small ones pairs in different components are listed, SMALL for each member at most.
+    small = state.where(F.col("m") <= SMALL)
+    other = small.select("h", F.col("cls").alias("b"), F.col("n").alias("pn"), F.col("component").alias("pc"))
+    rest = small.withColumnRenamed("cls", "a").join(other, "h").where("a < b AND component <> pc").where(near_in_size("n", "pn"))
+    rest = rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    # 4. Large ones are cut into blocks, and each two blocks are compared in one task.
+    large = state.where(F.col("m") > SMALL).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    large = large.withColumn("mine", F.pmod(F.xxhash64("cls", "h"), F.col("blocks")).cast("int")).join(full, "cls")
+    large = large.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    large = large.select("h", "cls", "n", "component", "bands", "hashes", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    blocks = large.groupBy("h", "i", "j").applyInArrow(compare_blocks, "a bigint, b bigint")
+    return found.union(confirm(rest, full)).union(blocks)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,10 +206,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_ = cut(sketches(d), "sketches")
     classes = cut(all_.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("h"), "cls", "n")
-    shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
-    buckets = cut(rows.join(shared, "h", "left_semi"), "buckets")
-    wanted = buckets.select("cls").distinct().join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("id")).distinct()
-    full = cut(sets(d.join(wanted, "id", "left_semi").select("text")), "shingle-sets")
+    shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
+    buckets = cut(rows.join(shared, "h"), "buckets")
+    met = buckets.select("cls").distinct()
+    wanted = met.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("id")).distinct()
+    full = sets(d.join(wanted, "id", "left_semi").select("text")).join(classes.join(met, "cls", "left_semi").select("cls", "bands"), "cls")
+    full = cut(full, "shingle-sets")
     at = components(links(buckets, full)).select(F.col("id").alias("cls"), "component")
     placed = classes.select("cls", "rep").join(at, "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))

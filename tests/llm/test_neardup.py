@@ -55,6 +55,14 @@ def test_equals_all_pairs(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_blocks_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r)[:3] for r in neardup.near_duplicates(docs).collect()} == brute(rows)
+
+
 def test_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
