@@ -113,6 +113,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offsets = part_bytes(b.column(1))
         row, at, h, context = anchors(data, offsets)
+        h &= ~np.uint64(0xFFFF)  # 48 bits tell anchors apart well enough (contexts are compared), and take less room
         doc = b.column(0).to_numpy()[row]
         posx = at | checks(data, offsets)[row]
         order = np.lexsort((doc, context, h))
@@ -121,7 +122,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[1:] = (h[1:] != h[:-1]) | (context[1:] != context[:-1])
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else doc
         settled = doc > least
-        h = np.where(settled, mix(posx.astype(np.uint64) ^ doc.astype(np.uint64) * _A), h)
+        h = np.where(settled, posx.astype(np.uint64) * _A, h)
         yield _batch(h=h.view(np.int64), context=context.view(np.int64), doc=doc, posx=np.where(settled, -posx - 1, posx))
 
 

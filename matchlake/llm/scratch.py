@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,5 +38,7 @@ def with_workers(spark: SparkSession) -> SparkSession:
 
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that `cut` has ended: Spark deletes them once the driver's JVM has collected their plans."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)  # Spark's cleaner works in the background
