@@ -292,22 +292,21 @@ def decay(age_days: Column, half_life: float = 180.0) -> Column:
 
 def poisson_hda(lh: Column, la: Column, max_goals: int = 10) -> Column:
     """Home, draw and away probabilities of two independent Poisson scores up to max_goals, renormalised."""
-    pmf = lambda lam: [F.exp(-lam) * F.pow(lam, F.lit(float(k))) / F.lit(float(math.factorial(k))) for k in range(max_goals + 1)]
-    x, y = pmf(lh), pmf(la)
-
-    def run(ps: list[Column]) -> list[Column]:
-        out, total = [], F.lit(0.0)
-        for p in ps:
-            out.append(total)
-            total = total + p
-        return [*out, total]
-
-    below_y, below_x = run(y), run(x)
-    home = sum((p * below_y[k] for k, p in enumerate(x)), F.lit(0.0))
-    away = sum((p * below_x[k] for k, p in enumerate(y)), F.lit(0.0))
-    draw = sum((p * q for p, q in zip(x, y, strict=True)), F.lit(0.0))
-    total = home + draw + away
-    return _triple(home / total, draw / total, away / total)
+    pmf = lambda lam: F.transform(F.sequence(F.lit(0), F.lit(max_goals)), lambda k: F.exp(-lam) * F.pow(lam, k) / F.factorial(k))
+    sums = F.struct(F.lit(0.0).alias("win"), F.lit(0.0).alias("draw"), F.lit(0.0).alias("below"), F.lit(0.0).alias("all"))
+
+    def step(t: Column, pair: Column) -> Column:
+        """win: sum of p over the other side's scores below; below: that side's sum so far."""
+        p, q = pair["p"], pair["q"]
+        return F.struct((t["win"] + p * t["below"]).alias("win"), (t["draw"] + p * q).alias("draw"), (t["below"] + q).alias("below"), (t["all"] + p).alias("all"))
+
+    pairs = lambda x, y: F.zip_with(x, y, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+
+    def finish(t: Column) -> Column:
+        total = t["below"] * t["all"]
+        return _triple(t["win"] / total, t["draw"] / total, (total - t["win"] - t["draw"]) / total)
+
+    return F.aggregate(pairs(pmf(lh), pmf(la)), sums, step, finish)
 
 
 def expected_goals(home_for: Column, home_against: Column, away_for: Column, away_against: Column) -> Column:

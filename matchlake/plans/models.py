@@ -33,7 +33,9 @@ def team_form_model(fixtures: DataFrame, results: DataFrame, lookback_days: int
     m = fixtures.select("event_id").join(m, "event_id", "left").withColumn("g", E.expected_goals(F.col("hf"), F.col("hc"), F.col("af"), F.col("ac")))
     p = m.withColumn("p", F.when(F.col("ok"), E.poisson_hda(F.col("g.lh"), F.col("g.la"))))
     quality = F.when(F.col("ok"), "OK").when(F.col("ok").isNull(), "NO_HISTORY").otherwise("THIN_HISTORY")
-    return p.select("event_id", quality.alias("quality"), *[F.col(f"p.{c}").alias(c) for c in "hda"])
+    # Through inline, so that a filter on a probability does not compute the score grid once more.
+    p = p.select(F.inline(F.array(F.struct("event_id", quality.alias("quality"), "p"))))
+    return p.select("event_id", "quality", *[F.col(f"p.{c}").alias(c) for c in "hda"])
 
 
 def outcome(home_goals: Column, away_goals: Column) -> Column:

@@ -28,8 +28,8 @@ def start_current(stream: DataFrame, table: str, checkpoint: str, keys: Sequence
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        base = spark.read.schema(batch.schema).parquet(f"{table}/v={number - 1}") if number else spark.createDataFrame([], batch.schema)
-        state.guard_regression(base, batch, keys, ts).write.mode("overwrite").parquet(f"{table}/v={number}")
+        base = spark.read.schema(batch.schema).parquet(f"{table}/version-{number - 1}") if number else spark.createDataFrame([], batch.schema)
+        state.guard_regression(base, batch, keys, ts).write.mode("overwrite").parquet(f"{table}/version-{number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, its times as UTC instants: the files have them without a zone."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.withColumns({c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"})
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def alias_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(
         "p_type AS source", "CASE p_size % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, ' ', '-') ELSE p_name END AS alias",
         "CASE WHEN p_partkey % 97 = 0 THEN lower(p_brand) ELSE replace(lower(p_name), ' ', '') END AS entity", "p_partkey AS event_id",
-        "CAST(0.70 AS DOUBLE) + CAST(p_size % 30 AS DOUBLE) / 100 AS confidence", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, p_size) AS observed_at",
+        "CAST(0.70 AS DOUBLE) + CAST(p_size % 30 AS DOUBLE) / 100 AS confidence", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, p_size) AS observed_at",
     )
 
 
