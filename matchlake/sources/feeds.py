@@ -158,3 +158,74 @@ def embedded_json(docs: DataFrame, text: str, schema: str, required: Sequence[st
     has_all = F.forall("rows", lambda r: F.array_size(F.array_compact(F.array(*[r[c].cast("string") for c in required]))) == len(required))
     best = x.where(has_all & (F.size("rows") > 0)).groupBy("doc_id").agg(F.max(F.struct(F.size("rows").alias("n"), "rows")).alias("b"))
     return best.select("doc_id", F.inline("b.rows"))
+
+
+def flatten_board(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """Matches of nested boards, one per id (the latest payload's), with a live flag."""
+    schema = "struct<leagues: array<struct<name: string, matches: array<struct<id: string, home: struct<id: string, name: string, score: string>, away: struct<id: string, name: string, score: string>, status: struct<utcTime: string, started: boolean, finished: boolean, cancelled: boolean, ongoing: boolean>>>>>>"
+    x = payloads.select("captured_at", F.explode(F.from_json(col, schema)["leagues"]).alias("l")).select("captured_at", F.col("l.name").alias("league"), F.explode("l.matches").alias("m"))
+    live = F.coalesce(F.col("m.status.ongoing"), F.col("m.status.started") & ~F.coalesce(F.col("m.status.finished"), F.lit(False)), F.lit(False)) & ~F.coalesce(F.col("m.status.cancelled"), F.lit(False))
+    rows = x.select(
+        "captured_at", "league", F.col("m.id").alias("source_id"), F.col("m.home.name").alias("home"), F.col("m.away.name").alias("away"), F.try_to_timestamp(F.col("m.status.utcTime")).alias("kickoff"),
+        F.col("m.home.score").try_cast("int").alias("home_goals"), F.col("m.away.score").try_cast("int").alias("away_goals"), live.alias("live"), F.col("m.status.finished").alias("finished"), F.col("m.status.cancelled").alias("cancelled"),
+    )
+    named = F.max(F.struct("captured_at", F.struct(*rows.columns).alias("row"))).alias("r")
+    return rows.where("source_id IS NOT NULL").groupBy("source_id").agg(named).select("r.row.*")
+
+
+def flatten_team_stats(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """period, group, key, home, away of two-sided stats; equal (period, key, home, away) once."""
+    schema = "array<struct<period: string, groups: array<struct<name: string, items: array<struct<title: string, home: string, away: string>>>>>>"
+    x = payloads.select("event_id", F.inline(F.from_json(col, schema))).select("event_id", "period", F.inline("groups")).select("event_id", "period", F.col("name").alias("group"), F.inline("items"))
+    x = x.withColumn("key", E.stat_slug(F.col("title")))
+    return x.groupBy("event_id", "period", "key", "home", "away").agg(F.min("group").alias("group"), F.min("title").alias("title"))
+
+
+def lineups(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """Players of both sides from either generation of the schema: lists of starters and subs, or one list with a flag."""
+    person = "array<struct<id: string, name: string, isStarter: boolean>>"
+    schema = f"struct<home: struct<starters: {person}, subs: {person}, players: {person}>, away: struct<starters: {person}, subs: {person}, players: {person}>>"
+    x = payloads.select("event_id", F.from_json(col, schema).alias("p"))
+    none = F.array().cast("array<struct<id: string, name: string, starter: boolean>>")
+
+    def of(side: str) -> Column:
+        as_rows = lambda c, flag: F.transform(F.col(f"p.{side}.{c}"), lambda m: F.struct(m["id"].alias("id"), m["name"].alias("name"), (F.coalesce(m["isStarter"], F.lit(False)) if flag is None else F.lit(flag)).alias("starter")))
+        new = F.when(F.col(f"p.{side}.starters").isNotNull(), F.concat(as_rows("starters", True), F.coalesce(as_rows("subs", False), none)))
+        return F.coalesce(new, as_rows("players", None), none)
+
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), of(c).alias("players")) for s, c in (("H", "home"), ("A", "away"))])
+    return x.select("event_id", F.inline(sides)).select("event_id", "side", F.inline("players"))
+
+
+def player_stats(payloads: DataFrame, keys: DataFrame, col: str = "payload") -> DataFrame:
+    """Open-ended player stats to the stable names of a small key table (key, name, rank): the first known key of a name wins."""
+    schema = "array<struct<id: string, stats: map<string, double>>>"
+    x = payloads.select("event_id", F.inline(F.from_json(col, schema))).select("event_id", F.col("id").alias("player"), F.explode("stats").alias("key", "value"))
+    x = x.join(F.broadcast(keys), "key")
+    return x.groupBy("event_id", "player", "name").agg(F.min(F.struct("rank", "value"))["value"].alias("value"))
+
+
+def sections(pages: DataFrame, start: str, end: str, html: str = "html") -> DataFrame:
+    """The text between two patterns of each page, its percentages, and the first three of them that sum to 98-102."""
+    body = F.regexp_extract(plain(F.col(html)), rf"(?is)({start}.*?)(?:{end}|$)", 1)
+    x = pages.select("page_id", body.alias("section")).where(F.length("section") > 0)
+    pct = F.transform(F.regexp_extract_all("section", F.lit(r"(\d{1,3}(?:\.\d+)?)\s*%"), F.lit(1)), lambda p: p.try_cast("double"))
+    x = x.withColumn("percents", pct)
+    at = F.get(F.filter(F.transform("percents", lambda _, i: i), lambda i: (F.get("percents", i) + F.get("percents", i + 1) + F.get("percents", i + 2)).between(98, 102)), F.lit(0))
+    return x.withColumn("triplet", F.when(at.isNotNull(), F.slice("percents", at + 1, 3)))
+
+
+def combine_boards(boards: Sequence[DataFrame], key: str = "source_id") -> DataFrame:
+    """Boards of several dates as one, each id once, an earlier board's row first."""
+    both = None
+    for n, b in enumerate(boards):
+        b = b.withColumn("_n", F.lit(n))
+        both = b if both is None else both.unionByName(b)
+    return both.groupBy(key).agg(F.min(F.struct("_n", F.struct(*boards[0].columns).alias("row"))).alias("r")).select("r.row.*")
+
+
+def replay(records: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records whose stored page still has the content they were taken from, and the others."""
+    p = pages.select("page_id", F.sha2(F.col("html"), 256).alias("_h"))
+    x = records.join(p, "page_id", "left").withColumn("_ok", F.coalesce(F.col("digest") == F.col("_h"), F.lit(False)))
+    return x.where("_ok").drop("_h", "_ok"), x.where("NOT _ok").drop("_h", "_ok")
