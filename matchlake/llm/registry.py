@@ -72,6 +72,57 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP3_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u FROM documents
+), keyed AS (
+  SELECT *, -ln(u) / (CAST(0.5 AS DOUBLE) + CAST(1.5 AS DOUBLE) * least(CAST(1 AS DOUBLE), size / CAST(400 AS DOUBLE))) AS key FROM d
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS w FROM d GROUP BY source
+), c AS (
+  SELECT *, 3 * source_size::DOUBLE AS cap, row_number() OVER o AS r, sum(source_size) OVER ()::DOUBLE - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS left_words,
+         sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w FROM s WINDOW o AS (ORDER BY 3 * source_size / w, source NULLS LAST)
+), level AS (
+  SELECT min(struct_pack(r := r, lw := left_words, w := left_w)) AS f FROM c WHERE w * left_words / left_w <= cap
+), targets AS (
+  SELECT source, source_size, CASE WHEN r >= f.r THEN w * f.lw / f.w ELSE cap END AS target FROM c, level
+), x AS (
+  SELECT k.*, t.source_size, t.target, CAST(CASE WHEN source_size > 0 THEN least(3, floor(target / source_size + 1e-9)) ELSE 0 END AS BIGINT) AS epochs,
+         CAST(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+  FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, epochs * size + greatest(0, least(size, CAST(round(greatest(target - epochs * source_size, 0)) AS BIGINT) - (upto - size))) AS taken FROM x
+"""
+
+OP4_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE embedding IS NOT NULL
+), good AS (
+  SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(e, lambda x: abs(x))) > 0
+), pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, p.b FROM reach r JOIN pairs p ON r.other = p.a
+), component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings e JOIN component ON id = e.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM pairs GROUP BY a) p ON p.a = e.vec_id
+"""
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0
+), s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle FROM starts),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+component AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = d.doc_id AS kept FROM d JOIN component ON id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 OP5_SQL = r"""
 WITH parts AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -128,4 +179,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_near_vectors": OP4_SQL, "op7_minhash": OP7_SQL, "op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL}
