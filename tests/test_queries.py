@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from matchlake import queries as Q
+from matchlake import queries_boards, queries_more  # noqa: F401  they register their queries
 
 SF = "/root/testdata/sf0.001"
 
