@@ -158,3 +158,66 @@ def test_stream_movement(spark, tmp_path):
     out = live.movement(live.read_snapshots(spark, source, "event_id long, snapshot_id long, captured_at timestamp, home double"))
     live.run_to_end(out.writeStream.format("parquet").option("path", str(tmp_path / "o")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start())
     assert {r["snapshot_id"]: r["change_1h"] for r in spark.read.parquet(str(tmp_path / "o")).collect()} == {0: None, 1: 1.0, 2: 2.0, 3: 2.0, 4: 2.0}
+
+
+def test_gates(spark):
+    from matchlake.operators import gates
+
+    now = F.lit(T0)
+    snap = spark.createDataFrame([(1, T0, T0 + timedelta(hours=1), "A", "B", 2.0, 3.0, 4.0), (2, T0, T0 + timedelta(hours=1), "A", "?", 2.0, 3.0, 4.0), (3, T0, T0 + timedelta(hours=31), "A", "B", 2.0, 3.0, 4.0), (4, T0, T0, "A", "B", None, 3.0, 4.0)], "event_id long, fetched_at timestamp, kickoff timestamp, home string, away string, home_odds double, draw_odds double, away_odds double")
+    ok, missing = gates.target_gate(snap, spark.createDataFrame([("A", "a"), ("B", "b")], "name string, target_name string"), now)
+    assert [r["event_id"] for r in ok.collect()] == [1] and rows(missing) == [(2, "?")]
+    old = snap.withColumn("fetched_at", F.lit(T0 - timedelta(minutes=121)))
+    assert gates.snapshot_gate(old, snap.where("event_id = 1"), now).count() == 1 and gates.snapshot_gate(snap, snap.limit(0), now).count() == 4
+    board = spark.createDataFrame([("s1", "a", "b", T0 - timedelta(minutes=140), False, False, None), ("s2", "a", "b", T0 - timedelta(minutes=141), False, False, None), ("s3", "a", "b", T0 + timedelta(hours=1), False, False, True), ("s4", "a", "b", T0, True, False, None), (None, "a", "b", T0, False, False, True)], "source_id string, home string, away string, kickoff timestamp, cancelled boolean, finished boolean, live boolean")
+    assert {r["source_id"] for r in gates.provider_targets(board, now).collect()} == {"s1", "s3"}
+
+
+def test_rate_limited_evidence(spark):
+    from matchlake.operators import identity
+
+    obs = spark.createDataFrame([(1, "s", T0 + timedelta(seconds=s)) for s in (0, 59, 60, 118, 121)], "event_id long, source string, observed_at timestamp")
+    assert [(r["n_accepted"], r["last_accepted"]) for r in identity.rate_limited(obs).collect()] == [(3, T0 + timedelta(seconds=121))]
+
+
+def test_candidates_promote_unless_claimed(spark):
+    from matchlake.operators import identity
+
+    cols = "event_id long, source string, source_id string"
+    obs = spark.createDataFrame([(1, "s", "a", 0.96)] * 3 + [(2, "s", "b", 0.96)] * 3 + [(3, "s", "c", 0.94)] * 3, cols + ", confidence double")
+    old = spark.createDataFrame([(4, "s", "d", 9, 0.99, "REJECTED")], cols + ", n long, low double, status string")
+    mapped = spark.createDataFrame([(9, "s", "b")], cols)
+    got, after = identity.promote_candidates(obs, old, mapped)
+    assert {r["event_id"]: r["status"] for r in got.collect()} == {1: "VERIFIED", 2: "CANDIDATE", 3: "CANDIDATE", 4: "REJECTED"}
+    assert rows(after) == [(1, "s", "a"), (9, "s", "b")]
+
+
+def test_maintenance_order(spark):
+    from matchlake.operators import identity
+
+    e = [("s", "k", "x", 1, 0.95), ("s", "k", "y", 2, 0.95), ("t", "m", "z", 3, 0.80)]
+    ev = spark.createDataFrame([(*r, T0, r[1]) for r in e], "source string, name_key string, entity string, event_id long, confidence double, observed_at timestamp, alias string")
+    stored = spark.createDataFrame([("t", "m", "z", "VERIFIED")], "source string, name_key string, entity string, status string")
+    quarantine = spark.createDataFrame([("s", "k", "y")], "source string, name_key string, entity string")
+    master, violations, health = identity.maintain(ev, stored, quarantine, quarantine)
+    assert {(r["name_key"], r["entity"]): r["status"] for r in master.collect()} == {("k", "x"): "VERIFIED", ("m", "z"): "VERIFIED"}
+    assert violations.count() == 0 and health.first()["state"] == "OK"
+
+
+def test_payloads(spark):
+    board = '{"leagues":[{"name":"L","matches":[{"id":"7","home":{"name":"a","score":"1"},"away":{"name":"b","score":""},"status":{"utcTime":"2026-01-01T12:00:00Z","started":true,"finished":false}}]}]}'
+    got = feeds.flatten_board(spark.createDataFrame([(T0, board), (T0 - timedelta(hours=1), board.replace('"a"', '"old"')), (T0, "no json")], "captured_at timestamp, payload string")).collect()
+    assert [(r["source_id"], r["home"], r["home_goals"], r["away_goals"], r["live"], r["kickoff"]) for r in got] == [("7", "a", 1, None, True, T0)]
+    stats = '[{"period":"ALL","groups":[{"name":"g","items":[{"title":"Ball possession","home":"60%","away":"40%"},{"title":"Ball  Possession","home":"60%","away":"40%"}]}]}]'
+    assert [r["key"] for r in feeds.flatten_team_stats(spark.createDataFrame([(1, stats)], "event_id long, payload string")).collect()] == ["ball_possession"]
+    new = '{"home":{"starters":[{"id":"1","name":"x"}],"subs":[{"id":"2","name":"y"}]},"away":{"players":[{"id":"3","name":"z","isStarter":true}]}}'
+    assert rows(feeds.lineups(spark.createDataFrame([(1, new)], "event_id long, payload string")).select("side", "id", "starter")) == [("A", "3", True), ("H", "1", True), ("H", "2", False)]
+    page = spark.createDataFrame([(1, "<p>noise 12%</p><h2>Model</h2> home 45% draw 30% away 25% end 9%")], "page_id long, html string")
+    assert feeds.sections(page, "Model", "end").first()["triplet"] == [45.0, 30.0, 25.0]
+    listing = spark.createDataFrame([(1, "<p>A 55% 2-1</p><p>B</p>")], "page_id long, html string")
+    assert rows(feeds.extract_listing(listing).select("pos", "percent", "home_goals")) == [(0, 55.0, 2), (1, None, None)]
+
+
+def test_results_from_text(spark):
+    lines = spark.createDataFrame([("2024-01-05 Team A 2x1 Team B [aet]",), ("2024-01-05 Team A ? Team B",), (None,)], "text string")
+    assert [tuple(r)[1:] for r in feeds.results_from_text(lines).collect()] == [("Team A", 2, 1, "Team B")]
