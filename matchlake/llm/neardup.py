@@ -173,13 +173,15 @@ def links(buckets: DataFrame, full: DataFrame) -> DataFrame:
     central = buckets.groupBy("cls").agg(F.sum("m").alias("met"))
     ranked = buckets.join(central, "cls")
     pivot = F.max(F.struct("met", F.col("cls").alias("p"), F.col("n").alias("pn"))).alias("p")
-    pairs = ranked.join(ranked.groupBy("h").agg(pivot), "h").where(F.col("cls") != F.col("p.p")).where(near_in_size("n", "p.pn"))
+    # Tables of one row per bucket are written first here and below: joined to large buckets they are skewed joins that Spark can split.
+    pivots = cut(ranked.groupBy("h").agg(pivot), "pivots")
+    pairs = ranked.join(pivots, "h").where(F.col("cls") != F.col("p.p")).where(near_in_size("n", "p.pn"))
     pairs = cut(pairs.select(F.least("cls", "p.p").alias("a"), F.greatest("cls", "p.p").alias("b")).distinct(), "pairs")
     found = cut(confirm(pairs, full), "confirmed")
     # 2. Buckets of three or more that still hold several components go on; a smaller one has been compared.
     at = components(found).select(F.col("id").alias("cls"), F.col("component").alias("to"))
     state = buckets.where("m > 2").join(at, "cls", "left").withColumn("component", F.coalesce("to", "cls")).drop("to")
-    open_ = state.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("h")
+    open_ = cut(state.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("h"), "open")
     state = cut(state.join(open_, "h", "left_semi"), "open-buckets")
     # 3. In small ones pairs in different components are listed, SMALL for each member at most.
     small = state.where(F.col("m") <= SMALL)
@@ -206,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all_ = cut(sketches(d), "sketches")
     classes = cut(all_.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("h"), "cls", "n")
-    shared = rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
+    shared = cut(rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     buckets = cut(rows.join(shared, "h"), "buckets")
     met = buckets.select("cls").distinct()
     wanted = met.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("id")).distinct()
