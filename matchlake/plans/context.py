@@ -252,3 +252,31 @@ def goal_glm(results: DataFrame, fixtures: DataFrame, now: Column, xi: float = 0
     p = model.transform(x).groupBy("event_id").agg(F.max(F.when(F.col("side") == "H", F.col("prediction"))).alias("lh"), F.max(F.when(F.col("side") == "A", F.col("prediction"))).alias("la"))
     p = p.withColumn("p", E.poisson_hda(F.col("lh"), F.col("la")))
     return p.select("event_id", "lh", "la", *[F.col(f"p.{c}").alias(c) for c in "hda"])
+
+
+def international_results(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Results with a neutral flag, and per team the latest date; neutral games count for no venue rate (venue_side is null)."""
+    x = docs.withColumn("neutral", F.coalesce(F.col("neutral"), F.lit(False)))
+    teams = links.to_team_rows(x).join(x.select("event_id", "neutral"), "event_id").withColumn("venue_side", F.when(~F.col("neutral"), F.col("side")))
+    return teams, teams.groupBy("team").agg(F.max("kickoff").alias("latest"))
+
+
+def coverage_counts(layers: dict[str, DataFrame], targets: DataFrame) -> DataFrame:
+    """One row: targets, and for each layer how many targets it has and how many of its events are no target; denominators are never mixed."""
+    t = targets.select("event_id").distinct()
+    out = t.agg(F.count("*").alias("n_targets"))
+    for name, df in layers.items():
+        e = df.select("event_id").distinct().join(t.withColumn("_t", F.lit(1)), "event_id", "left")
+        out = out.crossJoin(F.broadcast(e.agg(F.count("_t").alias(f"n_{name}"), F.count_if(F.col("_t").isNull()).alias(f"n_{name}_outside"))))
+    return out
+
+
+def team_profile(stats: DataFrame, aliases: DataFrame, previous: DataFrame, now: Column, stale_days: int = 7) -> DataFrame:
+    """Per team the picked stats; a team whose previous profile is fresh keeps it."""
+    from matchlake.sources.feeds import pick_stat
+
+    new = pick_stat(stats.withColumnRenamed("team", "event_id"), aliases).groupBy(F.col("event_id").alias("team")).agg(F.max(F.when(F.col("target") == "possession", F.col("value"))).alias("possession"), F.max(F.when(F.col("target") == "shots", F.col("value"))).alias("shots"))
+    p = previous.select("team", F.struct("possession", "shots").alias("_p"), (F.unix_seconds(now) - F.unix_seconds("refreshed_at") <= 86_400 * stale_days).alias("_fresh"))
+    x = new.join(p, "team", "outer")
+    keep = F.coalesce(F.col("_fresh"), F.lit(False)) | F.col("possession").isNull() & F.col("shots").isNull()
+    return x.select("team", F.when(keep, F.col("_p.possession")).otherwise(E.valid_possession(F.col("possession"))).alias("possession"), F.when(keep, F.col("_p.shots")).otherwise(F.col("shots")).alias("shots"), keep.alias("kept"))
