@@ -4,6 +4,7 @@ from collections import Counter
 import corpus_pipeline
 from test_neardup import brute as near_brute
 from test_packing import check as packing_check
+from test_quality import brute as quality_brute
 from test_secrets import brute as secrets_brute
 
 from matchlake.llm import packing
@@ -13,13 +14,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def fails(text):
-    """The base rules of the quality stage, by brute force."""
-    w = WORD.findall(text or "")
-    at = {}
-    for i in range(len(w) - 7):
-        at.setdefault(tuple(w[i : i + 8]), []).append(i)
-    repeated = {i + k for places in at.values() if len(places) > 1 for i in places for k in range(8)}
-    return len(w) < 20 or 100 * len(repeated) > 30 * len(w)
+    """Whether a text fails policy v1, by brute force."""
+    n, chars, symbols, lines, dup, repeat = quality_brute(text)
+    return n < 20 or 100 * repeat > 30 * n or 10 * symbols > 3 * n or (lines >= 4 and 10 * dup > 6 * lines) or chars < 2 * n or chars > 20 * n
 
 
 def test_stages_one_by_one(spark, tmp_path):
@@ -34,9 +31,7 @@ def test_stages_one_by_one(spark, tmp_path):
             assert docs.dtypes == columns
         ids = Counter(r["doc_id"] for r in after)
         if name == "quality":
-            assert not any(fails(r["text"]) for r in after)
-            dropped = [r for r in before if r["doc_id"] not in ids]
-            assert sum(not fails(r["text"]) for r in dropped) <= 0.05 * len(before)
+            assert set(ids) == {r["doc_id"] for r in before if not fails(r["text"])}
         if name == "near_duplicates":
             assert set(ids) == {c for _, _, c in near_brute([(r["doc_id"], r["text"]) for r in before])}
         if name == "secrets":
