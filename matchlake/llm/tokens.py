@@ -161,7 +161,8 @@ def counts(docs: DataFrame, tokenizer_json: str, cache: str | None = None, id_co
     texts = docs.select(F.xxhash64(F.col(id_col)).alias("h"), digest, text.alias("text"))
     found = texts.join(misses, ["h", "digest"]).select("digest", "text")
     found.mapInArrow(encode, schema).write.mode("append").parquet(cache)
-    return thin.join(known(), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+    # The counts as a table of their own: a text that very many rows repeat is then a skewed join that Spark can split.
+    return thin.join(cut(known(), "token-counts"), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
 def id_type(tokenizer_json: str) -> str:
