@@ -21,7 +21,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: A target stops at this many times its source's size.
 MOST = 3
-#: Documents for each key range, about; ranges per source are between 16 and 4096 whatever the size.
+#: Documents for each key range, about; ranges per source are between 64 and 4096.
 PER_RANGE = 20_000
 
 
@@ -90,7 +90,7 @@ def mix(
     planned = cut(targets(sources, weights, most), "mix-targets")
 
     n_rows = d.count()
-    n_ranges = min(4096, max(16, -(-n_rows // PER_RANGE)))
+    n_ranges = min(4096, max(64, -(-n_rows // PER_RANGE)))
     edges = d.agg(F.percentile_approx("key", [i / n_ranges for i in range(1, n_ranges)], 20 * n_ranges)).first()[0] or []
     d = d.withColumn("part", range_of(F.col("key"), edges))
 
