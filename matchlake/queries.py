@@ -52,7 +52,23 @@ def _form(spark: SparkSession, sf: str) -> DataFrame:
     return M.team_form_model(recent, res)
 
 
-@query()
+@query(
+    DEVIG + f""", teams AS (SELECT event_id, kickoff, 'H' AS side, home_id AS team, home_goals AS gf, away_goals AS ga FROM results UNION ALL SELECT event_id, kickoff, 'A', away_id, away_goals, home_goals FROM results),
+       x AS (SELECT f.event_id, f.side, f.side = h.side AS v, h.gf, h.ga, exp(-0.6931471805599453 * (epoch(f.kickoff) - epoch(h.kickoff)) / 86400.0 / 180.0) AS w
+         FROM teams f JOIN teams h ON f.team = h.team AND h.kickoff < f.kickoff AND (epoch(f.kickoff) - epoch(h.kickoff)) / 86400.0 <= 540 WHERE f.kickoff >= {NOW}),
+       r AS (SELECT event_id, side, sum(w * gf) / sum(w) AS gf, sum(w * ga) / sum(w) AS ga, count(*) AS n, sum(w) AS weight, sum(w * gf) FILTER (v) / sum(w) FILTER (v) AS vgf, sum(w * ga) FILTER (v) / sum(w) FILTER (v) AS vga,
+         count(*) FILTER (v) AS vn, coalesce(sum(w) FILTER (v), 0) AS vw FROM x GROUP BY 1, 2),
+       b AS (SELECT *, CASE WHEN vn >= 4 AND vw >= 1.5 THEN least(0.7, 0.4 + 0.03 * vn) ELSE 0 END AS k FROM r),
+       s AS (SELECT event_id, side, n >= 8 AND weight >= 3 AS ok, greatest(k * coalesce(vgf, 0) + (1 - k) * gf, 0.1) AS f, greatest(k * coalesce(vga, 0) + (1 - k) * ga, 0.1) AS c FROM b),
+       g AS (SELECT h.event_id, least(3.5, greatest(0.25, sqrt(h.f * a.c))) AS lh, least(3.5, greatest(0.25, sqrt(a.f * h.c))) AS la FROM s h JOIN s a ON h.event_id = a.event_id AND h.side = 'H' AND a.side = 'A' WHERE h.ok AND a.ok),
+       grid AS (SELECT event_id, i, j, exp(-lh) * pow(lh, i) / factorial(i::INT) * exp(-la) * pow(la, j) / factorial(j::INT) AS p FROM g, range(11) y(i), range(11) z(j)),
+       form AS (SELECT event_id, sum(p) FILTER (i > j) / sum(p) AS h, sum(p) FILTER (i = j) / sum(p) AS d, sum(p) FILTER (i < j) / sum(p) AS a FROM grid GROUP BY 1),
+       both_ AS (SELECT 'team_form' AS model, * FROM form UNION ALL SELECT 'market', fair.* FROM fair SEMI JOIN form USING (event_id)),
+       o AS (SELECT model, h, d, a, {OUTCOME} AS o FROM both_ JOIN results USING (event_id) WHERE confirmed), q AS (SELECT *, (o = 'H')::INT AS x, (o = 'D')::INT AS y, (o = 'A')::INT AS z FROM o),
+       m AS (SELECT model, ((h - x) * (h - x) + (h + d - x - y) * (h + d - x - y)) / 2 AS rps, ((h - x) * (h - x) + (d - y) * (d - y) + (a - z) * (a - z)) / 3 AS brier, -ln(CASE o WHEN 'H' THEN h WHEN 'D' THEN d ELSE a END) AS logloss FROM q)
+       SELECT n.model, count(rps) AS n, round(avg(rps), 6) AS rps, round(avg(brier), 6) AS brier, round(avg(logloss), 6) AS logloss FROM (VALUES ('team_form'), ('market'), ('none')) n(model) LEFT JOIN m USING (model) GROUP BY 1""",
+    ("odds", "results"),
+)
 def md1_team_form_vs_market(spark, sf):
     res = T.results(spark, sf)
     form = _form(spark, sf).where("quality = 'OK'").select("event_id", F.struct(F.lit("team_form").alias("model"), "h", "d", "a").alias("form"))
