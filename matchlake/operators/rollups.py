@@ -83,7 +83,7 @@ def preferred_name(observed: DataFrame) -> DataFrame:
     return observed.select("entity", "alias", F.min("observed_at").over(w).alias("first_seen"), F.max("observed_at").over(w).alias("last_seen"), n.alias("n")).where("n = 1").drop("n")
 
 
-def top_recent(df: DataFrame, key: str, ts: str, n: int, tie: str) -> DataFrame:
+def top_recent(df: DataFrame, key: str | list[str], ts: str, n: int, tie: str) -> DataFrame:
     return df.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts), tie))).where(F.col("r") <= n)
 
 

@@ -206,16 +206,24 @@ def identity_health(upcoming: DataFrame, predictions: DataFrame, aliases: DataFr
 def connected_history(results: DataFrame, targets: DataFrame, hops: int = 3, stop: int = 450, cap: int = 500) -> DataFrame:
     """Per target the newest `cap` results among teams reached from its two in `hops` steps, growing while fewer than `stop` are found.
 
-    Frontiers are distinct (target, team) rows and each hop is an equi-join on the team.
+    Targets of the same two teams have the same history, so a frontier is of distinct (pair, team) rows. It grows over the
+    graph of played pairs with their numbers of games, and meets only each team's newest `cap` games. Results have one row per event.
     """
-    sides = links.to_team_rows(results).select("team", "opponent", F.col("event_id").alias("past_id"), "kickoff")
-    reach = targets.select("event_id", F.explode(F.array("home_id", "away_id")).alias("team")).distinct()
+    low, high = F.least("home_id", "away_id"), F.greatest("home_id", "away_id")
+    both = lambda a, b: F.explode(F.array_distinct(F.array(a, b))).alias("team")
+    graph = results.groupBy(low.alias("a"), high.alias("b")).agg(F.count("*").alias("n")).select("a", "b", "n", both("a", "b"))
+    graph = graph.withColumn("opponent", F.when(F.col("team") == F.col("a"), F.col("b")).otherwise(F.col("a")))
+    newest = rollups.top_recent(results.select(both("home_id", "away_id"), F.col("event_id").alias("past_id"), "kickoff"), "team", "kickoff", cap, "past_id").drop("r")
+    t = targets.select("event_id", low.alias("low"), high.alias("high")).distinct()
+    reach = t.select("low", "high").distinct().select("low", "high", both("low", "high"))
     for _ in range(hops):
-        found = reach.join(sides, "team").groupBy("event_id").agg(F.count_distinct("past_id").alias("_n"))
-        grow = reach.join(found.where(F.col("_n") < stop).select("event_id"), "event_id", "left_semi").join(sides.select("team", "opponent").distinct(), "team").select("event_id", F.col("opponent").alias("team"))
-        reach = reach.union(grow).distinct()
-    x = reach.join(sides, "team").select("event_id", "past_id", "kickoff").distinct()
-    return rollups.top_recent(x, "event_id", "kickoff", cap, "past_id").drop("r")
+        # Games between two reached teams are met from both; teams without games have nothing to add.
+        met = reach.join(graph, "team").withColumn("n", F.col("n") / F.count("*").over(Window.partitionBy("low", "high", "a", "b")))
+        met = met.withColumn("found", F.sum("n").over(Window.partitionBy("low", "high")))
+        reach = met.select("low", "high", F.explode(F.array("team", F.when(F.col("found") < stop, F.col("opponent")).otherwise(F.col("team")))).alias("team")).distinct()
+    x = reach.join(newest, "team").select("low", "high", "past_id", "kickoff").distinct()
+    x = rollups.top_recent(x, ["low", "high"], "kickoff", cap, "past_id").drop("r")
+    return t.join(x, ["low", "high"]).select("event_id", "past_id", "kickoff")
 
 
 def match_board(fixtures: DataFrame, odds: DataFrame, evidence: DataFrame, decision: DataFrame) -> DataFrame:

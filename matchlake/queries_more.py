@@ -353,7 +353,7 @@ def md3_goal_glm(spark, sf):
 @query()
 def j13_connected_history(spark, sf):
     res = T.results(spark, sf)
-    return C.connected_history(res.where("event_id % 50 = 0"), res.where("event_id % 3000 = 0"), 2)
+    return C.connected_history(res, res)
 
 
 @query(
