@@ -92,6 +92,18 @@ def a23_overlap_diagnostics(spark, sf):
     return B.overlap_diagnostics(rows, k.where("event_id % 2 = 1 AND home_no < 30").drop("home_no"), 8_640_000)
 
 
+@query(
+    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results WHERE event_id % 2 = 1 AND home_id < 30), s AS (SELECT event_id AS row_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results),
+       x AS (SELECT s.row_id, max(CASE WHEN s.h NOT IN (SELECT h FROM t) THEN '1_NO_HOME' WHEN s.a NOT IN (SELECT a FROM t) THEN '2_NO_AWAY' WHEN t.k IS NULL THEN '3_NO_PAIR' WHEN s.l <> t.l THEN '4_LEAGUE' WHEN abs(epoch(s.k) - epoch(t.k)) > 8640000 THEN '5_CLOCK' ELSE '6_LINK' END) AS reason FROM s LEFT JOIN t ON s.h = t.h AND s.a = t.a GROUP BY 1)
+       SELECT reason, count(*) AS n FROM x GROUP BY 1""",
+    ("results",),
+)
+def a23_overlap_diagnostics_all(spark, sf):
+    k = _keys(spark, sf)
+    targets = k.where((F.col("event_id") % 2 == 1) & (F.substring("home_key", 2, 9).cast("int") < 30))
+    return B.overlap_diagnostics(k.withColumnRenamed("event_id", "row_id"), targets, 8_640_000)
+
+
 @query(
     """SELECT tournament, CASE WHEN event_id % 3 = 0 THEN 'IDENTITY_KNOWN' ELSE 'PROVIDER_ABSENT' END AS class, count(*) AS n, CASE WHEN event_id % 3 = 0 THEN 1 WHEN count(*) >= 10 THEN 2 ELSE 3 END AS priority FROM results GROUP BY 1, event_id % 3 = 0, 2, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END""",
     ("results",),
@@ -112,7 +124,16 @@ def m7_restore_active(spark, sf):
 
 @query("SELECT event_id, 'HOME' AS selection, home AS odds FROM odds WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'DRAW', draw FROM odds WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'AWAY', away FROM odds WHERE event_id % 2 = 0", ("odds",))
 def m32_refresh_core(spark, sf):
-    o = T.odds(spark, sf).where("event_id % 2 = 0").withColumn("captured_at", F.expr(JUNE))
+    return _refresh_core(spark, sf, T.odds(spark, sf).where("event_id % 2 = 0"))
+
+
+@query("SELECT event_id, 'HOME' AS selection, home AS odds FROM odds UNION ALL SELECT event_id, 'DRAW', draw FROM odds UNION ALL SELECT event_id, 'AWAY', away FROM odds", ("odds",))
+def m32_refresh_core_all(spark, sf):
+    return _refresh_core(spark, sf, T.odds(spark, sf))
+
+
+def _refresh_core(spark, sf, odds):
+    o = odds.withColumn("captured_at", F.expr(JUNE))
     p = T.predictions(spark, sf).select("event_id", "captured_at", *[F.col(c).alias(k) for c, k in (("home", "h"), ("draw", "d"), ("away", "a"))])
     market = spark.createDataFrame([], "event_id bigint, captured_at timestamp, source string, selection string, odds double")
     evidence = spark.createDataFrame([], "event_id bigint, captured_at timestamp, source string, h double, d double, a double")
@@ -134,7 +155,7 @@ def j23_provisional_links(spark, sf):
     names = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.lower("c_name").alias("name"))
     x = T.results(spark, sf).join(names.withColumnRenamed("name", "home"), F.col("home_id") == F.col("k")).drop("k").join(names.withColumnRenamed("name", "away"), F.col("away_id") == F.col("k")).drop("k")
     t = x.select("event_id", "home", "away", F.col("tournament").alias("league"), "kickoff")
-    rows = t.where("event_id % 5 = 0").withColumnRenamed("event_id", "row_id").withColumn("away", F.replace("away", F.lit("customer"), F.lit("cust")))
+    rows = t.withColumnRenamed("event_id", "row_id").withColumn("away", F.replace("away", F.lit("customer"), F.lit("cust")))
     return B.provisional_links(rows, t, names.select("name", F.col("name").alias("target_name")))
 
 
@@ -171,7 +192,7 @@ def m33_guard_violations(spark, sf):
     ("results",),
 )
 def m21_learn_availability(spark, sf):
-    x = T.results(spark, sf).where("event_id % 10 = 0").select("event_id", F.lit("x").alias("source"), F.col("tournament").alias("competition"), F.when(F.col("event_id") % 20 == 0, 0.95).otherwise(0.5).alias("match_score"), F.col("kickoff").alias("observed_at"), F.col("home_id").alias("source_home"), F.col("away_id").alias("source_away"), F.lit("h").alias("home_key"), F.lit("a").alias("away_key"))
+    x = T.results(spark, sf).select("event_id", F.lit("x").alias("source"), F.col("tournament").alias("competition"), F.when(F.col("event_id") % 20 == 0, 0.95).otherwise(0.5).alias("match_score"), F.col("kickoff").alias("observed_at"), F.col("home_id").alias("source_home"), F.col("away_id").alias("source_away"), F.lit("h").alias("home_key"), F.lit("a").alias("away_key"))
     return B.learn_availability(x).select("event_id", "source", F.col("alias").alias("team"), "side")
 
 

@@ -154,6 +154,19 @@ def m14_opportunity_queue(spark, sf):
     return I.opportunity_queue(res.where("event_id % 5 = 0").select("event_id", "kickoff"), feeds, old, _now()).select("event_id", "gap", "status")
 
 
+@query(
+    """+ g AS (SELECT event_id, 'PREDICTION' AS gap FROM results WHERE event_id NOT IN (SELECT event_id FROM predictions WHERE source <> 's5') UNION ALL SELECT event_id, 'ODDS' FROM results WHERE event_id % 2 = 0),
+       q AS (SELECT event_id, 'ODDS' AS gap FROM results WHERE event_id % 35 = 0)
+       SELECT coalesce(g.event_id, q.event_id) AS event_id, coalesce(g.gap, q.gap) AS gap, CASE WHEN g.event_id IS NOT NULL THEN 'OPEN' ELSE 'RESOLVED' END AS status FROM g FULL JOIN q ON g.event_id = q.event_id AND g.gap = q.gap""",
+    ("results", "predictions"),
+)
+def m14_opportunity_queue_all(spark, sf):
+    res = T.results(spark, sf)
+    old = res.where("event_id % 35 = 0").select("event_id", F.lit("ODDS").alias("gap"), F.lit(1).alias("priority"), F.lit("OPEN").alias("status"))
+    feeds = {"PREDICTION": T.predictions(spark, sf).where("source <> 's5'"), "ODDS": T.odds(spark, sf).where("event_id % 2 = 1")}
+    return I.opportunity_queue(res.select("event_id", "kickoff"), feeds, old, _now()).select("event_id", "gap", "status")
+
+
 @query(
     """+ t AS (SELECT event_id, tournament AS league, 'k' || home_id AS h, 'k' || away_id AS a FROM results), s AS (SELECT DISTINCT h, a FROM t WHERE event_id % 50 = 0), n AS (SELECT h AS k FROM s UNION SELECT a FROM s)
        SELECT event_id, league, CASE WHEN event_id % 3 = 0 THEN 'PUBLISHED' WHEN (h, a) IN (SELECT h, a FROM s) THEN 'PAIR_NOT_LINKED' WHEN h IN (SELECT k FROM n) AND a IN (SELECT k FROM n) THEN 'BOTH_NAMES_APART' WHEN h IN (SELECT k FROM n) OR a IN (SELECT k FROM n) THEN 'ONE_SIDE' ELSE 'ABSENT' END AS reason FROM t""",
@@ -319,6 +332,17 @@ def j8_attach_rollover(spark, sf):
     return C.attach_rollover(r, t)
 
 
+@query(
+    """+ t AS (SELECT event_id, 'k' || home_id AS h, 'k' || away_id AS a, CAST(kickoff AS DATE) AS d FROM results), r AS (SELECT event_id, h, a, d + CAST(event_id % 3 - 1 AS INTEGER) AS d FROM t)
+       SELECT r.event_id AS row_id, min(t.event_id) AS event_id FROM r JOIN t ON r.h = t.h AND r.a = t.a AND abs(date_diff('day', r.d, t.d)) <= 1 GROUP BY 1 HAVING count(DISTINCT t.event_id) = 1""",
+    ("results",),
+)
+def j8_attach_rollover_all(spark, sf):
+    t = T.results(spark, sf).select("event_id", F.concat(F.lit("k"), "home_id").alias("home_key"), F.concat(F.lit("k"), "away_id").alias("away_key"), "kickoff")
+    r = t.select(F.col("event_id").alias("row_id"), "home_key", "away_key", F.date_add(F.to_date("kickoff"), (F.col("event_id") % 3 - 1).cast("int")).alias("source_date"))
+    return C.attach_rollover(r, t)
+
+
 @query(
     """+ t AS (SELECT event_id, home_id AS h, away_id AS a, CAST(kickoff AS DATE) AS d FROM results), s AS (SELECT event_id AS row_id, h, a, d FROM t WHERE event_id % 10 = 0),
        n AS (SELECT i AS name, i AS key, 0 AS rank, 'CONTEXT' AS tier FROM range(20) x(i) UNION ALL SELECT i, i, 1, 'MASTER' FROM range(40) x(i)),
@@ -333,6 +357,20 @@ def j7_attach_tiered(spark, sf):
     return C.attach_tiered(r, t, [("CONTEXT", names.where("name < 20")), ("MASTER", names)])
 
 
+@query(
+    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, CAST(kickoff AS DATE) AS d FROM results), s AS (SELECT event_id AS row_id, h, a, d FROM t),
+       n AS (SELECT i AS name, i AS key, 0 AS rank, 'CONTEXT' AS tier FROM range(20) x(i) UNION ALL SELECT i, i, 1, 'MASTER' FROM range(40) x(i)),
+       c AS (SELECT s.row_id, x.rank, x.tier, count(DISTINCT t.event_id) AS n, min(t.event_id) AS event_id FROM s JOIN n x ON x.name = s.h JOIN n y ON y.name = s.a AND y.rank = x.rank JOIN t ON t.h = x.key AND t.a = y.key AND t.d = s.d GROUP BY 1, 2, 3)
+       SELECT row_id, event_id, tier FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY rank) AS r FROM c WHERE n = 1) WHERE r = 1""",
+    ("results",),
+)
+def j7_attach_tiered_all(spark, sf):
+    t = T.results(spark, sf).select("event_id", F.col("home_id").alias("home_key"), F.col("away_id").alias("away_key"), "kickoff")
+    r = t.select(F.col("event_id").alias("row_id"), F.col("home_key").alias("home"), F.col("away_key").alias("away"), F.to_date("kickoff").alias("source_date"))
+    names = t.select(F.col("home_key").alias("name"), F.col("home_key").alias("target_key")).distinct()
+    return C.attach_tiered(r, t, [("CONTEXT", names.where("name < 20")), ("MASTER", names)])
+
+
 @query(
     """SELECT r.event_id, o.home, o.draw, o.away, round(1/o.home/(1/o.home+1/o.draw+1/o.away), 6) AS fair_home, CAST(1 AS BIGINT) AS channels, round(o.home * (p.home / 100) - 1, 6) AS home_edge FROM results r JOIN odds o ON r.event_id = o.event_id JOIN predictions p ON p.event_id = r.event_id WHERE confirmed""",
     ("results", "odds", "predictions"),
