@@ -580,6 +580,24 @@ def md16_evidence_graph(spark, sf):
     return M.evidence_graph(res.select("event_id"), form, T.predictions(spark, sf))[2].select("event_id", "home_support", "away_support", "n")
 
 
+#: The mean points of each side's last six games before kickoff, as SQL; p (event_id, h, a) has null where a side has no game.
+FORM_POINTS = """teams AS (SELECT event_id, kickoff, 'H' AS side, home_id AS team, home_goals AS gf, away_goals AS ga FROM results UNION ALL SELECT event_id, kickoff, 'A', away_id, away_goals, home_goals FROM results),
+       past AS (SELECT f.event_id, f.side, h.gf, h.ga, row_number() OVER (PARTITION BY f.event_id, f.side ORDER BY h.kickoff DESC, h.event_id) AS r FROM teams f JOIN teams h ON f.team = h.team AND h.kickoff < f.kickoff),
+       p AS (SELECT event_id, avg(CASE WHEN gf > ga THEN 3.0 WHEN gf = ga THEN 1.0 ELSE 0.0 END) FILTER (side = 'H') AS h, avg(CASE WHEN gf > ga THEN 3.0 WHEN gf = ga THEN 1.0 ELSE 0.0 END) FILTER (side = 'A') AS a FROM past WHERE r <= 6 GROUP BY 1)"""
+
+
+@query(
+    f"""+ {FORM_POINTS}, e AS (SELECT event_id, CASE WHEN home >= draw AND home >= away THEN 'H' WHEN draw >= away THEN 'D' ELSE 'A' END AS direction FROM predictions UNION ALL SELECT event_id, CASE WHEN h > a THEN 'H' ELSE 'A' END FROM p WHERE h <> a),
+       w AS (SELECT event_id, count(*) FILTER (direction = 'H') AS home_support, count(*) FILTER (direction = 'A') AS away_support, count(*) AS n FROM e GROUP BY 1)
+       SELECT *, least(home_support, away_support) > 0 AS conflict, round(abs(home_support - away_support) / n, 6) AS confidence FROM w""",
+    ("results", "predictions"),
+)
+def md16_evidence_graph_form(spark, sf):
+    res = T.results(spark, sf)
+    why = M.evidence_graph(res.select("event_id"), M.team_form_summary(res, res), T.predictions(spark, sf))[2]
+    return why.select("event_id", "home_support", "away_support", "n", "conflict", r6("confidence").alias("confidence"))
+
+
 # Extraction
 
 @query("""SELECT doc_id, CAST(i - 1 AS INTEGER) AS pos, length(line) AS n_chars FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS line FROM documents)""")

@@ -13,7 +13,7 @@ from matchlake.operators import rollups as R
 from matchlake.operators import state as S
 from matchlake.plans import context as C
 from matchlake.plans import models as M
-from matchlake.queries import NOW, ROLLUP, _rollup, query, r6
+from matchlake.queries import FORM_POINTS, NOW, ROLLUP, _rollup, query, r6
 from matchlake.sources import feeds as X
 from matchlake.streaming import live as V
 
@@ -187,6 +187,11 @@ def x9_rate_limited_first(spark, sf):
     return every.select("event_id", "source", F.col("last_accepted").alias("first_at"))
 
 
+@query()
+def x9_rate_limited_60s(spark, sf):
+    return I.rate_limited(T.live_stats(spark, sf).select("event_id", "source", F.col("captured_at").alias("observed_at")))
+
+
 @query(
     """+ k AS (SELECT source, event_id, CASE WHEN confidence >= 0.93 THEN 'SOURCE' WHEN confidence >= 0.80 THEN 'GLOBAL' ELSE 'NONE' END AS path, lower(regexp_replace(alias, '[^\\p{L}\\p{N}]', '', 'g')) AS name_key, event_id % 200 AS e FROM alias_obs)
        SELECT e AS event_id, source, bool_or(path = 'SOURCE') AS direct, bool_or(path = 'GLOBAL') AS global, array_to_string(list_sort(list(DISTINCT name_key)), ',') AS names FROM k GROUP BY 1, 2""",
@@ -299,6 +304,19 @@ def md9_scenarios(spark, sf):
     return C.scenarios(T.results(spark, sf), p, none)
 
 
+@query(
+    f"""+ {FORM_POINTS}, c AS (SELECT event_id, CASE WHEN home >= draw AND home >= away THEN 'H' WHEN draw >= away THEN 'D' ELSE 'A' END AS pick FROM predictions WHERE source <> 's2'), s(segment) AS (VALUES ('0-15'), ('16-30'), ('31-45'), ('46-60'), ('61-75'), ('76-FT')),
+        x AS (SELECT r.event_id, pick, h, a, CASE WHEN h - a >= 1 THEN 'H' WHEN a - h >= 1 THEN 'A' END AS ahead FROM results r LEFT JOIN c ON r.event_id = c.event_id LEFT JOIN p ON r.event_id = p.event_id)
+        SELECT event_id, segment, pick, CASE WHEN pick IN ('H', 'A') THEN pick ELSE ahead END AS expected, CASE WHEN pick IN ('H', 'A') THEN 'CONSENSUS' WHEN ahead IS NOT NULL THEN 'FORM' ELSE 'NONE' END AS basis,
+          CASE WHEN pick IS NULL THEN 0 ELSE 40 END + CASE WHEN h IS NULL THEN 0 ELSE 30 END + CASE WHEN a IS NULL THEN 0 ELSE 30 END AS coverage FROM x, s""",
+    ("predictions", "results"),
+)
+def md9_scenarios_form(spark, sf):
+    res = T.results(spark, sf)
+    p = T.predictions(spark, sf).where("source <> 's2'").select("event_id", E.argmax_hda(F.col("home"), F.col("draw"), F.col("away")).alias("pick"))
+    return C.scenarios(res, p, M.team_form_summary(res, res))
+
+
 @query(
     """+ r AS (SELECT lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) AS k, max(c_acctbal) AS rating FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1), n AS (SELECT c_custkey AS i, lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) AS k FROM customer)
        SELECT e.event_id, a.rating AS home_rating, b.rating AS away_rating, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'BOTH' WHEN a.k IS NOT NULL THEN 'HOME_ONLY' WHEN b.k IS NOT NULL THEN 'AWAY_ONLY' ELSE 'NONE' END AS coverage
