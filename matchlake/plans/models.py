@@ -183,26 +183,35 @@ def system_health(expected: DataFrame, health: DataFrame, now: Column) -> DataFr
 
 
 def pi_ratings(results: DataFrame, rate: float = 0.035, cross: float = 0.7, base: float = 10.0, scale: float = 3.0) -> DataFrame:
-    """Sequential home and away ratings per tournament, folded in time order (published pi-rating form); one group is one league's history."""
+    """Sequential home and away ratings per tournament, folded in time order (published pi-rating form).
+
+    A task reads its tournaments' games as a sorted stream of batches and holds the ratings of the current tournament's teams only.
+    """
     import math
 
     import pandas as pd
 
-    def fold(games: pd.DataFrame) -> pd.DataFrame:
+    def fold(batches):
         rating: dict[tuple[int, str], float] = {}
+        league = None
         expected = lambda r: math.copysign(base ** (abs(r) / scale) - 1, r)
-        out = []
-        for g in games.sort_values(["kickoff", "event_id"]).itertuples():
-            hh, ha, ah, aa = (rating.get(k, 0.0) for k in ((g.home_id, "H"), (g.home_id, "A"), (g.away_id, "H"), (g.away_id, "A")))
-            gap = expected(hh) - expected(aa)
-            out.append((g.event_id, hh, aa, gap))
-            error = (g.home_goals - g.away_goals) - gap
-            step = math.copysign(scale * math.log10(1 + abs(error)), error)
-            rating[g.home_id, "H"], rating[g.away_id, "A"] = hh + step * rate, aa - step * rate
-            rating[g.home_id, "A"], rating[g.away_id, "H"] = ha + step * rate * cross, ah - step * rate * cross
-        return pd.DataFrame(out, columns=["event_id", "home_rating", "away_rating", "expected_gap"])
-
-    return results.groupBy("tournament").applyInPandas(fold, "event_id bigint, home_rating double, away_rating double, expected_gap double")
+        for games in batches:
+            out = []
+            for g in games.itertuples():
+                if g.tournament != league:
+                    rating, league = {}, g.tournament
+                hh, ha, ah, aa = (rating.get(k, 0.0) for k in ((g.home_id, "H"), (g.home_id, "A"), (g.away_id, "H"), (g.away_id, "A")))
+                gap = expected(hh) - expected(aa)
+                out.append((g.event_id, hh, aa, gap))
+                error = (g.home_goals - g.away_goals) - gap
+                step = math.copysign(scale * math.log10(1 + abs(error)), error)
+                rating[g.home_id, "H"], rating[g.away_id, "A"] = hh + step * rate, aa - step * rate
+                rating[g.home_id, "A"], rating[g.away_id, "H"] = ha + step * rate * cross, ah - step * rate * cross
+            yield pd.DataFrame(out, columns=["event_id", "home_rating", "away_rating", "expected_gap"])
+
+    games = results.select("tournament", "kickoff", "event_id", "home_id", "away_id", "home_goals", "away_goals").repartition("tournament")
+    games = games.sortWithinPartitions("tournament", F.asc_nulls_last("kickoff"), F.asc_nulls_last("event_id"))
+    return games.mapInPandas(fold, "event_id bigint, home_rating double, away_rating double, expected_gap double")
 
 
 def evidence_graph(fixtures: DataFrame, form: DataFrame, predictions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
