@@ -12,6 +12,8 @@ anchor (SIDE bytes before it, LENGTH from its start on).
    by their first LENGTH bytes (by a hash of them: only matches of that length matter). In that order
    the previous or next smaller document at a common prefix of LENGTH is in the same run, so a
    suffix has a previous factor of LENGTH exactly if its run holds a smaller id.
+   The contexts of one anchor meet in one task; those of an anchor with more than HOT are not brought
+   together: their suffixes are rows of their own, and each run's smallest id is an aggregate.
 3. Covered ranges go back to their documents, which are cut.
 """
 
@@ -32,8 +34,8 @@ SIDE = LENGTH - K
 WINDOW = LENGTH - K + 1
 CHUNK = 1 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-#: posx packs a position with bits of a checksum of the text, which tell rows apart that share an id.
-POSITION = (1 << 40) - 1
+#: An anchor with more open contexts is hot: its suffixes meet by their own hash, so no task holds them together.
+HOT = 10_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -96,92 +98,81 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return row[once], at[once], h[once], context[once]
 
 
-def checks(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """23 bits for each document, in the place above a position."""
-    import zlib
-
-    view = memoryview(np.ascontiguousarray(data))
-    return np.array([zlib.crc32(view[a:b]) & 0x7FFFFF for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.int64) << 40
-
-
 def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) -> anchors. Those whose context an earlier document of the batch holds are settled here: posx is negative, h at random."""
+    """(doc, text, key) -> anchors. Those whose context an earlier document of the batch holds are settled here: pos is negative, h at random."""
     for b in batches:
         data, offsets = part_bytes(b.column(1))
         row, at, h, context = anchors(data, offsets)
         h &= ~np.uint64(0xFFFF)  # 48 bits tell anchors apart well enough (contexts are compared), and take less room
         doc = b.column(0).to_numpy()[row]
-        posx = at | checks(data, offsets)[row]
+        key, pos = b.column(2).to_numpy()[row], at
         order = np.lexsort((doc, context, h))
-        h, context, doc, posx = h[order], context[order], doc[order], posx[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (context[1:] != context[:-1])
+        h, context, doc, key, pos = h[order], context[order], doc[order], key[order], pos[order]
+        new = _changes(h, context)
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else doc
         settled = doc > least
-        h = np.where(settled, posx.astype(np.uint64) * _A, h)
-        yield _batch(h=h.view(np.int64), context=context.view(np.int64), doc=doc, posx=np.where(settled, -posx - 1, posx))
+        h = np.where(settled, mix(key.view(np.uint64) ^ pos.astype(np.uint64) * _A), h)
+        yield _batch(h=h.view(np.int64), context=context.view(np.int64), doc=doc, key=key, pos=np.where(settled, -pos - 1, pos))
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before in any column."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors sorted by h, context, doc -> those with a covered context, and (open) the rows of each context's first document where h has several."""
-    carried: list[np.ndarray] | None = None  # of the last h, as far as it came, the rows of each context's first document
+    """Anchors sorted by h, context, doc, key, pos -> those with a covered context, and (open) the rows of each context's first document where h has several.
+
+    Of the last h only the rows of its first context are carried while that is its only one, and then one row of its last context.
+    """
+    carried: list[np.ndarray] | None = None
+    emitted = False  # the carried h has several contexts, and the carried row is out
     for b in batches:
         cols = [c.to_numpy() for c in b.columns]
-        done = cols[3] < 0
-        settled = [c[done] for c in cols]
-        cols = [c[~done] for c in cols]
+        new = _changes(*cols)  # copies of a row count once
+        done = cols[4] < 0
+        settled = [c[done & new] for c in cols]
+        cols = [c[~done & new] for c in cols]
         n_carried = 0
         if carried is not None:
             n_carried = len(carried[0])
             cols = [np.concatenate(p) for p in zip(carried, cols, strict=True)]
-        h, context, doc, posx = cols
+        h, context, doc, key, pos = cols
         if len(h):
-            new_h = np.ones(len(h), bool)
-            new_h[1:] = h[1:] != h[:-1]
-            new_c = new_h.copy()
-            new_c[1:] |= context[1:] != context[:-1]
+            new_h, new_c = _changes(h), _changes(h, context)
             least = doc[np.flatnonzero(new_c)][np.cumsum(new_c) - 1]
             covered = doc > least
-            covered[:n_carried] = False
-            last = np.flatnonzero(new_h)[-1]  # this h may go on in the next batch
-            carried = [c[last:][~covered[last:]] for c in cols]
-            yield from _opened(new_h[:last], new_c[:last], ~covered[:last], doc[:last], posx[:last], h[:last])
-            yield _found(np.zeros(covered.sum(), np.int64), doc[covered], posx[covered], False)
-        yield _found(np.zeros(done.sum(), np.int64), settled[2], -settled[3] - 1, False)
-    if carried is not None:
-        h, context, doc, posx = carried
-        new_h = np.zeros(len(h), bool)
-        new_h[:1] = True
-        new_c = new_h.copy()
-        new_c[1:] = context[1:] != context[:-1]
-        yield from _opened(new_h, new_c, np.ones(len(h), bool), doc, posx, h)
-
-
-def _found(h: np.ndarray, doc: np.ndarray, posx: np.ndarray, is_open: bool) -> pa.RecordBatch:
-    return _batch(h=h, doc=doc, posx=posx, open=np.full(len(h), is_open))
+            group = np.cumsum(new_h) - 1
+            several = np.bincount(group, new_c) > 1
+            several[0] |= emitted
+            is_open = several[group] & ~covered
+            is_open[:n_carried] &= not emitted
+            yield _found(h[is_open], doc[is_open], key[is_open], pos[is_open], True)
+            yield _found(np.zeros(covered.sum(), np.int64), doc[covered], key[covered], pos[covered], False)
+            emitted = bool(several[-1])  # this h may go on in the next batch
+            stay = np.flatnonzero(new_c)[-1:] if emitted else np.flatnonzero((group == group[-1]) & ~covered)
+            carried = [c[stay] for c in cols]
+        yield _found(np.zeros(len(settled[0]), np.int64), settled[2], settled[3], -settled[4] - 1, False)
 
 
-def _opened(new_h, new_c, first, doc, posx, h) -> Iterator[pa.RecordBatch]:
-    """The rows of each context's first document, where h has several contexts."""
-    if len(h):
-        several = (np.bincount(np.cumsum(new_h) - 1, new_c) > 1)[np.cumsum(new_h) - 1] & first
-        yield _found(h[several], doc[several], posx[several], True)
+def _found(h: np.ndarray, doc: np.ndarray, key: np.ndarray, pos: np.ndarray, is_open: bool) -> pa.RecordBatch:
+    return _batch(h=h, doc=doc, key=key, pos=pos, open=np.full(len(h), is_open))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, at: list of (posx, h)) -> the bytes of each context, padded, with how many are real on either side."""
+    """(doc, text, key, at: list of (pos, h)) -> the bytes of each context, padded, with how many are real on either side."""
     for b in batches:
         data, offsets = part_bytes(b.column(1))
-        lists = b.column(2)
+        doc, key, lists = b.column(0).to_numpy(), b.column(2).to_numpy(), b.column(3)
         row = np.repeat(np.arange(len(b)), lists.value_lengths().to_numpy())
-        posx, h = (lists.flatten().field(i).to_numpy() for i in (0, 1))
-        ok = posx & ~POSITION == checks(data, offsets)[row]
-        row, posx, h = row[ok], posx[ok], h[ok]
-        at = (posx & POSITION) + offsets[row]
+        pos, h = (lists.flatten().field(i).to_numpy() for i in (0, 1))
+        at = pos + offsets[row]
         before, after = np.minimum(at - offsets[row], SIDE), np.minimum(offsets[row + 1] - at, LENGTH)
         for i in range(0, max(1, len(at)), 10_000):
             part = slice(i, i + 10_000)
@@ -189,7 +180,25 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = (place >= (at - before)[part, None]) & (place < (at + after)[part, None])
             bytes_ = np.where(inside, data[np.clip(place, 0, max(0, len(data) - 1))], 0).astype(np.uint8) if len(data) else np.empty((0, SIDE + LENGTH), np.uint8)
             fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIDE + LENGTH), len(bytes_), [None, pa.py_buffer(bytes_.tobytes())]).cast(pa.binary())
-            yield _batch(h=h[part], doc=b.column(0).to_numpy()[row[part]], posx=posx[part], before=before[part].astype(np.int32), after=after[part].astype(np.int32), bytes=fixed)
+            yield _batch(h=h[part], doc=doc[row[part]], key=key[row[part]], pos=pos[part], before=before[part].astype(np.int32), after=after[part].astype(np.int32), bytes=fixed)
+
+
+def _suffix_hashes(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of the suffixes of LENGTH real bytes that start in contexts: hash, row and start."""
+    raw = np.frombuffer(b"".join(t["bytes"].to_pylist()), np.uint8).reshape(len(t), SIDE + LENGTH)
+    before, after = t["before"].to_numpy(), t["after"].to_numpy()
+    start = np.arange(WINDOW)
+    real = (start >= SIDE - before[:, None]) & (start + LENGTH <= SIDE + after[:, None])
+    who, start = np.nonzero(real)
+    return gram_hashes(raw, LENGTH)[real], who, start
+
+
+def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts -> a row for each of their suffixes, placed from the anchor."""
+    for b in batches:
+        if len(b):
+            suffix, who, start = _suffix_hashes(b)
+            yield _batch(suffix=suffix.view(np.int64), **{c: b[c].to_numpy()[who] for c in ("doc", "key", "pos")}, start=(start - SIDE).astype(np.int32))
 
 
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,13 +206,9 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def test(t: pa.Table) -> pa.RecordBatch:
         n = len(t)
-        raw = np.frombuffer(b"".join(t["bytes"].to_pylist()), np.uint8).reshape(n, SIDE + LENGTH)
-        doc, before, after = (t[c].to_numpy() for c in ("doc", "before", "after"))
-        suffix = gram_hashes(raw, LENGTH)
-        start = np.arange(WINDOW)
-        real = (start >= SIDE - before[:, None]) & (start + LENGTH <= SIDE + after[:, None])
-        who, start = np.nonzero(real)
-        suffix, owner = suffix[real], doc[who]
+        doc = t["doc"].to_numpy()
+        suffix, who, start = _suffix_hashes(t)
+        owner = doc[who]
         order = np.lexsort((owner, suffix))
         run = np.ones(len(order), bool)
         run[1:] = suffix[order][1:] != suffix[order][:-1]
@@ -214,7 +219,7 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.minimum.at(low, who[has], start[has])
         np.maximum.at(high, who[has], start[has])
         hit = high >= 0
-        return _batch(doc=doc[hit], posx=t["posx"].to_numpy()[hit], low=(low[hit] - SIDE).astype(np.int32), high=(high[hit] - SIDE + LENGTH).astype(np.int32))
+        return _batch(doc=doc[hit], key=t["key"].to_numpy()[hit], pos=t["pos"].to_numpy()[hit], low=(low[hit] - SIDE).astype(np.int32), high=(high[hit] - SIDE + LENGTH).astype(np.int32))
 
     carried = None
     for b in batches:
@@ -233,24 +238,22 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text, at: list of (posx, low, high)) -> id, n_bytes, spans, kept."""
+    """(id, text, at: list of (pos, low, high)) -> id, n_bytes, spans, kept."""
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:
         data, offsets = part_bytes(b.column(1))
-        check, lists = checks(data, offsets), b.column(2)
+        lists = b.column(2)
         lengths = lists.value_lengths().fill_null(0).to_numpy()
         upto = np.concatenate([[0], np.cumsum(lengths)])
-        posx, low, high = (lists.flatten().field(i).to_numpy() for i in range(3))
+        pos, low, high = (lists.flatten().field(i).to_numpy() for i in range(3))
         spans, kept = [], []
         for i, n in enumerate(np.diff(offsets).tolist()):
             mine = slice(upto[i], upto[i + 1])
-            p = posx[mine]
-            ok = p & ~POSITION == check[i]
-            p = p[ok] & POSITION
+            p = pos[mine]
             text = data[offsets[i] : offsets[i + 1]]
             change = np.zeros(n + 1, np.int32)
-            np.add.at(change, np.maximum(p + low[mine][ok], 0), 1)
-            np.add.at(change, np.minimum(p + high[mine][ok], n), -1)
+            np.add.at(change, np.maximum(p + low[mine], 0), 1)
+            np.add.at(change, np.minimum(p + high[mine], n), -1)
             out = np.cumsum(change[:-1]) > 0
             edges = np.flatnonzero(np.diff(np.concatenate([[0], out.astype(np.int8), [0]])))
             spans.append([{"start": a, "end": z} for a, z in edges.reshape(-1, 2).tolist()])
@@ -266,20 +269,34 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc")
-    d = docs.select(doc, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    met = d.mapInArrow(_scan, "h bigint, context bigint, doc bigint, posx bigint").repartition("h").sortWithinPartitions("h", "context", "doc")
-    met = cut(met.mapInArrow(_meet, "h bigint, doc bigint, posx bigint, open boolean"), "anchors")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    row = [text.alias("text"), F.xxhash64(text).alias("key")]  # key tells rows apart that share an id; those with one text too have the same ranges
+    d = docs.select(doc, *row)
+    met = d.mapInArrow(_scan, "h bigint, context bigint, doc bigint, key bigint, pos bigint").repartition("h").sortWithinPartitions("h", "context", "doc", "key", "pos")
+    met = cut(met.mapInArrow(_meet, "h bigint, doc bigint, key bigint, pos bigint, open boolean"), "anchors")
     release(spark)
 
-    wanted = met.where("open").groupBy("doc").agg(F.collect_list(F.struct("posx", "h")).alias("at"))
-    contexts = d.join(wanted, "doc").select("doc", "text", "at").mapInArrow(_contexts, "h bigint, doc bigint, posx bigint, before int, after int, bytes binary")
-    factors = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_factors, "doc bigint, posx bigint, low int, high int")
+    def contexts(anchors: DataFrame) -> DataFrame:
+        wanted = anchors.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
+        return d.join(wanted, ["doc", "key"]).select("doc", "text", "key", "at").mapInArrow(_contexts, "h bigint, doc bigint, key bigint, pos bigint, before int, after int, bytes binary")
+
+    ranges = "doc bigint, key bigint, pos bigint, low int, high int"
+    opened = met.where("open")
+    hot = cut(opened.groupBy("h").count().where(F.col("count") > HOT).select("h"), "hot-anchors")
+    factors = contexts(opened.join(F.broadcast(hot), "h", "left_anti")).repartition("h").sortWithinPartitions("h").mapInArrow(_factors, ranges)
     factors = cut(factors, "factors")
     release(spark)
-
-    whole = met.where("NOT open").select("doc", "posx", F.lit(-SIDE).alias("low"), F.lit(LENGTH).alias("high"))
-    covered = whole.union(factors).groupBy("doc").agg(F.collect_list(F.struct("posx", "low", "high")).alias("at"))
-    rows = docs.select(F.col(id_col).alias("id"), doc, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.join(covered, "doc", "left").select("id", "text", F.coalesce("at", F.array().cast("array<struct<posx: bigint, low: int, high: int>>")).alias("at"))
+    if not hot.isEmpty():
+        suffixes = cut(contexts(opened.join(F.broadcast(hot), "h", "left_semi")).mapInArrow(_suffixes, "suffix bigint, doc bigint, key bigint, pos bigint, start int"), "suffixes")
+        least = suffixes.groupBy("suffix").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
+        again = suffixes.join(cut(least, "least"), "suffix").where("doc > least")
+        again = again.groupBy("doc", "key", "pos").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).cast("int").alias("high"))
+        factors = factors.union(cut(again, "hot-factors"))
+        release(spark)
+
+    whole = met.where("NOT open").select("doc", "key", "pos", F.lit(-SIDE).alias("low"), F.lit(LENGTH).alias("high"))
+    covered = whole.union(factors).groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "low", "high")).alias("at"))
+    rows = docs.select(F.col(id_col).alias("id"), doc, *row)
+    rows = rows.join(covered, ["doc", "key"], "left").select("id", "text", F.coalesce("at", F.array().cast("array<struct<pos: bigint, low: int, high: int>>")).alias("at"))
     out = rows.mapInArrow(_cut_out, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary")
     return out.withColumnRenamed("id", id_col)
