@@ -1,10 +1,9 @@
-"""Embedding near-duplicates by sorted projection passes.
+"""Embedding near-duplicates by passes of equal keys (banded LSH).
 
-A pass orders vectors by their concatenated random hashes (signs of random projections) and
-compares those next to each other: the windows are the runs with equal leading hashes, cut into
-blocks of bounded size that are all compared with each other, so a long run is split over tasks
-and loses no pair. The number of hashes follows the number of vectors, the number of passes
-the chance that a pair at the threshold shares a run. A pair is counted in the first pass that
+A pass groups vectors by a key of random hashes (signs of random projections). All vectors of one key
+are compared with each other, cut into blocks of bounded size, so a long run of a key is split over tasks
+and loses no pair, as windows along a sorted order would. The number of hashes follows the number of vectors,
+the number of passes the chance that a pair at the threshold shares a key. A pair is counted in the first pass that
 brings it together, so links need not be listed to be counted, and tasks give only a
 spanning set of the links they verify.
 """
