@@ -86,7 +86,7 @@ def whole_texts(texts: pa.Array) -> Iterator[bytes]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """id, n (size of the set), cls, bands for (id, text); without words n is 0 and the rest null."""
+    """id, k, n (size of the set), cls, bands for (id, text, k); without words n is 0 and cls null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -98,9 +98,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 signs.append(signature(s))
             hashes = bands(np.array(signs, np.uint32).reshape(-1, BANDS * ROWS)).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * BANDS), pa.array(hashes.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists], ["id", "n", "cls", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists], ["id", "k", "n", "cls", "bands"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n bigint, cls bigint, bands array<bigint>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, k bigint, n bigint, cls bigint, bands array<bigint>")
 
 
 def sets(docs: DataFrame) -> DataFrame:
@@ -201,22 +201,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, n_shingles, component_id (smallest id reachable by links, itself included), kept: one row per input row.
 
     A null text, or one without words, has an empty set, is linked with nothing and is its own
-    component. Rows that repeat an id share what the first of them in a component gives. Other
-    columns are ignored. An empty table gives an empty one.
+    component. Rows that repeat an id share what the first of them in a component gives. A component
+    whose ids are all null has a null component_id, and one of its rows is kept. Other columns are
+    ignored. An empty table gives an empty one.
     """
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    all_ = cut(sketches(d), "sketches")
-    classes = cut(all_.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("k", F.xxhash64("id", "text"))  # k is never null
+    all_ = cut(sketches(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    classes = cut(all_.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.min("k").alias("k"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select(F.explode("bands").alias("h"), "cls", "n")
     shared = cut(rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     buckets = cut(rows.join(shared, "h"), "buckets")
     met = buckets.select("cls").distinct()
-    wanted = met.join(classes.select("cls", "rep"), "cls").select(F.col("rep").alias("id")).distinct()
-    full = sets(d.join(wanted, "id", "left_semi").select("text")).join(classes.join(met, "cls", "left_semi").select("cls", "bands"), "cls")
+    wanted = met.join(classes.select("cls", "k"), "cls").select("k").distinct()
+    full = sets(d.join(wanted, "k", "left_semi").select("text")).dropDuplicates(["cls"]).join(classes.join(met, "cls", "left_semi").select("cls", "bands"), "cls")
     full = cut(full, "shingle-sets")
     at = components(links(buckets, full)).select(F.col("id").alias("cls"), "component")
-    placed = classes.select("cls", "rep").join(at, "cls", "left").select("cls", "rep", F.coalesce("component", "cls").alias("component"))
-    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = placed.join(least, "component").select("cls", "component_id")
+    placed = classes.select("cls", "rep", "row").join(at, "cls", "left").select("cls", "rep", "row", F.coalesce("component", "cls").alias("component"))
+    least = placed.groupBy("component").agg(F.min("rep").alias("component_id"), F.min("row").alias("first"))
+    named = placed.join(least, "component").select("cls", "component_id", "first")
     component = F.coalesce("component_id", "id")
-    return all_.join(named, "cls", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
+    kept = F.when(component.isNull() & F.col("first").isNotNull(), F.col("row") == F.col("first")).otherwise(component.eqNullSafe(F.col("id")))
+    return all_.join(named, "cls", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
