@@ -1,19 +1,19 @@
-"""Passages that repeat across documents, by longest-previous-factor tests in suffix order.
+"""Passages that repeat across documents, by longest-previous-factor arrays over suffixes in byte order.
 
 A byte goes if a string of LENGTH bytes that covers it also starts in a document with a smaller id. Sorting all
-suffixes of a corpus is out of reach, so they are thinned first, without losing a match: in every
+suffixes of a corpus in one place is out of reach, so they are thinned first, without losing a match: in every
 window of LENGTH bytes the K bytes with the least hash are an anchor, so equal strings of LENGTH
 bytes have an anchor at the same place, and every match shows in the context of an
 anchor (SIDE bytes before it, LENGTH from its start on).
 
-1. Anchors meet by hash. One whose whole context occurs in an earlier document has its context
-   covered; anchors that one document alone holds, or one context, need nothing more.
-2. For the rest, the first of each context, the suffixes that start in a context are sorted
-   by their first LENGTH bytes (by a hash of them: only matches of that length matter). In that order
-   the previous or next smaller document at a common prefix of LENGTH is in the same run, so a
-   suffix has a previous factor of LENGTH exactly if its run holds a smaller id.
-   The contexts of one anchor meet in one task; those of an anchor with more than HOT are not brought
-   together: their suffixes are rows of their own, and each run's smallest id is an aggregate.
+1. Anchors meet by hash. One whole context that also occurs in an earlier document is covered; anchors
+   that one document alone holds, or one context, need nothing more.
+2. For the rest, the first of each context, the suffixes that start in a context are sorted by their bytes, and each
+   gets the longest prefix that it shares with the previous and the next suffix of a smaller document in that order. The longer of the two is its
+   longest previous factor; from LENGTH on it covers the suffix's first LENGTH bytes.
+   The contexts of one anchor meet in one task. An anchor with more than HOT is split by the bytes beside it: of LENGTH bytes
+   around an anchor at least SIDE / 2 lie before it or as many behind it, so contexts that share those meet in place
+   of all of the anchor's. What is still hot goes on as strings of LENGTH bytes, whose smallest document is an aggregate.
 3. Covered ranges go back to their documents, which are cut.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchlake.llm.scratch import cut, release
+from matchlake.llm.scratch import cut, discard
 from matchlake.llm.secrets import part_bytes
 
 LENGTH, K = 50, 20
@@ -34,8 +34,9 @@ SIDE = LENGTH - K
 WINDOW = LENGTH - K + 1
 CHUNK = 1 << 20
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-#: An anchor with more open contexts is hot: its suffixes meet by their own hash, so no task holds them together.
+#: An anchor with more open contexts is hot, and split, so no task holds them together.
 HOT = 10_000
+HALF = SIDE // 2
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -165,8 +166,12 @@ def _found(h: np.ndarray, doc: np.ndarray, key: np.ndarray, pos: np.ndarray, is_
     return _batch(h=h, doc=doc, key=key, pos=pos, open=np.full(len(h), is_open))
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text, key, at: list of (pos, h)) -> the bytes of each context, padded, with how many are real on either side."""
+def _contexts(batches: Iterator[pa.RecordBatch], split: bool = False) -> Iterator[pa.RecordBatch]:
+    """(doc, text, key, at: list of (pos, h)) -> the bytes of each context, padded, with how many are real on either side.
+
+    first and last are the starts within the context that are to be compared. With `split` a context
+    comes twice: under its anchor and the HALF bytes before it, for the starts that take in these, and the same with those behind it.
+    """
     for b in batches:
         data, offsets = part_bytes(b.column(1))
         doc, key, lists = b.column(0).to_numpy(), b.column(2).to_numpy(), b.column(3)
@@ -180,61 +185,116 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = (place >= (at - before)[part, None]) & (place < (at + after)[part, None])
             bytes_ = np.where(inside, data[np.clip(place, 0, max(0, len(data) - 1))], 0).astype(np.uint8) if len(data) else np.empty((0, SIDE + LENGTH), np.uint8)
             fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SIDE + LENGTH), len(bytes_), [None, pa.py_buffer(bytes_.tobytes())]).cast(pa.binary())
-            yield _batch(h=h[part], doc=doc[row[part]], key=key[row[part]], pos=pos[part], before=before[part].astype(np.int32), after=after[part].astype(np.int32), bytes=fixed)
+            rest = dict(doc=doc[row[part]], key=key[row[part]], pos=pos[part], before=before[part].astype(np.int32), after=after[part].astype(np.int32))
+            kinds = [(h[part], 0, SIDE)]
+            if split:
+                beside = lambda start: gram_hashes(bytes_[:, start : start + HALF], HALF)[:, 0]  # noqa: B023, E731
+                mixed = lambda start, n: mix(h[part].view(np.uint64) * _A ^ beside(start) + np.uint64(n)).view(np.int64)  # noqa: B023, E731
+                kinds = [(mixed(SIDE - HALF, 1), 0, SIDE - HALF), (mixed(SIDE + K, 2), SIDE - HALF + 1, SIDE)]
+            for hash_, first, last in kinds:
+                n = len(bytes_)
+                yield _batch(h=hash_, **rest, first=np.full(n, first, np.int32), last=np.full(n, last, np.int32), bytes=fixed)
+
 
+CONTEXT = "h bigint, doc bigint, key bigint, pos bigint, before int, after int, first int, last int, bytes binary"
 
-def _suffix_hashes(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """Of the suffixes of LENGTH real bytes that start in contexts: hash, row and start."""
+
+def _raw(t: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts as rows of bytes, and which starts in each are to be compared: those with LENGTH real bytes."""
     raw = np.frombuffer(b"".join(t["bytes"].to_pylist()), np.uint8).reshape(len(t), SIDE + LENGTH)
-    before, after = t["before"].to_numpy(), t["after"].to_numpy()
+    before, after, first, last = (t[c].to_numpy()[:, None] for c in ("before", "after", "first", "last"))
     start = np.arange(WINDOW)
-    real = (start >= SIDE - before[:, None]) & (start + LENGTH <= SIDE + after[:, None])
-    who, start = np.nonzero(real)
-    return gram_hashes(raw, LENGTH)[real], who, start
+    return raw, (start >= SIDE - before) & (start + LENGTH <= SIDE + after) & (start >= first) & (start <= last)
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts -> a row for each of their suffixes, placed from the anchor."""
+    """Contexts -> a row for each string of LENGTH bytes that is to be compared, placed from the anchor."""
     for b in batches:
         if len(b):
-            suffix, who, start = _suffix_hashes(b)
-            yield _batch(suffix=suffix.view(np.int64), **{c: b[c].to_numpy()[who] for c in ("doc", "key", "pos")}, start=(start - SIDE).astype(np.int32))
+            raw, real = _raw(b)
+            for start in np.flatnonzero(real.any(axis=0)):
+                who = np.flatnonzero(real[:, start])
+                strings = np.ascontiguousarray(raw[who, start : start + LENGTH])
+                fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(LENGTH), len(who), [None, pa.py_buffer(strings.tobytes())]).cast(pa.binary())
+                yield _batch(suffix=fixed, **{c: b[c].to_numpy()[who] for c in ("doc", "key", "pos")}, start=np.full(len(who), start - SIDE, np.int32))
+
+
+def _nearest_smaller(doc: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """For each position the prefix that it shares with the nearest position before it of a smaller document; 0 without one.
+
+    shared[i] is the prefix that i - 1 and i share. Each position points to one before which nothing smaller lies in between,
+    and jumps on to where that one points until it meets a smaller document; prefixes only shrink on the way.
+    """
+    to, prefix = np.arange(-1, len(doc) - 1), shared.copy()
+    prefix[:1] = 0
+    open_ = np.flatnonzero((to >= 0) & (doc[to] >= doc))
+    while len(open_):
+        via = to[open_]
+        prefix[open_] = np.minimum(prefix[open_], prefix[via])
+        to[open_] = to[via]
+        prefix[open_[to[open_] < 0]] = 0
+        open_ = open_[(to[open_] >= 0) & (prefix[open_] > 0) & (doc[to[open_]] >= doc[open_])]
+    return prefix
+
+
+def previous_factors(doc: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """The longest previous factor of suffixes in byte order: the longer of the prefixes shared with the previous and the next suffix of a smaller document."""
+    back = np.concatenate([[0], shared[:0:-1]]).astype(shared.dtype)
+    return np.maximum(_nearest_smaller(doc, shared), _nearest_smaller(doc[::-1], back)[::-1])
+
+
+def covered_starts(raw: np.ndarray, real: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which (context, start) have a longest previous factor of LENGTH bytes or more.
+
+    Suffixes from the last start on are sorted first. Those from the start before are then in order by a stable sort of
+    the one byte that they have in front.
+    """
+    words = np.zeros((len(raw), 56), np.uint8)
+    words[:, :LENGTH] = raw[:, SIDE:]
+    order = np.lexsort(words.view(">u8").astype(np.uint64).T[::-1])
+    out = np.zeros_like(real)
+    for start in range(SIDE, -1, -1):
+        if start < SIDE:
+            order = order[np.argsort(raw[order, start], kind="stable")]
+        at = order[real[order, start]]
+        if len(at) < 2:
+            continue
+        string = raw[at, start : start + LENGTH]
+        unlike = string[1:] != string[:-1]
+        shared = np.concatenate([[0], np.where(unlike.any(axis=1), unlike.argmax(axis=1), LENGTH)])
+        # Only neighbours with a prefix of LENGTH go on: between others no factor is that long.
+        near = shared >= LENGTH
+        near[:-1] |= near[1:]
+        at, shared = at[near], np.where(shared >= LENGTH, shared, 0)[near]
+        out[at[previous_factors(doc[at], shared) >= LENGTH], start] = True
+    return out
 
 
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by h -> the covered range of each, from its anchor."""
+    """Contexts sorted by h -> the covered range of each, from its anchor. Up to HOT contexts of the last h are held, with one batch."""
 
-    def test(t: pa.Table) -> pa.RecordBatch:
-        n = len(t)
+    def test(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(parts)
         doc = t["doc"].to_numpy()
-        suffix, who, start = _suffix_hashes(t)
-        owner = doc[who]
-        order = np.lexsort((owner, suffix))
-        run = np.ones(len(order), bool)
-        run[1:] = suffix[order][1:] != suffix[order][:-1]
-        least = owner[order][np.flatnonzero(run)][np.cumsum(run) - 1] if len(order) else owner
-        has = np.zeros(len(order), bool)
-        has[order] = owner[order] > least
-        low, high = np.full(n, 99), np.full(n, -1)
-        np.minimum.at(low, who[has], start[has])
-        np.maximum.at(high, who[has], start[has])
-        hit = high >= 0
-        return _batch(doc=doc[hit], key=t["key"].to_numpy()[hit], pos=t["pos"].to_numpy()[hit], low=(low[hit] - SIDE).astype(np.int32), high=(high[hit] - SIDE + LENGTH).astype(np.int32))
-
-    carried = None
+        has = covered_starts(*_raw(t), doc)
+        hit = np.flatnonzero(has.any(axis=1))
+        low, high = has[hit].argmax(axis=1) - SIDE, SIDE - has[hit, ::-1].argmax(axis=1) - SIDE + LENGTH
+        return _batch(doc=doc[hit], key=t["key"].to_numpy()[hit], pos=t["pos"].to_numpy()[hit], low=low.astype(np.int32), high=high.astype(np.int32))
+
+    held: list[pa.RecordBatch] = []
     for b in batches:
-        t = pa.Table.from_batches([b])
-        if carried is not None:
-            t = pa.concat_tables([carried, t])
-        if not len(t):
+        if not len(b):
             continue
-        h = t["h"].to_numpy()
+        h = b["h"].to_numpy()
         last = int(np.searchsorted(h, h[-1], "left"))
-        if last:
-            yield test(t.slice(0, last))
-        carried = t.slice(last)
-    if carried is not None and len(carried):
-        yield test(carried)
+        if held and (last or held[-1]["h"][-1].as_py() != h[-1]):
+            yield test([*held, b.slice(0, last)])
+            held = []
+        elif last:
+            yield test([b.slice(0, last)])
+        held.append(b.slice(last))
+    if held:
+        yield test(held)
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,35 +324,40 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, spans (start, end in UTF-8 bytes of what is removed), kept (the bytes that stay): one row per input row.
 
-    The id is a whole number; a null one counts as the smallest. Null texts are empty. Rows that share an id
+    The id is a whole number (other types are a TypeError); a null one counts as the smallest. Null texts are empty. Rows that share an id
     are never earlier than each other, so both stay. Other columns are ignored; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col} must hold whole numbers: documents are compared by it")
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     row = [text.alias("text"), F.xxhash64(text).alias("key")]  # key tells rows apart that share an id; those with one text too have the same ranges
     d = docs.select(doc, *row)
     met = d.mapInArrow(_scan, "h bigint, context bigint, doc bigint, key bigint, pos bigint").repartition("h").sortWithinPartitions("h", "context", "doc", "key", "pos")
     met = cut(met.mapInArrow(_meet, "h bigint, doc bigint, key bigint, pos bigint, open boolean"), "anchors")
-    release(spark)
 
-    def contexts(anchors: DataFrame) -> DataFrame:
+    def contexts(anchors: DataFrame, split: bool = False) -> DataFrame:
         wanted = anchors.groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
-        return d.join(wanted, ["doc", "key"]).select("doc", "text", "key", "at").mapInArrow(_contexts, "h bigint, doc bigint, key bigint, pos bigint, before int, after int, bytes binary")
+        return d.join(wanted, ["doc", "key"]).select("doc", "text", "key", "at").mapInArrow(lambda batches: _contexts(batches, split), CONTEXT)
 
     ranges = "doc bigint, key bigint, pos bigint, low int, high int"
+    many = lambda x: x.groupBy("h").count().where(F.col("count") > HOT).select("h")
+    compared = lambda x: x.repartition("h").sortWithinPartitions("h").mapInArrow(_factors, ranges)
     opened = met.where("open")
-    hot = cut(opened.groupBy("h").count().where(F.col("count") > HOT).select("h"), "hot-anchors")
-    factors = contexts(opened.join(F.broadcast(hot), "h", "left_anti")).repartition("h").sortWithinPartitions("h").mapInArrow(_factors, ranges)
-    factors = cut(factors, "factors")
-    release(spark)
+    hot = cut(many(opened), "hot-anchors")
+    factors = cut(compared(contexts(opened.join(hot, "h", "left_anti"))), "factors")
     if not hot.isEmpty():
-        suffixes = cut(contexts(opened.join(F.broadcast(hot), "h", "left_semi")).mapInArrow(_suffixes, "suffix bigint, doc bigint, key bigint, pos bigint, start int"), "suffixes")
-        least = suffixes.groupBy("suffix").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most")
-        again = suffixes.join(cut(least, "least"), "suffix").where("doc > least")
-        again = again.groupBy("doc", "key", "pos").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).cast("int").alias("high"))
-        factors = factors.union(cut(again, "hot-factors"))
-        release(spark)
+        halves = cut(contexts(opened.join(hot, "h", "left_semi"), split=True), "split-contexts")
+        hotter = cut(many(halves), "hot-contexts")
+        factors = factors.union(cut(compared(halves.join(hotter, "h", "left_anti")), "split-factors"))
+        if not hotter.isEmpty():
+            suffixes = cut(halves.join(hotter, "h", "left_semi").mapInArrow(_suffixes, "suffix binary, doc bigint, key bigint, pos bigint, start int"), "suffixes")
+            least = cut(suffixes.groupBy("suffix").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most"), "least")
+            again = suffixes.join(least, "suffix").where("doc > least")
+            again = again.groupBy("doc", "key", "pos").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).cast("int").alias("high"))
+            factors = factors.union(cut(again, "hot-factors"))
+            discard(suffixes, least)
+        discard(halves)
 
     whole = met.where("NOT open").select("doc", "key", "pos", F.lit(-SIDE).alias("low"), F.lit(LENGTH).alias("high"))
     covered = whole.union(factors).groupBy("doc", "key").agg(F.collect_list(F.struct("pos", "low", "high")).alias("at"))

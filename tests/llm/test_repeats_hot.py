@@ -19,6 +19,42 @@ def test_hot_anchors_equal_brute_force(spark, monkeypatch, hot):
     assert result(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)) == brute(rows)
 
 
+def test_previous_factors_equal_all_pairs():
+    r = np.random.default_rng(9)
+    for n in (0, 1, 2, 7, 60):
+        doc, shared = r.integers(0, max(1, n // 3) + 1, n), r.integers(0, 4, n)
+        shared[:1] = 0
+        prefix = lambda i, j: min(shared[i + 1 : j + 1])  # noqa: B023, E731
+        want = [max([prefix(min(i, j), max(i, j)) for j in range(n) if doc[j] < doc[i]], default=0) for i in range(n)]
+        assert repeats.previous_factors(doc, shared).tolist() == want
+
+
+def test_an_anchor_of_many_contexts_in_bounded_memory():
+    """200,000 contexts of one anchor, split by the bytes beside it, stay under 1 GB in a worker of their own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from matchlake.llm import repeats
+r = np.random.default_rng(1)
+n = 200_000
+def batches():
+    for i in range(0, n, 10_000):
+        raw = r.integers(97, 101, (10_000, 80), dtype=np.uint8)
+        raw[:, 30:50] = 120
+        c = lambda v, t=np.int64: pa.array(np.asarray(v, t))
+        m = np.arange(i, i + 10_000)
+        yield pa.RecordBatch.from_arrays([c(np.zeros(10_000)), c(m), c(m), c(m), c(np.full(10_000, 30), np.int32), c(np.full(10_000, 50), np.int32), c(np.zeros(10_000), np.int32), c(np.full(10_000, 30), np.int32), pa.array([x.tobytes() for x in raw], pa.binary())], ["h", "doc", "key", "pos", "before", "after", "first", "last", "bytes"])
+for _ in repeats._factors(batches()):
+    pass
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    peak = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert peak < 1_000_000
+
+
 def test_a_hot_anchor_is_not_carried():
     """The rows of one h over many batches leave with their batch."""
     n, size = 40, 50
