@@ -25,6 +25,8 @@ DIMENSIONS, BITS = 3, 10
 HASHED = 4096
 #: Tokens in one range, about.
 RANGE_TOKENS = 4_000_000
+#: An output batch has at most this many ids, or as many pieces as one document has sequences at the least.
+BATCH_IDS = 4_000_000
 
 
 def weights(n_ids: int, dimensions: int = DIMENSIONS, seed: int = 7) -> np.ndarray:
@@ -133,8 +135,8 @@ def pack(docs: DataFrame, tokenizer_json: str, end_id: int = 1, length: int = LE
                     if filled == length:
                         lay(open_)
                         open_, filled = [], 0
-                if len(rows) > 20_000:
-                    yield out()
+                    if len(rows) * length > BATCH_IDS:
+                        yield out()
             open_ = [(i, s, x.copy(), n) for i, s, x, n in open_]  # not to hold on to the batch
         while open_:  # the rest, cut at powers of two
             size, now, got = 1 << (filled.bit_length() - 1), [], 0

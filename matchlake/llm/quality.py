@@ -17,6 +17,9 @@ SPACE = " \t\n\x0b\x0c\r"
 SPACES = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 
+#: Frequent words of English, German, French and Spanish prose.
+STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "with", "der", "die", "das", "und", "ist", "nicht", "mit", "von", "le", "la", "les", "et", "des", "est", "que", "de", "el", "los", "las", "y", "en", "un", "una", "por")
+
 #: Rules by bit: name, and when a measured document fails.
 RULES: dict[str, str] = {
     "few_words": "n_words < 20",
@@ -25,19 +28,28 @@ RULES: dict[str, str] = {
     "repeated_lines": "n_lines >= 4 AND 10 * n_dup_lines > 6 * n_lines",
     "short_words": "n_words > 0 AND word_chars < 2 * n_words",
     "long_words": "n_words > 0 AND word_chars > 20 * n_words",
+    "many_digits": "10 * n_digits > 3 * word_chars",
+    "bullet_lines": "n_lines >= 4 AND 10 * n_bullet_lines > 9 * n_lines",
+    "cut_off_lines": "n_lines >= 4 AND 10 * n_cut_off_lines > 3 * n_lines",
+    "few_stop_words": "n_words >= 50 AND n_stop_words < 2",
+    "many_lines": "n_lines >= 10 AND 2 * n_lines > n_words",
+    "all_lines_repeat": "n_lines >= 4 AND 4 * n_dup_lines >= 3 * n_lines",
 }
 BASE = ("few_words", "repeated_windows")
 #: Policies by version.
 POLICIES: dict[str, tuple[str, ...]] = {
     "base": BASE,
     "v1": (*BASE, "many_symbols", "repeated_lines", "short_words", "long_words"),
+    "v2": (*BASE, "many_symbols", "repeated_lines", "short_words", "long_words", "many_digits", "bullet_lines", "cut_off_lines", "few_stop_words", "many_lines", "all_lines_repeat"),
 }
+#: Measurements that only some rules ask for.
+EXTRA = ("n_digits", "n_bullet_lines", "n_cut_off_lines", "n_stop_words")
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id and n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of every whole text.
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", extra: Iterable[str] = ()) -> DataFrame:
+    """The id and n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words of every whole text, and the extra counts asked for.
 
-    A null or empty text has no words, symbols or lines: all counts are 0. Repeated rows are
+    Lines are cut off if they end in three dots, and bullet lines begin with -, * or a bullet. Stop words are counted as written in STOP_WORDS. A null or empty text has no words, symbols or lines: all counts are 0. Repeated rows are
     measured one by one. Other columns of docs are ignored, whatever their names.
     Windows are compared by 64-bit hashes of eight 64-bit word hashes, within one text.
     """
@@ -50,8 +62,15 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.when(F.length("b") > 0, F.transform(F.split("b", SPACES), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")).alias("hashes"),
         F.filter(F.split("t", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0).alias("lines"),
     )
+    lines = lambda pattern: F.size(F.filter("lines", lambda x: x.rlike(pattern)))
+    more = {
+        "n_digits": lambda: F.regexp_count("t", F.lit("[0-9]")), "n_bullet_lines": lambda: lines(r"^[\x20\x09]*[-*\u2022]"), "n_cut_off_lines": lambda: lines(r"(\.\.\.|\u2026)[\x20\x09-\x0D]*$"),
+        "n_stop_words": lambda: F.size(F.filter("hashes", lambda h: h.isin(*[F.xxhash64(F.lit(w)) for w in STOP_WORDS]))),
+    }
+    more = {name: c() for name, c in more.items() if name in set(extra)}
     d = d.select(
         "id",
+        *[c.cast("long").alias(name) for name, c in more.items()],
         F.size("hashes").cast("long").alias("n_words"),
         (F.length("t") - F.regexp_count("t", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -62,7 +81,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.transform(F.sequence(F.lit(1), F.greatest(F.size("hashes") - (WINDOW - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("hashes", i, WINDOW))),
         ).alias("windows"),
     )
-    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines"]
+    counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", *more]
     # Positions are sorted and compared only where some window occurs twice.
     twice = F.size(F.array_distinct("windows")) < F.size("windows")
     d = d.select("id", *counts, F.when(twice, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("s"))
@@ -87,7 +106,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     """Measurements and `failures`, a bigint with one bit for each rule that the document fails."""
     if len(rules) > 62:
         raise ValueError("a ledger has at most 62 rules")
-    measured = measure(docs, id_col, text_col)
+    measured = measure(docs, id_col, text_col, [name for name in EXTRA if any(name in fails for fails in rules.values())])
     failures = F.lit(0).cast("long")
     for name, fails in rules.items():
         failures = failures.bitwiseOR(F.when(F.expr(fails), F.lit(bit(name, rules)).cast("long")).otherwise(F.lit(0).cast("long")))

@@ -52,6 +52,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~quality.passes(quality.BASE)).alias("base_failed"), quality.passes(quality.POLICIES["v1"]).alias("kept"), "failures")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v2 does to the whole corpus."""
+    return quality.ablations(quality.ledger(table(spark, sf_dir, "documents")), quality.POLICIES["v2"])
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -72,14 +77,52 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: The measurements and failures of every document as common table expressions; words, lines and windows as in `quality`.
+BOOK_SQL = r"""
+d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM starts
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(8) AS r(k) WHERE n > 1 GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (regexp_matches(line, '^[\x20\x09]*[-*\x{2022}]')) AS n_bullet_lines,
+         count(*) FILTER (regexp_matches(line, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*$')) AS n_cut_off_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, d.source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(length(regexp_replace(t, '[^0-9]', '', 'g')) AS BIGINT) AS n_digits,
+         CAST(len(list_filter(words, lambda w: w IN (STOP))) AS BIGINT) AS n_stop_words, md5(t) AS text_md5,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_bullet_lines, 0) AS n_bullet_lines, coalesce(n_cut_off_lines, 0) AS n_cut_off_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN repeated ON repeated.doc_id = d.doc_id LEFT JOIN lines ON lines.doc_id = d.doc_id
+), book AS (
+  SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT
+    + 8 * (n_lines >= 4 AND 10 * n_dup_lines > 6 * n_lines)::INT + 16 * (n_words > 0 AND word_chars < 2 * n_words)::INT
+    + 32 * (n_words > 0 AND word_chars > 20 * n_words)::INT + 64 * (10 * n_digits > 3 * word_chars)::INT
+    + 128 * (n_lines >= 4 AND 10 * n_bullet_lines > 9 * n_lines)::INT + 256 * (n_lines >= 4 AND 10 * n_cut_off_lines > 3 * n_lines)::INT
+    + 512 * (n_words >= 50 AND n_stop_words < 2)::INT + 1024 * (n_lines >= 10 AND 2 * n_lines > n_words)::INT
+    + 2048 * (n_lines >= 4 AND 4 * n_dup_lines >= 3 * n_lines)::INT AS BIGINT) AS failures FROM m
+)
+""".replace("STOP", ", ".join(f"'{w}'" for w in quality.STOP_WORDS))
+
+OP6_SQL = f"""WITH {BOOK_SQL}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, (failures & 63) = 0 AS kept, failures FROM book
+"""
+
+QUALITY_ABLATIONS_SQL = f"""WITH {BOOK_SQL}, rules(rule, b) AS (VALUES {", ".join(f"('{r}', {1 << n})" for n, r in enumerate(quality.RULES))})
+SELECT rule, count(*) FILTER (failures & b <> 0) AS n_failed, count(*) FILTER (failures = b) AS n_failed_alone, count(*) FILTER (failures = 0) AS n_kept,
+       count(*) FILTER (failures = 0 OR failures = b) AS n_kept_without
+FROM book, rules GROUP BY rule
+"""
+
 OP3_SQL = r"""
-WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u FROM documents
-), keyed AS (
-  SELECT *, -ln(u) / (CAST(0.5 AS DOUBLE) + CAST(1.5 AS DOUBLE) * least(CAST(1 AS DOUBLE), size / CAST(400 AS DOUBLE))) AS key FROM d
+WITH BOOK, keyed AS (
+  SELECT doc_id, source, n_words AS size, -ln((CAST('0x' || substr(md5(concat(doc_id, ':', text_md5)), 1, 13) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE))
+    / (CASE WHEN n_words > 0 THEN greatest(CAST(0.05 AS DOUBLE), CAST(1 AS DOUBLE) - n_repeat_words / n_words) ELSE CAST(0.05 AS DOUBLE) END / (CAST(1 AS DOUBLE) + bit_count(failures & 63))) AS key FROM book
 ), s AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS w FROM d GROUP BY source
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS w FROM keyed GROUP BY source
 ), c AS (
   SELECT *, 3 * source_size::DOUBLE AS cap, row_number() OVER o AS r, sum(source_size) OVER ()::DOUBLE - coalesce(sum(3 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS left_words,
          sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_w FROM s WINDOW o AS (ORDER BY 3 * source_size / w, source NULLS LAST)
@@ -93,7 +136,7 @@ WITH d AS (
   FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target, epochs * size + greatest(0, least(size, CAST(round(greatest(target - epochs * source_size, 0)) AS BIGINT) - (upto - size))) AS taken FROM x
-"""
+""".replace("BOOK", BOOK_SQL)
 
 OP4_SQL = r"""
 WITH RECURSIVE v AS (
@@ -142,32 +185,6 @@ SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM hosts h LEFT JOIN (SELECT * FROM fits WHERE r = 1) f ON h.page_id = f.page_id
 """
 
-OP6_SQL = r"""
-WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
-), starts AS (
-  SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8
-), windows AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM starts
-), repeated AS (
-  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM windows, range(8) AS r(k) WHERE n > 1 GROUP BY doc_id
-), lines AS (
-  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
-), m AS (
-  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
-         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
-  FROM d LEFT JOIN repeated USING (doc_id) LEFT JOIN lines USING (doc_id)
-), f AS (
-  SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (10 * n_symbols > 3 * n_words)::INT
-    + 8 * (n_lines >= 4 AND 10 * n_dup_lines > 6 * n_lines)::INT + 16 * (n_words > 0 AND word_chars < 2 * n_words)::INT
-    + 32 * (n_words > 0 AND word_chars > 20 * n_words)::INT AS BIGINT) AS failures FROM m
-)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
-"""
-
-
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -175,8 +192,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, pipeline)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, quality_ablations, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op4_near_vectors": OP4_SQL, "op7_minhash": OP7_SQL, "op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_near_vectors": OP4_SQL, "op7_minhash": OP7_SQL, "op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL, "quality_ablations": QUALITY_ABLATIONS_SQL}

@@ -5,7 +5,7 @@ contain. The corpus is indexed in segments (slices of an Arrow batch, so a segme
 and dies in one task): the trigrams that the rules ask for are looked up at every position, their
 postings (rows of the segment) are intersected and united as the query says, and only these
 candidates are verified with the regular expression. A rule without a mandatory trigram scans
-every row. Letters are folded to lower case in the index, so the query holds for either case.
+every row. A-Z are folded to lower case in the index and in the query alike, so the query holds for either case.
 """
 
 from __future__ import annotations
@@ -42,7 +42,8 @@ RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}"),  # runs are maximal, so a shorter run never hides a longer one
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # Up to its end line; without one, as far as lines of base64 go.
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?:(?!-----)[\s\S])*-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{20,})*)"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("code_host", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -53,6 +54,11 @@ BASE = ("assign", "access", "hex")
 SPAN = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 
+def fold(character: str) -> str:
+    """A-Z as lower case, as in the index; other characters as they are."""
+    return character.lower() if "A" <= character <= "Z" else character
+
+
 def trigrams(text: bytes) -> frozenset[bytes]:
     return frozenset(text[i : i + 3] for i in range(len(text) - 2))
 
@@ -60,20 +66,24 @@ def trigrams(text: bytes) -> frozenset[bytes]:
 def trigram_query(pattern: str, flags: int = 0) -> list[list[frozenset[bytes]]]:
     """A conjunction of disjunctions: some set of each inner list is wholly in any text that matches; empty if nothing is mandatory."""
     query: list[list[frozenset[bytes]]] = []
+    # Without regard to case, characters beyond ASCII have other cases, and k, s and i are cases of such characters.
+    any_case = bool(flags & re.IGNORECASE or re.search(r"\(\?[aLmsux]*i", pattern)) and not flags & re.ASCII
+    other_cases = lambda c: any_case and (c > 127 or chr(c) in "kKsSiI")
 
     def strings(op, arg) -> set[str] | None:
         """All strings, folded, that an element can match, or None if they are too many to list."""
         if op is sre_constants.LITERAL:
-            return {chr(arg).lower()}
+            return None if other_cases(arg) else {fold(chr(arg))}
         if op is sre_constants.IN:
             found: set[str] = set()
             for kind, x in arg:
                 if kind is sre_constants.LITERAL:
-                    found.add(chr(x).lower())
-                elif kind is sre_constants.RANGE and x[1] - x[0] < 8:
-                    found |= {chr(c).lower() for c in range(x[0], x[1] + 1)}
-                else:
+                    x = (x, x)
+                elif kind is not sre_constants.RANGE or x[1] - x[0] >= 8:
+                    return None
+                if any(map(other_cases, range(x[0], x[1] + 1))):
                     return None
+                found |= {fold(chr(c)) for c in range(x[0], x[1] + 1)}
             return found if len(found) <= 8 else None
         if op is sre_constants.SUBPATTERN:
             return sequence(arg[-1])
@@ -84,8 +94,7 @@ def trigram_query(pattern: str, flags: int = 0) -> list[list[frozenset[bytes]]]:
             one = sequence(arg[2])
             if one is None:
                 return None
-            total, power = (set(one) if arg[0] else {""}), {""}
-            total = set() if arg[0] else {""}
+            total, power = (set() if arg[0] else {""}), {""}
             for n in range(1, arg[1] + 1):
                 power = {a + b for a in power for b in one}
                 if len(power) > MOST_STRINGS:

@@ -3,7 +3,8 @@
 Groups (equal texts) are sorted by size and go to the least-loaded shard through a heap. So that
 the heap sees a bounded number of items whatever the size of the corpus, groups below 1/64 of an even
 share of a shard are first bundled by a hash of their digest: at most 64 * n_shards groups are
-larger, and there are BUNDLES * n_shards bundles.
+larger, and there are BUNDLES * n_shards bundles. Rows that repeat an id and its text are one item with a number of
+copies until they get their slots, so however many they are, they don't meet in a task.
 """
 
 from __future__ import annotations
@@ -36,15 +37,16 @@ def assign(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col
     """id, size, text_crc32, digest, shard, slot: one row per input row.
 
     size is the UTF-8 length of the text plus `overhead`; a null text has length 0 and is in the
-    group of empty texts. slot numbers a shard's rows from 0 without gaps, by group and id. A
-    group larger than an even share fills a shard alone. An empty table gives an empty one.
+    group of empty texts. slot numbers a shard's rows from 0 without gaps, a bundle at a time. Shards without
+    rows don't appear. Other columns are ignored. A group larger than an even share fills a shard alone. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     d = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.sha2(text.cast("binary"), 256).alias("digest"))
-    d = cut(d, "shard-sizes")
-    total = d.agg(F.sum("size")).first()[0] or 0
-    groups = d.groupBy("digest").agg(F.sum("size").alias("size"))
+    d = cut(d.groupBy("id", "size", "text_crc32", "digest").agg(F.count("*").alias("copies")), "shard-sizes")
+    all_bytes = F.sum(F.col("size") * F.col("copies"))
+    total = d.agg(all_bytes).first()[0] or 0
+    groups = d.groupBy("digest").agg(all_bytes.alias("size"))
     large = groups.where(F.col("size") * (64 * n_shards) > total)  # so fewer than 64 * n_shards rows
     bundle_of = F.concat(F.lit("b"), F.pmod(F.conv(F.substring("digest", 1, 12), 16, 10).cast("long"), F.lit(BUNDLES * n_shards)).cast("string"))
     small = groups.where(F.col("size") * (64 * n_shards) <= total).groupBy(bundle_of.alias("name")).agg(F.sum("size").alias("size"))
@@ -54,13 +56,14 @@ def assign(docs: DataFrame, n_shards: int = 24, id_col: str = "doc_id", text_col
     shards = spark.createDataFrame(list(placed.items()), "name string, shard int")
     d = d.join(F.broadcast(alone), F.col("digest") == F.col("big"), "left")
     d = d.withColumn("name", F.coalesce("big", bundle_of)).drop("big").join(F.broadcast(shards), "name")
-    # Slots: rows are numbered within cells, which split a bundle by a hash of the id, and cells are laid end to end.
+    # Slots: rows are numbered within cells, which split a bundle by a hash of id and text, and cells are laid end to end.
     sizes = d.groupBy("name").agg(F.count("*").alias("n_name"))
     d = d.join(F.broadcast(sizes), "name")  # as many rows as `shards`
-    d = d.withColumn("cell", F.pmod(F.xxhash64("id"), F.ceil(F.col("n_name") / CELL)).cast("long")).drop("n_name")
-    cells = d.groupBy("shard", "name", "cell").agg(F.count("*").alias("n"))
+    d = d.withColumn("cell", F.pmod(F.xxhash64("id", "digest"), F.ceil(F.col("n_name") / CELL)).cast("long")).drop("n_name")
+    cells = d.groupBy("shard", "name", "cell").agg(F.sum("copies").alias("n"))
     before = Window.partitionBy("shard").orderBy("name", "cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("name", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    inside = Window.partitionBy("name", "cell").orderBy("digest", "id")
-    d = d.withColumn("n_in", F.row_number().over(inside)).join(cells, ["name", "cell"])
-    return d.select(F.col("id").alias(id_col), "size", "text_crc32", "digest", "shard", (F.col("first_slot") + F.col("n_in") - 1).cast("long").alias("slot"))
+    inside = Window.partitionBy("name", "cell").orderBy("digest", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("upto", F.sum("copies").over(inside)).join(cells, ["name", "cell"])
+    d = d.withColumn("back", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return d.select(F.col("id").alias(id_col), "size", "text_crc32", "digest", "shard", (F.col("first_slot") + F.col("upto") - F.col("back")).cast("long").alias("slot"))

@@ -131,9 +131,9 @@ def count_ids(texts: pa.Array, pieces: Pieces) -> Iterator[int]:
 def counts(docs: DataFrame, tokenizer_json: str, cache: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_bytes, n_tokens: one row per input row.
 
-    `cache` is a folder of counts by the digests of tokenizer and text; texts that it lacks are
-    encoded once each, however many rows repeat them, and appended to it. None makes a new one in
-    the shared folder. A null text counts as empty. Repeated ids are separate rows; an empty table gives an empty one.
+    `cache` is a folder of counts by the digests of tokenizer and text, partitioned by tokenizer; texts that it lacks are
+    encoded once each, however many rows repeat them, their ids included, and appended to it. None makes a new one in
+    the shared folder. A null text counts as empty. Repeated and null ids are separate rows; other columns are ignored; an empty table gives an empty one.
     """
     import hashlib
     import uuid
@@ -143,12 +143,12 @@ def counts(docs: DataFrame, tokenizer_json: str, cache: str | None = None, id_co
     version = hashlib.sha256(tokenizer_json.encode()).hexdigest()
     shared = spark.sparkContext.broadcast(tokenizer_json)
     schema = "version string, digest binary, n_tokens bigint"
-    spark.createDataFrame([], schema).write.mode("append").parquet(cache)
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("version").parquet(cache)
     known = lambda: spark.read.schema(schema).parquet(cache).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     digest = F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest")
-    # Rows are told apart by a hash of the id, so null and repeated ids need no care.
+    # Of the rows of a text those whose id has the least hash bring it; they have the same text, so any one of them does.
     thin = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("h"), digest, F.octet_length(text).cast("long").alias("n_bytes")), "digests")
     misses = thin.groupBy("digest").agg(F.min("h").alias("h")).join(known(), "digest", "left_anti")
 
@@ -159,8 +159,8 @@ def counts(docs: DataFrame, tokenizer_json: str, cache: str | None = None, id_co
             yield pa.RecordBatch.from_arrays([pa.array([version] * len(b), pa.string()), b.column(0), n], ["version", "digest", "n_tokens"])
 
     texts = docs.select(F.xxhash64(F.col(id_col)).alias("h"), digest, text.alias("text"))
-    found = texts.join(misses, ["h", "digest"]).select("digest", "text")
-    found.mapInArrow(encode, schema).write.mode("append").parquet(cache)
+    found = texts.dropDuplicates(["h", "digest"]).join(misses, ["h", "digest"]).select("digest", "text")
+    found.mapInArrow(encode, schema).write.mode("append").partitionBy("version").parquet(cache)
     # The counts as a table of their own: a text that very many rows repeat is then a skewed join that Spark can split.
     return thin.join(cut(known(), "token-counts"), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 

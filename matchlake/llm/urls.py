@@ -36,7 +36,7 @@ MOST_LEVELS = 24
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host, A-Z lower-cased, and path; both empty for a null or a url without ://."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substr({0}, instr({0}, '://') + 3)".format("url"))).otherwise(F.lit(""))
+    rest = F.when(F.instr(url, "://") > 0, F.substr(url, F.instr(url, "://") + 3)).otherwise(F.lit(""))
     host = F.regexp_extract(rest, r"^[^/?#]*", 0)
     path = F.regexp_extract(F.substr(rest, F.length(host) + 1), r"^[^?#]*", 0)
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
@@ -45,7 +45,7 @@ def split_url(url: Column) -> tuple[Column, Column]:
 def candidate_keys(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """The keys that a url could match, longest first; of equal ones that with the longer host."""
     lengths = sorted({(len(h), len(p)) for _, h, p in rules}, key=lambda x: (-x[0] - x[1], -x[0]))
-    whole = lambda n: (F.length(host) == n) | ((F.length(host) > n) & (F.substr(host, F.length(host) - n, F.lit(1)) == "."))
+    whole = lambda n: F.lit(n == 0) | (F.length(host) == n) | ((F.length(host) > n) & (F.substr(host, F.length(host) - n, F.lit(1)) == "."))
     keys = [F.when(whole(h) & (F.length(path) >= p), F.concat(F.right(host, F.lit(h)), F.left(path, F.lit(p)))) for h, p in lengths]
     return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<string>")
 
@@ -100,7 +100,10 @@ class Cascade:
                 yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(bits.view(np.int64))], ["word", "bits"])
 
         out = np.zeros(n_bits // 64, np.int64)
-        for row in keys.select("h", "g").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        # Words come in runs of up to 64 K, so the driver copies runs and not single words.
+        merged = keys.select("h", "g").mapInArrow(words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
+        runs = merged.groupBy(F.shiftright("word", 16).alias("run")).agg(F.collect_list("word").alias("word"), F.collect_list("bits").alias("bits"))
+        for row in runs.toLocalIterator():
             out[row["word"]] = row["bits"]
         return out.view(np.uint64)
 
@@ -128,14 +131,16 @@ class Cascade:
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id", url_col: str = "url", default: str = "allow") -> DataFrame:
     """id, host, path, rule (host and path of the longest that fits, else null), verdict: one row per input row.
 
-    Urls that no rule fits get `default`; a rule with an empty host or path fits any. Null urls have
-    an empty host and path. Repeated urls are judged alike. An empty table gives an empty one.
+    Urls that no rule fits get `default`; a rule with an empty host or path fits any. A rule whose path does not begin
+    with / fits none. Null urls have an empty host and path. Repeated urls are judged alike. Other columns are ignored, whatever
+    their names. An empty table gives an empty one.
     """
     spark = pages.sparkSession
+    rules = [r for r in rules if r[2][:1] in ("", "/")]  # so host and path are told apart within a key
     host, path = split_url(F.col("url"))
     d = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url")).select("id", host.alias("host"), path.alias("path"))
     d = d.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), rules))
-    universe = d.select(F.explode("keys").alias("key"))
+    universe = cut(d.select(F.explode("keys").alias("key")).distinct(), "candidate-keys")  # the pages are read once for it, not for each filter
     named = spark.createDataFrame([(h + p, a) for a, h, p in rules], "key string, action string")
     listed = Cascade(spark, named, universe).shared
     allowed = Cascade(spark, named.where("action = 'allow'"), universe).shared

@@ -3,6 +3,7 @@ import math
 from collections import defaultdict
 
 import pytest
+from test_quality import brute as quality_brute
 
 from matchlake.llm import mixing
 
@@ -22,8 +23,16 @@ def brute_targets(sizes):
         capped |= over
 
 
+def weight(text):
+    """Fresh words over one more than the failed rules of policy v1, by brute force."""
+    n, chars, symbols, lines, dup, repeat = quality_brute(text)
+    failed = [n < 20, 100 * repeat > 30 * n, 10 * symbols > 3 * n, lines >= 4 and 10 * dup > 6 * lines, n > 0 and chars < 2 * n, n > 0 and chars > 20 * n]
+    return (max(0.05, 1 - repeat / n) if n else 0.05) / (1 + sum(failed))
+
+
 def brute(rows):
     """(id, size, target, taken) of (id, source, text) rows with distinct ids."""
+    texts = {i: t or "" for i, _, t in rows}
     docs = [(i, s, len((t or "").split())) for i, s, t in rows]
     sizes = defaultdict(int)
     for _, s, n in docs:
@@ -33,8 +42,9 @@ def brute(rows):
         mine = []
         for i, t, n in docs:
             if t == s:
-                u = (int(hashlib.md5(str(i).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-                mine.append((-math.log(u) / (0.5 + 1.5 * min(1.0, n / 400)), i, n))
+                digest = hashlib.md5(texts[i].encode()).hexdigest()
+                u = (int(hashlib.md5(f"{i}:{digest}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+                mine.append((-math.log(u) / weight(texts[i]), i, n))
         epochs = min(3, math.floor(targets[s] / sizes[s] + 1e-9)) if sizes[s] else 0
         rest = round(max(0.0, targets[s] - epochs * sizes[s]))
         for _, i, n in sorted(mine):
@@ -44,7 +54,7 @@ def brute(rows):
     return sorted(out)
 
 
-ROWS = [(i, f"s{i % 7}" if i % 11 else None, "w " * ((i * 37) % 91)) for i in range(300)] + [(300, "tiny", "a"), (301, "none", ""), (302, "none", None), (303, "é", "x y"), (304, "Z", "one two three")]
+ROWS = [(i, f"s{i % 7}" if i % 11 else None, " ".join(f"w{k % (3 + i % 60)}" for k in range((i * 37) % 91))) for i in range(300)] + [(300, "tiny", "a"), (301, "none", ""), (302, "none", None), (303, "é", "x y"), (304, "Z", "one two three")]
 
 
 def test_equals_brute_force(spark):
@@ -66,6 +76,15 @@ def test_reruns_agree_however_rows_are_dealt(spark):
     assert a == b
 
 
+def test_rows_that_repeat_are_taken_one_after_the_other(spark):
+    """A third of a source in copies of one row without an id: no key range holds them all, and the totals hold."""
+    rows = [(None, "a", "same words here")] * 500 + [(i, "a", f"word{i} and {i} more") for i in range(1000)] + [(9000, "b", "b " * 50)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)).collect()
+    copies = sorted((r["taken"] for r in got if r["doc_id"] is None), reverse=True)
+    assert len(got) == len(rows) and len(copies) == 500 and copies[0] - copies[-1] <= 3
+    assert abs(sum(r["taken"] for r in got if r["source"] == "a") - next(r["target"] for r in got if r["source"] == "a")) <= 0.5
+
+
 def test_odd_tables(spark):
     schema = "doc_id long, source string, text string"
     assert mixing.mix(spark.createDataFrame([], schema)).collect() == []

@@ -49,3 +49,23 @@ def test_stages_one_by_one(spark, tmp_path):
 def test_run_keeps_every_token(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and all(len(r["ids"]) == 4 * r["length"] for r in rows)
+
+
+def test_clashing_columns_null_ids_and_repeated_rows(spark):
+    """Stages keep columns named like those of operators, one row of exact copies, and need no n_chars."""
+    schema = "doc_id long, text string, source string, row string, taken int, words int, n long, copy int, key string, kept boolean"
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(k, text(k), "s" if k % 2 else None, f"r{k}", k, 1, 2, 3, "k", True) for k in range(12)]
+    rows += [rows[3]] * 3 + [(None, *rows[4][1:]), (None, text(99), "s", "r", 1, 1, 1, 1, "k", None), (None, text(99), "s", "r", 1, 1, 1, 1, "k", None)]
+    for make in (rows, []):
+        docs = spark.createDataFrame(make, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF)
+            assert docs.dtypes == spark.createDataFrame([], schema).dtypes
+            got = [r.asDict() for r in docs.collect()]
+            if make and name == "quality":
+                assert len(got) == len(rows)
+            if make and name == "near_duplicates":
+                assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == [(False, k) for k in range(12)] + [(True, 0)]
+            assert {r["row"] for r in got} <= {r[3] for r in rows}
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= (1 if make else 0)

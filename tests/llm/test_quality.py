@@ -28,6 +28,12 @@ def test_measures_equal_brute_force(spark):
     assert quality.ledger(docs.limit(0)).collect() == []
 
 
+def test_extra_measures(spark):
+    docs = spark.createDataFrame([(1, "- a1\n* b22\n\u2022 c\nthe end...\nof \u2026 \n"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: [r[c] for c in quality.EXTRA] for r in quality.measure(docs, extra=quality.EXTRA).collect()}
+    assert got == {1: [3, 3, 2, 2], 2: [0, 0, 0, 0]}
+
+
 def test_policies_and_ablations(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
     book = quality.ledger(docs)

@@ -34,6 +34,29 @@ def test_cells_number_without_gaps(spark, monkeypatch):
     assert sorted(r["slot"] for r in got) == list(range(101)) and len({r["shard"] for r in got}) == 1
 
 
+def test_equals_longest_first_over_all_groups(spark):
+    """Groups above 1/64 of an even share go as plain longest-first scheduling sends them, when all are."""
+    rows = [(i, chr(97 + i) * (50 + 7 * (i % 13))) for i in range(26)] + [(100 + i, "a" * 50) for i in range(5)]
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    sizes, digest = defaultdict(int), {}
+    for r in got:
+        sizes[r["digest"]] += r["size"]
+        digest[r["doc_id"]] = r["digest"]
+    loads, home = [0] * 4, {}
+    for d in sorted(sizes, key=lambda d: (-sizes[d], d)):
+        s = loads.index(min(loads))
+        home[d], loads[s] = s, loads[s] + sizes[d]
+    assert all(r["shard"] == home[r["digest"]] for r in got)
+
+
+def test_rows_without_ids_and_more_shards_than_groups(spark):
+    got = sharding.assign(spark.createDataFrame([(None, "x")] * 300 + [(None, "y")] * 2, "doc_id long, text string"), 24).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r["shard"]].append(r["slot"])
+    assert len(got) == 302 and len(by) == 2 and all(sorted(s) == list(range(len(s))) for s in by.values())
+
+
 def test_schedule_is_longest_first():
     assert sharding.schedule([(5, "a"), (4, "b"), (3, "c"), (3, "d"), (3, "e")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0, "e": 1}
 

@@ -56,6 +56,16 @@ def test_counts_and_cache(spark, tmp_path):
     assert tokens.counts(docs.limit(0), json).collect() == []
 
 
+def test_each_distinct_text_is_encoded_once(spark, tmp_path):
+    """Rows that repeat an id and text, and rows without ids, bring their text once."""
+    docs = spark.createDataFrame([(None, "one text")] * 5 + [(1, "another text")] * 3 + [(2, "another text")], "doc_id long, text string").repartition(4)
+    cache = str(tmp_path / "cache")
+    assert tokens.counts(docs, registry.vocabulary(NAMES[0]), cache).count() == 9
+    assert spark.read.parquet(cache).count() == 2
+    tokens.counts(docs.limit(1), registry.vocabulary(NAMES[1]), cache).count()
+    assert spark.read.parquet(cache).select("version").distinct().count() == 2
+
+
 def test_rare_words(both, spark):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
     words = sorted({w for t in texts for w in t.split(" ")})

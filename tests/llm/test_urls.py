@@ -21,6 +21,13 @@ def test_judge_equals_brute_force(spark):
         assert tuple(r)[1:] == brute(given[r["page_id"]]), given[r["page_id"]]
 
 
+def test_other_columns_and_empty_rule_parts(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", "http://b/"), (2, None, "http://c/")], "id long, link string, url string")
+    rules = (("block", "", "/x"), ("allow", "a.com", ""), ("block", "", ""), ("allow", "a.com", "nosuch"))
+    got = [tuple(r) for r in urls.judge(pages, rules, id_col="id", url_col="link").orderBy("id").collect()]
+    assert got == [(1, "a.com", "/x", "a.com", "allow"), (2, "", "", "", "block")]
+
+
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(urls, "BITS_PER_KEY", 2)  # many false positives, so several levels
     universe = spark.range(4000).selectExpr("cast(id AS string) AS key")
