@@ -124,6 +124,50 @@ def team_history(fixtures: DataFrame, team_rows: DataFrame, lookback_days: int |
     return x.where("side = past_side") if same_side else x
 
 
+def history_rates(fixtures: DataFrame, team_rows: DataFrame, lookback_days: int = 540, half_life: float = 180.0) -> DataFrame:
+    """event_id, side and decayed goals for and against (gf, ga), games (n) and weight of the team's rows before kickoff within the lookback; the same of its own side (vgf, vga, vn, vw).
+
+    The same as an aggregate over `team_history`, without its join: weights are powers of two of time, so each team's
+    games in time order give running sums, and a fixture takes the difference of two of them. The work grows with the games and not with their square.
+    """
+    f = to_team_rows(fixtures.withColumns({c: F.lit(None).cast("bigint") for c in ("home_goals", "away_goals") if c not in fixtures.columns}))
+    second = 1_000_000
+    growth = lambda c: F.pow(F.lit(2.0), (F.unix_seconds(c) - 946_684_800) / F.lit(86_400.0 * half_life))
+    asked = f.select("team", F.unix_micros("kickoff").alias("_t"), F.struct("event_id", "side", growth("kickoff").alias("now")).alias("_q"), *[F.lit(None).cast("double").alias(c) for c in ("w", "wf", "wa")], F.lit(None).cast("string").alias("at_side"))
+    w = growth("kickoff")
+    past = team_rows.select("team", F.unix_micros("kickoff").alias("_t"), F.lit(None).cast(asked.schema["_q"].dataType).alias("_q"), w.alias("w"), (w * F.col("gf")).alias("wf"), (w * F.col("ga")).alias("wa"), F.col("side").alias("at_side"))
+    frame = Window.partitionBy("team").orderBy("_t")
+    ever = frame.rangeBetween(Window.unboundedPreceding, -1)
+    older = frame.rangeBetween(Window.unboundedPreceding, -86_400 * second * lookback_days - 1)
+    span = lambda c: F.coalesce(c.over(ever), F.lit(0)) - F.coalesce(c.over(older), F.lit(0))
+    x = past.unionByName(asked)
+    sums = {}
+    for side in ("", "H", "A"):
+        here = lambda c, side=side: F.when(F.col("at_side") == side, F.col(c)) if side else F.col(c)
+        sums |= {f"{c}{side and '_'}{side}": span(F.sum(here(c))) for c in ("w", "wf", "wa")} | {f"n{side and '_'}{side}": span(F.count(here("w")))}
+    x = x.select("_q", *[c.alias(f"s_{k}") for k, c in sums.items()]).where("_q IS NOT NULL AND s_n > 0")
+    own = lambda c: F.when(F.col("_q.side") == "H", F.col(f"s_{c}_H")).otherwise(F.col(f"s_{c}_A"))
+    rate = lambda c, w_: F.when(w_ > 0, c / w_)
+    some = own("n") > 0
+    return x.select(
+        "_q.event_id", "_q.side", rate(F.col("s_wf"), F.col("s_w")).alias("gf"), rate(F.col("s_wa"), F.col("s_w")).alias("ga"), F.col("s_n").alias("n"), (F.col("s_w") / F.col("_q.now")).alias("weight"),
+        F.when(some, rate(own("wf"), own("w"))).alias("vgf"), F.when(some, rate(own("wa"), own("w"))).alias("vga"), own("n").alias("vn"), F.when(some, own("w") / F.col("_q.now")).otherwise(0.0).alias("vw"),
+    )
+
+
+def last_before(asked: DataFrame, events: DataFrame, keys: Sequence[str], ts: str, tie: str, n: int, fields: Sequence[str]) -> DataFrame:
+    """asked with `last`: the last n events of its keys strictly before its own time, newest first (ties by `tie`, ascending), as structs of fields; null without one.
+
+    Each event carries the n up to it, and a row asks for the newest event before it: two windows in place of a join of all events with all earlier ones.
+    """
+    order = Window.partitionBy(*keys).orderBy(ts, F.desc(tie))
+    e = events.select(*keys, F.unix_micros(ts).alias("_t"), F.struct(F.row_number().over(order).alias("n"), F.collect_list(F.struct(*fields)).over(order.rowsBetween(1 - n, 0)).alias("last")).alias("_e"))
+    q = asked.select(*keys, F.unix_micros(ts).alias("_t"), F.struct(*asked.columns).alias("_q"))
+    both = e.withColumn("_q", F.lit(None).cast(q.schema["_q"].dataType)).unionByName(q.withColumn("_e", F.lit(None).cast(e.schema["_e"].dataType)))
+    before = Window.partitionBy(*keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
+    return both.withColumn("_e", F.max("_e").over(before)).where("_q IS NOT NULL").select("_q.*", F.reverse(F.col("_e.last")).alias("last"))
+
+
 def h2h_pairs(fixtures: DataFrame, results: DataFrame) -> DataFrame:
     """Earlier meetings of the same two teams, goals turned to the fixture's home side."""
     pair = [F.least("home_id", "away_id").alias("lo"), F.greatest("home_id", "away_id").alias("hi")]

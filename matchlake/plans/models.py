@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
@@ -14,18 +14,9 @@ from matchlake.operators import links, rollups
 def team_form_model(fixtures: DataFrame, results: DataFrame, lookback_days: int = 540, min_games: int = 8, min_weight: float = 3.0) -> DataFrame:
     """event_id, quality, h, d, a: independent Poisson scores from decayed, venue-blended goal rates; null probabilities below the gates.
 
-    The history join is on the team and strictly before kickoff; both sides' rates come from one
-    aggregate over it, venue rates as conditional sums, so history is shuffled once.
+    Both sides' rates and those of their venue come from running sums of the teams' games, so history is shuffled once and never joined.
     """
-    x = links.team_history(fixtures, links.to_team_rows(results), lookback_days)
-    w = E.decay(F.col("age_days"))
-    venue = F.col("side") == F.col("past_side")
-    at_venue = lambda c: F.sum(F.when(venue, c))
-    x = x.withColumn("w", w).groupBy("event_id", "side").agg(
-        (F.sum(F.col("w") * F.col("gf")) / F.sum("w")).alias("gf"), (F.sum(F.col("w") * F.col("ga")) / F.sum("w")).alias("ga"), F.count("*").alias("n"), F.sum("w").alias("weight"),
-        (at_venue(F.col("w") * F.col("gf")) / at_venue(F.col("w"))).alias("vgf"), (at_venue(F.col("w") * F.col("ga")) / at_venue(F.col("w"))).alias("vga"),
-        F.count_if(venue).alias("vn"), F.coalesce(at_venue(F.col("w")), F.lit(0.0)).alias("vw"),
-    )
+    x = links.history_rates(fixtures, links.to_team_rows(results), lookback_days)
     x = x.withColumn("f", E.blend(F.col("gf"), F.col("vgf"), F.col("vn"), F.col("vw"))).withColumn("c", E.blend(F.col("ga"), F.col("vga"), F.col("vn"), F.col("vw")))
     enough = (F.col("n") >= min_games) & (F.col("weight") >= min_weight)
     of = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
@@ -119,26 +110,32 @@ def edge_board(wide: DataFrame, now: Column) -> DataFrame:
     return wide.select("event_id", phase.alias("phase"), agree.alias("agreement"))
 
 
+def form_of(last: Column) -> list[Column]:
+    """games, wins, draws, losses, gf, ga and text of an array of games (gf, ga), newest first; nulls for a null one."""
+    results = F.transform(last, lambda g: F.when(g["gf"] > g["ga"], "W").when(g["gf"] < g["ga"], "L").otherwise("D"))
+    n = lambda r: F.when(last.isNotNull(), F.size(F.filter(results, lambda x: x == r)).cast("long"))
+    total = lambda c: F.aggregate(last, F.lit(0).cast("long"), lambda t, g: t + g[c])
+    return [F.when(last.isNotNull(), F.size(last).cast("long")).alias("games"), n("W").alias("wins"), n("D").alias("draws"), n("L").alias("losses"), total("gf").alias("gf"), total("ga").alias("ga"), F.array_join(results, "").alias("text")]
+
+
 def h2h_summary(fixtures: DataFrame, results: DataFrame, n: int = 5) -> DataFrame:
     """The last n earlier meetings from the home side's view; NO_PREVIOUS, PARTIAL below n, or OK."""
-    m = rollups.top_recent(links.h2h_pairs(fixtures, results), "event_id", "past_at", n, "past_id")
-    result = F.when(F.col("gf") > F.col("ga"), "W").when(F.col("gf") < F.col("ga"), "L").otherwise("D")
-    g = m.withColumn("result", result).groupBy("event_id").agg(
-        F.count("*").alias("games"), *[F.count_if(F.col("result") == r).alias(name) for r, name in (("W", "wins"), ("D", "draws"), ("L", "losses"))], F.sum("gf").alias("gf"), F.sum("ga").alias("ga"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "result"))), lambda x: x["result"]), "").alias("last"),
-    )
+    pair = [F.least("home_id", "away_id").alias("lo"), F.greatest("home_id", "away_id").alias("hi")]
+    past = results.select(*pair, "kickoff", F.col("event_id").alias("past_id"), F.col("home_id").alias("past_home"), "home_goals", "away_goals")
+    x = links.last_before(fixtures.select("event_id", "home_id", "kickoff", *pair), past, ["lo", "hi"], "kickoff", "past_id", n, ["past_home", "home_goals", "away_goals"])
+    same = lambda g: g["past_home"] == F.col("home_id")
+    goals = lambda mine, g: F.when(same(g) == F.lit(mine), g["home_goals"]).otherwise(g["away_goals"]).cast("long")
+    x = x.withColumn("last", F.transform("last", lambda g: F.struct(goals(True, g).alias("gf"), goals(False, g).alias("ga"))))
     quality = F.when(F.col("games").isNull(), "NO_PREVIOUS").when(F.col("games") < n, "PARTIAL").otherwise("OK")
-    return fixtures.select("event_id").join(g, "event_id", "left").withColumn("quality", quality)
+    return x.select("event_id", *form_of(F.col("last"))).withColumnRenamed("text", "last").withColumn("quality", quality)
 
 
 def team_form_summary(fixtures: DataFrame, results: DataFrame, n: int = 6) -> DataFrame:
     """Each side's last n games before kickoff: text, counts, goals."""
-    x = links.team_history(fixtures, links.to_team_rows(results))
-    w = Window.partitionBy("event_id", "side").orderBy(F.desc("kickoff"), "past_id")
-    x = x.withColumn("r", F.row_number().over(w)).where(F.col("r") <= n)
-    x = x.withColumn("result", F.when(F.col("gf") > F.col("ga"), "W").when(F.col("gf") < F.col("ga"), "L").otherwise("D"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "result"))), lambda s: s["result"]), "")
-    return x.groupBy("event_id", "side").agg(F.count("*").alias("games"), text.alias("form"), F.sum("gf").alias("gf"), F.sum("ga").alias("ga"))
+    asked = links.to_team_rows(fixtures.withColumns({c: F.lit(None).cast("bigint") for c in ("home_goals", "away_goals") if c not in fixtures.columns})).select("event_id", "side", "team", "kickoff")
+    past = links.to_team_rows(results).select("team", "kickoff", F.col("event_id").alias("past_id"), F.col("gf").cast("long").alias("gf"), F.col("ga").cast("long").alias("ga"))
+    x = links.last_before(asked, past, ["team"], "kickoff", "past_id", n, ["gf", "ga"]).where("last IS NOT NULL")
+    return x.select("event_id", "side", *form_of(F.col("last"))).withColumnRenamed("text", "form").drop("wins", "draws", "losses")
 
 
 def expected_actual(live: DataFrame, scenario: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ def md1_team_form_vs_market(spark, sf):
 )
 def a1_weighted_rate(spark, sf):
     res = T.results(spark, sf)
-    rate = R.weighted_rate(L.team_history(res.where(f"kickoff >= {NOW}"), L.to_team_rows(res), 540))
+    rate = L.history_rates(res.where(f"kickoff >= {NOW}"), L.to_team_rows(res))
     return rate.select("event_id", "side", r6("gf").alias("gf"), r6("ga").alias("ga"), "n", r6("weight").alias("weight"))
 
 

@@ -115,7 +115,7 @@ def j27_map_with_redirects(spark, sf):
 )
 def a2_combine_rates(spark, sf):
     res = T.results(spark, sf)
-    rate = R.weighted_rate(L.team_history(res.where(f"kickoff >= {NOW}"), L.to_team_rows(res), 540))
+    rate = L.history_rates(res.where(f"kickoff >= {NOW}"), L.to_team_rows(res)).select("event_id", "side", "gf", "ga", "n", "weight")
     return R.combine_rates([rate.where("side = 'H'"), rate.where("side = 'A'")], ["event_id"]).select("event_id", r6("gf").alias("gf"), "n")
 
 
