@@ -203,11 +203,12 @@ def segment(minute: Column) -> Column:
 
 
 def match_minute(status: Column, period_start: Column, now: Column) -> Column:
-    """HT, FT, or the minute in a status text, else what has passed since the period began (second half from 45)."""
+    """HT, FT, or the minute that a status text is (45+2 included), else the running minute since the period began: from 45 in a second half, 90 and 105 in extra time, at most 130."""
     s = F.upper(F.trim(status))
-    given = F.nullif(F.regexp_extract(s, r"^(\d{1,3})", 1), F.lit(""))
-    passed = F.floor((F.unix_seconds(now) - F.unix_seconds(period_start)) / 60) + F.when(s.contains("2ND"), 45).otherwise(0)
-    return F.when(s.isin("HT", "FT", "AET"), s).otherwise(F.coalesce(given, F.when(passed >= 0, passed.cast("string"))))
+    given = F.nullif(F.regexp_extract(s, r"^(\d{1,3}(?:\+\d+)?)\s*'?$", 1), F.lit(""))
+    before = F.when(s.rlike("PERIOD2|SECOND|2ND"), 45).when(s.rlike("EXTRA ?(TIME )?1"), 90).when(s.rlike("EXTRA ?(TIME )?2"), 105).otherwise(0)
+    passed = F.greatest(F.floor((F.unix_seconds(now) - F.unix_seconds(period_start)) / 60), F.lit(0)) + 1 + before
+    return F.when(s.isin("HT", "FT", "AET"), s).otherwise(F.coalesce(given, F.least(passed, F.lit(130)).cast("string")))
 
 
 # Odds and probabilities

@@ -111,13 +111,13 @@ def rate_limited(observations: DataFrame, seconds: int = 60) -> DataFrame:
     """Observations of a key that follow the last accepted one by at least `seconds`.
 
     Acceptance depends on the one before, so a key's times are folded in order: the fold is a built-in aggregate over the sorted array of one key.
+    Only the last accepted time and a count are carried, and equal times of a key count once before they meet.
     """
-    at = F.array_sort(F.collect_list(F.unix_seconds("observed_at")))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-    keep = lambda s, t: F.struct(t.alias("last"), F.concat(s["kept"], F.array(t)).alias("kept"))
-    fold = F.aggregate("at", start, lambda s, t: F.when(s["last"].isNull() | (t - s["last"] >= seconds), keep(s, t)).otherwise(s), lambda s: s["kept"])
-    g = observations.groupBy("event_id", "source").agg(at.alias("at")).select("event_id", "source", fold.alias("kept"))
-    return g.select("event_id", "source", F.size("kept").alias("n_accepted"), F.timestamp_seconds(F.array_max("kept")).alias("last_accepted"))
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.lit(0).alias("n"))
+    take = lambda s, t: F.struct(t.alias("last"), (s["n"] + 1).alias("n"))
+    fold = F.aggregate("at", start, lambda s, t: F.when(s["last"].isNull() | (t - s["last"] >= seconds), take(s, t)).otherwise(s))
+    g = observations.groupBy("event_id", "source").agg(F.array_sort(F.collect_set(F.unix_seconds("observed_at"))).alias("at")).select("event_id", "source", fold.alias("f"))
+    return g.select("event_id", "source", F.col("f.n").alias("n_accepted"), F.timestamp_seconds("f.last").alias("last_accepted"))
 
 
 def intersection_audit(targets: DataFrame, sources: DataFrame, published: DataFrame) -> DataFrame:

@@ -100,6 +100,38 @@ def mutual_best(candidates: DataFrame, left: str, right: str, score: str) -> Dat
     return candidates.withColumn("_l", rank(left, right)).withColumn("_r", rank(right, left)).where("_l = 1 AND _r = 1").drop("_l", "_r")
 
 
+def assign_greedy(candidates: DataFrame, left: str, right: str, score: str) -> DataFrame:
+    """One-to-one pairs by descending score, ties by left and then right: a pair is taken if neither side is taken by a better one.
+
+    In each round all pairs that are best for both sides are taken together, and pairs with a taken side go; what is left after the last round has no pair.
+    That gives the pairs of one pass down the sorted list, in as many rounds as the longest chain of pairs that wait for each other. Rounds are
+    checkpointed where spark.checkpoint.dir is set.
+    """
+    open_, taken = candidates, None
+    order = [F.desc(score), left, right]
+    while True:
+        rank = lambda k: F.row_number().over(Window.partitionBy(k).orderBy(*order))
+        best = open_.withColumn("_l", rank(left)).withColumn("_r", rank(right)).where("_l = 1 AND _r = 1").drop("_l", "_r")
+        taken = best if taken is None else taken.unionByName(best)
+        rest = open_.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti")
+        if rest.sparkSession.sparkContext.getCheckpointDir():
+            rest = rest.checkpoint()
+        if rest.isEmpty():
+            return taken
+        open_ = rest
+
+
+def pick_pair(stats: Column, key: str, period: str) -> Column:
+    """home and away of the element of an array of (period, key, home, away) for a key and period; null without one."""
+    s = F.get(F.filter(stats, lambda x: (x["key"] == key) & (x["period"] == period)), F.lit(0))
+    return F.when(s.isNotNull(), F.struct(s["home"].alias("home"), s["away"].alias("away")))
+
+
+def with_config(df: DataFrame, config: DataFrame) -> DataFrame:
+    """df with the columns of a table of thresholds, which has one row by definition."""
+    return df.crossJoin(F.broadcast(config.limit(1)))
+
+
 def nearest(history: DataFrame, at: Column, tolerance_seconds: int, key: str = "event_id", ts: str = "captured_at", values: Sequence[str] = ("home", "draw", "away")) -> DataFrame:
     """Per key the values of the row nearest in time to `at` (a column of history), within the tolerance; the earliest of ties. One aggregate, no join."""
     gap = F.abs(F.unix_seconds(ts) - F.unix_seconds(at))

@@ -87,6 +87,12 @@ def top_recent(df: DataFrame, key: str | list[str], ts: str, n: int, tie: str) -
     return df.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ts), tie))).where(F.col("r") <= n)
 
 
+def runner_up_margin(df: DataFrame, key: str, score: str, tie: str) -> DataFrame:
+    """The best row per key with `margin`, its lead over the next; null without one."""
+    w = Window.partitionBy(key).orderBy(F.desc(score), tie)
+    return df.withColumn("_n", F.row_number().over(w)).withColumn("margin", F.col(score) - F.lead(score).over(w)).where("_n = 1").drop("_n")
+
+
 def range_volatility(history: DataFrame, value: str, now: Column, hours: int = 24) -> DataFrame:
     """Highest less lowest value in the hours before now, with two points or more."""
     x = history.where((F.unix_seconds(now) - F.unix_seconds("captured_at")).between(0, hours * 3600))
@@ -102,16 +108,24 @@ def movement_series(history: DataFrame, value: str, hours: int = 24) -> DataFram
 
 def fair_rotation(candidates: DataFrame, key: str, groups: int, turn: int) -> DataFrame:
     """The candidates whose turn it is: a hash of the key deals them into groups, so every one comes up once in `groups` turns and none needs a global order."""
-    hashed = F.pmod(F.xxhash64(key), F.lit(groups))
+    hashed = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 12), 16, 10).cast("long") % groups
     return candidates.where(hashed == turn)
 
 
 def guard_counts(df: DataFrame, rules: Mapping[str, Column], key: str, first: int = 50) -> DataFrame:
-    """One row: for each rule how many rows it holds for and the smallest keys among them."""
+    """One row: for each rule how many rows it holds for, and (ids_*) the smallest distinct keys among them, `first` at most.
+
+    Keys are cut to the smallest per rule and slice of a hash before they meet, so no task sees more than a slice's list.
+    """
     cols = [F.count("*").alias("n_rows")]
     for name, rule in rules.items():
         cols += [F.count_if(rule).alias(f"n_{name}")]
-    return df.agg(*cols)
+    hits = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+    hit = df.select(F.col(key).alias("k"), F.explode(hits).alias("rule")).where("k IS NOT NULL").distinct()
+    low = lambda *by: F.row_number().over(Window.partitionBy("rule", *by).orderBy("k")) <= first
+    hit = hit.withColumn("slice", F.pmod(F.hash("k"), F.lit(256))).withColumn("low", low("slice")).where("low").withColumn("low", low()).where("low")
+    lists = hit.groupBy().agg(*[F.coalesce(F.array_sort(F.collect_list(F.when(F.col("rule") == name, F.col("k")))), F.array()).alias(f"ids_{name}") for name in rules])
+    return df.agg(*cols).crossJoin(lists)
 
 
 def ensemble(evidence: DataFrame, enabled: Sequence[str]) -> DataFrame:

@@ -18,7 +18,7 @@ def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFra
     for c in columns:
         schema = schema.add(c, StringType())
     try:
-        df = spark.read.csv(path, header=True, enforceSchema=False)
+        df = spark.read.csv(newest_version(spark, path) or path, header=True, enforceSchema=False)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -28,8 +28,34 @@ def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFra
 
 
 def write_feed(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """CSV with these columns in this order, blanks for nulls; the committer moves files in place when all are written."""
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.mode("overwrite").csv(path, header=True)
+    """CSV with these columns in this order, blanks for nulls, in a new version folder beside the older ones; `read_feed` takes the newest that is complete.
+
+    A reader thus has the old feed or the new one and never half of either: a version counts once Spark's committer has left its mark there.
+    """
+    import time
+    import uuid
+
+    version = f"{path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.csv(version, header=True)
+
+
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """The newest complete version folder of a feed; None if it has none (a feed of other origin)."""
+    try:
+        marks = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", "true").load(f"{path}/version=*/_SUCCESS")
+        last = marks.agg(F.max("path")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return last and last.removesuffix("/_SUCCESS")
+
+
+def export_live(live: DataFrame, path: str) -> None:
+    """The live payload's own columns, in their order, as a CSV feed."""
+    #: The columns of the export.
+    columns = ("event_id", "captured_at", "status", "minute", "home_goals", "away_goals", "home", "draw", "away")
+    write_feed(live.select(*[F.col(c) if c in live.columns else F.lit(None).cast("string").alias(c) for c in columns]), path, columns)
 
 
 def merge_month(fresh: DataFrame, path: str, keys: Sequence[str], ts: str) -> None:
@@ -81,6 +107,101 @@ def results_from_text(lines: DataFrame, col: str = "text") -> DataFrame:
     return x.select(F.try_to_date(part(1)).alias("date"), part(2).alias("home"), part(3).try_cast("int").alias("home_goals"), part(4).try_cast("int").alias("away_goals"), part(5).alias("away"))
 
 
+def results_from_json(payloads: DataFrame, col: str = "payload") -> DataFrame:
+    """date, home, away, home_goals, away_goals of JSON results: an array of records with goals, or a map of records with a result such as 2x1.
+
+    A footnote number on a line of its own and a state behind a slash are no part of a name. Records without a date, names or a score, or with negative goals, give none.
+    """
+    array = "array<struct<match_date: string, home: string, away: string, goals_home: string, goals_away: string>>"
+    named = "map<string, struct<`Date`: string, `Home`: string, `Away`: string, `Result`: string>>"
+    is_array = F.ltrim(F.col(col)).startswith("[")
+    a = payloads.where(is_array).select(F.inline(F.from_json(col, array)))
+    tidy = lambda c, p: F.trim(F.regexp_replace(F.trim(c), p, ""))
+    a = a.select(
+        F.try_to_timestamp(F.trim("match_date"), F.lit("dd.MM.yyyy HH:mm")).cast("date").alias("date"), tidy(F.col("home"), r"\s*\n\s*\d+\s*$").alias("home"), tidy(F.col("away"), r"\s*\n\s*\d+\s*$").alias("away"),
+        F.trim("goals_home").try_cast("int").alias("home_goals"), F.trim("goals_away").try_cast("int").alias("away_goals"),
+    )
+    b = payloads.where(~is_array).select(F.explode(F.from_json(col, named)).alias("key", "r")).select("r.*")
+    goals = lambda n: F.regexp_extract("Result", r"(\d+)\s*[xX]\s*(\d+)", n).try_cast("int")
+    b = b.select(
+        F.try_to_timestamp(F.trim("Date"), F.lit("dd/MM/yyyy")).cast("date").alias("date"), tidy(F.col("Home"), r"\s*/\s*[A-Z]{2}\s*$").alias("home"), tidy(F.col("Away"), r"\s*/\s*[A-Z]{2}\s*$").alias("away"),
+        goals(1).alias("home_goals"), goals(2).alias("away_goals"),
+    )
+    return a.unionByName(b).where("date IS NOT NULL AND home <> '' AND away <> '' AND home_goals >= 0 AND away_goals >= 0")
+
+
+def normalize_board(payloads: DataFrame, candidates: dict[str, Sequence[str]], col: str = "payload", live: Sequence[str] = ("inprogress", "live")) -> DataFrame:
+    """A second provider's board: for each column the first of its JSON paths that has a value; live rows only, one per id (the latest payload's)."""
+    x = payloads.select("captured_at", F.explode(F.from_json(col, "struct<events: array<string>>")["events"]).alias("e"))
+    path = lambda paths: F.coalesce(*[F.nullif(F.trim(F.get_json_object("e", p)), F.lit("")) for p in paths])
+    x = x.select("captured_at", *[path(paths).alias(c) for c, paths in candidates.items()])
+    x = x.where(F.lower("status").isin(*live) & F.col("source_id").isNotNull())
+    return x.groupBy("source_id").agg(F.max(F.struct("captured_at", F.struct(*x.columns).alias("row"))).alias("r")).select("r.row.*")
+
+
+def collect_evidence(pages: DataFrame, providers: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Records (provider, page_id, day, pos, content, percent) of the listing pages of several providers, and per provider its attempted and successful pages and its records.
+
+    pages: page_id, provider, day, html; providers: the element that holds a record, by provider.
+    """
+    both = None
+    for name, tag in providers.items():
+        own = pages.where(F.col("provider") == name)
+        r = blocks(own, tag).join(own.select("page_id", "provider", "day"), "page_id").withColumn("content", plain(F.col("block")))
+        r = r.select("provider", "page_id", "day", "pos", "content", F.regexp_extract("content", r"(\d{1,3}(?:\.\d+)?)\s*%", 1).try_cast("double").alias("percent")).where(F.length("content") > 0)
+        both = r if both is None else both.unionByName(r)
+    parsed = both.groupBy("provider", "page_id").agg(F.count("*").alias("n"))
+    stats = pages.where(F.col("provider").isin(*providers)).select("provider", "page_id").join(parsed, ["provider", "page_id"], "left")
+    return both, stats.groupBy("provider").agg(F.count("*").alias("attempted"), F.count("n").alias("successful"), F.coalesce(F.sum("n"), F.lit(0)).alias("parsed"))
+
+
+def discover_urls(rows: DataFrame, targets: DataFrame, similarity=E.name_sim, floor: float = 0.68, accept: float = 0.76) -> DataFrame:
+    """event_id, url, score: the detail page whose listed names fit a target's best; rows and targets meet by a word of the home name.
+
+    rows: url, home, away; targets: event_id, home, away. Of equal scores the smallest url.
+    """
+    words = lambda df, c: F.explode(E.tokens(E.fold_name(F.col(c))))
+    r = rows.where("url IS NOT NULL AND home IS NOT NULL AND away IS NOT NULL").select("url", F.col("home").alias("rh"), F.col("away").alias("ra"), words(rows, "home").alias("w")).distinct()
+    c = targets.select("event_id", "home", "away", words(targets, "home").alias("w")).join(r, "w").drop("w").distinct()
+    c = c.withColumn("hs", similarity(E.fold_name(F.col("rh")), E.fold_name(F.col("home")))).withColumn("as_", similarity(E.fold_name(F.col("ra")), E.fold_name(F.col("away"))))
+    c = c.withColumn("score", (F.col("hs") + F.col("as_")) / 2).where((F.least("hs", "as_") >= floor) & (F.col("score") >= accept))
+    best = c.groupBy("event_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "url")).alias("b"))
+    return best.select("event_id", "b.url", (-F.col("b.s")).alias("score"))
+
+
+def fixture_evidence(lines: DataFrame, targets: DataFrame, context: DataFrame, master: DataFrame, similarity=E.name_sim, following: int = 5) -> DataFrame:
+    """event_id, source_home, source_away, score, status, path: which two lines of a page, at most `following` apart, name a target's sides.
+
+    A name known in the line's competition (context: competition, name_key, entity) scores 1, one known everywhere (master: name_key, entity) .995, any other its similarity;
+    both need .68 and their mean .76. Pairs of known names are verified; others from .94 with .90 on either side, if they lead the runner-up by .05 or that is below .88.
+    lines: doc_id, pos, line, competition; targets: event_id, home, away, home_key, away_key. Lines and targets meet by a known name or by a shared word.
+    """
+    x = lines.select("doc_id", "pos", "line", "competition", E.name_key(F.col("line")).alias("name_key")).where("name_key IS NOT NULL")
+    x = x.join(context.select("competition", "name_key", F.col("entity").alias("_c")), ["competition", "name_key"], "left").join(master.select("name_key", F.col("entity").alias("_m")), "name_key", "left")
+    word = lambda c: E.tokens(E.fold_name(c))
+
+    def side(s: str) -> DataFrame:
+        t = targets.select("event_id", F.col(s).alias("name"), F.col(f"{s}_key").alias("key"))
+        known = F.array_compact(F.array(F.concat(F.lit("="), "_c"), F.concat(F.lit("="), "_m")))
+        a = x.select("doc_id", "pos", "line", "_c", "_m", F.explode(F.array_distinct(F.concat(known, word(F.col("line"))))).alias("w"))
+        b = t.select("event_id", "name", "key", F.explode(F.concat(F.array(F.concat(F.lit("="), "key")), word(F.col("name")))).alias("w"))
+        c = a.join(b, "w").drop("w").distinct()
+        score = F.when(F.col("_c") == F.col("key"), 1.0).when(F.col("_m") == F.col("key"), 0.995).otherwise(similarity(E.fold_name(F.col("line")), E.fold_name(F.col("name"))))
+        path = F.when(F.col("_c") == F.col("key"), "CONTEXT").when(F.col("_m") == F.col("key"), "GLOBAL").otherwise("DISCOVERY")
+        return c.select("event_id", "doc_id", F.col("pos").alias(f"{s}_pos"), F.col("line").alias(f"source_{s}"), score.alias(f"{s}_score"), path.alias(f"{s}_path")).where(F.col(f"{s}_score") >= 0.68)
+
+    c = side("home").join(side("away"), ["event_id", "doc_id"]).where(F.col("away_pos").between(F.col("home_pos") + 1, F.col("home_pos") + following))
+    c = c.withColumn("score", (F.col("home_score") + F.col("away_score")) / 2).where("score >= 0.76")
+    ranked = Window.partitionBy("event_id").orderBy(F.desc("score"), "doc_id", "home_pos", "away_pos")
+    c = c.withColumn("_n", F.row_number().over(ranked)).withColumn("_next", F.coalesce(F.lead("score").over(ranked), F.lit(0.0))).where("_n = 1")
+    known = (F.col("home_path") != "DISCOVERY") & (F.col("away_path") != "DISCOVERY")
+    in_context = (F.col("home_path") == "CONTEXT") & (F.col("away_path") == "CONTEXT")
+    found = (F.col("score") >= 0.94) & (F.least("home_score", "away_score") >= 0.90) & ((F.col("_next") < 0.88) | (F.col("score") - F.col("_next") >= 0.05))
+    status = F.when(in_context, "CONTEXT_VERIFIED").when(known | found, "VERIFIED").otherwise("CANDIDATE")
+    path = F.when(in_context, "CONTEXT").when(known, "GLOBAL").otherwise("DISCOVERY")
+    return c.select("event_id", "source_home", "source_away", F.when(in_context, 1.0).otherwise(F.col("score")).alias("score"), status.alias("status"), path.alias("path"))
+
+
 def blocks(pages: DataFrame, tag: str, html: str = "html") -> DataFrame:
     """page_id, pos, block: the content of each element of a tag, so what is read from one never comes from its neighbour."""
     found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"), F.lit(1))
@@ -130,7 +251,7 @@ def dedupe_observations(df: DataFrame, signature: Sequence[str]) -> DataFrame:
 
 
 def flatten_props(events: DataFrame) -> DataFrame:
-    """event_id, key, value for each entry of a JSON object, by way of a variant."""
+    """event_id, key, value for each entry of a JSON object of any keys."""
     maps = F.from_json("props", "map<string, string>")
     return events.select("event_id", F.explode(maps).alias("key", "value"))
 
@@ -151,13 +272,16 @@ def pick_stat(stats: DataFrame, aliases: DataFrame) -> DataFrame:
     return x.groupBy("event_id", "target").agg(F.min(rank).alias("r")).select("event_id", "target", F.col("r.path").alias("path"), F.col("r.value").alias("value"))
 
 
-def embedded_json(docs: DataFrame, text: str, schema: str, required: Sequence[str]) -> DataFrame:
-    """Per document the longest JSON array in its text whose records have all required fields."""
+def embedded_json(docs: DataFrame, text: str, schema: str, required: Sequence[str], unique: str | None = None, least: int = 1) -> DataFrame:
+    """Per document the longest JSON array in its text whose records have all required fields, from `least` records on; of records with one value of `unique` the first."""
     arrays = F.explode(F.regexp_extract_all(text, F.lit(r"(?s)(\[\s*\{.*?\}\s*\])"), F.lit(1)))
     x = docs.select("doc_id", arrays.alias("j")).select("doc_id", F.from_json("j", f"array<struct<{schema}>>").alias("rows"))
     has_all = F.forall("rows", lambda r: F.array_size(F.array_compact(F.array(*[r[c].cast("string") for c in required]))) == len(required))
-    best = x.where(has_all & (F.size("rows") > 0)).groupBy("doc_id").agg(F.max(F.struct(F.size("rows").alias("n"), "rows")).alias("b"))
-    return best.select("doc_id", F.inline("b.rows"))
+    best = x.where(has_all & (F.size("rows") >= max(1, least))).groupBy("doc_id").agg(F.max(F.struct(F.size("rows").alias("n"), "rows")).alias("b"))
+    if unique is None:
+        return best.select("doc_id", F.inline("b.rows"))
+    first = F.filter("b.rows", lambda r, i: F.size(F.filter(F.slice(F.col("b.rows"), F.lit(1), i), lambda q: q[unique] == r[unique])) == 0)
+    return best.select("doc_id", F.inline(first))
 
 
 def flatten_board(payloads: DataFrame, col: str = "payload") -> DataFrame:

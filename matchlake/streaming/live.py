@@ -104,6 +104,11 @@ def count_late(stream: DataFrame, ts: str, late: Callable[[], Column] | Column,
     return stream.observe(name, F.count_if(F.col(ts) < bound).alias("n_late"), F.count("*").alias("n"))
 
 
+def late_counts(rows: DataFrame, keys: Sequence[str], in_time: Column) -> DataFrame:
+    """Per key how many rows are in time and how many came late and are dropped; batch and stream alike."""
+    return rows.groupBy(*keys).agg(F.count_if(in_time).alias("n_kept"), F.count_if(~in_time).alias("n_late"))
+
+
 def movement(odds: DataFrame, hours: int = 27) -> DataFrame:
     """Change of the home price since an hour before, per snapshot, from keyed state that keeps `hours` of snapshots.
 
