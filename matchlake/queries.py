@@ -417,9 +417,11 @@ def a28_trust_score(spark, sf):
     return R.trust_score(T.live_stats(spark, sf).withColumn("matched", F.col("minute") > 98)).withColumn("trust", r6("trust"))
 
 
-@query("SELECT count(*) AS n_rows, count(*) FILTER (home > 50) AS n_high, count(*) FILTER (minute >= 90) AS n_late FROM live_stats", ("live_stats",))
+@query("""+ i AS (SELECT (SELECT array_to_string(list(event_id ORDER BY event_id), ',') FROM (SELECT DISTINCT event_id FROM live_stats WHERE home > 50 ORDER BY 1 LIMIT 50)) AS ids_high, (SELECT array_to_string(list(event_id ORDER BY event_id), ',') FROM (SELECT DISTINCT event_id FROM live_stats WHERE minute >= 90 ORDER BY 1 LIMIT 50)) AS ids_late)
+          SELECT count(*) AS n_rows, count(*) FILTER (home > 50) AS n_high, count(*) FILTER (minute >= 90) AS n_late, coalesce(any_value(ids_high), '') AS ids_high, coalesce(any_value(ids_late), '') AS ids_late FROM live_stats, i""", ("live_stats",))
 def a11_guard_counts(spark, sf):
-    return R.guard_counts(T.live_stats(spark, sf), {"high": F.col("home") > 50, "late": F.col("minute") >= 90}, "event_id")
+    g = R.guard_counts(T.live_stats(spark, sf), {"high": F.col("home") > 50, "late": F.col("minute") >= 90}, "event_id")
+    return g.withColumns({c: F.array_join(c, ",") for c in ("ids_high", "ids_late")})
 
 
 @query(
@@ -512,11 +514,22 @@ def md15_team_form_summary(spark, sf):
     return M.team_form_summary(res.where(f"kickoff >= {NOW}"), res).select("event_id", "side", "games", "form", "gf")
 
 
-@query()
+_BACK = ", ".join(f"min(struct_pack(g := abs(age - {s}), c := captured_at, i := snapshot_id, h := h, d := d, a := a)) FILTER (abs(age - {s}) <= {t}) AS {n}" for n, s, t in (("d24", 86_400, 10_800), ("d2", 7_200, 4_500), ("d1", 3_600, 2_400)))
+_RANGE = ", ".join(f"CASE WHEN count(*) FILTER (age <= 86400) >= 2 THEN max({c}) FILTER (age <= 86400) - min({c}) FILTER (age <= 86400) END AS v{c}" for c in "hda")
+_SIDES = " UNION ALL ".join(f"SELECT event_id, points, greatest(vh, vd, va) AS volatility, '{c.upper()}' AS side, l.{c} - d24.{c} AS d24, l.{c} - d2.{c} AS d2, l.{c} - d1.{c} AS d1 FROM g" for c in "hda")
+
+
+@query(
+    f"""+ f AS (SELECT event_id, snapshot_id, captured_at, floor(epoch(TIMESTAMP '2024-01-30')) - floor(epoch(captured_at)) AS age, 1/home/(1/home+1/draw+1/away) AS h, 1/draw/(1/home+1/draw+1/away) AS d, 1/away/(1/home+1/draw+1/away) AS a FROM odds_history WHERE home > 1 AND draw > 1 AND away > 1 AND captured_at <= TIMESTAMP '2024-01-30'),
+        g AS (SELECT event_id, max(struct_pack(c := captured_at, i := snapshot_id, h := h, d := d, a := a)) AS l, {_BACK}, count(*) FILTER (age <= 86400) AS points, {_RANGE} FROM f GROUP BY 1), s AS ({_SIDES}),
+        t AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY greatest(coalesce(abs(d24), 0), coalesce(abs(d2), 0), coalesce(abs(d1), 0)) DESC, side DESC) AS r FROM s)
+        SELECT event_id, points, side, round(d24, 6) AS d24, round(d2, 6) AS d2, round(d1, 6) AS d1, round(volatility, 6) AS volatility, CASE WHEN sign(d24) * sign(d1) < 0 AND abs(d24) >= 0.02 AND abs(d1) >= 0.02 THEN 'REVERSAL' WHEN d1 >= 0.02 THEN '1H STEAM' WHEN d1 <= -0.02 THEN '1H DRIFT' WHEN d2 >= 0.03 THEN '2H STEAM' WHEN d2 <= -0.03 THEN '2H DRIFT'
+          WHEN d24 >= 0.05 THEN '24H STEAM' WHEN d24 <= -0.05 THEN '24H DRIFT' WHEN volatility >= 0.08 THEN 'HIGH VOLATILITY' WHEN points < 2 THEN 'COLLECTING' ELSE 'STABLE' END AS signal FROM t WHERE r = 1""",
+    ("odds_history",),
+)
 def md6_odds_movement(spark, sf):
-    h = T.odds_history(spark, sf)
-    now = h.agg(F.max("captured_at").alias("now"))
-    return M.odds_movement(h.crossJoin(F.broadcast(now)).withColumn("captured_at", F.col("captured_at")), F.expr("TIMESTAMP '2024-01-30 00:00:00'"))
+    m = M.odds_movement(T.odds_history(spark, sf), F.expr("TIMESTAMP '2024-01-30 00:00:00'"))
+    return m.withColumns({c: r6(c) for c in ("d24", "d2", "d1", "volatility")})
 
 
 @query(
@@ -605,7 +618,11 @@ def src8_text_lines(spark, sf):
     return X.text_lines(T.table(spark, sf, "documents")).select("doc_id", "pos", F.length("line").cast("long").alias("n_chars"))
 
 
-@query()
+@query(
+    """+ b AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?is)<p\\b[^>]*>(.*?)</p>', 1) AS b FROM pages), p AS (SELECT page_id, unnest(range(0, len(b))) AS i, unnest(b) AS block FROM b),
+       c AS (SELECT page_id, CAST(i AS INTEGER) AS pos, trim(regexp_replace(regexp_replace(block, '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM p), n AS (SELECT *, try_cast(nullif(regexp_extract(t, '(\\d{1,3}(\\.\\d+)?)\\s*%', 1), '') AS DOUBLE) AS pct FROM c)
+       SELECT page_id, pos, CAST(length(t) AS INTEGER) AS n_chars, CASE WHEN pct BETWEEN 0 AND 100 THEN pct END AS percent, try_cast(nullif(regexp_extract(t, '\\b(\\d{1,2})\\s*-\\s*\\d{1,2}\\b', 1), '') AS INTEGER) AS home_goals FROM n"""
+)
 def src5_listing(spark, sf):
     return X.extract_listing(T.table(spark, sf, "pages"))
 

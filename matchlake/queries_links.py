@@ -22,7 +22,7 @@ NAME = "lower(regexp_replace(alias, '[^\\p{L}\\p{N}]', '', 'g'))"
 
 
 @query(
-    """+ f AS (SELECT event_id, home_id AS h, away_id AS a, kickoff AS k FROM results WHERE event_id % 7 = 0), b AS (SELECT 's' || event_id AS s, home_id AS h, away_id AS a, kickoff AS k FROM results WHERE event_id % 2 = 0),
+    """+ f AS (SELECT event_id, home_id AS h, away_id AS a, kickoff AS k FROM results), b AS (SELECT 's' || event_id AS s, home_id AS h, away_id AS a, kickoff AS k FROM results WHERE event_id % 2 = 0),
        c AS (SELECT f.event_id, b.s, abs(epoch(f.k) - epoch(b.k)) AS g FROM f JOIN b ON f.h = b.h AND f.a = b.a WHERE abs(epoch(f.k) - epoch(b.k)) <= 8640000), m AS (SELECT event_id, min(g) AS g, min(struct_pack(g := g, s := s)).s AS s FROM c GROUP BY 1), n AS (SELECT c.event_id, count(*) AS n FROM c JOIN m USING (event_id) WHERE c.g - m.g < 1 GROUP BY 1)
        SELECT f.event_id, CASE WHEN n.n = 1 THEN m.s END AS source_id, CASE WHEN m.g IS NULL THEN 'UNMAPPED' WHEN n.n > 1 THEN 'AMBIGUOUS' ELSE 'VERIFIED' END AS status FROM f LEFT JOIN m USING (event_id) LEFT JOIN n USING (event_id)""",
     ("results",),
@@ -30,7 +30,7 @@ NAME = "lower(regexp_replace(alias, '[^\\p{L}\\p{N}]', '', 'g'))"
 def j9_map_exact(spark, sf):
     x = T.results(spark, sf).select("event_id", F.col("home_id").alias("home"), F.col("away_id").alias("away"), "kickoff")
     board = x.where("event_id % 2 = 0").select("home", "away", "kickoff", F.concat(F.lit("s"), "event_id").alias("source_id"))
-    return L.map_exact(x.where("event_id % 7 = 0"), board, 8_640_000)
+    return L.map_exact(x, board, 8_640_000)
 
 
 @query(
@@ -96,16 +96,16 @@ def j26_either_key(spark, sf):
 
 
 @query(
-    """+ r AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'r' || event_id WHEN event_id % 3 = 1 THEN 's' || event_id ELSE CAST(event_id AS VARCHAR) END AS p FROM results WHERE event_id % 2 = 0) SELECT p AS provider_id, event_id FROM r WHERE event_id % 10 < 6""",
+    """+ r AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'r' || event_id WHEN event_id % 3 = 1 THEN 's' || event_id ELSE CAST(event_id AS VARCHAR) END AS p FROM results) SELECT p AS provider_id, event_id FROM r WHERE event_id % 10 < 6""",
     ("results",),
 )
 def j27_map_with_redirects(spark, sf):
     k = F.col("event_id")
-    x = T.results(spark, sf).where("event_id % 2 = 0")
+    x = T.results(spark, sf)
     p = F.when(k % 3 == 0, F.concat(F.lit("r"), k)).when(k % 3 == 1, F.concat(F.lit("s"), k)).otherwise(k.cast("string"))
     rows = x.select(p.alias("provider_id"), F.timestamp_seconds(F.unix_seconds("kickoff") + F.when(k % 10 < 6, 1200).otherwise(1201)).alias("kickoff"))
     part = lambda n: x.where(k % 3 == n).select(p.alias("provider_id"), "event_id")
-    return C.map_with_redirects(rows, part(0), part(1), T.results(spark, sf)).select("provider_id", "event_id")
+    return C.map_with_redirects(rows, part(0), part(1), x).select("provider_id", "event_id")
 
 
 @query(
@@ -195,11 +195,13 @@ def x35_market_lookup(spark, sf):
 
 
 @query(
-    """SELECT count(*) AS n_targets, (SELECT count(*) FROM predictions WHERE source = 's1' AND event_id % 2 = 0) AS n_prediction, (SELECT count(*) FROM predictions WHERE source = 's1' AND event_id % 2 = 1) AS n_prediction_outside FROM results WHERE event_id % 2 = 0""",
+    """SELECT count(*) AS n_targets, (SELECT count(*) FROM predictions WHERE event_id % 2 = 0) AS n_prediction, (SELECT count(*) FROM predictions WHERE event_id % 2 = 1) AS n_prediction_outside, (SELECT count(*) FROM predictions WHERE source = 's1') AS n_first, 0 AS n_first_outside FROM results""",
     ("results", "predictions"),
 )
 def x47_coverage_counts(spark, sf):
-    return C.coverage_counts({"prediction": T.predictions(spark, sf).where("source = 's1'")}, T.results(spark, sf).where("event_id % 2 = 0"))
+    """Every second prediction is of an event that is no target."""
+    p = T.predictions(spark, sf)
+    return C.coverage_counts({"prediction": p.withColumn("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id")).otherwise(-F.col("event_id"))), "first": p.where("source = 's1'")}, T.results(spark, sf))
 
 
 @query(

@@ -390,14 +390,14 @@ def j7_attach_tiered_all(spark, sf):
 
 
 @query(
-    """SELECT r.event_id, o.home, o.draw, o.away, round(1/o.home/(1/o.home+1/o.draw+1/o.away), 6) AS fair_home, CAST(1 AS BIGINT) AS channels, round(o.home * (p.home / 100) - 1, 6) AS home_edge FROM results r JOIN odds o ON r.event_id = o.event_id JOIN predictions p ON p.event_id = r.event_id WHERE confirmed""",
+    """SELECT r.event_id, o.home, o.draw, o.away, round(1/o.home/(1/o.home+1/o.draw+1/o.away), 6) AS fair_home, CAST(1 AS BIGINT) AS channels, round(o.home * (p.home / 100) - 1, 6) AS home_edge, CASE WHEN greatest(o.home * (p.home / 100), o.draw * (p.draw / 100), o.away * (p.away / 100)) - 1 > 0 THEN 'CANDIDATE_POSITIVE_EV' ELSE 'NO_POSITIVE_EV' END AS state FROM results r JOIN odds o ON r.event_id = o.event_id JOIN predictions p ON p.event_id = r.event_id WHERE confirmed""",
     ("results", "odds", "predictions"),
 )
 def x1_match_board(spark, sf):
     r = T.results(spark, sf).withColumn("selling", F.col("confirmed"))
-    e = T.predictions(spark, sf).select("event_id", "source", (F.col("home") / 100).alias("h"))
-    d = r.select("event_id", F.lit("NONE").alias("state"))
-    return C.match_board(r, T.odds(spark, sf), e, d).select("event_id", "home", "draw", "away", r6("fair_home").alias("fair_home"), "channels", r6("home_edge").alias("home_edge"))
+    e = T.predictions(spark, sf).select("event_id", "source", *[(F.col(c) / 100).alias(k) for c, k in (("home", "h"), ("draw", "d"), ("away", "a"))])
+    d = M.decide(e, T.odds(spark, sf), [f"s{n}" for n in range(6)])
+    return C.match_board(r, T.odds(spark, sf), e, d).select("event_id", "home", "draw", "away", r6("fair_home").alias("fair_home"), "channels", r6("home_edge").alias("home_edge"), "state")
 
 
 @query()
@@ -414,13 +414,17 @@ def j13_connected_history(spark, sf):
 
 @query(
     """+ b AS (SELECT event_id, row_id, minute, home, home + 10 - minute % 7 * 4 AS xg_away, minute % 11 AS s FROM live_stats), c AS (SELECT row_id, CASE WHEN home - xg_away >= 0.25 THEN 2 WHEN home - xg_away <= -0.25 THEN -2 ELSE 0 END + CASE WHEN s - 5 >= 3 THEN 1 WHEN s - 5 <= -3 THEN -1 ELSE 0 END AS control FROM b)
-       SELECT row_id AS event_id, control, CASE WHEN control >= 2 THEN 'H' WHEN control <= -2 THEN 'A' END AS actual, CASE WHEN control >= 2 THEN 'CONFIRM' WHEN control <= -2 THEN 'CONTRADICT' ELSE 'WAIT' END AS status FROM c""",
+       , d AS (SELECT row_id AS event_id, control, CASE WHEN control >= 2 THEN 'H' WHEN control <= -2 THEN 'A' END AS actual, CASE row_id % 3 WHEN 0 THEN 'H' WHEN 1 THEN 'A' ELSE CASE WHEN row_id % 2 = 0 THEN 'H' END END AS expected FROM c)
+       SELECT *, CASE WHEN actual IS NULL OR expected IS NULL THEN 'WAIT' WHEN actual = expected THEN 'CONFIRM' ELSE 'CONTRADICT' END AS status FROM d""",
     ("live_stats",),
 )
 def md8_expected_actual(spark, sf):
     x = T.live_stats(spark, sf).where("home IS NOT NULL").select(F.col("row_id").alias("event_id"), "minute", F.col("home").alias("xg_home"), (F.col("home") + 10 - F.col("minute") % 7 * 4).alias("xg_away"), (F.col("minute") % 11).cast("double").alias("shots_home"), F.lit(5.0).alias("shots_away"))
-    scenario = x.select("event_id", E.segment(F.col("minute")).alias("segment"), F.lit("H").alias("expected"))
-    return M.expected_actual(x, scenario).select("event_id", "control", "actual", "status")
+    # The side expected comes from the scenario table: a consensus for two of three rows, else form.
+    e = F.col("event_id")
+    pick = F.when(e % 3 == 0, "H").when(e % 3 == 1, "A").otherwise("D")
+    form = x.where(e % 2 == 0).select("event_id", F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.lit(f).alias("form")) for s, f in (("H", "WWW"), ("A", "LLL"))])))
+    return M.expected_actual(x, C.scenarios(x, x.select("event_id", pick.alias("pick")), form)).select("event_id", "control", "actual", "expected", "status")
 
 
 @query(
@@ -475,7 +479,10 @@ def src7_fill_down(spark, sf):
     return x.select("doc_id", "pos", F.length("header").cast("long").alias("n_header"))
 
 
-@query()
+@query(
+    """+ t AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages), s AS (SELECT page_id, regexp_extract(t, '(?is)(the.*?)(zzz|$)', 1) AS s FROM t)
+       SELECT page_id, length(s) AS n_chars, len(regexp_extract_all(s, '(\\d{1,3}(\\.\\d+)?)\\s*%')) AS n_percents FROM s WHERE length(s) > 0"""
+)
 def src6_sections(spark, sf):
     x = X.sections(T.table(spark, sf, "pages"), "the", "zzz")
     return x.select("page_id", F.length("section").alias("n_chars"), F.size("percents").alias("n_percents"))
