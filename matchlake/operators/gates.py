@@ -20,7 +20,7 @@ def target_gate(snapshot: DataFrame, names: DataFrame, now: Column, before_minut
     last = latest_per_key(snapshot, ["event_id"], "fetched_at")
     ahead = seconds_after("kickoff", now)
     x = last.where(ahead.between(-60 * before_minutes, 3600 * ahead_hours) & F.col("home_odds").isNotNull() & F.col("draw_odds").isNotNull() & F.col("away_odds").isNotNull())
-    side = lambda s: F.broadcast(names).select(F.col("name").alias(s), F.col("target_name").alias(f"{s}_target"))
+    side = lambda s: names.select(F.col("name").alias(s), F.col("target_name").alias(f"{s}_target"))
     x = x.join(side("home"), "home", "left").join(side("away"), "away", "left")
     known = F.col("home_target").isNotNull() & F.col("away_target").isNotNull()
     missing = F.array_compact(F.array(F.when(F.col("home_target").isNull(), F.col("home")), F.when(F.col("away_target").isNull(), F.col("away"))))

@@ -281,3 +281,18 @@ def j18_j19_pick_pair_with_config(spark, sf):
     stats = F.array(item("ALL", "shots", 9.0, F.lit(8.0)), item("1ST", "possession", 1.0, F.lit(2.0)), item("ALL", "possession", 55.0, F.when(e % 2 == 0, 45.0)))
     pair = L.pick_pair(stats, "possession", "ALL")
     return L.with_config(T.results(spark, sf).select("event_id", pair["home"].alias("home"), pair["away"].alias("away")), spark.createDataFrame([(0.94,)], "floor double"))
+
+
+@query(f"""+ {PAIRS} SELECT id, {FOLD.format('a')} AS a, replace({FOLD.format('b')}, ' ', '') AS b FROM pairs""")
+def f2_f5_fold_exact(spark, sf):
+    from matchlake.functions import names as N
+
+    return _pairs(spark, sf).select("id", N.fold_exact("a").alias("a"), N.exact_forms(F.col("b")).alias("b"))
+
+
+@query()
+def f6_sequence_likeness(spark, sf):
+    """The likeness of each part's two names by sequence ratio, each distinct pair once; held against the standard library in the tests."""
+    from matchlake.functions import names as N
+
+    return N.with_likeness(_pairs(spark, sf), "a", "b", "likeness").select("id", r6("likeness").alias("likeness"))

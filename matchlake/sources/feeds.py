@@ -30,25 +30,25 @@ def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFra
 def write_feed(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """CSV with these columns in this order, blanks for nulls, in a new version folder beside the older ones; `read_feed` takes the newest that is complete.
 
-    A reader thus has the old feed or the new one and never half of either: a version counts once Spark's committer has left its mark there.
+    A reader thus has the old feed or the new one and never half of either: a version counts once its name is appended to the list of versions, as one file.
     """
     import time
     import uuid
 
-    version = f"{path}/version={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.csv(version, header=True)
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]).write.csv(f"{path}/{version}", header=True)
+    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("append").parquet(f"{path}/versions")
 
 
 def newest_version(spark: SparkSession, path: str) -> str | None:
     """The newest complete version folder of a feed; None if it has none (a feed of other origin)."""
     try:
-        marks = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", "true").load(f"{path}/version=*/_SUCCESS")
-        last = marks.agg(F.max("path")).first()[0]
+        last = spark.read.schema("version string").parquet(f"{path}/versions").agg(F.max("version")).first()[0]
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    return last and last.removesuffix("/_SUCCESS")
+    return last and f"{path}/{last}"
 
 
 def export_live(live: DataFrame, path: str) -> None:

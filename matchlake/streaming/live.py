@@ -23,17 +23,40 @@ def run_to_end(query) -> None:
         raise query.exception()
 
 
-def start_current(stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], ts: str = "captured_at"):
-    """Newest row per key in versioned folders of `table`: a late, older row never replaces a newer one, a repeated batch changes nothing."""
+def read_current(spark: SparkSession, table: str, schema: str, keys: Sequence[str], ts: str = "captured_at") -> DataFrame:
+    """Newest row per key of a table of `start_current`: its newest base and the changes since. Superseded folders are not read."""
+    rows = spark.read.schema(f"{schema}, kind string, batch bigint").parquet(table)
+    base = F.broadcast(rows.where("kind = 'base'").agg(F.coalesce(F.max("batch"), F.lit(-1)).alias("_base")))
+    live = rows.crossJoin(base).where("(kind = 'base' AND batch = _base) OR (kind = 'change' AND batch > _base)")
+    return state.latest_per_key(live.drop("kind", "batch", "_base"), keys, ts)
+
+
+def start_current(stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str], ts: str = "captured_at", every: int = 20):
+    """Newest row per key, as a base and the changes of each batch, for `read_current`.
+
+    A batch writes its own newest rows only; every so many batches they become a new base, and what it replaces is emptied. A late, older
+    row never replaces a newer one, and a repeated batch writes its folder again.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.schema(batch.schema).parquet(f"{table}/version-{number - 1}") if number else spark.createDataFrame([], batch.schema)
-        state.guard_regression(base, batch, keys, ts).write.mode("overwrite").parquet(f"{table}/version-{number}")
+        spark, schema = batch.sparkSession, batch.schema.toDDL()
+        state.latest_per_key(batch.where(F.col(ts).isNotNull()), keys, ts).write.mode("overwrite").parquet(f"{table}/kind=change/batch={number}")
+        if (number + 1) % every == 0:
+            read_current(spark, table, schema, keys, ts).write.mode("overwrite").parquet(f"{table}/kind=base/batch={number}")
+            old = [f"kind=change/batch={n}" for n in range(number + 1 - every, number + 1)] + [f"kind=base/batch={number - every}"] * (number >= 2 * every - 1)
+            for folder in old:
+                spark.createDataFrame([], batch.schema).write.mode("overwrite").parquet(f"{table}/{folder}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def start_expected(stream: DataFrame, scenario: DataFrame, table: str, checkpoint: str):
+    """Live rows against the stored scenario of their event and segment (a stream-static join): control score, expected side and status, appended."""
+    from matchlake.plans.models import expected_actual
+
+    return expected_actual(stream, scenario).writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def start_history(stream: DataFrame, table: str, checkpoint: str, keys: Sequence[str] = ("event_id", "captured_at")):
     """One row for each key within the watermark, appended."""
     return stream.dropDuplicatesWithinWatermark(list(keys)).writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -110,26 +133,34 @@ def late_counts(rows: DataFrame, keys: Sequence[str], in_time: Column) -> DataFr
 
 
 def movement(odds: DataFrame, hours: int = 27) -> DataFrame:
-    """Change of the home price since an hour before, per snapshot, from keyed state that keeps `hours` of snapshots.
+    """Changes of the home price since 1, 2 and 24 hours before, per snapshot, from keyed state that keeps `hours` of snapshots.
 
-    applyInPandasWithState: rows of a batch are folded in time order; older rows than the newest kept are put in place.
+    applyInPandasWithState: rows of a batch are folded in time order; older rows than the newest kept are put in place. An event without
+    rows for that long, by the watermark, is let go.
     """
     import pandas as pd
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        if kept.hasTimedOut:
+            kept.remove()
+            return
         times, prices = (list(x) for x in kept.get) if kept.exists else ([], [])
         out = []
         rows = pd.concat(list(frames)).sort_values(["captured_at", "snapshot_id"])
         for r in rows.itertuples():
             at = int(r.captured_at.timestamp())
-            near = [(abs(at - 3600 - t), t, p) for t, p in zip(times, prices, strict=True) if abs(at - 3600 - t) <= 2400]
-            out.append((key[0], r.snapshot_id, r.captured_at, r.home - min(near)[2] if near else None))
+            change = []
+            for back, tolerance in ((3600, 2400), (7200, 4500), (86_400, 10_800)):
+                near = [(abs(at - back - t), t, p) for t, p in zip(times, prices, strict=True) if abs(at - back - t) <= tolerance]
+                change.append(r.home - min(near)[2] if near else None)
+            out.append((key[0], r.snapshot_id, r.captured_at, *change))
             times.append(at)
             prices.append(float(r.home))
         last = max(times)
         fresh = [(t, p) for t, p in zip(times, prices, strict=True) if t >= last - hours * 3600]
         kept.update(([t for t, _ in fresh], [p for _, p in fresh]))
-        yield pd.DataFrame(out, columns=["event_id", "snapshot_id", "captured_at", "change_1h"])
+        kept.setTimeoutTimestamp(max((last + hours * 3600) * 1000, kept.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["event_id", "snapshot_id", "captured_at", "change_1h", "change_2h", "change_24h"])
 
-    return odds.groupBy("event_id").applyInPandasWithState(fold, "event_id bigint, snapshot_id bigint, captured_at timestamp, change_1h double", "times array<bigint>, prices array<double>", "append", GroupStateTimeout.NoTimeout)
+    return odds.groupBy("event_id").applyInPandasWithState(fold, "event_id bigint, snapshot_id bigint, captured_at timestamp, change_1h double, change_2h double, change_24h double", "times array<bigint>, prices array<double>", "append", GroupStateTimeout.EventTimeTimeout)

@@ -146,7 +146,7 @@ def test_stream_equals_batch(spark, tmp_path):
     df.repartition(3).write.parquet(source)
     stream = lambda: live.read_snapshots(spark, source, "event_id long, captured_at timestamp, v int")
     live.run_to_end(live.start_current(stream(), str(tmp_path / "cur"), str(tmp_path / "c1"), ["event_id"]))
-    got = spark.read.parquet(str(tmp_path / "cur" / "version-0"))
+    got = live.read_current(spark, str(tmp_path / "cur"), "event_id long, captured_at timestamp, v int", ["event_id"])
     assert {(r["event_id"], r["v"]) for r in got.collect()} == {(1, 12), (2, 20)}
     live.run_to_end(live.start_history(stream(), str(tmp_path / "hist"), str(tmp_path / "c2")))
     assert spark.read.parquet(str(tmp_path / "hist")).count() == 4
