@@ -81,15 +81,15 @@ def q13_live_identity_coverage(spark, sf):
 
 
 @query(
-    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results WHERE event_id % 2 = 1 AND home_id < 30), s AS (SELECT event_id AS row_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results WHERE event_id % 20 = 0),
+    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results WHERE event_id % 3 > 0 AND away_id >= 5), s AS (SELECT event_id AS row_id, home_id AS h, away_id AS a, tournament AS l, kickoff AS k FROM results),
        x AS (SELECT s.row_id, max(CASE WHEN s.h NOT IN (SELECT h FROM t) THEN '1_NO_HOME' WHEN s.a NOT IN (SELECT a FROM t) THEN '2_NO_AWAY' WHEN t.k IS NULL THEN '3_NO_PAIR' WHEN s.l <> t.l THEN '4_LEAGUE' WHEN abs(epoch(s.k) - epoch(t.k)) > 8640000 THEN '5_CLOCK' ELSE '6_LINK' END) AS reason FROM s LEFT JOIN t ON s.h = t.h AND s.a = t.a GROUP BY 1)
        SELECT reason, count(*) AS n FROM x GROUP BY 1""",
     ("results",),
 )
 def a23_overlap_diagnostics(spark, sf):
-    k = _keys(spark, sf).withColumn("home_no", F.substring("home_key", 2, 9).cast("int"))
-    rows = k.where("event_id % 20 = 0").withColumnRenamed("event_id", "row_id").drop("home_no")
-    return B.overlap_diagnostics(rows, k.where("event_id % 2 = 1 AND home_no < 30").drop("home_no"), 8_640_000)
+    k = _keys(spark, sf)
+    targets = k.where((F.col("event_id") % 3 > 0) & (F.substring("away_key", 2, 9).cast("int") >= 5))
+    return B.overlap_diagnostics(k.withColumnRenamed("event_id", "row_id"), targets, 8_640_000)
 
 
 @query(
@@ -122,9 +122,17 @@ def m7_restore_active(spark, sf):
     return B.restore_active(cur, o.where("event_id % 2 = 0").select("event_id", F.when((F.col("event_id") % 4 == 0), F.col("draw")).otherwise(F.col("home")).alias("home")), o.where("event_id % 2 = 0"), ["home"])
 
 
-@query("SELECT event_id, 'HOME' AS selection, home AS odds FROM odds WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'DRAW', draw FROM odds WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'AWAY', away FROM odds WHERE event_id % 2 = 0", ("odds",))
+@query(
+    """SELECT event_id, 'HOME' AS selection, CASE WHEN event_id % 3 = 0 THEN draw ELSE home END AS odds FROM odds UNION ALL SELECT event_id, 'DRAW', draw FROM odds UNION ALL SELECT event_id, 'AWAY', CASE WHEN event_id % 3 = 0 THEN draw ELSE away END FROM odds""",
+    ("odds",),
+)
 def m32_refresh_core(spark, sf):
-    return _refresh_core(spark, sf, T.odds(spark, sf).where("event_id % 2 = 0"))
+    o = T.odds(spark, sf)
+    held = o.where("event_id % 3 < 2").select(
+        "event_id", F.expr(f"{JUNE} + make_dt_interval(CASE WHEN event_id % 3 = 0 THEN 1 ELSE -1 END)").alias("captured_at"), F.lit("book").alias("source"),
+        F.explode(F.array(*map(F.lit, ("HOME", "DRAW", "AWAY")))).alias("selection"), F.col("draw").alias("odds"),
+    )
+    return _refresh_core(spark, sf, o, held)
 
 
 @query("SELECT event_id, 'HOME' AS selection, home AS odds FROM odds UNION ALL SELECT event_id, 'DRAW', draw FROM odds UNION ALL SELECT event_id, 'AWAY', away FROM odds", ("odds",))
@@ -132,10 +140,11 @@ def m32_refresh_core_all(spark, sf):
     return _refresh_core(spark, sf, T.odds(spark, sf))
 
 
-def _refresh_core(spark, sf, odds):
+def _refresh_core(spark, sf, odds, market=None):
     o = odds.withColumn("captured_at", F.expr(JUNE))
     p = T.predictions(spark, sf).select("event_id", "captured_at", *[F.col(c).alias(k) for c, k in (("home", "h"), ("draw", "d"), ("away", "a"))])
-    market = spark.createDataFrame([], "event_id bigint, captured_at timestamp, source string, selection string, odds double")
+    if market is None:
+        market = spark.createDataFrame([], "event_id bigint, captured_at timestamp, source string, selection string, odds double")
     evidence = spark.createDataFrame([], "event_id bigint, captured_at timestamp, source string, h double, d double, a double")
     return B.refresh_core(o, {"x": p}, market, evidence)[0].select("event_id", "selection", "odds")
 

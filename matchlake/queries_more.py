@@ -142,16 +142,16 @@ def a10_stable_live_ids(spark, sf):
 
 
 @query(
-    """+ u AS (SELECT event_id, kickoff FROM results WHERE event_id % 5 = 0), g AS (SELECT event_id, 'PREDICTION' AS gap FROM u WHERE event_id NOT IN (SELECT event_id FROM predictions WHERE source <> 's5') UNION ALL SELECT event_id, 'ODDS' FROM u WHERE event_id % 2 = 0),
-       q AS (SELECT event_id, 'ODDS' AS gap FROM results WHERE event_id % 35 = 0)
-       SELECT coalesce(g.event_id, q.event_id) AS event_id, coalesce(g.gap, q.gap) AS gap, CASE WHEN g.event_id IS NOT NULL THEN 'OPEN' ELSE 'RESOLVED' END AS status FROM g FULL JOIN q ON g.event_id = q.event_id AND g.gap = q.gap""",
+    """+ g AS (SELECT event_id, 'PREDICTION' AS gap FROM results WHERE event_id NOT IN (SELECT event_id FROM predictions WHERE source <> 's5') UNION ALL SELECT event_id, 'ODDS' FROM results WHERE event_id % 3 = 0),
+       q AS (SELECT event_id, 'PREDICTION' AS gap FROM results WHERE event_id % 7 = 0)
+       SELECT coalesce(g.event_id, q.event_id) AS event_id, coalesce(g.gap, q.gap) AS gap, CASE WHEN q.event_id IS NOT NULL THEN 3 WHEN epoch(r.kickoff) - epoch(TIMESTAMP '1998-01-01 00:00:00') <= 6 * 3600 THEN 2 ELSE 1 END AS priority, CASE WHEN g.event_id IS NOT NULL THEN 'OPEN' ELSE 'RESOLVED' END AS status FROM g FULL JOIN q ON g.event_id = q.event_id AND g.gap = q.gap LEFT JOIN results r ON r.event_id = g.event_id""",
     ("results", "predictions"),
 )
 def m14_opportunity_queue(spark, sf):
     res = T.results(spark, sf)
-    old = res.where("event_id % 35 = 0").select("event_id", F.lit("ODDS").alias("gap"), F.lit(1).alias("priority"), F.lit("OPEN").alias("status"))
-    feeds = {"PREDICTION": T.predictions(spark, sf).where("source <> 's5'"), "ODDS": T.odds(spark, sf).where("event_id % 2 = 1")}
-    return I.opportunity_queue(res.where("event_id % 5 = 0").select("event_id", "kickoff"), feeds, old, _now()).select("event_id", "gap", "status")
+    old = res.where("event_id % 7 = 0").select("event_id", F.lit("PREDICTION").alias("gap"), F.lit(3).alias("priority"), F.lit("OPEN").alias("status"))
+    feeds = {"PREDICTION": T.predictions(spark, sf).where("source <> 's5'"), "ODDS": T.odds(spark, sf).where("event_id % 3 > 0")}
+    return I.opportunity_queue(res.select("event_id", "kickoff"), feeds, old, F.expr(NOW)).select("event_id", "gap", "priority", "status")
 
 
 @query(
@@ -340,13 +340,13 @@ def md4_clean_history(spark, sf):
 
 
 @query(
-    """+ r AS (SELECT event_id, 'k' || home_id AS h, 'k' || away_id AS a, CAST(kickoff AS DATE) + CAST(event_id % 3 - 1 AS INTEGER) AS d FROM results WHERE event_id % 10 = 0), t AS (SELECT event_id, 'k' || home_id AS h, 'k' || away_id AS a, CAST(kickoff AS DATE) AS d FROM results)
+    """+ r AS (SELECT event_id, 'k' || home_id AS h, 'k' || away_id AS a, CAST(kickoff AS DATE) + CAST(event_id % 5 - 2 AS INTEGER) AS d FROM results), t AS (SELECT event_id, 'k' || home_id AS h, 'k' || away_id AS a, CAST(kickoff AS DATE) AS d FROM results)
        SELECT r.event_id AS row_id, min(t.event_id) AS event_id FROM r JOIN t ON r.h = t.h AND r.a = t.a AND abs(date_diff('day', r.d, t.d)) <= 1 GROUP BY 1 HAVING count(DISTINCT t.event_id) = 1""",
     ("results",),
 )
 def j8_attach_rollover(spark, sf):
     t = T.results(spark, sf).select("event_id", F.concat(F.lit("k"), "home_id").alias("home_key"), F.concat(F.lit("k"), "away_id").alias("away_key"), "kickoff")
-    r = t.where("event_id % 10 = 0").withColumn("source_date", F.date_add(F.to_date("kickoff"), (F.col("event_id") % 3 - 1).cast("int"))).withColumnRenamed("event_id", "row_id").drop("kickoff")
+    r = t.withColumn("source_date", F.date_add(F.to_date("kickoff"), (F.col("event_id") % 5 - 2).cast("int"))).withColumnRenamed("event_id", "row_id").drop("kickoff")
     return C.attach_rollover(r, t)
 
 
@@ -362,17 +362,18 @@ def j8_attach_rollover_all(spark, sf):
 
 
 @query(
-    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, CAST(kickoff AS DATE) AS d FROM results), s AS (SELECT event_id AS row_id, h, a, d FROM t WHERE event_id % 10 = 0),
-       n AS (SELECT i AS name, i AS key, 0 AS rank, 'CONTEXT' AS tier FROM range(20) x(i) UNION ALL SELECT i, i, 1, 'MASTER' FROM range(40) x(i)),
+    """+ t AS (SELECT event_id, home_id AS h, away_id AS a, CAST(kickoff AS DATE) AS d FROM results), s AS (SELECT event_id AS row_id, h, a, d FROM t),
+       n AS (SELECT h AS name, CASE WHEN h % 3 = 0 THEN (h + 1) % 40 ELSE h END AS key, 0 AS rank, 'CONTEXT' AS tier FROM (SELECT DISTINCT h FROM t) UNION ALL SELECT i, i, 1, 'MASTER' FROM range(40) x(i)),
        c AS (SELECT s.row_id, x.rank, x.tier, count(DISTINCT t.event_id) AS n, min(t.event_id) AS event_id FROM s JOIN n x ON x.name = s.h JOIN n y ON y.name = s.a AND y.rank = x.rank JOIN t ON t.h = x.key AND t.a = y.key AND t.d = s.d GROUP BY 1, 2, 3)
        SELECT row_id, event_id, tier FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY rank) AS r FROM c WHERE n = 1) WHERE r = 1""",
     ("results",),
 )
 def j7_attach_tiered(spark, sf):
     t = T.results(spark, sf).select("event_id", F.col("home_id").alias("home_key"), F.col("away_id").alias("away_key"), "kickoff")
-    r = t.where("event_id % 10 = 0").select(F.col("event_id").alias("row_id"), F.col("home_key").alias("home"), F.col("away_key").alias("away"), F.to_date("kickoff").alias("source_date"))
-    names = T.results(spark, sf).select(F.col("home_id").alias("name"), F.col("home_id").alias("target_key")).distinct()
-    return C.attach_tiered(r, t, [("CONTEXT", names.where("name < 20")), ("MASTER", names)])
+    r = t.select(F.col("event_id").alias("row_id"), F.col("home_key").alias("home"), F.col("away_key").alias("away"), F.to_date("kickoff").alias("source_date"))
+    names = t.select(F.col("home_key").alias("name"), F.col("home_key").alias("target_key")).distinct()
+    context = names.withColumn("target_key", F.expr("CASE WHEN name % 3 = 0 THEN (name + 1) % 40 ELSE name END"))
+    return C.attach_tiered(r, t, [("CONTEXT", context), ("MASTER", names)])
 
 
 @query(

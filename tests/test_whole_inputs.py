@@ -15,6 +15,8 @@ SF = "/root/testdata/sf0.001"
     ("j4_link_fuzzy", links, "link_fuzzy"), ("j23_provisional_links", boards, "provisional_links"), ("m21_learn_availability", boards, "learn_availability"),
     ("j7_attach_tiered_all", context, "attach_tiered"), ("j8_attach_rollover_all", context, "attach_rollover"), ("a23_overlap_diagnostics_all", boards, "overlap_diagnostics"),
     ("m14_opportunity_queue_all", identity, "opportunity_queue"), ("m32_refresh_core_all", boards, "refresh_core"),
+    ("j7_attach_tiered", context, "attach_tiered"), ("j8_attach_rollover", context, "attach_rollover"), ("a23_overlap_diagnostics", boards, "overlap_diagnostics"),
+    ("m14_opportunity_queue", identity, "opportunity_queue"), ("m32_refresh_core", boards, "refresh_core"),
 ])
 def test_operator_sees_all_rows(spark, monkeypatch, name, module, operator):
     seen, real = [], getattr(module, operator)
