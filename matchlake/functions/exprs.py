@@ -291,8 +291,13 @@ def decay(age_days: Column, half_life: float = 180.0) -> Column:
     return F.exp(F.lit(-LN2) * age_days / F.lit(half_life))
 
 
-def poisson_hda(lh: Column, la: Column, max_goals: int = 10) -> Column:
-    """Home, draw and away probabilities of two independent Poisson scores up to max_goals, renormalised."""
+def poisson_hda(lh: Column, la: Column, max_goals: int = 10, rho: float = 0.0) -> Column:
+    """Home, draw and away probabilities of two Poisson scores up to max_goals, renormalised.
+
+    rho moves weight between the draws 0-0 and 1-1 and the scores 1-0 and 0-1 (low-score correction); it is held within the bounds that leave every score a probability.
+    """
+    held = F.greatest(F.least(F.lit(rho), F.lit(1.0), 1 / (lh * la)), -1 / lh, -1 / la) if rho else F.lit(0.0)
+    moved = held * lh * la * F.exp(-lh - la)  # what each of the four scores gains or gives
     pmf = lambda lam: F.transform(F.sequence(F.lit(0), F.lit(max_goals)), lambda k: F.exp(-lam) * F.pow(lam, k) / F.factorial(k))
     sums = F.struct(F.lit(0.0).alias("win"), F.lit(0.0).alias("draw"), F.lit(0.0).alias("below"), F.lit(0.0).alias("all"))
 
@@ -305,11 +310,18 @@ def poisson_hda(lh: Column, la: Column, max_goals: int = 10) -> Column:
 
     def finish(t: Column) -> Column:
         total = t["below"] * t["all"]
-        return _triple(t["win"] / total, t["draw"] / total, (total - t["win"] - t["draw"]) / total)
+        return _triple((t["win"] + moved) / total, (t["draw"] - 2 * moved) / total, (total - t["win"] - t["draw"] + moved) / total)
 
     return F.aggregate(pairs(pmf(lh), pmf(la)), sums, step, finish)
 
 
+def poisson_over(lh: Column, la: Column, line: float = 2.5) -> Column:
+    """Probability of more goals than line; the sum of two Poisson scores is one of both means, and the low-score correction leaves it."""
+    s = lh + la
+    under = sum((F.pow(s, F.lit(k)) / F.factorial(F.lit(k)) for k in range(int(line) + 1)), F.lit(0.0))
+    return 1 - F.exp(-s) * under
+
+
 def expected_goals(home_for: Column, home_against: Column, away_for: Column, away_against: Column) -> Column:
     """Geometric means of attack and the other side's concession, each at least .10, clipped to .25-3.5."""
     low = lambda c: F.greatest(c, F.lit(0.10))

@@ -240,51 +240,50 @@ def expected_ids(fixtures: DataFrame) -> DataFrame:
     return fixtures.select(F.explode(days).alias("day")).distinct()
 
 
-def goal_glm(results: DataFrame, fixtures: DataFrame, now: Column, xi: float = 0.001) -> DataFrame:
-    """Expected goals by a Poisson regression on attack, defence and home, weighted by exp(-xi days): an approximation of the time-weighted goal model.
+# Grid of the low-score correction
+RHO = [n / 50 for n in range(-10, 11)]
 
+
+def low_score_rho(games: DataFrame) -> float:
+    """The correction of RHO that makes the low scores of games (home_goals, away_goals, lh, la, weight) likeliest; of equal ones the one nearest 0. One row reaches the driver."""
+    lh, la = F.col("lh"), F.col("la")
+    at = lambda h, a: (F.col("home_goals") == h) & (F.col("away_goals") == a)
+    tau = lambda r: F.when(at(0, 0), 1 - lh * la * r).when(at(0, 1), 1 + lh * r).when(at(1, 0), 1 + la * r).otherwise(1 - r)
+    low = games.where("home_goals IN (0, 1) AND away_goals IN (0, 1)")
+    x = low.agg(*[F.sum(F.col("weight") * F.log(F.greatest(tau(F.lit(r)), F.lit(1e-9)))).alias(f"r{n}") for n, r in enumerate(RHO)]).first()
+    return max(zip(x, RHO, strict=True), key=lambda t: (round(t[0], 9), -abs(t[1])))[1] if x[0] is not None else 0.0
+
+
+def goal_glm(results: DataFrame, fixtures: DataFrame, now: Column, xi: float = 0.001, min_matches: int = 120, min_games: int = 20) -> DataFrame:
+    """Expected goals by a Poisson regression on attack, defence and home, weighted by exp(-xi days), with a low-score correction: an approximation of the time-weighted goal model.
+
+    Only results before now count. Fixtures whose teams have fewer than min_games of them, and all of them if there are fewer than min_matches, have no forecast.
     One distributed fit over one-hot teams; teams of a tournament should number below 2,000 for the solver's limit of features.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
+    past = results.where((F.col("kickoff") < now) & F.col("home_goals").isNotNull() & F.col("away_goals").isNotNull())
     w = F.exp(F.lit(-xi) * (F.unix_seconds(now) - F.unix_seconds("kickoff")) / F.lit(86_400.0))
-    t = links.to_team_rows(results).withColumn("at_home", F.when(F.col("side") == "H", 1.0).otherwise(0.0)).withColumn("weight", w)
-    t = t.withColumn("team", F.col("team").cast("string")).withColumn("opponent", F.col("opponent").cast("string"))
+
+    def sides(df: DataFrame) -> DataFrame:
+        x = links.to_team_rows(df).withColumn("at_home", F.when(F.col("side") == "H", 1.0).otherwise(0.0))
+        return x.withColumn("team", F.col("team").cast("string")).withColumn("opponent", F.col("opponent").cast("string"))
+
+    t = sides(past).withColumn("weight", w)
+    if past.limit(min_matches).count() < min_matches:
+        return fixtures.where("1 = 0").select("event_id", *[F.lit(None).cast("double").alias(c) for c in ("lh", "la", "h", "d", "a", "over25")])
     steps = [StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep") for c in ("team", "opponent")] + [OneHotEncoder(inputCols=["team_i", "opponent_i"], outputCols=["team_v", "opponent_v"]), VectorAssembler(inputCols=["team_v", "opponent_v", "at_home"], outputCol="features")]
     glm = GeneralizedLinearRegression(family="poisson", link="log", labelCol="gf", weightCol="weight", regParam=0.01, maxIter=15)
     model = Pipeline(stages=[*steps, glm]).fit(t)
-    f = fixtures.withColumns({c: F.lit(0) for c in ("home_goals", "away_goals")})
-    x = links.to_team_rows(f).withColumn("at_home", F.when(F.col("side") == "H", 1.0).otherwise(0.0)).withColumn("team", F.col("team").cast("string")).withColumn("opponent", F.col("opponent").cast("string"))
-    p = model.transform(x).groupBy("event_id").agg(F.max(F.when(F.col("side") == "H", F.col("prediction"))).alias("lh"), F.max(F.when(F.col("side") == "A", F.col("prediction"))).alias("la"))
-    p = p.withColumn("p", E.poisson_hda(F.col("lh"), F.col("la")))
-    return p.select("event_id", "lh", "la", *[F.col(f"p.{c}").alias(c) for c in "hda"])
-
-
-def international_results(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Results with a neutral flag, and per team the latest date; neutral games count for no venue rate (venue_side is null)."""
-    x = docs.withColumn("neutral", F.coalesce(F.col("neutral"), F.lit(False)))
-    teams = links.to_team_rows(x).join(x.select("event_id", "neutral"), "event_id").withColumn("venue_side", F.when(~F.col("neutral"), F.col("side")))
-    return teams, teams.groupBy("team").agg(F.max("kickoff").alias("latest"))
-
-
-def coverage_counts(layers: dict[str, DataFrame], targets: DataFrame) -> DataFrame:
-    """One row: targets, and for each layer how many targets it has and how many of its events are no target; denominators are never mixed."""
-    t = targets.select("event_id").distinct()
-    out = t.agg(F.count("*").alias("n_targets"))
-    for name, df in layers.items():
-        e = df.select("event_id").distinct().join(t.withColumn("_t", F.lit(1)), "event_id", "left")
-        out = out.crossJoin(F.broadcast(e.agg(F.count("_t").alias(f"n_{name}"), F.count_if(F.col("_t").isNull()).alias(f"n_{name}_outside"))))
-    return out
-
-
-def team_profile(stats: DataFrame, aliases: DataFrame, previous: DataFrame, now: Column, stale_days: int = 7) -> DataFrame:
-    """Per team the picked stats; a team whose previous profile is fresh keeps it."""
-    from matchlake.sources.feeds import pick_stat
-
-    new = pick_stat(stats.withColumnRenamed("team", "event_id"), aliases).groupBy(F.col("event_id").alias("team")).agg(F.max(F.when(F.col("target") == "possession", F.col("value"))).alias("possession"), F.max(F.when(F.col("target") == "shots", F.col("value"))).alias("shots"))
-    p = previous.select("team", F.struct("possession", "shots").alias("_p"), (F.unix_seconds(now) - F.unix_seconds("refreshed_at") <= 86_400 * stale_days).alias("_fresh"))
-    x = new.join(p, "team", "outer")
-    keep = F.coalesce(F.col("_fresh"), F.lit(False)) | F.col("possession").isNull() & F.col("shots").isNull()
-    return x.select("team", F.when(keep, F.col("_p.possession")).otherwise(E.valid_possession(F.col("possession"))).alias("possession"), F.when(keep, F.col("_p.shots")).otherwise(F.col("shots")).alias("shots"), keep.alias("kept"))
+    goals = lambda side: F.max(F.when(F.col("side") == side, F.col("prediction")))
+    fitted = model.transform(t).groupBy("event_id").agg(
+        goals("H").alias("lh"), goals("A").alias("la"), F.max("weight").alias("weight"), *[F.max(F.when(F.col("side") == "H", F.col(g))).alias(c) for g, c in (("gf", "home_goals"), ("ga", "away_goals"))]
+    )
+    rho = low_score_rho(fitted)
+    enough = t.groupBy("team").agg(F.count("*").alias("_n")).where(F.col("_n") >= min_games).select("team")
+    f = sides(fixtures.withColumns({c: F.lit(0) for c in ("home_goals", "away_goals")})).join(enough, "team", "left_semi")
+    p = model.transform(f).groupBy("event_id").agg(goals("H").alias("lh"), goals("A").alias("la")).where("lh IS NOT NULL AND la IS NOT NULL")
+    p = p.withColumn("p", E.poisson_hda(F.col("lh"), F.col("la"), rho=rho)).withColumn("over25", E.poisson_over(F.col("lh"), F.col("la")))
+    return p.select("event_id", "lh", "la", *[F.col(f"p.{c}").alias(c) for c in "hda"], "over25")

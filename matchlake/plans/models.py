@@ -211,6 +211,19 @@ def pi_ratings(results: DataFrame, rate: float = 0.035, cross: float = 0.7, base
     return games.mapInPandas(fold, "event_id bigint, home_rating double, away_rating double, expected_gap double")
 
 
+def gap_probabilities(ratings: DataFrame, results: DataFrame, now: Column, width: float = 0.25, most: float = 3.0) -> DataFrame:
+    """Home, draw and away probabilities of the games from now on: how games of a like expected gap ended before.
+
+    Gaps are held within +-most and counted in bins of width; each outcome has one game more than it had, so a bin without games gives a third to each.
+    """
+    edge = F.greatest(F.lit(-most), F.least(F.lit(most), F.col("expected_gap")))
+    x = ratings.select("event_id", "expected_gap", F.floor(edge / width).alias("bin")).join(results.select("event_id", "kickoff", "home_goals", "away_goals"), "event_id")
+    gap = F.col("home_goals") - F.col("away_goals")
+    seen = x.where(F.col("kickoff") < now).groupBy("bin").agg(F.count_if(gap > 0).alias("nh"), F.count_if(gap == 0).alias("nd"), F.count_if(gap < 0).alias("na"))
+    share = lambda c: (F.coalesce(F.col(c), F.lit(0)) + 1) / (sum((F.coalesce(F.col(k), F.lit(0)) for k in ("nh", "nd", "na")), F.lit(0)) + 3)
+    return x.where(F.col("kickoff") >= now).join(seen, "bin", "left").select("event_id", "expected_gap", share("nh").alias("h"), share("nd").alias("d"), share("na").alias("a"))
+
+
 def evidence_graph(fixtures: DataFrame, form: DataFrame, predictions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """nodes, edges, and per event the support for either side: form points and picks as directional evidence."""
     side = lambda s: form.where(F.col("side") == s).select("event_id", E.form_points(F.col("form")).alias(s))

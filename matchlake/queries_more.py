@@ -404,7 +404,13 @@ def x1_match_board(spark, sf):
 @query()
 def md3_goal_glm(spark, sf):
     res = T.results(spark, sf)
-    return C.goal_glm(res, res.where(f"kickoff >= {NOW}").drop("home_goals", "away_goals"), F.expr("TIMESTAMP '1999-01-01 00:00:00'")).select("event_id", *[F.round(c, 4).alias(c) for c in ("lh", "la", "h", "d", "a")])
+    return C.goal_glm(res, res.where(f"kickoff >= {NOW}").drop("home_goals", "away_goals"), F.expr(NOW)).select("event_id", *[F.round(c, 4).alias(c) for c in ("lh", "la", "h", "d", "a", "over25")])
+
+
+@query()
+def md2_gap_probabilities(spark, sf):
+    res = T.results(spark, sf)
+    return M.gap_probabilities(M.pi_ratings(res), res, F.expr(NOW))
 
 
 @query()
@@ -480,6 +486,43 @@ def src7_fill_down(spark, sf):
     return x.select("doc_id", "pos", F.length("header").cast("long").alias("n_header"))
 
 
+@query(
+    """SELECT datediff('day', DATE '1970-01-01', CAST(kickoff AS DATE)) * 10 + CAST(tournament[1] AS INTEGER) AS page_id, tournament AS league, '1' || event_id % 10 || ':3' || event_id % 7 AS clock, 'k' || home_id AS home, 'k' || away_id AS away, 'b' || event_id % 5 AS book,
+         round(o.home, 2) AS odds_home, round(o.draw, 2) AS odds_draw, round(o.away, 2) AS odds_away, round(1 / round(o.home, 2) / (1 / round(o.home, 2) + 1 / round(o.draw, 2) + 1 / round(o.away, 2)), 6) AS fair_home
+       FROM results r JOIN odds o USING (event_id) WHERE event_id % 4 > 1""",
+    ("results", "odds"),
+)
+def src7_odds_table(spark, sf):
+    """Day pages of a league, made from results and odds: a heading, the columns' names, a row per game; some games are in play or finished."""
+    x = T.results(spark, sf).join(T.odds(spark, sf), "event_id")
+    row = F.expr("""concat('<tr><td>', array_join(array(concat('1', event_id % 10, ':3', event_id % 7), concat('<b>k', home_id, '</b>'), '-', concat('k', away_id),
+      CASE event_id % 4 WHEN 0 THEN 'In-Play' WHEN 1 THEN 'finished' ELSE '' END, concat('b', event_id % 5), string(round(home, 2)), string(round(draw, 2)), string(round(away, 2)), '5%'), '</td><td>'), '</td></tr>')""")
+    x = x.select(F.expr("datediff(to_date(kickoff), DATE '1970-01-01') * 10 + int(substring(tournament, 1, 1))").cast("bigint").alias("page_id"), "tournament", row.alias("row"))
+    rows = F.array_join(F.collect_list("row"), "\n")
+    pages = x.groupBy("page_id", "tournament").agg(F.concat(F.lit("<table><tr><td>"), "tournament", F.lit("</td></tr><tr><th>BN</th><th>Margin</th></tr>"), rows, F.lit("</table>")).alias("html"))
+    p = E.devig(F.col("odds_home"), F.col("odds_draw"), F.col("odds_away"))
+    return X.odds_table(pages).drop("pos").withColumn("fair_home", r6(p["h"]))
+
+
+@query(
+    """+ x AS (SELECT r.event_id, home_goals, away_goals, r.event_id * 7 % 101 AS u, 100 - r.event_id * 7 % 101 + CASE WHEN r.event_id % 5 = 0 THEN 1 ELSE 0 END AS o, floor(10 + r.event_id % 990 / 11.0 * 0.5) + r.event_id % 100 / 100.0 AS average FROM results r)
+       SELECT event_id, CASE WHEN u + o = 100 THEN u END AS under, CASE WHEN u + o = 100 THEN o END AS over, CASE WHEN u + o = 100 AND event_id % 3 < 2 THEN CASE WHEN o > u THEN 'Over' ELSE 'Under' END END AS prediction,
+         CASE WHEN u + o = 100 AND event_id % 3 < 2 THEN home_goals END AS home_score, CASE WHEN u + o = 100 AND event_id % 3 < 2 THEN away_goals END AS away_score, CASE WHEN u + o = 100 AND event_id % 3 < 2 THEN round(average, 2) END AS average FROM x""",
+    ("results",),
+)
+def src8_market_fields(spark, sf):
+    """Texts of a day, made from results: a line per game, then its market on one line, on four, or as a pair alone."""
+    x = T.results(spark, sf).selectExpr(
+        "event_id", "to_date(kickoff) AS day", "home_goals AS h", "away_goals AS a", "event_id * 7 % 101 AS u", "100 - event_id * 7 % 101 + IF(event_id % 5 = 0, 1, 0) AS o",
+        "concat(bigint(floor(10 + event_id % 990 / 11.0D * 0.5D)), '.', lpad(string(event_id % 100), 2, '0')) AS average",
+    )
+    market = F.expr("""CASE event_id % 3 WHEN 0 THEN concat(u, ' ', o, IF(o > u, 'Over', 'Under'), h, ' - ', a, average, '59°F-\n\n\n')
+      WHEN 1 THEN concat(u, '% ', o, '%\n', IF(o > u, 'OVER', 'under'), '\n', h, ' - ', a, '\n', average) ELSE concat(u, '% ', o, '%\n\n\n') END""")
+    docs = x.groupBy("day").agg(F.array_join(F.collect_list(F.concat(F.lit("event "), "event_id", F.lit("\n"), market)), "\n").alias("text")).withColumnRenamed("day", "doc_id")
+    y = X.market_fields(X.line_windows(docs, "^event [0-9]+$", 4))
+    return y.select(F.expr("bigint(substring(line, 7))").alias("event_id"), "under", "over", "prediction", "home_score", "away_score", "average")
+
+
 @query(
     """+ t AS (SELECT page_id, trim(regexp_replace(regexp_replace(html, '(?s)<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS t FROM pages), s AS (SELECT page_id, regexp_extract(t, '(?is)(the.*?)(zzz|$)', 1) AS s FROM t)
        SELECT page_id, length(s) AS n_chars, len(regexp_extract_all(s, '(\\d{1,3}(\\.\\d+)?)\\s*%')) AS n_percents FROM s WHERE length(s) > 0"""

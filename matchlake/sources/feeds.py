@@ -245,6 +245,44 @@ def line_windows(docs: DataFrame, anchor: str, following: int = 3) -> DataFrame:
     return x.select("doc_id", "pos", "line", F.array_join(F.slice("lines", F.col("pos") + 2, following), " ").alias("after"))
 
 
+def odds_table(pages: DataFrame) -> DataFrame:
+    """page_id, pos, league, clock, home, away, book and prices of the rows of an odds table (page_id, html) that begin with a time.
+
+    Such a row has time, home, a sign, away, status, ..., book, three prices, margin. The league is the last row before it that begins otherwise and is no heading of columns.
+    Rows in play or finished, with fewer than nine cells, without a name or a price, give none.
+    """
+    cells = F.transform(F.regexp_extract_all("block", F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), plain)
+    x = blocks(pages, "tr").select("page_id", "pos", cells.alias("c")).where(F.size("c") > 0)
+    timed = F.col("c")[0].rlike(r"^\d{1,2}:\d{2}$")
+    head = F.trim(F.array_join("c", " "))
+    league = F.when(~timed & (head != "") & ~head.rlike("BN|Margin"), F.substring(head, 1, 160))
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("league", F.last(league, ignorenulls=True).over(w)).where(timed & (F.size("c") >= 9))
+    price = lambda back: F.try_element_at("c", F.lit(-back)).try_cast("double")
+    x = x.where(~F.col("c")[4].rlike(r"(?i)in-?play|finished") & (F.col("c")[1] != "") & (F.col("c")[3] != ""))
+    x = x.select("page_id", "pos", "league", F.col("c")[0].alias("clock"), F.col("c")[1].alias("home"), F.col("c")[3].alias("away"), F.try_element_at("c", F.lit(-5)).alias("book"), *[price(n).alias(k) for k, n in (("odds_home", 4), ("odds_draw", 3), ("odds_away", 2))])
+    return x.where("odds_home > 0 AND odds_draw > 0 AND odds_away > 0")
+
+
+def market_fields(rows: DataFrame, col: str = "after") -> DataFrame:
+    """The rows with under, over, prediction, home_score, away_score and average read from col, such as 43 57Over5 - 510.59.
+
+    A pair that does not add up to 100 gives none of them. Where only a pair is there, the first two neighbouring numbers that add up to 100, the others are null.
+    """
+    pattern = r"(?i)(?<!\d)(\d{1,3})%?\s+(\d{1,3})%?\s*(over|under)\s*(\d{1,2})\s*-\s*(\d{1,2}?)\s*(\d{1,2}\.\d{2})"
+    part = lambda n: F.regexp_extract(col, pattern, n)
+    numbers = F.transform(F.regexp_extract_all(col, F.lit(r"(?<!\d)(\d{1,3})%?(?!\d)"), F.lit(1)), lambda n: n.cast("int"))
+    pairs = F.filter(F.arrays_zip(numbers.alias("u"), F.slice(numbers, F.lit(2), F.greatest(F.size(numbers) - 1, F.lit(0))).alias("o")), lambda p: p["u"] + p["o"] == 100)
+    x = rows.withColumns({"_full": F.col(col).rlike(pattern), "_pair": F.try_element_at(pairs, F.lit(1))})
+    sums = part(1).try_cast("int") + part(2).try_cast("int") == 100
+    full = F.col("_full") & sums
+    pick = lambda n, k: F.when(full, part(n).try_cast("int")).when(~F.col("_full"), F.col("_pair")[k])
+    return x.withColumns({
+        "under": pick(1, "u"), "over": pick(2, "o"), "prediction": F.when(full, F.initcap(part(3))), "home_score": F.when(full, part(4).try_cast("int")),
+        "away_score": F.when(full, part(5).try_cast("int")), "average": F.when(full, part(6).try_cast("double")),
+    }).drop("_full", "_pair")
+
+
 def dedupe_observations(df: DataFrame, signature: Sequence[str]) -> DataFrame:
     """Identical repeated rows once; rows that differ in anything of the signature all stay."""
     return df.select(*signature).distinct()
