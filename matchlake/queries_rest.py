@@ -526,7 +526,7 @@ def x37_season_profile(spark, sf):
     return B.season_profile(s, F.expr(NOW)).drop("goals")
 
 
-@query("""SELECT s_suppkey AS team, CASE WHEN s_suppkey % 3 = 0 THEN 11.0 WHEN s_suppkey % 100 BETWEEN 20 AND 80 THEN CAST(s_suppkey % 100 AS DOUBLE) END AS possession, CASE WHEN s_suppkey % 3 = 0 THEN 22.0 ELSE 7.0 END AS shots, s_suppkey % 3 = 0 AS kept FROM supplier""")
+@query("""SELECT s_suppkey AS team, CASE WHEN s_suppkey % 3 = 0 THEN CAST(11.0 AS DOUBLE) WHEN s_suppkey % 100 BETWEEN 20 AND 80 THEN CAST(s_suppkey % 100 AS DOUBLE) END AS possession, CAST(CASE WHEN s_suppkey % 3 = 0 THEN 22.0 ELSE 7.0 END AS DOUBLE) AS shots, s_suppkey % 3 = 0 AS kept FROM supplier""")
 def x38_team_profile(spark, sf):
     """Every third team was profiled today; the others are picked from their stats anew."""
     k, now = F.col("s_suppkey"), F.expr(NOW)
