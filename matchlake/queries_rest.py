@@ -221,7 +221,7 @@ def m28_preserve(spark, sf):
     return S.preserve(base, x.where("event_id % 3 = 0").withColumn("home_goals", F.lit(99).cast("bigint")).withColumn("tournament", F.lit("old")), ["event_id"], ["home_goals"])
 
 
-@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'new' ELSE 'old' END AS league, CASE WHEN event_id % 3 = 0 THEN 2.5 ELSE 1.5 END AS home FROM results WHERE event_id % 2 = 0 OR event_id % 3 = 0""", ("results",))
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'new' ELSE 'old' END AS league, CAST(CASE WHEN event_id % 3 = 0 THEN 2.5 ELSE 1.5 END AS DOUBLE) AS home FROM results WHERE event_id % 2 = 0 OR event_id % 3 = 0""", ("results",))
 def m31_promote_authority(spark, sf):
     x = T.results(spark, sf)
     up = x.where("event_id % 3 = 0").select("event_id", (F.col("kickoff") + F.expr("INTERVAL 1 DAY")).alias("fetched_at"), F.lit("new").alias("league"), F.lit(2.5).alias("home"))
@@ -497,7 +497,7 @@ def x28_expected_days(spark, sf):
 
 
 @query("""+ t AS (SELECT event_id, 'club' || event_id AS h, 'town' || event_id AS a FROM results), u AS (SELECT 'http://x/club' || event_id || '-town' || (event_id + event_id % 2) AS url, event_id AS i FROM results)
-       SELECT event_id, url, CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE 0.5 END AS score FROM t JOIN u ON i = event_id""", ("results",))
+       SELECT event_id, url, CAST(CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE 0.5 END AS DOUBLE) AS score FROM t JOIN u ON i = event_id""", ("results",))
 def x29_choose_link(spark, sf):
     x = T.results(spark, sf)
     e = F.col("event_id")

@@ -274,7 +274,7 @@ def x34_fixture_evidence(spark, sf):
     return X.fixture_evidence(lines, targets, keys(0), keys(1).drop("competition")).withColumn("score", r6("score"))
 
 
-@query("""SELECT event_id, 55.0 AS home, CASE WHEN event_id % 2 = 0 THEN 45.0 END AS away, 0.94 AS floor FROM results""", ("results",))
+@query("""SELECT event_id, CAST(55 AS DOUBLE) AS home, CAST(CASE WHEN event_id % 2 = 0 THEN 45 END AS DOUBLE) AS away, CAST(0.94 AS DOUBLE) AS floor FROM results""", ("results",))
 def j18_j19_pick_pair_with_config(spark, sf):
     e = F.col("event_id")
     item = lambda p, k, h, a: F.struct(F.lit(p).alias("period"), F.lit(k).alias("key"), F.lit(h).alias("home"), a.alias("away"))
