@@ -298,7 +298,22 @@ def j21_compare_feeds(spark, sf):
     return L.compare_feeds(p.select("event_id").distinct(), feed(2), feed(3))
 
 
-@query()
+def name_sim_sql(a: str, b: str) -> str:
+    """`exprs.name_sim` of two names that are not null or blank."""
+    short, long_ = f"least(length({a}), length({b}))", f"greatest(length({a}), length({b}))"
+    return f"CASE WHEN {a} = {b} THEN 1 WHEN {short} >= 4 AND (contains({a}, {b}) OR contains({b}, {a})) THEN greatest(CAST(0.94 AS DOUBLE), {short} / {long_}) ELSE 1 - levenshtein({a}, {b}) / {long_} END"
+
+
+@query(
+    f"""+ n AS (SELECT c_custkey AS k, lower(c_name) AS name FROM customer), x AS (SELECT event_id, h.name AS home, a.name AS away, kickoff + to_minutes(event_id % 1440) AS kickoff FROM results JOIN n h ON h.k = home_id JOIN n a ON a.k = away_id),
+       r AS (SELECT event_id AS row_id, replace(home, '#', ' ') AS rh, away AS ra, kickoff + INTERVAL 5 MINUTES AS rk FROM x),
+       c AS (SELECT *, abs(epoch(rk) - epoch(kickoff)) AS gap FROM r JOIN x ON kickoff BETWEEN rk - INTERVAL 120 MINUTES AND rk + INTERVAL 120 MINUTES),
+       m AS (SELECT row_id, event_id, gap, {name_sim_sql("rh", "home")} AS hs, {name_sim_sql("ra", "away")} AS aws FROM c),
+       s AS (SELECT row_id, event_id, (hs + aws) / 2 * CAST(0.84 AS DOUBLE) + (1 - gap / 7200) * CAST(0.16 AS DOUBLE) AS score FROM m WHERE hs >= 0.58 AND aws >= 0.58),
+       o AS (SELECT *, row_number() OVER w AS n, lead(score) OVER w AS runner_up FROM s WINDOW w AS (PARTITION BY row_id ORDER BY score DESC, event_id))
+       SELECT row_id, event_id, round(score, 6) AS score, score >= 0.74 AND (score >= 0.90 OR coalesce(score - runner_up >= 0.06, true)) AS linked FROM o WHERE n = 1""",
+    ("results",),
+)
 def j4_link_fuzzy(spark, sf):
     res = T.results(spark, sf)
     names = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.lower("c_name").alias("name"))

@@ -10,7 +10,7 @@ from matchlake.operators import links as L
 from matchlake.operators import state as S
 from matchlake.plans import boards as B
 from matchlake.plans import models as M
-from matchlake.queries import query, r6
+from matchlake.queries import name_sim_sql, query, r6
 
 JUNE = "TIMESTAMP '1997-06-01 00:00:00'"
 
@@ -159,7 +159,16 @@ def x24_verified_pair(spark, sf):
     return B.verified_pair(pairs, [k.where("length(name) % 3 = 0"), k.where("length(name) % 3 < 2")])
 
 
-@query()
+@query(
+    f"""+ n AS (SELECT c_custkey AS k, lower(c_name) AS name FROM customer), x AS (SELECT event_id, h.name AS home, a.name AS away, tournament, kickoff FROM results JOIN n h ON h.k = home_id JOIN n a ON a.k = away_id),
+       c AS (SELECT r.event_id AS row_id, t.event_id, r.home AS rh, replace(r.away, 'customer', 'cust') AS ra, t.home, t.away FROM x r JOIN x t ON r.tournament = t.tournament AND r.kickoff = t.kickoff),
+       v AS (SELECT row_id, event_id, rh = home AS vh, EXISTS (SELECT 1 FROM n WHERE name = ra) AND ra = away AS va, {name_sim_sql("rh", "home")} AS hs, {name_sim_sql("ra", "away")} AS aws FROM c),
+       k AS (SELECT row_id, event_id, CASE WHEN vh <> va THEN 'ONE_SIDE' WHEN NOT vh AND NOT va AND least(hs, aws) >= 0.30 AND greatest(hs, aws) >= 0.70 THEN 'SIMILARITY' END AS kind FROM v),
+       u AS (SELECT *, count(*) OVER (PARTITION BY row_id, kind) AS a, count(*) OVER (PARTITION BY event_id, kind) AS b FROM k WHERE kind IS NOT NULL),
+       f AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY kind, row_id, event_id) AS i, row_number() OVER (PARTITION BY event_id ORDER BY kind, row_id, event_id) AS j FROM u WHERE a = 1 AND b = 1)
+       SELECT row_id, event_id, kind FROM f WHERE i = 1 AND j = 1""",
+    ("results",),
+)
 def j23_provisional_links(spark, sf):
     names = T.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.lower("c_name").alias("name"))
     x = T.results(spark, sf).join(names.withColumnRenamed("name", "home"), F.col("home_id") == F.col("k")).drop("k").join(names.withColumnRenamed("name", "away"), F.col("away_id") == F.col("k")).drop("k")
