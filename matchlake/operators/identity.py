@@ -189,7 +189,7 @@ def name_map(rows: DataFrame, blocked: Sequence[str] = ()) -> DataFrame:
 def competition_names(fixtures: DataFrame, renames: DataFrame) -> DataFrame:
     """Names of both sides for national teams: cohort teams left out, suffixes removed, renames (name, new_name) applied; one row per competition and name."""
     x = fixtures.select("tournament", "kickoff", F.explode(F.array("home", "away")).alias("name")).where(~F.lower("name").rlike(r"\bu-?(17|18|19|20|21|23)\b"))
-    x = x.withColumn("name", F.trim(F.regexp_replace("name", r"(?i)\s+(women|w|national team)$", ""))).join(F.broadcast(renames), "name", "left").withColumn("name", F.coalesce("new_name", "name"))
+    x = x.withColumn("name", F.trim(F.regexp_replace("name", r"(?i)\s+(women|w|national team)$", ""))).join(renames, "name", "left").withColumn("name", F.coalesce("new_name", "name"))
     return x.groupBy("tournament", E.name_key(F.col("name")).alias("name_key")).agg(F.min("name").alias("name"), F.min("kickoff").alias("first_seen"), F.max("kickoff").alias("last_seen"))
 
 
@@ -205,7 +205,7 @@ def cohort_equivalent(pairs: DataFrame, synonyms: DataFrame) -> DataFrame:
     """pairs (source, canonical, competition) with `same`: a U23 source and an AM canonical name of one country in a competition that mixes them."""
     bare = lambda c, p: F.trim(F.regexp_replace(F.lower(c), p, ""))
     x = pairs.withColumn("_s", bare("source", r"\s+u-?23$")).withColumn("_c", bare("canonical", r"\s+\(?am\)?$"))
-    x = x.join(F.broadcast(synonyms.select(F.col("name").alias("_s"), F.col("same_as").alias("_t"))), "_s", "left")
+    x = x.join(synonyms.select(F.col("name").alias("_s"), F.col("same_as").alias("_t")), "_s", "left")
     kinds = F.lower("source").rlike(r"u-?23$") & F.lower("canonical").rlike(r"\(?am\)?$")
     return x.select("source", "canonical", "competition", (kinds & (F.coalesce("_t", "_s") == F.col("_c"))).alias("same"))
 

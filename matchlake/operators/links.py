@@ -269,7 +269,7 @@ def present_in(targets: DataFrame, table: DataFrame, keys: Sequence[str]) -> Dat
 
 def anchor_coverage(anchors: DataFrame, sources: DataFrame, master: DataFrame, seen: DataFrame) -> DataFrame:
     """Each anchor (name_key) in each source (a small dimension): DIRECT_MASTER, GAP (seen, not mastered) or ABSENT."""
-    x = anchors.crossJoin(F.broadcast(sources))
+    x = anchors.crossJoin(sources)
     mark = lambda df, c: df.select("source", "name_key", F.lit(True).alias(c)).distinct()
     x = x.join(mark(master.where("status = 'VERIFIED'"), "_m"), ["source", "name_key"], "left").join(mark(seen, "_s"), ["source", "name_key"], "left")
     return x.select(*anchors.columns, "source", F.when(F.col("_m"), "DIRECT_MASTER").when(F.col("_s"), "GAP").otherwise("ABSENT").alias("coverage"))

@@ -86,9 +86,11 @@ def clean_history(parts: Sequence[DataFrame], now: Column, days: int = 540, cap:
     cols = [c for c in x.columns if c != "_n"]
     x = x.groupBy(F.to_date("kickoff").alias("_d"), "home_id", "away_id").agg(F.max(F.struct("_n", F.struct(*cols).alias("row"))).alias("r")).select("r.row.*")
     x = x.withColumn("_in", F.unix_seconds(now) - F.unix_seconds("kickoff") <= 86_400 * days)
-    w = Window.partitionBy("tournament")
-    x = x.withColumn("_any", F.max(F.col("_in").cast("int")).over(w) == 1).where(F.col("_in") | ~F.col("_any"))
-    return x.withColumn("_r", F.row_number().over(w.orderBy(F.desc("kickoff"), F.desc("event_id")))).where(F.col("_r") <= cap).drop("_in", "_any", "_r")
+    # An aggregate of its own, so that the window has its limit pushed below the shuffle: each task sends `cap` rows of a tournament at most.
+    any_ = x.groupBy(F.col("tournament").alias("_t")).agg(F.max("_in").alias("_any"))
+    x = x.join(any_, F.col("tournament").eqNullSafe(F.col("_t"))).where("_in OR NOT _any").drop("_in", "_any", "_t")
+    newest = Window.partitionBy("tournament").orderBy(F.desc("kickoff"), F.desc("event_id"))
+    return x.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= cap).drop("_r")
 
 
 def sparse_gate(predictions: DataFrame, columns: Sequence[str], games: str = "games", least: int = 10) -> DataFrame:

@@ -305,7 +305,7 @@ def reconcile_quotes(quotes: DataFrame, index: DataFrame) -> DataFrame:
 
 def pick_stat(stats: DataFrame, aliases: DataFrame) -> DataFrame:
     """Per event and target the value of the best path: equal to an alias before ending in one, then the shorter path."""
-    x = stats.join(F.broadcast(aliases), F.col("path").endswith(F.col("alias")))
+    x = stats.join(aliases, F.col("path").endswith(F.col("alias")))
     rank = F.struct(F.when(F.col("path") == F.col("alias"), 0).otherwise(1), F.length("path"), "path", "value")
     return x.groupBy("event_id", "target").agg(F.min(rank).alias("r")).select("event_id", "target", F.col("r.path").alias("path"), F.col("r.value").alias("value"))
 
@@ -363,7 +363,7 @@ def player_stats(payloads: DataFrame, keys: DataFrame, col: str = "payload") ->
     """Open-ended player stats to the stable names of a small key table (key, name, rank): the first known key of a name wins."""
     schema = "array<struct<id: string, stats: map<string, double>>>"
     x = payloads.select("event_id", F.inline(F.from_json(col, schema))).select("event_id", F.col("id").alias("player"), F.explode("stats").alias("key", "value"))
-    x = x.join(F.broadcast(keys), "key")
+    x = x.join(keys, "key")
     return x.groupBy("event_id", "player", "name").agg(F.min(F.struct("rank", "value"))["value"].alias("value"))
 
 
