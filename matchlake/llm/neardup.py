@@ -5,7 +5,7 @@ shingles. Two fixed permutations of 32-bit numbers, one shifted circularly by k,
 of the signature. Equal bands of coordinates make two documents candidates, and every link is
 confirmed on the full sets.
 
-Documents with equal sets are one class; only classes are banded. Within a bucket the classes are
+Documents with equal sets are one class, told apart by 128 bits of a digest and numbered; only classes are banded. Within a bucket the classes are
 first compared with the most central one; then only pairs that are still in different components
 are compared, in large buckets block by block, so a group of near copies costs few comparisons and
 rows for each of its members, and no link between components is left out.
@@ -74,9 +74,16 @@ def bands(signatures: np.ndarray) -> np.ndarray:
     return (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
 
 
-def class_of(hashes: np.ndarray) -> int:
-    """A number for a set: equal sets have equal ones."""
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def digest_of(hashes: np.ndarray) -> bytes:
+    """16 bytes for a set: equal sets have equal ones."""
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
+def halves(digests: list[bytes | None]) -> tuple[pa.Array, pa.Array]:
+    """Two columns of 64 bits for a list of digests; null for None."""
+    n = np.frombuffer(b"".join(d or bytes(16) for d in digests), np.int64).reshape(-1, 2)
+    none = np.array([d is None for d in digests], bool)
+    return pa.array(n[:, 0], mask=none), pa.array(n[:, 1], mask=none)
 
 
 def whole_texts(texts: pa.Array) -> Iterator[bytes]:
@@ -86,34 +93,34 @@ def whole_texts(texts: pa.Array) -> Iterator[bytes]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """id, k, n (size of the set), cls, bands for (id, text, k); without words n is 0 and cls null."""
+    """id, k, n (size of the set), d1, d2 (its digest), bands for (id, text, k); without words n is 0 and the digest null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, cls, signs = [], [], []
+            n, digests, signs = [], [], []
             for text in whole_texts(b.column(1)):
                 s = shingles(text)
                 n.append(len(s))
-                cls.append(class_of(s) if len(s) else None)
+                digests.append(digest_of(s) if len(s) else None)
                 signs.append(signature(s))
             hashes = bands(np.array(signs, np.uint32).reshape(-1, BANDS * ROWS)).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * BANDS), pa.array(hashes.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), lists], ["id", "k", "n", "cls", "bands"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), *halves(digests), lists], ["id", "k", "n", "d1", "d2", "bands"])
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, k bigint, n bigint, cls bigint, bands array<bigint>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, k bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>")
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """cls, hashes for (text)."""
+    """d1, d2, hashes for (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t) for t in whole_texts(b.column(0))]
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate([*found, np.empty(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([class_of(s) for s in found], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["cls", "hashes"])
+            yield pa.RecordBatch.from_arrays([*halves(list(map(digest_of, found))), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["d1", "d2", "hashes"])
 
-    return docs.mapInArrow(run, "cls bigint, hashes array<bigint>")
+    return docs.mapInArrow(run, "d1 bigint, d2 bigint, hashes array<bigint>")
 
 
 def similar(n_a: Column, n_b: Column, both: Column) -> Column:
@@ -207,18 +214,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     d = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("k", F.xxhash64("id", "text"))  # k is never null
     all_ = cut(sketches(d).withColumn("row", F.monotonically_increasing_id()), "sketches")
-    classes = cut(all_.where("n > 0").groupBy("cls").agg(F.min("id").alias("rep"), F.min("k").alias("k"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = all_.where("n > 0").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.min("k").alias("k"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     rows = classes.select(F.explode("bands").alias("h"), "cls", "n")
     shared = cut(rows.groupBy("h").agg(F.count("*").alias("m")).where("m > 1"), "shared")
     buckets = cut(rows.join(shared, "h"), "buckets")
     met = buckets.select("cls").distinct()
     wanted = met.join(classes.select("cls", "k"), "cls").select("k").distinct()
-    full = sets(d.join(wanted, "k", "left_semi").select("text")).dropDuplicates(["cls"]).join(classes.join(met, "cls", "left_semi").select("cls", "bands"), "cls")
-    full = cut(full, "shingle-sets")
+    full = sets(d.join(wanted, "k", "left_semi").select("text")).dropDuplicates(["d1", "d2"]).join(classes.join(met, "cls", "left_semi").select("d1", "d2", "cls", "bands"), ["d1", "d2"])
+    full = cut(full.select("cls", "hashes", "bands"), "shingle-sets")
     at = components(links(buckets, full)).select(F.col("id").alias("cls"), "component")
-    placed = classes.select("cls", "rep", "row").join(at, "cls", "left").select("cls", "rep", "row", F.coalesce("component", "cls").alias("component"))
+    placed = classes.select("d1", "d2", "cls", "rep", "row").join(at, "cls", "left").select("d1", "d2", "rep", "row", F.coalesce("component", "cls").alias("component"))
     least = placed.groupBy("component").agg(F.min("rep").alias("component_id"), F.min("row").alias("first"))
-    named = placed.join(least, "component").select("cls", "component_id", "first")
+    named = placed.join(least, "component").select("d1", "d2", "component_id", "first")
     component = F.coalesce("component_id", "id")
     kept = F.when(component.isNull() & F.col("first").isNotNull(), F.col("row") == F.col("first")).otherwise(component.eqNullSafe(F.col("id")))
-    return all_.join(named, "cls", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+    return all_.join(named, ["d1", "d2"], "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
