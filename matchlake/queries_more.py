@@ -550,6 +550,28 @@ def src19_reconcile_quotes(spark, sf):
     return X.reconcile_quotes(q, index).select("number", "id", "home")
 
 
+@query(
+    """SELECT CAST(event_id // 100 AS BIGINT) AS capture_id, 'i' || event_id AS source_id, 'n' || event_id AS number, tournament AS league, TIMESTAMP '1998-01-01 12:00:00' + to_minutes(event_id % 60) AS kickoff,
+         (200 + event_id * 13 % 400) / 100.0::DOUBLE AS home, CAST(3 AS DOUBLE) AS draw, (110 + event_id * 29 % 500) / 100.0::DOUBLE AS away
+       FROM results WHERE event_id % 5 > 0 AND event_id % 7 > 0 AND event_id % 11 > 0 AND event_id % 13 > 0 AND event_id % 17 > 0 AND event_id % 23 > 0""",
+    ("results",),
+)
+def src19_quotes_from_xml(spark, sf):
+    """Captures of a hundred events: some quotes have no price row, prices or clocks out of bounds or come twice, some index rows another id or come twice."""
+    every = lambda k, yes, no: f"CASE WHEN event_id % {k} = 0 THEN {yes} ELSE {no} END"
+    money = lambda low, k, m: f"format_string('%.2f', ({low} + event_id * {k} % {m}) / 100.0D)"
+    price = f"""concat('<row updatetime="', {every(23, "'1998-01-01 09:00:00'", "'1997-12-31 22:00:00'")}, '" win="', {every(5, "'0.50'", money(200, 13, 400))}, '" draw="3" lost="', {money(110, 29, 500)}, '"/>')"""
+    head = """concat('<m matchnum="n', event_id, '" id="i', event_id, '" home="h', home_id, '" away="a', away_id, '" league="', tournament, '">')"""
+    again = every(19, f"""concat({head}, '<row updatetime="1997-12-31 22:00:00" win="9" draw="9" lost="9"/></m>')""", "''")
+    quote = f"concat({head}, {every(17, chr(39) * 2, price)}, '</m>', {again})"
+    day = every(13, "'1998-01-06'", "'1998-01-01'")
+    row = f"""concat('<tr class="x" data-processname="n', event_id, '" data-id="', {every(7, "'other'", "concat('i', event_id)")}, '" data-matchdate="', {day}, '" data-matchtime="20:', lpad(event_id % 60, 2, '0'), '"><td>x</td></tr>')"""
+    rows = f"concat({row}, {every(11, row, chr(39) * 2)})"
+    joined = lambda e: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", F.expr(e).alias("e")))), lambda x: x["e"]), "")
+    captures = T.results(spark, sf).groupBy(F.expr("event_id DIV 100").alias("capture_id")).agg(F.concat(F.lit("<xml>"), joined(quote), F.lit("</xml>")).alias("xml"), F.concat(F.lit("<table>"), joined(rows), F.lit("</table>")).alias("html"))
+    return X.quotes_from_xml(captures, F.expr("TIMESTAMP '1998-01-01 00:00:00'")).select("capture_id", "source_id", "number", "league", "kickoff", "home", "draw", "away")
+
+
 @query(
     """+ e AS (SELECT DISTINCT event_id AS row_id, CASE event_id % 5 WHEN 0 THEN NULL ELSE 0.5 + event_id % 6 / 10.0 END AS hs, 0.6 + event_id % 4 / 10.0 AS as_ FROM results)
        SELECT row_id, CASE WHEN hs IS NULL THEN 'NO_CANDIDATE' WHEN least(hs, as_) >= 0.9 THEN 'CLOCK' WHEN greatest(hs, as_) >= 0.9 AND least(hs, as_) < 0.66 THEN 'ONE_SIDE' WHEN least(hs, as_) >= 0.66 THEN 'BELOW_SCORE' ELSE 'DIFFERENT' END AS reason FROM e""",

@@ -303,6 +303,33 @@ def reconcile_quotes(quotes: DataFrame, index: DataFrame) -> DataFrame:
     return quotes.where(ok).join(once, ["number", "id"])
 
 
+#: Fields of a quote in a capture's XML, and attributes of a row in its HTML.
+QUOTE_XML = "m array<struct<_matchnum string, _id string, _home string, _away string, _league string, row array<struct<_updatetime string, _win string, _draw string, _lost string>>>>"
+INDEX_HTML = {"number": "data-processname", "index_id": "data-id", "day": "data-matchdate", "clock": "data-matchtime"}
+
+
+def quotes_from_xml(captures: DataFrame, now: Column, key: str = "capture_id", xml: str = "xml", html: str = "html") -> DataFrame:
+    """Per capture the quotes of its XML that the rows of its HTML confirm: key, source_id, number, home_name, away_name, league, kickoff, updated_at, home, draw, away.
+
+    The first quote of a number counts; its id must be that of the one row of that number. Kickoff is from 2 h before to 48 h after `now`, the quote at most
+    5 minutes after it, and prices from 1.01 to 100; clocks without a zone are local. What cannot be read, a null document too, gives no quote.
+    """
+    q = captures.select(key, F.posexplode(F.from_xml(F.col(xml), F.lit(QUOTE_XML))["m"]).alias("pos", "m")).where("m._matchnum <> ''")
+    first = q.groupBy(key, F.col("m._matchnum").alias("number")).agg(F.min_by("m", "pos").alias("m")).withColumn("q", F.get("m.row", F.lit(0)))
+    tags = captures.select(key, F.explode(F.regexp_extract_all(html, F.lit(r"(?is)(<tr\b[^>]*>)"), F.lit(1))).alias("tag"))
+    rows = tags.select(key, *[F.regexp_extract("tag", rf"(?is)\s{a}\s*=\s*[\"']([^\"']*)[\"']", 1).alias(c) for c, a in INDEX_HTML.items()]).where("number <> '' AND day <> '' AND clock <> ''")
+    once = rows.groupBy(key, "number").agg(F.count("*").alias("n"), F.min("index_id").alias("index_id"), F.min(F.concat_ws(" ", "day", "clock")).alias("at")).where("n = 1")
+    x = first.join(once, [key, "number"]).where("m._id <> '' AND m._id = index_id").select(
+        key, F.col("m._id").alias("source_id"), "number", F.col("m._home").alias("home_name"), F.col("m._away").alias("away_name"), F.col("m._league").alias("league"),
+        E.parse_ts(F.col("at")).alias("kickoff"), E.parse_ts(F.col("q._updatetime")).alias("updated_at"), *[F.col(f"q._{c}").try_cast("double").alias(n) for c, n in (("win", "home"), ("draw", "draw"), ("lost", "away"))],
+    )
+    age = F.unix_seconds("kickoff") - F.unix_seconds(now)
+    ok = age.between(-7200, 172_800) & (F.unix_seconds("updated_at") <= F.unix_seconds(now) + 300)
+    for c in ("home", "draw", "away"):
+        ok = ok & F.col(c).between(1.01, 100)
+    return x.where(ok)
+
+
 def pick_stat(stats: DataFrame, aliases: DataFrame) -> DataFrame:
     """Per event and target the value of the best path: equal to an alias before ending in one, then the shorter path."""
     x = stats.join(aliases, F.col("path").endswith(F.col("alias")))
