@@ -79,3 +79,11 @@ def test_signatures_estimate_similarity():
     x = np.random.default_rng(1).integers(0, 2**63, 3000).astype(np.uint64)
     a, b = neardup.signature(x[:2000], 2000), neardup.signature(x[500:2500], 2000)
     assert abs((a == b).mean() - 1500 / 2500) < 0.05
+
+
+def test_digests_have_128_bits():
+    some = [neardup.digest_of(np.array(x, np.uint64)) for x in ([1], [2], [1, 2], [1])]
+    d1, d2 = neardup.halves([*some, None])
+    assert all(len(d) == 16 for d in some) and len(set(some)) == len(set(d1[:4].to_pylist())) == len(set(d2[:4].to_pylist())) == 3
+    assert d1[4].as_py() is None and d2[4].as_py() is None and (d1[0], d2[0]) == (d1[3], d2[3])
+    assert [len(x) for x in neardup.halves([])] == [0, 0]
