@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, neardup, packing, quality, repeats, secrets, sharding, tokens, urls, vectors
+from matchlake.llm import mixing, neardup, packing, pieces, quality, repeats, secrets, sharding, tokens, urls, vectors
 from matchlake.llm.scratch import with_workers
 
 
@@ -30,6 +30,14 @@ def vocabulary(name: str) -> str:
         return f.read()
 
 
+def model_file(name: str) -> bytes:
+    """A public model, read on the driver; tasks get it by broadcast."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -77,6 +85,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pieces.round_trip(table(spark, sf_dir, "documents"), model_file("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 #: The measurements and failures of every document as common table expressions; words, lines and windows as in `quality`.
 BOOK_SQL = r"""
 d AS (
@@ -192,7 +206,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, quality_ablations, pipeline)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, op12_pieces, quality_ablations, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
