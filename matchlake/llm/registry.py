@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlake.llm import mixing, neardup, packing, pieces, quality, repeats, secrets, sharding, tokens, urls, vectors
+from matchlake.llm import mixing, neardup, negatives, packing, phrases, pieces, quality, repeats, secrets, sharding, tokens, urls, vectors
 from matchlake.llm.scratch import with_workers
 
 
@@ -85,12 +85,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", shifted), F.col("vec_id") % 100 == 0)
+
+
 def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pieces.round_trip(table(spark, sf_dir, "documents"), model_file("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 #: The measurements and failures of every document as common table expressions; words, lines and windows as in `quality`.
 BOOK_SQL = r"""
 d AS (
@@ -199,6 +208,54 @@ SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM hosts h LEFT JOIN (SELECT * FROM fits WHERE r = 1) f ON h.page_id = f.page_id
 """
 
+OP11_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS r FROM scores WHERE same) WHERE r <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scores n ON n.anchor_id = p.anchor_id AND NOT n.same AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), places AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), grams AS (
+  SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z FROM places
+), f1 AS (SELECT lang, x, count(*) AS f FROM grams GROUP BY ALL),
+f2 AS (SELECT lang, x, y, count(*) AS f FROM grams WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, x, y, z, count(*) AS f FROM grams WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+two AS (
+  SELECT p.lang, p.x || ' ' || p.y AS phrase, p.f AS a, u.f AS l, v.f AS r, CAST(1000000::HUGEINT * p.f * p.f // (u.f::HUGEINT * v.f) AS BIGINT) AS score
+  FROM f2 p JOIN f1 u ON u.lang = p.lang AND u.x = p.x JOIN f1 v ON v.lang = p.lang AND v.x = p.y
+  WHERE NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.x = p.x AND t.y = p.y AND 100 * t.f >= 50 * p.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = p.lang AND t.y = p.x AND t.z = p.y AND 100 * t.f >= 50 * p.f)
+), cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.f AS a, u.f AS l1, back.f AS r1, front.f AS l2, v.f AS r2,
+         1000000::HUGEINT * t.f * t.f // (u.f::HUGEINT * back.f) AS s1, 1000000::HUGEINT * t.f * t.f // (front.f::HUGEINT * v.f) AS s2
+  FROM f3 t JOIN f1 u ON u.lang = t.lang AND u.x = t.x JOIN f1 v ON v.lang = t.lang AND v.x = t.z
+  JOIN f2 front ON front.lang = t.lang AND front.x = t.x AND front.y = t.y JOIN f2 back ON back.lang = t.lang AND back.x = t.y AND back.y = t.z
+), every AS (
+  SELECT * FROM two UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, CAST(least(s1, s2) AS BIGINT) FROM cuts
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM every
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -206,8 +263,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, op12_pieces, quality_ablations, pipeline)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_packing, op3_mixing, op4_near_vectors, op5_url_filter, op6_quality_rules, op7_minhash, op8_token_counts, op9_repeats, op10_sharding, op11_hard_negatives, op12_pieces, op13_collocations, quality_ablations, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": OP3_SQL, "op4_near_vectors": OP4_SQL, "op7_minhash": OP7_SQL, "op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL, "quality_ablations": QUALITY_ABLATIONS_SQL}
+    return {"op3_mixing": OP3_SQL, "op4_near_vectors": OP4_SQL, "op7_minhash": OP7_SQL, "op11_hard_negatives": OP11_SQL, "op13_collocations": OP13_SQL, "op5_url_filter": OP5_SQL, "op6_quality_rules": OP6_SQL, "quality_ablations": QUALITY_ABLATIONS_SQL}
