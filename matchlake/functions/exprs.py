@@ -92,10 +92,17 @@ def token_sim(a: Column, b: Column) -> Column:
     return F.when(F.exists(both, lambda w: F.length(w).between(3, 4)), F.greatest(dice, F.lit(0.92))).otherwise(dice)
 
 
-def core_sim(a: Column, b: Column, stop: Sequence[str] = ("fc", "cf", "club", "de", "the")) -> Column:
+#: Words of clubs' names that tell nothing. Fixed values.
+STOP = ("fc", "cf", "club", "de", "the")
+
+
+def core_tokens(c: Column, stop: Sequence[str] = STOP) -> Column:
+    return F.array_except(tokens(c), F.array(*[F.lit(s) for s in stop]))
+
+
+def core_sim(a: Column, b: Column, stop: Sequence[str] = STOP) -> Column:
     """.82 of the Jaccard coefficient of the words without stop words, and .18 if one set holds the other."""
-    drop = F.array(*[F.lit(s) for s in stop])
-    x, y = F.array_except(tokens(a), drop), F.array_except(tokens(b), drop)
+    x, y = core_tokens(a, stop), core_tokens(b, stop)
     both, all_ = F.size(F.array_intersect(x, y)), F.size(F.array_union(x, y))
     subset = (both == F.least(F.size(x), F.size(y))) & (both > 0)
     return F.when(all_ > 0, F.lit(0.82) * both / all_ + F.when(subset, 0.18).otherwise(0.0)).otherwise(0.0)

@@ -59,6 +59,12 @@ def sequence_sim(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([likeness(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+@F.pandas_udf(DoubleType())
+def plain_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The sequence ratio alone."""
+    return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
 def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """df with the likeness of two columns, found once for each distinct pair of values; null-safe."""
     pairs = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct().withColumn(name, sequence_sim("_a", "_b"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
+from matchlake.operators import likeness as K
 from matchlake.operators import rollups, state
 
 
@@ -266,17 +267,40 @@ def gap_priority(gaps: DataFrame) -> DataFrame:
     return g.withColumn("priority", F.when(F.col("class") == "IDENTITY_KNOWN", 1).when(F.col("n") >= 10, 2).otherwise(3))
 
 
-def discover_dataset(fixtures: DataFrame, datasets: DataFrame, floor: float = 0.82) -> DataFrame:
-    """The dataset (dataset, name) that holds names like both of a fixture's, the better of several; only names that share a word are compared."""
-    words = lambda df, c: df.withColumn("w", F.explode(E.tokens(E.fold_name(F.col(c)))))
-    names = words(datasets.distinct(), "name")
-    best = None
-    for side in ("home", "away"):
-        c = words(fixtures.select("event_id", side), side).join(names, "w").select("event_id", side, "dataset", "name").distinct()
-        b = c.groupBy("event_id", "dataset").agg(F.max(E.name_sim(E.fold_name(F.col(side)), E.fold_name(F.col("name")))).alias(f"s_{side}"))
-        best = b if best is None else best.join(b, ["event_id", "dataset"])
-    x = best.withColumn("score", (F.col("s_home") + F.col("s_away")) / 2).where((F.least("s_home", "s_away") >= 0.78) & (F.col("score") >= floor))
-    return x.groupBy("event_id").agg(F.max(F.struct("score", "dataset")).alias("b")).select("event_id", "b.dataset", "b.score")
+def discover_dataset(fixtures: DataFrame, datasets: DataFrame, master: DataFrame | None = None, blocked: DataFrame | None = None, measure: str = "edit") -> DataFrame:
+    """event_id, dataset, home_name, away_name, score, path: the dataset that holds both of a fixture's names; one row per fixture.
+
+    fixtures: event_id, home, away, competition; datasets: dataset, name, competition (null: for all competitions that have no dataset of their own, which alone serve theirs).
+    master (source_name, canonical) holds verified names: a dataset that has both sides' is VERIFIED with score 1, the smallest of several. Otherwise each side's best name in a
+    dataset counts by the profile `history` (DISCOVERED from a mean of .82, the best of several datasets, then the smallest), but not if it is blocked (name),
+    verified for another club, or the same for both sides. NONE otherwise. Candidates come out of the name index, so no name above the floor is missed.
+    """
+    profile = K.PROFILES["history"]
+    key = E.fold_name
+    sets = datasets.select("dataset", "name", key(F.col("name")).alias("k"), F.col("competition").alias("scope")).distinct()
+    own = sets.where("scope IS NOT NULL").select(F.col("scope").alias("competition"), F.lit(True).alias("special")).distinct()
+    f = fixtures.join(own, "competition", "left").select("event_id", key(F.col("home")).alias("hk"), key(F.col("away")).alias("ak"), F.when(F.col("special"), F.col("competition")).alias("scope"))
+    known = (master if master is not None else fixtures.sparkSession.createDataFrame([], "source_name string, canonical string")).select(key(F.col("source_name")).alias("source"), key(F.col("canonical")).alias("canonical"))
+    reverse = known.groupBy("canonical").agg(F.min("source").alias("source"))
+    forward = known.groupBy("source").agg(F.min("canonical").alias("canonical"))
+    # The dataset's spelling of each key, one of several.
+    spelt = sets.groupBy("dataset", "scope", "k").agg(F.min("name").alias("name"))
+    direct = lambda c: f.join(reverse, F.col(c) == F.col("canonical")).join(spelt.withColumnRenamed("scope", "_s"), (F.col("source") == F.col("k")) & F.col("scope").eqNullSafe(F.col("_s"))).select("event_id", "dataset", F.col("name").alias(f"{c}_name"))
+    verified = direct("hk").join(direct("ak"), ["event_id", "dataset"]).where("hk_name <> ak_name").groupBy("event_id").agg(F.min(F.struct("dataset", "hk_name", "ak_name")).alias("v"))
+
+    names = f.select(F.col("hk").alias("name")).union(f.select("ak"))
+    like = K.similar_names(names, spelt.select(F.col("k").alias("name")), profile.floor - profile.margin, measure)
+    best = K.best_names(like.join(spelt, F.col("right") == F.col("k")).select("dataset", "scope", "left", "right", "score", "name"), profile, ["dataset"]).where("accepted")
+    bad = (blocked if blocked is not None else fixtures.sparkSession.createDataFrame([], "name string")).select(key(F.col("name")).alias("right")).distinct()
+    best = best.join(bad, "right", "left_anti").join(forward.withColumnRenamed("source", "right"), "right", "left").where(F.col("canonical").isNull() | (F.col("canonical") == F.col("left")))
+    side = lambda c: best.select("dataset", F.col("scope").alias("_s"), F.col("left").alias(c), F.col("name").alias(f"{c}_name"), F.col("score").alias(f"{c}_score"))
+    c = f.join(side("hk"), "hk").where(F.col("scope").eqNullSafe(F.col("_s"))).drop("_s").join(side("ak").drop("_s"), ["dataset", "ak"]).where("hk_name <> ak_name")
+    c = c.withColumn("score", (F.col("hk_score") + F.col("ak_score")) / 2).where(F.col("score") >= profile.accept)
+    found = c.groupBy("event_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "dataset", "hk_name", "ak_name")).alias("d"))
+    x = fixtures.select("event_id").join(verified, "event_id", "left").join(found, "event_id", "left")
+    pick = lambda c: F.coalesce(F.col(f"v.{c}"), F.col(f"d.{c}"))
+    path = F.when(F.col("v").isNotNull(), "VERIFIED").when(F.col("d").isNotNull(), "DISCOVERED").otherwise("NONE")
+    return x.select("event_id", pick("dataset").alias("dataset"), pick("hk_name").alias("home_name"), pick("ak_name").alias("away_name"), F.when(F.col("v").isNotNull(), 1.0).otherwise(-F.col("d.s")).alias("score"), path.alias("path"))
 
 
 def alias_names(bilingual: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
+from matchlake.operators import likeness as K
 from matchlake.operators import links, rollups, state
 
 
@@ -142,13 +143,44 @@ def scenarios(fixtures: DataFrame, consensus: DataFrame, form: DataFrame) -> Dat
     return x.select("event_id", F.explode(F.array(*[F.lit(s) for s in SEGMENTS])).alias("segment"), "pick", F.col("m.side").alias("expected"), F.col("m.basis").alias("basis"), cover.alias("coverage"))
 
 
-def power_feed(fixtures: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Ratings of both sides by exact folded name, and which are there."""
-    r = ratings.groupBy(E.exact_name(F.col("name")).alias("k")).agg(F.max("rating").alias("rating"))
-    side = lambda s: r.select(F.col("k").alias(f"_{s}"), F.col("rating").alias(f"{s}_rating"))
-    x = fixtures.withColumn("_home", E.exact_name(F.col("home"))).withColumn("_away", E.exact_name(F.col("away"))).join(side("home"), "_home", "left").join(side("away"), "_away", "left")
-    h, a = F.col("home_rating").isNotNull(), F.col("away_rating").isNotNull()
-    return x.select("event_id", "home_rating", "away_rating", F.when(h & a, "BOTH").when(h, "HOME_ONLY").when(a, "AWAY_ONLY").otherwise("NONE").alias("coverage"))
+def match_ratings(names: DataFrame, ratings: DataFrame, master: DataFrame | None = None, measure: str = "edit") -> DataFrame:
+    """name, club, rating, match: the rating of each distinct name that has one, and how well it fits.
+
+    A name verified for a club (master: canonical, source_name) scores 1 by its folded form and .995 without spaces; the name itself 1 and .99. The rest go through the
+    name index by the profile `rating`: the measure or the likeness of their words, whichever is higher, from .90 on if it leads the next club by .025.
+    ratings: name, rating; of one club the highest.
+    """
+    profile = K.PROFILES["rating"]
+    squeeze = lambda c: F.regexp_replace(c, " ", "")
+    r = ratings.select(E.fold_name(F.col("name")).alias("k"), F.struct("rating", "name").alias("r")).where("k <> ''").groupBy("k").agg(F.max("r").alias("r")).select("k", "r.rating", F.col("r.name").alias("club"))
+    small = r.groupBy(squeeze(F.col("k")).alias("small")).agg(F.max(F.struct("rating", "club")).alias("s"))
+    n = names.select("name").distinct().withColumn("k", E.fold_name(F.col("name"))).where("k <> ''")
+    known = (master if master is not None else names.sparkSession.createDataFrame([], "canonical string, source_name string")).groupBy(E.fold_name(F.col("canonical")).alias("k")).agg(F.min(E.fold_name(F.col("source_name"))).alias("v"))
+    x = n.join(known, "k", "left")
+    tiers = None
+    for form, exact, squeezed in (("v", 1.0, 0.995), ("k", 1.0, 0.99)):
+        x = x.join(r.select(F.col("k").alias(form), F.struct("rating", "club").alias("_r")), form, "left").withColumn("_small", squeeze(F.col(form))).join(small.select(F.col("small").alias("_small"), F.col("s").alias("_s")), "_small", "left")
+        here = [F.when(F.col("_r").isNotNull(), F.struct(F.col("_r.rating"), F.col("_r.club"), F.lit(exact).alias("match"))), F.when(F.col("_s").isNotNull(), F.struct(F.col("_s.rating"), F.col("_s.club"), F.lit(squeezed).alias("match")))]
+        x = x.withColumn(f"t_{form}", F.coalesce(*here)).drop("_r", "_s", "_small")
+        tiers = F.col(f"t_{form}") if tiers is None else F.coalesce(tiers, F.col(f"t_{form}"))
+    x = x.select("name", "k", tiers.alias("t"))
+    unseen, clubs = x.where("t IS NULL").select(F.col("k").alias("name")), r.select(F.col("k").alias("name"))
+    floor = profile.floor - profile.margin
+    pairs = K.similar_names(unseen, clubs, floor, measure, contained=None).union(K.core_pairs(unseen, clubs, floor)).groupBy("left", "right").agg(F.max("score").alias("score"))
+    best = K.best_names(pairs, profile).where("accepted").join(r, F.col("right") == F.col("k")).select(F.col("left").alias("k"), F.struct("rating", "club", F.col("score").alias("match")).alias("f"))
+    t = F.coalesce("t", "f")
+    return x.join(best, "k", "left").where(t.isNotNull()).select("name", t["club"].alias("club"), t["rating"].alias("rating"), t["match"].alias("match"))
+
+
+def power_feed(fixtures: DataFrame, ratings: DataFrame, master: DataFrame | None = None, measure: str = "edit") -> DataFrame:
+    """Each fixture with the rating, club and match of both sides, and which are there (BOTH, HOME_ONLY, AWAY_ONLY, NONE). Each distinct name is looked up once."""
+    names = fixtures.select(F.col("home").alias("name")).union(fixtures.select("away"))
+    found = match_ratings(names, ratings, master, measure)
+    side = lambda s: found.select(F.col("name").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("rating", "club", "match")])
+    x = fixtures.join(side("home"), "home", "left").join(side("away"), "away", "left")
+    h, a = F.col("home_match").isNotNull(), F.col("away_match").isNotNull()
+    columns = [f"{s}_{c}" for s in ("home", "away") for c in ("rating", "club", "match")]
+    return x.select("event_id", *columns, F.when(h & a, "BOTH").when(h, "HOME_ONLY").when(a, "AWAY_ONLY").otherwise("NONE").alias("coverage"))
 
 
 def near_miss(best: DataFrame) -> DataFrame:

@@ -317,19 +317,6 @@ def md9_scenarios_form(spark, sf):
     return C.scenarios(res, p, M.team_form_summary(res, res))
 
 
-@query(
-    """+ r AS (SELECT lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) AS k, max(c_acctbal) AS rating FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1), n AS (SELECT c_custkey AS i, lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) AS k FROM customer)
-       SELECT e.event_id, a.rating AS home_rating, b.rating AS away_rating, CASE WHEN a.k IS NOT NULL AND b.k IS NOT NULL THEN 'BOTH' WHEN a.k IS NOT NULL THEN 'HOME_ONLY' WHEN b.k IS NOT NULL THEN 'AWAY_ONLY' ELSE 'NONE' END AS coverage
-       FROM results e JOIN n h ON h.i = home_id JOIN n w ON w.i = away_id LEFT JOIN r a ON a.k = h.k LEFT JOIN r b ON b.k = w.k""",
-    ("results",),
-)
-def md17_power_feed(spark, sf):
-    c = T.table(spark, sf, "customer")
-    name = lambda s: c.select(F.col("c_custkey").alias(f"{s}_id"), F.col("c_name").alias(s))
-    f = T.results(spark, sf).join(name("home"), "home_id").join(name("away"), "away_id")
-    return C.power_feed(f, c.where("c_custkey % 3 > 0").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("rating")))
-
-
 @query(
     f"""+ x AS (SELECT *, row_number() OVER (PARTITION BY CAST(kickoff AS DATE), home_id, away_id ORDER BY event_id DESC) AS n FROM results), y AS (SELECT *, epoch({NOW}) - epoch(kickoff) <= 540 * 86400 AS i FROM x WHERE n = 1)
         SELECT event_id FROM (SELECT *, row_number() OVER (PARTITION BY tournament ORDER BY kickoff DESC, event_id DESC) AS r FROM y WHERE i) WHERE r <= 700""",

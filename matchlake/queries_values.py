@@ -233,47 +233,6 @@ def x49_provider_stats(spark, sf):
     return X.collect_evidence(p, {"one": "p", "two": "li"})[1]
 
 
-SIM = "CASE WHEN a = b THEN 1.0 WHEN contains(a, b) OR contains(b, a) THEN greatest(CAST(0.94 AS DOUBLE), least(length(a), length(b)) / greatest(length(a), length(b))) ELSE CAST(1 AS DOUBLE) - levenshtein(a, b) / greatest(length(a), length(b)) END"
-
-
-@query(f"""+ n AS (SELECT 'team ' || i AS name, i % 3 AS dataset FROM range(40) t(i)), s AS (SELECT a, dataset, max(s) AS s FROM (SELECT x.name AS a, y.name AS b, y.dataset, {SIM.replace('a = b', 'x.name = y.name').replace('contains(a, b)', 'contains(x.name, y.name)').replace('contains(b, a)', 'contains(y.name, x.name)').replace('length(a)', 'length(x.name)').replace('length(b)', 'length(y.name)').replace('levenshtein(a, b)', 'levenshtein(x.name, y.name)')} AS s FROM n x, n y) GROUP BY 1, 2),
-       c AS (SELECT event_id, h.dataset, (h.s + w.s) / 2 AS score FROM results r JOIN s h ON h.a = 'team ' || home_id JOIN s w ON w.a = 'team ' || away_id AND w.dataset = h.dataset WHERE least(h.s, w.s) >= 0.78 AND (h.s + w.s) / 2 >= 0.82)
-       SELECT event_id, max(struct_pack(s := score, d := dataset)).d AS dataset, round(max(score), 6) AS score FROM c GROUP BY 1""", ("results",))
-def md5_discover_dataset(spark, sf):
-    from matchlake.plans import boards as B
-
-    x = T.results(spark, sf).select("event_id", *[F.concat(F.lit("Team "), f"{s}_id").alias(s) for s in ("home", "away")])
-    names = T.results(spark, sf).select(F.explode(F.array("home_id", "away_id")).alias("i")).distinct().select((F.col("i") % 3).alias("dataset"), F.concat(F.lit("Team "), "i").alias("name"))
-    return B.discover_dataset(x, names).select("event_id", "dataset", r6("score").alias("score"))
-
-
-@query(f"""+ n AS (SELECT i, 'alpha' || i || ' beta' || (i % 7) AS a FROM range(40) t(i)), s AS (SELECT i, j, {SIM} AS s FROM n, (SELECT i AS j, a AS b FROM n)),
-       l AS (SELECT DISTINCT home_id AS h, away_id AS w FROM results WHERE event_id % 2 = 0), p AS (SELECT DISTINCT home_id, away_id FROM results),
-       c AS (SELECT home_id, away_id, 'u' || h || '-' || w AS url, (x.s + y.s) / 2 AS score FROM p JOIN s x ON x.i = home_id AND x.j % 7 = home_id % 7 JOIN s y ON y.i = away_id JOIN l ON l.h = x.j AND l.w = y.j WHERE least(x.s, y.s) >= 0.68 AND (x.s + y.s) / 2 >= 0.76),
-       b AS (SELECT home_id, away_id, min(struct_pack(s := -score, u := url)) AS b FROM c GROUP BY 1, 2)
-       SELECT event_id, b.u AS url, round(-b.s, 6) AS score FROM results JOIN b USING (home_id, away_id)""", ("results",))
-def x45_discover_urls(spark, sf):
-    """Targets of the same two teams are one; the listing has the pairs of even events. Names that share no word are not compared."""
-    x = T.results(spark, sf)
-    name = lambda s: F.concat(F.lit("Alpha"), f"{s}_id", F.lit(" Beta"), F.col(f"{s}_id") % 7).alias(s)
-    named = lambda df: df.select("home_id", "away_id", name("home"), name("away")).distinct()
-    pairs = named(x).withColumn("event_id", F.concat_ws("-", "home_id", "away_id"))
-    urls = X.discover_urls(named(x.where("event_id % 2 = 0")).withColumn("url", F.concat(F.lit("u"), "home_id", F.lit("-"), "away_id")), pairs)
-    found = pairs.join(urls, "event_id").select("home_id", "away_id", "url", r6("score").alias("score"))
-    return x.select("event_id", "home_id", "away_id").join(found, ["home_id", "away_id"]).select("event_id", "url", "score")
-
-
-@query("""SELECT event_id, 'Home' || event_id AS source_home, 'Away' || event_id AS source_away, CASE event_id % 3 WHEN 1 THEN CAST(0.995 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS score, CASE event_id % 3 WHEN 0 THEN 'CONTEXT_VERIFIED' ELSE 'VERIFIED' END AS status, CASE event_id % 3 WHEN 0 THEN 'CONTEXT' WHEN 1 THEN 'GLOBAL' ELSE 'DISCOVERY' END AS path FROM results""", ("results",))
-def x34_fixture_evidence(spark, sf):
-    """A page for each event with its two names some lines apart: a third known in their competition, a third everywhere, the rest by likeness."""
-    x = T.results(spark, sf)
-    name = lambda s: F.concat(F.lit(s), "event_id")
-    lines = x.select(F.col("event_id").alias("doc_id"), F.posexplode(F.array(F.lit("League"), name("Home"), F.lit("21:00"), name("Away"))).alias("pos", "line"), F.col("tournament").alias("competition"))
-    keys = lambda part: x.where(f"event_id % 3 = {part}").select(F.col("tournament").alias("competition"), F.explode(F.array(*[F.struct(F.lower(name(s)).alias("name_key"), F.concat(F.lit(s[0]), "event_id").alias("entity")) for s in ("Home", "Away")])).alias("r")).select("competition", "r.*")
-    targets = x.select("event_id", name("Home").alias("home"), name("Away").alias("away"), F.concat(F.lit("H"), "event_id").alias("home_key"), F.concat(F.lit("A"), "event_id").alias("away_key"))
-    return X.fixture_evidence(lines, targets, keys(0), keys(1).drop("competition")).withColumn("score", r6("score"))
-
-
 @query("""SELECT event_id, CAST(55 AS DOUBLE) AS home, CAST(CASE WHEN event_id % 2 = 0 THEN 45 END AS DOUBLE) AS away, CAST(0.94 AS DOUBLE) AS floor FROM results""", ("results",))
 def j18_j19_pick_pair_with_config(spark, sf):
     e = F.col("event_id")

@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType, StructType
 from pyspark.sql.utils import AnalysisException
 
 from matchlake.functions import exprs as E
+from matchlake.functions.names import sequence_sim
+from matchlake.operators import likeness as K
 
 
 def read_feed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
@@ -155,40 +157,39 @@ def collect_evidence(pages: DataFrame, providers: dict[str, str]) -> tuple[DataF
     return both, stats.groupBy("provider").agg(F.count("*").alias("attempted"), F.count("n").alias("successful"), F.coalesce(F.sum("n"), F.lit(0)).alias("parsed"))
 
 
-def discover_urls(rows: DataFrame, targets: DataFrame, similarity=E.name_sim, floor: float = 0.68, accept: float = 0.76) -> DataFrame:
-    """event_id, url, score: the detail page whose listed names fit a target's best; rows and targets meet by a word of the home name.
+def discover_urls(rows: DataFrame, targets: DataFrame, measure: str = "edit") -> DataFrame:
+    """event_id, url, score: the detail page whose listed names fit a target's best, by the profile `listing`, out of the name index.
 
-    rows: url, home, away; targets: event_id, home, away. Of equal scores the smallest url.
+    rows: url, home, away; targets: event_id, home, away. Of equal scores the smallest url. Targets without a page are left out.
     """
-    words = lambda df, c: F.explode(E.tokens(E.fold_name(F.col(c))))
-    r = rows.where("url IS NOT NULL AND home IS NOT NULL AND away IS NOT NULL").select("url", F.col("home").alias("rh"), F.col("away").alias("ra"), words(rows, "home").alias("w")).distinct()
-    c = targets.select("event_id", "home", "away", words(targets, "home").alias("w")).join(r, "w").drop("w").distinct()
-    c = c.withColumn("hs", similarity(E.fold_name(F.col("rh")), E.fold_name(F.col("home")))).withColumn("as_", similarity(E.fold_name(F.col("ra")), E.fold_name(F.col("away"))))
-    c = c.withColumn("score", (F.col("hs") + F.col("as_")) / 2).where((F.least("hs", "as_") >= floor) & (F.col("score") >= accept))
-    best = c.groupBy("event_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "url")).alias("b"))
+    p = K.PROFILES["listing"]
+    fold = lambda c: E.fold_name(F.col(c)).alias(c)
+    r = rows.where("url IS NOT NULL AND home IS NOT NULL AND away IS NOT NULL").select(F.col("url").alias("row_id"), fold("home"), fold("away")).distinct()
+    c = K.pair_candidates(r, targets.select("event_id", fold("home"), fold("away")), p.floor, measure).where(F.col("score") >= p.accept)
+    best = c.groupBy("event_id").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("row_id").alias("url"))).alias("b"))
     return best.select("event_id", "b.url", (-F.col("b.s")).alias("score"))
 
 
-def fixture_evidence(lines: DataFrame, targets: DataFrame, context: DataFrame, master: DataFrame, similarity=E.name_sim, following: int = 5) -> DataFrame:
+def fixture_evidence(lines: DataFrame, targets: DataFrame, context: DataFrame, master: DataFrame, measure: str = "edit", following: int = 5) -> DataFrame:
     """event_id, source_home, source_away, score, status, path: which two lines of a page, at most `following` apart, name a target's sides.
 
-    A name known in the line's competition (context: competition, name_key, entity) scores 1, one known everywhere (master: name_key, entity) .995, any other its similarity;
-    both need .68 and their mean .76. Pairs of known names are verified; others from .94 with .90 on either side, if they lead the runner-up by .05 or that is below .88.
-    lines: doc_id, pos, line, competition; targets: event_id, home, away, home_key, away_key. Lines and targets meet by a known name or by a shared word.
+    A name known in the line's competition (context: competition, name_key, entity) scores 1, one known everywhere (master: name_key, entity) .995, any other its likeness, out of
+    the name index; both need .68 and their mean .76. Pairs of known names are verified; others from .94 with .90 on either side, if they lead the runner-up by .05 or that is below .88.
+    lines: doc_id, pos, line, competition; targets: event_id, home, away, home_key, away_key.
     """
     x = lines.select("doc_id", "pos", "line", "competition", E.name_key(F.col("line")).alias("name_key")).where("name_key IS NOT NULL")
     x = x.join(context.select("competition", "name_key", F.col("entity").alias("_c")), ["competition", "name_key"], "left").join(master.select("name_key", F.col("entity").alias("_m")), "name_key", "left")
-    word = lambda c: E.tokens(E.fold_name(c))
+    x = x.withColumn("folded", E.fold_name(F.col("line")))
+    sim = E.name_sim if measure == "edit" else sequence_sim
 
     def side(s: str) -> DataFrame:
-        t = targets.select("event_id", F.col(s).alias("name"), F.col(f"{s}_key").alias("key"))
-        known = F.array_compact(F.array(F.concat(F.lit("="), "_c"), F.concat(F.lit("="), "_m")))
-        a = x.select("doc_id", "pos", "line", "_c", "_m", F.explode(F.array_distinct(F.concat(known, word(F.col("line"))))).alias("w"))
-        b = t.select("event_id", "name", "key", F.explode(F.concat(F.array(F.concat(F.lit("="), "key")), word(F.col("name")))).alias("w"))
-        c = a.join(b, "w").drop("w").distinct()
-        score = F.when(F.col("_c") == F.col("key"), 1.0).when(F.col("_m") == F.col("key"), 0.995).otherwise(similarity(E.fold_name(F.col("line")), E.fold_name(F.col("name"))))
+        t = targets.select("event_id", E.fold_name(F.col(s)).alias("name"), F.col(f"{s}_key").alias("key"))
+        columns = ["doc_id", "pos", "line", "folded", "_c", "_m", "event_id", "name", "key"]
+        like = K.similar_names(x.select(F.col("folded").alias("name")), t.select("name"), 0.68, measure).select(F.col("left").alias("folded"), F.col("right").alias("name"))
+        meet = x.join(t, F.col("_c") == F.col("key")).select(*columns).union(x.join(t, F.col("_m") == F.col("key")).select(*columns)).union(x.join(like, "folded").join(t, "name").select(*columns))
+        score = F.when(F.col("_c") == F.col("key"), 1.0).when(F.col("_m") == F.col("key"), 0.995).otherwise(sim(F.col("folded"), F.col("name")))
         path = F.when(F.col("_c") == F.col("key"), "CONTEXT").when(F.col("_m") == F.col("key"), "GLOBAL").otherwise("DISCOVERY")
-        return c.select("event_id", "doc_id", F.col("pos").alias(f"{s}_pos"), F.col("line").alias(f"source_{s}"), score.alias(f"{s}_score"), path.alias(f"{s}_path")).where(F.col(f"{s}_score") >= 0.68)
+        return meet.distinct().select("event_id", "doc_id", F.col("pos").alias(f"{s}_pos"), F.col("line").alias(f"source_{s}"), score.alias(f"{s}_score"), path.alias(f"{s}_path")).where(F.col(f"{s}_score") >= 0.68)
 
     c = side("home").join(side("away"), ["event_id", "doc_id"]).where(F.col("away_pos").between(F.col("home_pos") + 1, F.col("home_pos") + following))
     c = c.withColumn("score", (F.col("home_score") + F.col("away_score")) / 2).where("score >= 0.76")
