@@ -1,8 +1,8 @@
 """Collocations by stripes: each prefix keys an associative counter of the words that follow it.
 
 A task counts what follows each prefix of its texts and sends stripes (prefix, next words, counts); stripes of one prefix are
-merged elementwise. A merged stripe holds the prefix's total, the counts of its extensions, and their largest. First the
-prefixes are single words, and the end of a piece is an extension too (null), so totals are counts of words. Then they are pairs:
+merged elementwise. A merged stripe holds the prefix's total, as an entry for no next word, and the counts of its extensions, whose largest
+tells what they subsume. First the prefixes are single words. Then they are pairs:
 a phrase of three words that occurs LEAST times begins and ends with pairs that do, so only such pairs make stripes. A bit array
 of bounded size tells them; a pair that it takes for another's only makes a stripe whose counts stay below LEAST.
 
@@ -18,7 +18,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from matchlake.llm.scratch import cut
 from matchlake.llm.secrets import segments
@@ -26,7 +25,7 @@ from matchlake.llm.secrets import segments
 #: Occurrences of a candidate; share of them, in hundredths, that a longer candidate takes over; phrases of each language.
 LEAST, SUBSUMED, TOP = 10, 50, 2000
 #: Parts of a stripe, by the next word's hash.
-SLICES = 64
+SLICES = 32
 #: Words that a task counts before it sends stripes, and bytes of a text that are cut into words at once.
 HELD, CUT = 6_000_000, 4 << 20
 #: The array of frequent pairs: bits for each, and at most.
@@ -110,9 +109,12 @@ class Stream:
         h = hashes(words)
         strings = pa.array(words, pa.binary()).cast(pa.string())
         if self.frequent is None:
-            key, n = np.unique((a << 32 | b)[a > 0], return_counts=True)
-            prefix, follows = key >> 32, key & 0xFFFFFFFF
-            names = strings
+            key, n = np.unique((a << 32 | b)[(a > 0) & (b > 0)], return_counts=True)
+            total = np.bincount(a, minlength=len(words))
+            total[0] = total[1:].sum()  # of the language, under no prefix
+            every = np.flatnonzero(total)
+            prefix, follows, n = np.append(every, key >> 32), np.append(np.zeros_like(every), key & 0xFFFFFFFF), np.append(total[every], n)
+            names = pa.array([None, *words[1:]], pa.binary()).cast(pa.string())
         else:
             whole = np.flatnonzero((a > 0) & (b > 0) & (c > 0))
             whole = whole[holds(self.frequent, pair_hash(self.lang, h[a[whole]], h[b[whole]]))]
@@ -143,9 +145,10 @@ def holds(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def merged(docs: DataFrame, frequent: np.ndarray | None, least: int) -> DataFrame:
-    """lang, prefix, slice, total, extensions (next, n; those of `least` occurrences): the merged stripes of docs (lang, text).
+    """lang, prefix, next, n: the entries of the merged stripes of docs (lang, text) that have `least` occurrences.
 
-    Without `frequent` prefixes are words; with it they are pairs of words that it holds, before another such pair.
+    Without `frequent` prefixes are words, and a stripe's entry for no next word is its prefix's total (that for no prefix the language's). With
+    it they are pairs of words that it holds, before a word with which the second is such a pair.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -170,11 +173,10 @@ def merged(docs: DataFrame, frequent: np.ndarray | None, least: int) -> DataFram
             yield from s.stripes()
 
     stripes = docs.mapInArrow(count, STRIPE).repartition("lang", "prefix", "slice")
-    pairs = stripes.select("lang", "prefix", "slice", F.inline(F.arrays_zip("next", "n")))
-    # Stripes are dealt out by prefix and slice already: neither of these aggregations shuffles.
-    summed = pairs.groupBy("lang", "prefix", "slice", "next").agg(F.sum("n").alias("n"))
-    extension = F.when((F.col("n") >= least) & F.col("next").isNotNull(), F.struct("next", "n"))
-    return cut(summed.groupBy("lang", "prefix", "slice").agg(F.sum("n").alias("total"), F.collect_list(extension).alias("extensions")), "stripes")
+    entries = stripes.select("lang", "prefix", "slice", F.inline(F.arrays_zip("next", "n")))
+    # Stripes are dealt out by prefix and slice already: this aggregation does not shuffle.
+    summed = entries.groupBy("lang", "prefix", "slice", "next").agg(F.sum("n").alias("n"))
+    return cut(summed.where(F.col("n") >= least).select("lang", "prefix", "next", "n"), "stripes")
 
 
 def pair_bits(pairs: DataFrame) -> np.ndarray:
@@ -210,6 +212,18 @@ def score(a: str, left: str, right: str) -> Column:
     return F.expr(f"(1000000 * {whole(a)} * {whole(a)}) div ({whole(left)} * {whole(right)})")
 
 
+def ranked(phrases: DataFrame, top: int) -> DataFrame:
+    """The first `top` of each language with their rank: sorted over ranges, so no language is one task's alone."""
+    order = ["lang", F.desc("score"), F.desc("a"), "phrase"]
+    placed = cut(phrases.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()}), "ranked")
+    before, shift = {}, []
+    for r in sorted(placed.groupBy("part", "lang").agg(F.min("at").alias("first"), F.count("*").alias("size")).collect()):  # a row for each range and language
+        shift.append((r["part"], r["lang"], before.get(r["lang"], 0) - r["first"] + 1))
+        before[r["lang"]] = before.get(r["lang"], 0) + r["size"]
+    shift = F.broadcast(placed.sparkSession.createDataFrame(shift, "part int, lang string, shift bigint"))
+    return placed.join(shift, ["part", "lang"]).withColumn("rank", F.col("at") + F.col("shift")).where(F.col("rank") <= top)
+
+
 def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED, top: int = TOP, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first `top` phrases of 2 to 3 words.
 
@@ -218,13 +232,13 @@ def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED,
     """
     d = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     single = merged(d, None, least)
-    words = cut(single.groupBy("lang", "prefix").agg(F.sum("total").alias("f")).where(F.col("f") >= least).withColumnRenamed("prefix", "word"), "words")
-    n = single.groupBy("lang").agg(F.sum("total").alias("n"))
-    pairs = single.select("lang", F.col("prefix").alias("first"), F.inline("extensions")).withColumnsRenamed({"next": "second", "n": "a"})
+    words = single.where("prefix IS NOT NULL AND next IS NULL").select("lang", F.col("prefix").alias("word"), F.col("n").alias("f"))
+    n = single.where("prefix IS NULL").select("lang", "n")
+    pairs = single.where("next IS NOT NULL").select("lang", F.col("prefix").alias("first"), F.col("next").alias("second"), F.col("n").alias("a"))
     of = lambda column, f: words.withColumnsRenamed({"word": column, "f": f})
     pairs = cut(pairs.join(of("first", "f_first"), ["lang", "first"]).join(of("second", "f_second"), ["lang", "second"]), "pairs")
 
-    longer = merged(d, pair_bits(pairs), least).select("lang", F.col("prefix").alias("front"), F.inline("extensions"))
+    longer = merged(d, pair_bits(pairs), least).withColumnRenamed("prefix", "front")
     middle = F.substring_index("front", " ", -1)
     longer = longer.select("lang", F.substring_index("front", " ", 1).alias("first"), middle.alias("second"), F.col("next").alias("third"), F.col("n").alias("a"))
     front = pairs.select("lang", "first", "second", F.col("f_first").alias("l1"), F.col("a").alias("l2"))
@@ -239,6 +253,5 @@ def collocations(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED,
     early = F.col("s1") <= F.col("s2")
     choose = lambda x, y: F.when(early, F.col(x)).otherwise(F.col(y))
     three = scored.select("lang", F.concat_ws(" ", "first", "second", "third").alias("phrase"), "a", choose("l1", "l2").alias("l"), choose("r1", "r2").alias("r"), choose("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = two.union(three).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return best.join(n, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    best = ranked(two.union(three), top)
+    return best.join(n, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

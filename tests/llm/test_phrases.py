@@ -69,7 +69,7 @@ def test_parts_and_stripes_of_few_words(spark, monkeypatch):
             for lang, prefix, nexts, counts in zip(*(b.column(k).to_pylist() for k in (0, 1, 3, 4))):
                 for x, n in zip(nexts, counts):
                     total[lang, prefix, x] += n
-        pairs = {(lang, f"{a} {b}"): n for (lang, a, b), n in total.items() if b is not None}
+        pairs = {(lang, f"{a} {b}"): n for (lang, a, b), n in total.items() if a is not None and b is not None}
         for lang, _, phrase, a, *_ in want:
             if phrase.count(" ") == 1:
                 assert pairs[lang, phrase] == a
