@@ -298,12 +298,12 @@ def decay(age_days: Column, half_life: float = 180.0) -> Column:
     return F.exp(F.lit(-LN2) * age_days / F.lit(half_life))
 
 
-def poisson_hda(lh: Column, la: Column, max_goals: int = 10, rho: float = 0.0) -> Column:
+def poisson_hda(lh: Column, la: Column, max_goals: int = 10, rho: float | Column = 0.0) -> Column:
     """Home, draw and away probabilities of two Poisson scores up to max_goals, renormalised.
 
     rho moves weight between the draws 0-0 and 1-1 and the scores 1-0 and 0-1 (low-score correction); it is held within the bounds that leave every score a probability.
     """
-    held = F.greatest(F.least(F.lit(rho), F.lit(1.0), 1 / (lh * la)), -1 / lh, -1 / la) if rho else F.lit(0.0)
+    held = F.greatest(F.least(F.lit(rho), F.lit(1.0), 1 / (lh * la)), -1 / lh, -1 / la) if isinstance(rho, Column) or rho else F.lit(0.0)
     moved = held * lh * la * F.exp(-lh - la)  # what each of the four scores gains or gives
     pmf = lambda lam: F.transform(F.sequence(F.lit(0), F.lit(max_goals)), lambda k: F.exp(-lam) * F.pow(lam, k) / F.factorial(k))
     sums = F.struct(F.lit(0.0).alias("win"), F.lit(0.0).alias("draw"), F.lit(0.0).alias("below"), F.lit(0.0).alias("all"))

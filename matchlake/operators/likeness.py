@@ -62,15 +62,12 @@ def _needed(own: Column, other: Column, floor: float, sequence: bool) -> tuple[C
     return F.when(two, 2).otherwise(1), (own - longer + F.when(two, 2 * edits).otherwise(edits) + 1).cast("int")
 
 
-def _meeting(names: DataFrame, counts: DataFrame, floor: float, sequence: bool, left: bool) -> DataFrame:
-    """name, key: where a name meets those of each length that it can be like."""
+def _meeting(rare: DataFrame, floor: float, sequence: bool, left: bool) -> DataFrame:
+    """name, l, r, g: the lengths of both names of a pair and the run of letters at which a name meets those it can be like."""
     shortest = floor / (2 - floor) if sequence else floor
     size = F.length("name")
-    runs = names.select("name", F.explode(_runs(sequence)).alias("g"))
-    runs = runs.select("name", F.length("g.gram").alias("q"), "g").join(counts, "g")
-    rare = runs.groupBy("name").agg(*[F.sort_array(F.collect_list(F.when(F.col("q") == q, F.struct("n", "g")))).alias(f"g{q}") for q in (1, 2)])
     lengths = F.sequence(F.greatest(F.lit(1), F.ceil(size * shortest - EPS)).cast("int"), F.floor(size / shortest + EPS).cast("int"))
-    x = rare.select("name", "g1", "g2", size.alias("own"), F.explode(lengths).alias("other"))
+    x = rare.where("in_left" if left else "in_right").select("name", "g1", "g2", size.alias("own"), F.explode(lengths).alias("other"))
     q, most = _needed(F.col("own"), F.col("other"), floor, sequence)
     few = F.slice(F.when(q == 2, F.col("g2")).otherwise(F.col("g1")), F.lit(1), F.greatest(most, F.lit(0)))
     return x.select("name", (F.col("own") if left else F.col("other")).alias("l"), (F.col("other") if left else F.col("own")).alias("r"), F.explode(few).alias("x")).select("name", "l", "r", "x.g")
@@ -87,25 +84,26 @@ def similar_names(left: DataFrame, right: DataFrame, floor: float, measure: str
     if measure not in ("edit", "sequence"):
         raise ValueError(f"unknown measure {measure}")
     sequence = measure == "sequence"
-    clean = lambda df: df.where(F.length("name") > 0).select("name").distinct()
-    a, b = clean(left), clean(right)
-    both = a.union(b).distinct()
-    counts = both.select(F.explode(_runs(sequence)).alias("g")).groupBy("g").agg(F.count("*").alias("n"))
-    x = _meeting(a, counts, floor, sequence, True).withColumnRenamed("name", "left")
-    y = _meeting(b, counts, floor, sequence, False).withColumnRenamed("name", "right")
+    marked = lambda df, l, r: df.where(F.length("name") > 0).select("name", F.lit(l).alias("in_left"), F.lit(r).alias("in_right"))
+    both = marked(left, True, False).union(marked(right, False, True)).groupBy("name").agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
+    runs = both.select("name", "in_left", "in_right", F.explode(_runs(sequence)).alias("g"))
+    counted = runs.join(runs.groupBy("g").agg(F.count("*").alias("n")), "g")
+    sorted_runs = lambda q: F.sort_array(F.collect_list(F.when(F.length("g.gram") == q, F.struct("n", "g")))).alias(f"g{q}")
+    rare = counted.groupBy("name", "in_left", "in_right").agg(sorted_runs(1), sorted_runs(2))
+    x = _meeting(rare, floor, sequence, True).withColumnRenamed("name", "left")
+    y = _meeting(rare, floor, sequence, False).withColumnRenamed("name", "right")
     met = x.join(y, ["l", "r", "g"])
     if not sequence:  # a banded distance before pairs that meet more than once are made one
         met = met.where(F.expr(f"levenshtein(left, right, CAST(floor(greatest(l, r) * {1 - floor!r}D + {EPS!r}D) AS INT)) >= 0"))
     pairs = met.select("left", "right")
     if contained is not None and floor <= contained:
-        inner = lambda df: df.where(F.length("name") >= least)
-        within = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (least - 1)), lambda i: F.substring(c, i, F.lit(least))))
-        seen = lambda df, as_: inner(df).select(F.col("name").alias(as_), F.explode(within(F.col("name"))).alias("run"))
-        often = inner(both).select(F.explode(within(F.col("name"))).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
-        rarest = lambda df, as_: seen(df, as_).join(often, "run").groupBy(as_).agg(F.min(F.struct("n", "run"))["run"].alias("run"))
-        inside = rarest(a, "left").join(seen(b, "right"), "run").where(F.contains("right", "left")).select("left", "right")
-        outside = rarest(b, "right").join(seen(a, "left"), "run").where(F.contains("left", "right")).select("left", "right")
-        pairs = pairs.union(inside).union(outside)
+        at = F.transform(F.sequence(F.lit(1), F.length("name") - (least - 1)), lambda i: F.substring("name", i, F.lit(least)))
+        within = both.where(F.length("name") >= least).select("name", "in_left", "in_right", F.explode(F.array_distinct(at)).alias("run"))
+        rarest = within.join(within.groupBy("run").agg(F.count("*").alias("n")), "run").groupBy("name", "in_left", "in_right").agg(F.min(F.struct("n", "run"))["run"].alias("run"))
+        inner, outer = rarest.select(F.col("name").alias("short"), F.col("in_left").alias("sl"), F.col("in_right").alias("sr"), "run"), within.select(F.col("name").alias("long"), F.col("in_left").alias("ll"), F.col("in_right").alias("lr"), "run")
+        held = inner.join(outer, "run").where(F.contains("long", "short"))
+        sides = F.array(F.when(F.col("sl") & F.col("lr"), F.struct(F.col("short").alias("left"), F.col("long").alias("right"))), F.when(F.col("sr") & F.col("ll"), F.struct(F.col("long").alias("left"), F.col("short").alias("right"))))
+        pairs = pairs.union(held.select(F.inline(F.array_compact(sides))))
     return _scored(pairs.distinct(), sequence, least, contained).where(F.col("score") >= floor)
 
 
@@ -144,10 +142,14 @@ def best_names(pairs: DataFrame, profile: NameProfile, scope: list[str] | None =
     return x.withColumn("accepted", (F.col("score") >= profile.floor) & clear)
 
 
+def _both_sides(df: DataFrame) -> DataFrame:
+    return df.select(F.explode(F.array("home", "away")).alias("name"))
+
+
 def pair_candidates(rows: DataFrame, targets: DataFrame, floor: float, measure: str = "edit") -> DataFrame:
     """row_id, event_id, hs, as_, score: all rows (row_id, home, away) and targets (event_id, home, away) whose names are both at least `floor` alike; score is the mean."""
-    names = lambda df, c: df.select(F.col(c).alias("name"))
-    like = lambda c, s: similar_names(names(rows, c), names(targets, c), floor, measure).withColumnsRenamed({"left": f"r_{c}", "right": f"t_{c}", "score": s})
+    index = similar_names(_both_sides(rows), _both_sides(targets), floor, measure)  # one for both sides
+    like = lambda c, s: index.withColumnsRenamed({"left": f"r_{c}", "right": f"t_{c}", "score": s})
     r = rows.select("row_id", F.col("home").alias("r_home"), F.col("away").alias("r_away"))
     t = targets.select("event_id", F.col("home").alias("t_home"), F.col("away").alias("t_away"))
     c = r.join(like("home", "hs"), "r_home").join(t, "t_home").join(like("away", "as_"), ["r_away", "t_away"])
@@ -259,17 +261,17 @@ def link_anchored(rows: DataFrame, targets: DataFrame, profile: AnchorProfile, m
     Of equal scores the nearer in time, then the smaller event_id. Candidates come out of the name index, for the home side from the floor on and for either from the anchor on.
     """
     p, width = profile, profile.minutes * 60
-    names = lambda df, c: df.select(F.col(c).alias("name"))
-    like = lambda c, floor: similar_names(names(rows, c), names(targets, c), floor, measure).select(F.col("left").alias("own"), F.col("right").alias("its"))
+    index = similar_names(_both_sides(rows), _both_sides(targets), p.floor, measure)  # one for both sides and floors
+    like = lambda floor: index.where(F.col("score") >= floor).select(F.col("left").alias("own"), F.col("right").alias("its"))
     bucket = F.floor(F.unix_seconds("kickoff") / width)
     r = rows.select("row_id", F.col("home").alias("rh"), F.col("away").alias("ra"), F.col("kickoff").alias("rk"), F.when(F.col("kickoff").isNotNull(), F.array(bucket - 1, bucket, bucket + 1)).alias("buckets"))
     t = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), F.col("kickoff").alias("tk"), bucket.alias("bucket"))
     clocked = r.where("rk IS NOT NULL").select("*", F.explode("buckets").alias("bucket")).drop("buckets")
-    meet = lambda c, floor: clocked.join(like("home" if c == "h" else "away", floor), F.col(f"r{c}") == F.col("own")).join(t.withColumnRenamed("bucket", "tb"), (F.col("its") == F.col(f"t{c}")) & (F.col("bucket") == F.col("tb")))
+    meet = lambda c, floor: clocked.join(like(floor), F.col(f"r{c}") == F.col("own")).join(t.withColumnRenamed("bucket", "tb"), (F.col("its") == F.col(f"t{c}")) & (F.col("bucket") == F.col("tb")))
     columns = ["row_id", "event_id", "rh", "ra", "th", "ta", "rk", "tk"]
     c = meet("h", p.floor).select(*columns).union(meet("a", p.anchor).select(*columns))
     if p.no_clock is not None:
-        free = r.where("rk IS NULL").join(like("home", p.floor), F.col("rh") == F.col("own")).join(t, F.col("its") == F.col("th"))
+        free = r.where("rk IS NULL").join(like(p.floor), F.col("rh") == F.col("own")).join(t, F.col("its") == F.col("th"))
         c = c.union(free.select(*columns))
     c = c.distinct().withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= width))
     sim = (lambda a, b: E.name_sim(F.col(a), F.col(b))) if measure == "edit" else (lambda a, b: sequence_sim(F.col(a), F.col(b)))

@@ -11,12 +11,17 @@ from matchlake.functions import exprs as E
 from matchlake.operators import links, rollups
 
 
-def team_form_model(fixtures: DataFrame, results: DataFrame, lookback_days: int = 540, min_games: int = 8, min_weight: float = 3.0) -> DataFrame:
-    """event_id, quality, h, d, a: independent Poisson scores from decayed, venue-blended goal rates; null probabilities below the gates.
+def _combined(rates: Sequence[DataFrame]) -> DataFrame:
+    """The rates of several histories of the same teams as those of all their games: weighted means, and sums of games and weights."""
+    x = rates[0]
+    for r in rates[1:]:
+        x = x.unionByName(r)
+    mean = lambda c, w: F.sum(F.col(c) * F.col(w)) / F.sum(F.when(F.col(c).isNotNull() & (F.col(w) > 0), F.col(w)))
+    return x.groupBy("event_id", "side").agg(mean("gf", "weight").alias("gf"), mean("ga", "weight").alias("ga"), F.sum("n").alias("n"), F.sum("weight").alias("weight"), mean("vgf", "vw").alias("vgf"), mean("vga", "vw").alias("vga"), F.sum("vn").alias("vn"), F.sum("vw").alias("vw"))
 
-    Both sides' rates and those of their venue come from running sums of the teams' games, so history is shuffled once and never joined.
-    """
-    x = links.history_rates(fixtures, links.to_team_rows(results), lookback_days)
+
+def _form_forecast(fixtures: DataFrame, x: DataFrame, min_games: int, min_weight: float) -> DataFrame:
+    """event_id, quality, h, d, a from both sides' rates."""
     x = x.withColumn("f", E.blend(F.col("gf"), F.col("vgf"), F.col("vn"), F.col("vw"))).withColumn("c", E.blend(F.col("ga"), F.col("vga"), F.col("vn"), F.col("vw")))
     enough = (F.col("n") >= min_games) & (F.col("weight") >= min_weight)
     of = lambda s, c: F.max(F.when(F.col("side") == s, F.col(c)))
@@ -29,6 +34,47 @@ def team_form_model(fixtures: DataFrame, results: DataFrame, lookback_days: int
     return p.select("event_id", "quality", *[F.col(f"p.{c}").alias(c) for c in "hda"])
 
 
+def team_form_model(fixtures: DataFrame, results: DataFrame, lookback_days: int = 540, min_games: int = 8, min_weight: float = 3.0) -> DataFrame:
+    """event_id, quality, h, d, a: independent Poisson scores from decayed, venue-blended goal rates; null probabilities below the gates.
+
+    Both sides' rates and those of their venue come from running sums of the teams' games, so history is shuffled once and never joined.
+    """
+    return _form_forecast(fixtures, links.history_rates(fixtures, links.to_team_rows(results), lookback_days), min_games, min_weight)
+
+
+def team_form_with_archive(
+    fixtures: DataFrame, results: DataFrame, archive: DataFrame, names: DataFrame, in_scope: Column, lookback_days: int = 540, archive_days: int = 730, min_games: int = 8, min_weight: float = 3.0
+) -> DataFrame:
+    """event_id, quality, h, d, a, source, external_home_games, external_away_games, external_latest: team form with a denser outside archive behind it.
+
+    Fixtures in scope whose teams the archive knows both take its games (archive: home, away, kickoff, home_goals, away_goals, neutral; names: name, team) of archive_days, and own results only from
+    after the archive's last game, so nothing counts twice; games on neutral ground count for no venue. Other fixtures take own results alone (source OWN). Both histories are running sums
+    per team, combined by weight.
+    """
+    known = names.groupBy(E.fold_name(F.col("name")).alias("k")).agg(F.min("team").alias("team"))
+    id_of = lambda s: known.select(F.col("k").alias(f"_{s}"), F.col("team").alias(f"{s}_id"))
+    games = archive.where("kickoff IS NOT NULL AND home_goals IS NOT NULL AND away_goals IS NOT NULL").withColumn("_home", E.fold_name(F.col("home"))).withColumn("_away", E.fold_name(F.col("away")))
+    latest = games.agg(F.max("kickoff").alias("latest"))  # one row
+    played = games.select(F.col("_home").alias("k")).union(games.select("_away")).distinct()
+    teams = known.join(played, "k", "left_semi").select("team", F.lit(True).alias("_known")).distinct()
+    side = lambda s: teams.withColumnsRenamed({"team": f"{s}_id", "_known": f"_{s}"})
+    f = fixtures.withColumn("_in", F.coalesce(in_scope, F.lit(False))).join(side("home"), "home_id", "left").join(side("away"), "away_id", "left")
+    f = f.withColumn("_in", F.col("_in") & F.coalesce(F.col("_home") & F.col("_away"), F.lit(False))).drop("_home", "_away")
+    inside, outside = f.where("_in"), f.where("NOT _in")
+    games = games.join(id_of("home"), "_home", "left").join(id_of("away"), "_away", "left").withColumn("event_id", F.lit(None).cast("bigint")).withColumn("tournament", F.lit(None).cast("string"))
+    neutral = F.coalesce(F.col("neutral"), F.lit(False))
+    out_of = lambda d, s, team, mine, its: d.select("event_id", "kickoff", "tournament", F.when(neutral, "N").otherwise(s).alias("side"), F.col(team).alias("team"), F.col(mine).alias("gf"), F.col(its).alias("ga")).where("team IS NOT NULL")
+    outer = out_of(games, "H", "home_id", "home_goals", "away_goals").union(out_of(games, "A", "away_id", "away_goals", "home_goals"))
+    recent = results.join(F.broadcast(latest)).where(F.col("latest").isNull() | (F.col("kickoff") > F.col("latest"))).drop("latest")
+    external = links.history_rates(inside, outer, archive_days)
+    rates = _combined([external, links.history_rates(inside, links.to_team_rows(recent), lookback_days), links.history_rates(outside, links.to_team_rows(results), lookback_days)])
+    count = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.col("n"))), F.lit(0))
+    counts = external.groupBy("event_id").agg(count("H").alias("_h"), count("A").alias("_a"))
+    p = _form_forecast(fixtures, rates, min_games, min_weight).join(f.select("event_id", "_in"), "event_id").join(counts, "event_id", "left").join(F.broadcast(latest))
+    n = lambda c: F.when(F.col("_in"), F.coalesce(c, F.lit(0))).otherwise(0)
+    return p.select("event_id", "quality", "h", "d", "a", F.when(F.col("_in"), "ARCHIVE_AND_RECENT").otherwise("OWN").alias("source"), n("_h").alias("external_home_games"), n("_a").alias("external_away_games"), F.when(F.col("_in"), F.to_date("latest")).alias("external_latest"))
+
+
 def outcome(home_goals: Column, away_goals: Column) -> Column:
     return F.when(home_goals > away_goals, "H").when(home_goals < away_goals, "A").otherwise("D")
 

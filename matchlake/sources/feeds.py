@@ -181,11 +181,12 @@ def fixture_evidence(lines: DataFrame, targets: DataFrame, context: DataFrame, m
     x = x.join(context.select("competition", "name_key", F.col("entity").alias("_c")), ["competition", "name_key"], "left").join(master.select("name_key", F.col("entity").alias("_m")), "name_key", "left")
     x = x.withColumn("folded", E.fold_name(F.col("line")))
     sim = E.name_sim if measure == "edit" else sequence_sim
+    names = targets.select(F.explode(F.array("home", "away")).alias("name")).select(E.fold_name(F.col("name")).alias("name"))
+    like = K.similar_names(x.select(F.col("folded").alias("name")), names, 0.68, measure).select(F.col("left").alias("folded"), F.col("right").alias("name"))  # one index for both sides
 
     def side(s: str) -> DataFrame:
         t = targets.select("event_id", E.fold_name(F.col(s)).alias("name"), F.col(f"{s}_key").alias("key"))
         columns = ["doc_id", "pos", "line", "folded", "_c", "_m", "event_id", "name", "key"]
-        like = K.similar_names(x.select(F.col("folded").alias("name")), t.select("name"), 0.68, measure).select(F.col("left").alias("folded"), F.col("right").alias("name"))
         meet = x.join(t, F.col("_c") == F.col("key")).select(*columns).union(x.join(t, F.col("_m") == F.col("key")).select(*columns)).union(x.join(like, "folded").join(t, "name").select(*columns))
         score = F.when(F.col("_c") == F.col("key"), 1.0).when(F.col("_m") == F.col("key"), 0.995).otherwise(sim(F.col("folded"), F.col("name")))
         path = F.when(F.col("_c") == F.col("key"), "CONTEXT").when(F.col("_m") == F.col("key"), "GLOBAL").otherwise("DISCOVERY")
