@@ -3,7 +3,8 @@
 Names are compared once for each distinct pair that can reach the floor. A pair's lengths bound its edits, and the
 edits bound how many letter pairs (or letters, for short names and low floors) both must share; so both hold one of their few rarest
 ones, and meet there. Names of which one lies within the other meet at a run of letters of the shorter. Nothing above the floor is lost, and nothing
-is collected: the work is an equi-join on (both lengths, letters).
+is collected: the work is an equi-join on (both lengths, letters). Distinct names, their runs and the pairs found are each settled
+in the checkpoint folder, since plans use them several times.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
 from matchlake.functions.names import plain_ratio, sequence_sim
+from matchlake.operators.lineage import settled
 
 #: Against rounding in bounds, always towards more candidates.
 EPS = 1e-9
@@ -85,11 +87,11 @@ def similar_names(left: DataFrame, right: DataFrame, floor: float, measure: str
         raise ValueError(f"unknown measure {measure}")
     sequence = measure == "sequence"
     marked = lambda df, l, r: df.where(F.length("name") > 0).select("name", F.lit(l).alias("in_left"), F.lit(r).alias("in_right"))
-    both = marked(left, True, False).union(marked(right, False, True)).groupBy("name").agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right"))
+    both = settled(marked(left, True, False).union(marked(right, False, True)).groupBy("name").agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right")))
     runs = both.select("name", "in_left", "in_right", F.explode(_runs(sequence)).alias("g"))
     counted = runs.join(runs.groupBy("g").agg(F.count("*").alias("n")), "g")
     sorted_runs = lambda q: F.sort_array(F.collect_list(F.when(F.length("g.gram") == q, F.struct("n", "g")))).alias(f"g{q}")
-    rare = counted.groupBy("name", "in_left", "in_right").agg(sorted_runs(1), sorted_runs(2))
+    rare = settled(counted.groupBy("name", "in_left", "in_right").agg(sorted_runs(1), sorted_runs(2)))
     x = _meeting(rare, floor, sequence, True).withColumnRenamed("name", "left")
     y = _meeting(rare, floor, sequence, False).withColumnRenamed("name", "right")
     met = x.join(y, ["l", "r", "g"])
@@ -104,7 +106,7 @@ def similar_names(left: DataFrame, right: DataFrame, floor: float, measure: str
         held = inner.join(outer, "run").where(F.contains("long", "short"))
         sides = F.array(F.when(F.col("sl") & F.col("lr"), F.struct(F.col("short").alias("left"), F.col("long").alias("right"))), F.when(F.col("sr") & F.col("ll"), F.struct(F.col("long").alias("left"), F.col("short").alias("right"))))
         pairs = pairs.union(held.select(F.inline(F.array_compact(sides))))
-    return _scored(pairs.distinct(), sequence, least, contained).where(F.col("score") >= floor)
+    return settled(_scored(pairs.distinct(), sequence, least, contained).where(F.col("score") >= floor))
 
 
 def _scored(pairs: DataFrame, sequence: bool, least: int, contained: float | None) -> DataFrame:
