@@ -186,6 +186,49 @@ def name_map(rows: DataFrame, blocked: Sequence[str] = ()) -> DataFrame:
     return g.where("n = 1").drop("n")
 
 
+def _one_value(rows: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """keys and `value` where a key has one value only; a collision is dropped rather than guessed."""
+    g = rows.withColumn("_v", value).groupBy(*keys).agg(F.count_distinct("_v").alias("_n"), F.min("_v").alias("value"))
+    return g.where("_n = 1").drop("_n")
+
+
+def forward_map(own: DataFrame, everywhere: DataFrame, blocked: DataFrame, key=E.name_key) -> DataFrame:
+    """name_key, canonical, path: from a source's names to canonical ones.
+
+    own, everywhere: source_name, canonical, and own also confidence, event_count, last_seen; blocked: name. The source's verified rows win (SOURCE; of several for a key the most confident, most frequent, latest);
+    a name that it has never classified may take the one canonical name that all sources give it (GLOBAL), a blocked one may not.
+    """
+    clean = lambda df: df.withColumn("name_key", key(F.col("source_name"))).where(F.col("name_key").isNotNull() & (F.coalesce(F.trim("canonical"), F.lit("")) != ""))
+    mine = clean(own).groupBy("name_key").agg(F.max(F.struct(F.coalesce("confidence", F.lit(0.0)), F.coalesce("event_count", F.lit(0)), "last_seen", "canonical"))["canonical"].alias("canonical"))
+    hard = blocked.select(key(F.col("name")).alias("name_key")).where("name_key IS NOT NULL").distinct()
+    rest = _one_value(clean(everywhere), ["name_key"], F.col("canonical")).withColumnRenamed("value", "canonical").join(hard, "name_key", "left_anti").join(mine.select("name_key"), "name_key", "left_anti")
+    return mine.select("name_key", "canonical", F.lit("SOURCE").alias("path")).union(rest.select("name_key", "canonical", F.lit("GLOBAL")))
+
+
+def reverse_map(own: DataFrame, key=E.name_key) -> DataFrame:
+    """canonical_key, source_name: from canonical names to the source's preferred spelling: the most confident, most frequent, latest, then smallest."""
+    x = own.withColumn("canonical_key", key(F.col("canonical"))).where(F.col("canonical_key").isNotNull() & (F.coalesce(F.trim("source_name"), F.lit("")) != ""))
+    rank = F.struct(-F.coalesce("confidence", F.lit(0.0)), -F.coalesce("event_count", F.lit(0)), -F.coalesce(F.unix_micros("last_seen"), F.lit(0)), "source_name")
+    return x.groupBy("canonical_key").agg(F.min(rank)["source_name"].alias("source_name"))
+
+
+def competition_map(rows: DataFrame, key=E.name_key) -> DataFrame:
+    """competition_key, tournament: the one canonical tournament of each source competition (rows: source_competition, tournament)."""
+    x = rows.withColumn("competition_key", key(F.col("source_competition"))).where(F.col("competition_key").isNotNull() & (F.coalesce(F.trim("tournament"), F.lit("")) != ""))
+    return _one_value(x, ["competition_key"], F.col("tournament")).withColumnRenamed("value", "tournament")
+
+
+def context_map(rows: DataFrame, key=E.name_key) -> DataFrame:
+    """competition_key, name_key, canonical, tournament: what a source's name stands for in a competition (rows: source_competition, source_name, canonical, tournament).
+
+    A row without a competition counts for the blank one. A key with two meanings is dropped.
+    """
+    x = rows.withColumn("competition_key", F.coalesce(key(F.col("source_competition")), F.lit(""))).withColumn("name_key", key(F.col("source_name")))
+    x = x.where(F.col("name_key").isNotNull() & (F.coalesce(F.trim("canonical"), F.lit("")) != ""))
+    value = F.struct("canonical", F.coalesce(F.trim("tournament"), F.lit("")).alias("tournament"))
+    return _one_value(x, ["competition_key", "name_key"], value).select("competition_key", "name_key", "value.canonical", "value.tournament")
+
+
 def competition_names(fixtures: DataFrame, renames: DataFrame) -> DataFrame:
     """Names of both sides for national teams: cohort teams left out, suffixes removed, renames (name, new_name) applied; one row per competition and name."""
     x = fixtures.select("tournament", "kickoff", F.explode(F.array("home", "away")).alias("name")).where(~F.lower("name").rlike(r"\bu-?(17|18|19|20|21|23)\b"))

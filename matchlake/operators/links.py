@@ -128,8 +128,11 @@ def pick_pair(stats: Column, key: str, period: str) -> Column:
 
 
 def with_config(df: DataFrame, config: DataFrame) -> DataFrame:
-    """df with the columns of a table of thresholds, which has one row by definition."""
-    return df.crossJoin(F.broadcast(config.limit(1)))
+    """df with the columns of a table of thresholds; a table without exactly one row is an error."""
+    rows = config.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("a table of thresholds has one row")
+    return df.withColumns({c: F.lit(rows[0][c]).cast(config.schema[c].dataType) for c in config.columns})
 
 
 def nearest(history: DataFrame, at: Column, tolerance_seconds: int, key: str = "event_id", ts: str = "captured_at", values: Sequence[str] = ("home", "draw", "away")) -> DataFrame:
@@ -267,9 +270,16 @@ def present_in(targets: DataFrame, table: DataFrame, keys: Sequence[str]) -> Dat
     return targets.join(table.select(*keys), list(keys), "left_semi")
 
 
+#: Sources that anchors are held against, at most.
+MOST_SOURCES = 1000
+
+
 def anchor_coverage(anchors: DataFrame, sources: DataFrame, master: DataFrame, seen: DataFrame) -> DataFrame:
-    """Each anchor (name_key) in each source (a small dimension): DIRECT_MASTER, GAP (seen, not mastered) or ABSENT."""
-    x = anchors.crossJoin(sources)
+    """Each anchor (name_key) in each source (MOST_SOURCES at most, else an error): DIRECT_MASTER, GAP (seen, not mastered) or ABSENT."""
+    names = [r["source"] for r in sources.select("source").distinct().limit(MOST_SOURCES + 1).collect()]
+    if len(names) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
+    x = anchors.withColumn("source", F.explode(F.array(*map(F.lit, names)).cast("array<string>")))
     mark = lambda df, c: df.select("source", "name_key", F.lit(True).alias(c)).distinct()
     x = x.join(mark(master.where("status = 'VERIFIED'"), "_m"), ["source", "name_key"], "left").join(mark(seen, "_s"), ["source", "name_key"], "left")
     return x.select(*anchors.columns, "source", F.when(F.col("_m"), "DIRECT_MASTER").when(F.col("_s"), "GAP").otherwise("ABSENT").alias("coverage"))

@@ -333,12 +333,36 @@ def quotes_from_xml(captures: DataFrame, now: Column, key: str = "capture_id", x
 
 
 def pick_stat(stats: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Per event and target the value of the best path: equal to an alias before ending in one, then the shorter path."""
-    x = stats.join(aliases, F.col("path").endswith(F.col("alias")))
-    rank = F.struct(F.when(F.col("path") == F.col("alias"), 0).otherwise(1), F.length("path"), "path", "value")
+    """Per event and target the value of the best path (stats: event_id, path, value; aliases: alias, target): its last part equal to an alias before the whole ending in one, then the shorter path.
+
+    Paths and aliases are compared without case and separators. A path meets aliases at its endings, so stats and aliases are joined by equal keys.
+    """
+    bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
+    x = stats.withColumn("_last", bare(F.substring_index("path", ".", -1))).withColumn("_full", bare(F.col("path"))).where(F.length("_full") > 0)
+    x = x.withColumn("_end", F.explode(F.transform(F.sequence(F.lit(1), F.length("_full")), lambda i: F.substring("_full", i, F.length("_full")))))
+    x = x.join(aliases.select(bare(F.col("alias")).alias("_end"), "target").where("_end <> ''").distinct(), "_end")
+    rank = F.struct(F.when(F.col("_last") == F.col("_end"), 0).otherwise(1), F.length("path"), "path", "value")
     return x.groupBy("event_id", "target").agg(F.min(rank).alias("r")).select("event_id", "target", F.col("r.path").alias("path"), F.col("r.value").alias("value"))
 
 
+def pick_titled(items: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Per player and target the item (title, value, per90, percentile) whose title fits an alias best: equal (3) before one within the other (2), of equals the first by pos.
+
+    items: player_id, pos, title, value, per90, percentile; aliases: alias, target. Titles repeat over players, so each distinct title is held against the aliases once:
+    a title meets the aliases that it contains, or that contain it, at the runs of letters of the longer.
+    """
+    bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
+    runs = lambda c: F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.transform(F.sequence(F.lit(1), F.length(c) - i + 1), lambda n: F.substring(c, i, n)))))
+    t = items.select(bare(F.col("title")).alias("t")).where("t <> ''").distinct()
+    a = aliases.select(bare(F.col("alias")).alias("a"), "target").where("a <> ''").distinct()
+    held = t.select("t", F.explode(runs(F.col("t"))).alias("a")).join(a, "a").select("t", "target", "a")
+    holding = a.select("a", "target", F.explode(runs(F.col("a"))).alias("t")).join(t, "t").select("t", "target", "a")
+    fit = held.union(holding).groupBy("t", "target").agg(F.max(F.when(F.col("t") == F.col("a"), 3).otherwise(2)).alias("score"))
+    x = items.withColumn("t", bare(F.col("title"))).join(fit, "t")
+    best = F.min(F.struct((-F.col("score")).alias("s"), "pos", "title", "value", "per90", "percentile")).alias("b")
+    return x.groupBy("player_id", "target").agg(best).select("player_id", "target", (-F.col("b.s")).alias("score"), *[F.col(f"b.{c}").alias(c) for c in ("title", "value", "per90", "percentile")])
+
+
 def embedded_json(docs: DataFrame, text: str, schema: str, required: Sequence[str], unique: str | None = None, least: int = 1) -> DataFrame:
     """Per document the longest JSON array in its text whose records have all required fields, from `least` records on; of records with one value of `unique` the first."""
     arrays = F.explode(F.regexp_extract_all(text, F.lit(r"(?s)(\[\s*\{.*?\}\s*\])"), F.lit(1)))

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from matchlake import queries as Q
-from matchlake import queries_boards, queries_jobs, queries_links, queries_more, queries_names, queries_rest, queries_values  # noqa: F401  they register their queries
+from matchlake import queries_boards, queries_context, queries_jobs, queries_links, queries_more, queries_names, queries_rest, queries_values  # noqa: F401  they register their queries
 
 SF = "/root/testdata/sf0.001"
 
