@@ -37,6 +37,8 @@ _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.ui
 #: An anchor with more open contexts is hot, and split, so no task holds them together.
 HOT = 10_000
 HALF = SIDE // 2
+#: Documents that a task remembers, to see which rows repeat one.
+SEEN = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -127,6 +129,14 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
     return new
 
 
+def _unlike_last(cols: list[np.ndarray], last: list | None) -> tuple[np.ndarray, list | None]:
+    """Where a row of a sorted stream differs from the one before it, which may be the last of the batch before; and the last row."""
+    new = _changes(*cols)
+    if len(new) and last is not None:
+        new[0] = any(c[0] != v for c, v in zip(cols, last, strict=True))
+    return new, [c[-1] for c in cols] if len(new) else last
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors sorted by h, context, doc, key, pos -> those with a covered context, and (open) the rows of each context's first document where h has several.
 
@@ -134,9 +144,10 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     carried: list[np.ndarray] | None = None
     emitted = False  # the carried h has several contexts, and the carried row is out
+    last = None
     for b in batches:
         cols = [c.to_numpy() for c in b.columns]
-        new = _changes(*cols)  # copies of a row count once
+        new, last = _unlike_last(cols, last)  # copies of a row count once, however many batches they fill
         done = cols[4] < 0
         settled = [c[done & new] for c in cols]
         cols = [c[~done & new] for c in cols]
@@ -169,10 +180,16 @@ def _found(h: np.ndarray, doc: np.ndarray, key: np.ndarray, pos: np.ndarray, is_
 def _contexts(batches: Iterator[pa.RecordBatch], split: bool = False) -> Iterator[pa.RecordBatch]:
     """(doc, text, key, at: list of (pos, h)) -> the bytes of each context, padded, with how many are real on either side.
 
-    first and last are the starts within the context that are to be compared. With `split` a context
+    Of the rows of a task that repeat a doc and key one goes on. first and last are the starts within the context that are to be compared. With `split` a context
     comes twice: under its anchor and the HALF bytes before it, for the starts that take in these, and the same with those behind it.
     """
+    seen: set[tuple[int, int]] = set()
     for b in batches:
+        if len(seen) > SEEN:  # repeated rows of a task follow each other, but for broadcast joins
+            seen.clear()
+        names = list(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
+        fresh = [not (name in seen or seen.add(name)) for name in names]
+        b = b if all(fresh) else b.filter(pa.array(fresh, pa.bool_()))
         data, offsets = part_bytes(b.column(1))
         doc, key, lists = b.column(0).to_numpy(), b.column(2).to_numpy(), b.column(3)
         row = np.repeat(np.arange(len(b)), lists.value_lengths().to_numpy())
@@ -271,7 +288,7 @@ def covered_starts(raw: np.ndarray, real: np.ndarray, doc: np.ndarray) -> np.nda
 
 
 def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by h -> the covered range of each, from its anchor. Up to HOT contexts of the last h are held, with one batch."""
+    """Contexts sorted by h, doc, key, pos, first -> the covered range of each, from its anchor. Up to HOT contexts of the last h are held, with one batch; copies of a context are dropped before."""
 
     def test(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         t = pa.Table.from_batches(parts)
@@ -282,7 +299,10 @@ def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batch(doc=doc[hit], key=t["key"].to_numpy()[hit], pos=t["pos"].to_numpy()[hit], low=low.astype(np.int32), high=high.astype(np.int32))
 
     held: list[pa.RecordBatch] = []
+    before = None
     for b in batches:
+        new, before = _unlike_last([b[c].to_numpy() for c in ("h", "doc", "key", "pos", "first")], before)
+        b = b if new.all() else b.filter(pa.array(new))
         if not len(b):
             continue
         h = b["h"].to_numpy()
@@ -325,7 +345,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, n_bytes, spans (start, end in UTF-8 bytes of what is removed), kept (the bytes that stay): one row per input row.
 
     The id is a whole number (other types are a TypeError); a null one counts as the smallest. Null texts are empty. Rows that share an id
-    are never earlier than each other, so both stay. Other columns are ignored; an empty table gives an empty one.
+    are never earlier than each other, so both stay; rows that repeat an id and text count once until the last step, however many they are. Other columns are ignored; an empty table gives an empty one.
     """
     if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
         raise TypeError(f"{id_col} must hold whole numbers: documents are compared by it")
@@ -342,7 +362,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ranges = "doc bigint, key bigint, pos bigint, low int, high int"
     many = lambda x: x.groupBy("h").count().where(F.col("count") > HOT).select("h")
-    compared = lambda x: x.repartition("h").sortWithinPartitions("h").mapInArrow(_factors, ranges)
+    compared = lambda x: x.repartition("h").sortWithinPartitions("h", "doc", "key", "pos", "first").mapInArrow(_factors, ranges)
     opened = met.where("open")
     hot = cut(many(opened), "hot-anchors")
     factors = cut(compared(contexts(opened.join(hot, "h", "left_anti"))), "factors")

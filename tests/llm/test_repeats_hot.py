@@ -86,3 +86,35 @@ def test_rows_that_share_an_id_and_a_checksum(spark):
         pair = (other, t) if (passage in other) != (passage in t) else None
     rows = [(1, passage), (5, pair[0]), (5, pair[1])]
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_very_many_copies_of_one_row(spark):
+    """Copies of a row that shares shorter strings and one passage with others: they meet once, and all are cut alike."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefgh ") for _ in range(1000))
+    near = "".join(text[i : i + 60] + "#%d#" % i for i in range(0, 960, 60))
+    rows = [(1, near), (2, text), (3, text[:45] + "?" + text[300:360]), (7, "other text " * 3)]
+    n = 30_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(spark.range(n).select(F.lit(2).cast("long"), F.lit(text))).repartition(6)
+    got = repeats.remove_repeats(docs).groupBy("doc_id", "n_bytes", "spans", F.sha2("kept", 256).alias("kept")).count().collect()
+    assert {r["doc_id"]: r["count"] for r in got} == {1: 1, 2: n + 1, 3: 1, 7: 1}
+    few = {r["doc_id"]: r for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for row in got:
+        alone = few[row["doc_id"]]
+        assert row["spans"] == alone["spans"] and row["kept"] == hashlib.sha256(alone["kept"]).hexdigest()
+    assert any(row["spans"] for row in got if row["doc_id"] == 2)
+
+
+def test_copies_are_dropped_over_batches():
+    c = lambda v, t=np.int64: np.asarray(v, t)
+    new, last = repeats._unlike_last([c([1, 1, 2]), c([5, 5, 5])], None)
+    assert new.tolist() == [True, False, True]
+    new, last = repeats._unlike_last([c([2, 2, 3]), c([5, 6, 6])], last)
+    assert new.tolist() == [False, True, True]
+    new, last = repeats._unlike_last([c([]), c([])], last)
+    assert new.tolist() == [] and last == [3, 6]
+    assert repeats._unlike_last([c([3]), c([6])], last)[0].tolist() == [False]
