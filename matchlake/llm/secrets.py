@@ -43,8 +43,9 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20),
     Rule("hex", r"[0-9a-f]{24,}"),  # runs are maximal, so a shorter run never hides a longer one
     # Up to its end line; without one, as far as lines of base64 go.
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?:(?!-----)[\s\S])*-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:(?:\s|\\[nr])*[A-Za-z0-9+/=]{20,})*)"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,40}PRIVATE KEY-----|(?:(?:\s|\\[nr])*+[A-Za-z0-9+/=]{20,}+)*+)"),
+    # From the start of a run of its characters, so a run is read once.
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
     Rule("code_host", r"gh[opsur]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("maps", r"AIza[A-Za-z0-9_-]{35}"),
@@ -218,7 +219,9 @@ def segments(texts: pa.Array, size: int = SEGMENT_BYTES) -> Iterator[pa.Array]:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """id and spans (kind, start, end in code points, end exclusive), one row per input row.
+    """id and spans (kind, start, end in code points, end exclusive), one row per input row; by start, then in the order of the rules.
+
+    Texts of any length are scanned whole, in time and memory that grow with their length; spans of different kinds may overlap.
 
     A null or empty text has no spans; other columns are ignored. Repeated rows give repeated results.
     """

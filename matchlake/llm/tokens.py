@@ -26,6 +26,8 @@ from matchlake.llm.secrets import segments
 #: Visible characters that are certainly neither white space nor marks that join what precedes them.
 PLAIN = "!-~À-˿Ͱ-ͳͶ-ͷΆ-ϿЀ-ҁҊ-ԯ"
 ODD = re.compile(f" (?:(?![{PLAIN}])|(?<![{PLAIN}] ))")
+#: Characters of a piece that is kept.
+LONG = 64
 SAFE = re.compile(f" (?<=[{PLAIN}] )(?=[{PLAIN}])")
 
 
@@ -73,7 +75,7 @@ class WordEnds:
 
 
 class Pieces(dict):
-    """What `of` makes of the ids of each piece, kept across texts: up to about `most` pieces.
+    """What `of` makes of the ids of each piece, kept across texts: up to about `most` pieces of up to LONG characters; longer ones leave with their texts.
 
     A piece after a text's first stands for itself with the space before it. A first piece has a key
     that no other has: it starts with a space, and the others never do.
@@ -87,7 +89,7 @@ class Pieces(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.of, self.most = of, most
+        self.of, self.most, self.long = of, most, []
         self.words = WordEnds.of(json.loads(tokenizer_json))
 
     def __missing__(self, piece: str) -> object:
@@ -95,15 +97,21 @@ class Pieces(dict):
         if ids is None:
             self.add([piece])
             return self[piece]
-        self[piece] = value = self.of(ids)
+        value = self.of(ids)
+        if len(piece) <= LONG:
+            self[piece] = value
         return value
 
     def add(self, pieces: list[str]) -> None:
         encoded = self.tokenizer.encode_batch_fast([p[1:] if p[:1] == " " else " " + p for p in pieces], add_special_tokens=False)
         self.update(zip(pieces, [self.of(e.ids) for e in encoded], strict=True))
+        self.long += [p for p in pieces if len(p) > LONG]
 
     def values_of(self, texts: list[str]) -> Iterator[Iterator[object]]:
-        """The values of each text's pieces, in order."""
+        """The values of each text's pieces, in order. They have to be read before the next call."""
+        for p in self.long:
+            self.pop(p, None)
+        self.long.clear()
         if len(self) > self.most:  # the first seen are the common ones
             first = dict(islice(self.items(), self.most // 2))
             self.clear()

@@ -82,3 +82,23 @@ def test_trigram_query_is_necessary(pattern, text):
 def test_rules_without_mandatory_trigrams_scan_fully():
     assert secrets.trigram_query("[0-9a-f]{24,}") == []
     assert secrets.trigram_query("AKIA[A-Z0-9]+") == [[frozenset({b"aki", b"kia"})]]
+
+
+def test_very_long_texts_in_time_and_memory_that_grow_with_them():
+    """A key without an end line, runs of token starts and a text of 20 MB, in a process of their own."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, time
+import pyarrow as pa
+from matchlake.llm import secrets
+s = secrets.Scanner()
+key = "-----BEGIN RSA PRIVATE KEY-----"
+texts = [key + "a b" * 6_600_000, "eyJ" * 700_000, key * 60_000, key + "-" * 2_000_000, ("eyJ" + "a" * 20 + ".") * 80_000]
+before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+n = [len(found) for t in texts for found in s.scan(pa.array([t]))]
+print(time.time() - began, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before, n)
+"""
+    seconds, memory, _ = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split(" ", 2)
+    assert float(seconds) < 60 and int(memory) < 900_000

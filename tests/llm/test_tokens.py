@@ -71,3 +71,13 @@ def test_rare_words(both, spark):
     words = sorted({w for t in texts for w in t.split(" ")})
     letters = "".join(map(chr, range(0xA1, 0x250)))
     same(both, words + [letters, *letters, *(a + "n" + a for a in letters)])
+
+
+def test_long_pieces_leave_with_their_texts(both):
+    """Texts without spaces are one piece each; they don't fill the memory of a task."""
+    _, pieces = both
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        same(both, ["".join(map(chr, rng.integers(0x4E00, 0x9000, 700))) for _ in range(20)] + ["a" * 65, "b c"])
+    list(tokens.encode_ids(pa.array(["short one"]), pieces))
+    assert max(map(len, pieces)) <= tokens.LONG
