@@ -37,7 +37,7 @@ def md6_movement_board(spark, sf):
     """+ w AS (SELECT r.event_id, kickoff, CASE WHEN r.event_id % 31 = 0 THEN 'Event ended' WHEN r.event_id % 31 = 1 THEN 'InPlay' ELSE '' END AS status, r.event_id % 13 = 0 AS in_play, o.home, o.draw, o.away, CASE WHEN r.event_id % 7 > 0 THEN p.home END AS sh, p.draw AS sd, CASE WHEN r.event_id % 9 > 0 THEN p.away END AS sa, CASE r.event_id % 4 WHEN 0 THEN '1' WHEN 1 THEN 'X' WHEN 2 THEN '2' END AS sp,
         r.event_id % 5 > 0 AS modeled, r.event_id % 17 AS dh, r.event_id % 11 AS dd, r.event_id % 19 AS da, r.event_id % 17 AS ph, r.event_id % 6 AS pd, r.event_id % 23 AS pa FROM results r JOIN odds o ON o.event_id = r.event_id JOIN predictions p ON p.event_id = r.event_id),
       e AS (SELECT *, home * sh / 100 - 1 AS eh, draw * sd / 100 - 1 AS ed, away * sa / 100 - 1 AS ea, CASE WHEN modeled THEN CASE WHEN dh >= dd AND dh >= da THEN 'H' WHEN dd >= da THEN 'D' ELSE 'A' END END AS dc, CASE WHEN modeled THEN CASE WHEN ph >= pd AND ph >= pa THEN 'H' WHEN pd >= pa THEN 'D' ELSE 'A' END END AS pi, CASE sp WHEN '1' THEN 'H' WHEN 'X' THEN 'D' WHEN '2' THEN 'A' END AS ss FROM w), b AS (SELECT *, greatest(eh, ed, ea) AS best FROM e)
-      SELECT event_id, CASE WHEN upper(status) LIKE '%ENDED%' OR TIMESTAMP '1997-06-01' >= kickoff + INTERVAL 150 MINUTES THEN 'ENDED' WHEN TIMESTAMP '1997-06-01' < kickoff THEN 'PRE' WHEN in_play OR upper(status) LIKE '%INPLAY%' THEN 'LIVE' ELSE 'CLOSED' END AS phase, round(eh, 6) AS edge_h, round(ed, 6) AS edge_d, round(ea, 6) AS edge_a, round(best, 6) AS best_edge,
+      SELECT event_id, CASE WHEN upper(status) LIKE '%ENDED%' OR TIMESTAMP '1997-06-01' >= kickoff + INTERVAL 150 MINUTES THEN 'ENDED' WHEN TIMESTAMP '1997-06-01' < kickoff THEN 'PRE' WHEN in_play OR upper(status) LIKE '%INPLAY%' THEN 'LIVE' ELSE 'CLOSED' END AS phase, round(eh, 6) + 0 AS edge_h, round(ed, 6) + 0 AS edge_d, round(ea, 6) + 0 AS edge_a, round(best, 6) + 0 AS best_edge,
         CASE WHEN eh = best THEN 'H' WHEN ed = best THEN 'D' ELSE 'A' END AS best_side, CASE WHEN eh = best THEN home WHEN ed = best THEN draw ELSE away END AS best_odds, CASE WHEN sh IS NULL OR sa IS NULL THEN 'NO SOURCE MODEL' WHEN best > 0 THEN 'POSITIVE EDGE' ELSE 'NO EDGE' END AS edge_status, dc AS dc_pick, pi AS pi_pick,
         CASE WHEN NOT modeled THEN 'MODEL_UNAVAILABLE' WHEN ss IS NULL THEN 'NO_SOURCE' WHEN ss = dc THEN 'AGREE' ELSE 'CONFLICT' END AS source_dc, CASE WHEN NOT modeled THEN 'LOCAL MODEL UNAVAILABLE' WHEN dc <> pi THEN 'DC/PI CONFLICT' WHEN ss = dc THEN 'ALL AGREE' ELSE 'MODEL CONFLICT' END AS consensus FROM b""",
     ("results", "odds", "predictions"),

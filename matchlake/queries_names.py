@@ -130,7 +130,7 @@ def j4_link_slug(spark, sf):
     CLUBS + """, sets AS (SELECT DISTINCT club % 5 AS dataset, CASE WHEN club % 5 = 4 THEN 'CUP' END AS scope, club FROM clubs), f AS (SELECT event_id, h, a, CASE WHEN event_id % 11 = 0 THEN 'CUP' ELSE 'L' END AS comp FROM meetings), sim AS (SELECT l.own, l.its, s, dataset, scope, name FROM likeness l JOIN sets ON club = its JOIN clubs c ON c.club = its WHERE s >= CAST(0.73 AS DOUBLE) - 1e-9),
       r AS (SELECT *, row_number() OVER w AS n, lead(s) OVER w AS nx FROM sim WINDOW w AS (PARTITION BY dataset, own ORDER BY s DESC, name DESC)),
       b AS (SELECT * FROM r WHERE n = 1 AND s >= 0.78 AND (s >= 0.94 OR nx IS NULL OR s - nx >= CAST(0.05 AS DOUBLE)) AND its % 13 > 0 AND (its % 17 > 0 OR own = its + 1) AND (its % 3 > 0 OR its % 17 <= 1 OR own = its)),
-      v AS (SELECT club AS own, club AS its FROM clubs WHERE club % 3 = 0 AND club % 17 > 1 UNION ALL SELECT club, club - 1 FROM clubs WHERE club % 17 = 1 AND club > 1),
+      v AS (SELECT club AS own, club AS its FROM clubs WHERE club % 3 = 0 AND club % 17 > 1 UNION ALL SELECT club, club - 1 FROM clubs WHERE club % 17 = 1 AND club - 1 IN (SELECT club FROM clubs)),
       ver AS (SELECT event_id, min(x.dataset) AS dataset FROM f JOIN v p ON p.own = h JOIN v q ON q.own = a AND q.its <> p.its JOIN sets x ON x.club = p.its JOIN sets y ON y.club = q.its AND x.dataset = y.dataset WHERE x.scope IS NOT DISTINCT FROM CASE WHEN comp = 'CUP' THEN 'CUP' END GROUP BY 1),
       c AS (SELECT event_id, x.dataset, (x.s + y.s) / 2 AS score FROM f JOIN b x ON x.own = h JOIN b y ON y.own = a AND y.dataset = x.dataset WHERE x.scope IS NOT DISTINCT FROM CASE WHEN comp = 'CUP' THEN 'CUP' END AND x.its <> y.its AND (x.s + y.s) / 2 >= 0.82),
       d AS (SELECT event_id, min(struct_pack(s := -score, d := dataset)) AS d FROM c GROUP BY 1)

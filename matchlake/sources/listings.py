@@ -58,8 +58,13 @@ LISTING = (
 )
 
 
-def read_field(block: Column, field: Field, base_url: str = "") -> Column:
-    found = F.coalesce(*[F.nullif(plain(F.regexp_extract(block, p, _group(p))), F.lit("")) for p in field.patterns])
+def find_field(block: Column, field: Field) -> Column:
+    """The text of a field: the first of its patterns that gives one."""
+    return F.coalesce(*[F.nullif(plain(F.regexp_extract(block, p, _group(p))), F.lit("")) for p in field.patterns])
+
+
+def read_field(found: Column, field: Field, base_url: str = "") -> Column:
+    """A field's text as its kind; null if it does not read so."""
     if field.kind == "percent":
         return E.parse_pct(found)
     if field.kind == "odds":
@@ -85,7 +90,9 @@ def listing_rows(pages: DataFrame, fields: Sequence[Field] = LISTING, css: str =
     start = rf'(?is)<div\b[^>]*\bclass="(?:[^"]*\s)?{css}(?:\s[^"]*)?"[^>]*>'
     parts = F.split(F.coalesce("html", F.lit("")), start)
     b = pages.select("page_id", "requested_date", F.posexplode(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).alias("pos", "block"))
-    x = b.select("page_id", "pos", "requested_date", *[read_field(F.col("block"), f, base_url).alias(f.name) for f in fields])
+    # Texts first, through inline, so that each is found once however often its reading refers to it.
+    x = b.select("page_id", "pos", "requested_date", F.inline(F.array(F.struct(*[find_field(F.col("block"), f).alias(f.name) for f in fields]))))
+    x = x.select("page_id", "pos", "requested_date", *[read_field(F.col(f.name), f, base_url).alias(f.name) for f in fields])
     if any(f.name == "match_date" for f in fields):
         x = x.withColumn("match_date", F.coalesce("match_date", F.col("requested_date").cast("date")))
     for c in needed:
