@@ -118,3 +118,26 @@ def form_board(fixtures: DataFrame, results: DataFrame, override: DataFrame | No
     source = F.when(F.col("o").isNotNull(), "OVERRIDE_WITH_FALLBACK").otherwise("RESULTS")
     quality = F.when(F.col("o").isNotNull(), F.concat(F.lit("OVERRIDE_"), "o.status")).otherwise(F.concat_ws("/", F.concat(F.lit("RECENT:"), F.col("home_s.games")), F.col("away_s.games")))
     return x.select("event_id", *out, source.alias("source"), quality.alias("quality"))
+
+
+#: Live metric, weight and the lead that counts.
+CONTROL = (("xg", 2, 0.25), ("shots", 1, 3), ("sot", 1, 2), ("possession", 1, 8), ("box", 1, 5), ("big_chances", 1, 1), ("corners", 1, 2))
+
+
+def live_control(live: DataFrame, scenario: DataFrame) -> DataFrame:
+    """event_id, segment, expected, actual, score, n_metrics, status, reason: the side in control of a live event against the side expected in its segment.
+
+    live: event_id, minute and pairs <metric>_home, <metric>_away of CONTROL (a missing pair counts for nothing); scenario: event_id, segment, expected (H, A, UNKNOWN or null), one row each.
+    A score of 2 or more is control. CONFIRM or CONTRADICT only from minute 10 on, with three metrics and a side in control; else WAIT, and the reason says for what.
+    """
+    lead = {m: F.col(f"{m}_home") - F.col(f"{m}_away") for m, _, _ in CONTROL}
+    score = sum((F.when(lead[m] >= k, w).when(lead[m] <= -k, -w).otherwise(0) for m, w, k in CONTROL), F.lit(0))
+    n = sum((lead[m].isNotNull().cast("int") for m, _, _ in CONTROL), F.lit(0))
+    x = live.select("event_id", "minute", E.segment(F.col("minute")).alias("segment"), score.alias("score"), n.alias("n_metrics")).join(scenario, ["event_id", "segment"], "left")
+    x = x.withColumn("actual", F.when(F.col("score") >= 2, "H").when(F.col("score") <= -2, "A").otherwise("BALANCED"))
+    steps = [(F.coalesce("expected", F.lit("UNKNOWN")) == "UNKNOWN", "WAIT", "NO_EXPECTED_CONTROL"), (F.coalesce("minute", F.lit(0)) < 10, "WAIT", "EARLY_MATCH"), (F.col("n_metrics") < 3, "WAIT", "INSUFFICIENT_LIVE_METRICS"),
+             (F.col("actual") == "BALANCED", "WAIT", "LIVE_CONTROL_BALANCED"), (F.col("actual") == F.col("expected"), "CONFIRM", "LIVE_CONTROL_ALIGNS")]
+    status, reason = F.lit("CONTRADICT"), F.lit("LIVE_CONTROL_OPPOSES")
+    for condition, s, r in reversed(steps):
+        status, reason = F.when(condition, s).otherwise(status), F.when(condition, r).otherwise(reason)
+    return x.select("event_id", "segment", "expected", "actual", "score", "n_metrics", status.alias("status"), reason.alias("reason"))

@@ -142,3 +142,54 @@ def src16_pick_titled(spark, sf):
     items = T.table(spark, sf, "lineitem").where("l_linenumber < 4").select(F.col("l_suppkey").alias("player_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), title.alias("title"), F.col("l_quantity").alias("value"), F.lit(None).cast("double").alias("per90"), F.lit(None).cast("double").alias("percentile"))
     aliases = spark.createDataFrame([("Goals", "goals"), ("Total shots", "shots"), ("Shots", "shots"), ("shots on-target", "on_target"), ("tackles", "none")], "alias string, target string")
     return X.pick_titled(items, aliases).select("player_id", "target", "score", "title", "value")
+
+
+_LIVE = {"xg": ("CAST(row_id % 7 AS DOUBLE) / 10", "0.3::DOUBLE"), "shots": ("row_id % 9", "4"), "sot": ("row_id % 5", "2"), "possession": ("40 + row_id % 21", "60 - row_id % 21"), "box": ("row_id % 13", "6"), "big_chances": ("row_id % 3", "1"), "corners": ("row_id % 6", "3")}
+_LEADS = [(f"CASE WHEN row_id % 4 > 0 OR '{m}' IN ('xg', 'shots') THEN {h} - ({a}) END", w, k) for (m, w, k), (h, a) in ((c, _LIVE[c[0]]) for c in M.CONTROL)]
+
+
+@query(
+    f"""+ b AS (SELECT row_id AS event_id, minute % 95 AS minute, CASE WHEN minute % 95 < 16 THEN '0-15' WHEN minute % 95 < 31 THEN '16-30' WHEN minute % 95 < 46 THEN '31-HT' WHEN minute % 95 < 61 THEN '46-60' WHEN minute % 95 < 76 THEN '61-75' ELSE '76-FT' END AS segment, {" + ".join(f"CASE WHEN {d} >= {k} THEN {w} WHEN {d} <= -{k} THEN -{w} ELSE 0 END" for d, w, k in _LEADS)} AS score,
+        {" + ".join(f"(({d}) IS NOT NULL)::INT" for d, _, _ in _LEADS)} AS n, CASE row_id % 5 WHEN 0 THEN 'H' WHEN 1 THEN 'A' WHEN 2 THEN 'UNKNOWN' WHEN 3 THEN 'H' END AS expected FROM live_stats),
+      c AS (SELECT *, CASE WHEN score >= 2 THEN 'H' WHEN score <= -2 THEN 'A' ELSE 'BALANCED' END AS actual FROM b)
+      SELECT event_id, expected, actual, score, n AS n_metrics, CASE WHEN coalesce(expected, 'UNKNOWN') = 'UNKNOWN' OR minute < 10 OR n < 3 OR actual = 'BALANCED' THEN 'WAIT' WHEN actual = expected THEN 'CONFIRM' ELSE 'CONTRADICT' END AS status,
+        CASE WHEN coalesce(expected, 'UNKNOWN') = 'UNKNOWN' THEN 'NO_EXPECTED_CONTROL' WHEN minute < 10 THEN 'EARLY_MATCH' WHEN n < 3 THEN 'INSUFFICIENT_LIVE_METRICS' WHEN actual = 'BALANCED' THEN 'LIVE_CONTROL_BALANCED' WHEN actual = expected THEN 'LIVE_CONTROL_ALIGNS' ELSE 'LIVE_CONTROL_OPPOSES' END AS reason FROM c""",
+    ("live_stats",),
+)
+def md8_live_control(spark, sf):
+    """Live rows with two or seven metrics against the scenarios of their segments, some of them unknown."""
+    from matchlake.functions import exprs as E
+
+    x = T.live_stats(spark, sf)
+    live = x.select(F.col("row_id").alias("event_id"), (F.col("minute") % 95).alias("minute"), *[F.when((F.col("row_id") % 4 > 0) | F.lit(m in ("xg", "shots")), F.expr(e.replace("::DOUBLE", "D"))).alias(f"{m}_{s}") for m, pair in _LIVE.items() for s, e in zip(("home", "away"), pair, strict=True)])
+    k = F.col("event_id") % 5
+    scenario = live.select("event_id", E.segment(F.col("minute")).alias("segment"), F.when(k == 0, "H").when(k == 1, "A").when(k == 2, "UNKNOWN").when(k == 3, "H").alias("expected"))
+    return M.live_control(live, scenario).drop("segment")
+
+
+@query(
+    """+ e AS (SELECT *, 'https://a.example/football/' || event_id || '/' AS url, strftime(kickoff, '%Y-%m-%d') AS day, printf('%02d:15', event_id % 24) AS clock, event_id % 60 AS h, (event_id * 7) % 40 AS d FROM results WHERE event_id % 10 > 0)
+       SELECT event_id AS page_id, url, 'Home ' || home_id AS home, 'Away ' || away_id AS away, CAST(kickoff AS DATE) AS source_date, clock AS source_time, CASE WHEN event_id % 4 > 0 AND 100 - h - d <= 100 THEN h / 100 END AS h, CASE WHEN event_id % 4 > 0 THEN d / 100 END AS d, CASE WHEN event_id % 4 > 0 THEN (100 - h - d) / 100 END AS a, (event_id % 101) / 100 AS over25,
+         CASE WHEN event_id % 3 = 0 THEN home_goals || ' - ' || away_goals END AS score, CASE WHEN event_id % 6 IN (1, 2) THEN CAST(day || ' ' || clock AS TIMESTAMP) - CASE WHEN event_id % 6 = 2 THEN INTERVAL 8 HOURS ELSE INTERVAL 0 HOURS END END AS kickoff, CASE WHEN event_id % 6 IN (1, 2) THEN 'VERIFIED' ELSE 'WALL_TIME' END AS status FROM e""",
+    ("results",),
+)
+def src6_articles(spark, sf):
+    """An article for each event: shares that add up to 100 or 130, scores in some, event data with and without an offset, of another url, or at another time; some have no title."""
+    from matchlake.sources import listings as N
+
+    e, say = F.col("event_id"), F.format_string
+    res = T.results(spark, sf)
+    day, clock = F.date_format("kickoff", "yyyy-MM-dd"), say("%02d:15", e % 24)
+    url = say("https://a.example/football/%d/", e)
+    h, d = e % 60, (e * 7) % 40
+    zone = F.when(e % 6 == 1, "Z").when(e % 6 == 2, "+08:00").when(e % 6 == 3, "").otherwise("Z")
+    at = F.concat(day, F.lit("T"), F.when(e % 6 == 4, F.lit("03:59")).otherwise(clock), F.lit(":00"), zone)
+    event = say('{"@type":"SportsEvent","url":"%s","startDate":"%s","homeTeam":{"name":"Home %d"},"awayTeam":{"name":"Away %d"}}', F.when(e % 6 == 5, "https://other.example/").otherwise(url), at, "home_id", "away_id")
+    script = F.concat(F.lit('<script type="application/ld+json">'), F.when(e % 6 == 0, F.lit("no json")).when(e % 2 == 0, F.concat(F.lit('[{"@type":"Other"},'), event, F.lit("]"))).otherwise(event), F.lit("</script>"))
+    html = F.concat(
+        F.when(e % 10 > 0, say("<h1>Home %d <b>vs</b> Away %d Prediction today</h1>", "home_id", "away_id")).otherwise("<h1>news</h1>"), script, say("<p>Date %s %s</p><h4>Winner</h4>", day, clock),
+        say("<p>Home %d%% Draw %d %% Away: no, Away %d%%</p>", h, d, F.when(e % 4 > 0, 100 - h - d).otherwise(130 - h - d)), say("<h4>Total Goals 2.5</h4><i>Over %d%%</i><h4>Both Teams to Score</h4><h4>Correct Score</h4>", e % 101),
+        F.when(e % 3 == 0, say("<h5>%d - %d 12%% Others 88%%</h5>", "home_goals", "away_goals")).otherwise("<h5>open</h5>"),
+    )
+    rows = N.article_rows(res.select(e.alias("page_id"), url.alias("url"), html.alias("html")))
+    return rows.drop("under25", "both_yes", "both_no")

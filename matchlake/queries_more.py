@@ -187,7 +187,11 @@ def x9_rate_limited_first(spark, sf):
     return every.select("event_id", "source", F.col("last_accepted").alias("first_at"))
 
 
-@query()
+@query(
+    """+ g AS (SELECT event_id, source, list_sort(list(DISTINCT CAST(floor(epoch(captured_at)) AS BIGINT))) AS ts FROM live_stats GROUP BY 1, 2), f AS (SELECT event_id, source, list_reduce(list_prepend({l: CAST(NULL AS BIGINT), n: 0, t: CAST(0 AS BIGINT)}, list_transform(ts, lambda t: {l: CAST(NULL AS BIGINT), n: 0, t: t})), lambda s, y: CASE WHEN s.l IS NULL OR y.t - s.l >= 60 THEN {l: y.t, n: s.n + 1, t: y.t} ELSE {l: s.l, n: s.n, t: y.t} END) AS f FROM g)
+       SELECT event_id, source, f.n AS n_accepted, make_timestamp(f.l * 1000000) AS last_accepted FROM f""",
+    ("live_stats",),
+)
 def x9_rate_limited_60s(spark, sf):
     return I.rate_limited(T.live_stats(spark, sf).select("event_id", "source", F.col("captured_at").alias("observed_at")))
 

@@ -135,3 +135,57 @@ def team_stats(details: DataFrame, depth: int = 8) -> DataFrame:
         out = out.union(x)
     out = out.withColumn("key", E.stat_slug(F.col("key"))).withColumn("_n", F.row_number().over(Window.partitionBy("event_id", "period", "key", F.trim("home"), F.trim("away")).orderBy("path")))
     return out.where("_n = 1").select("event_id", "period", "group", "key", "title", "home", "away")
+
+
+@dataclass(frozen=True)
+class Article:
+    """Where an article's first heading names its sides (two groups), its text its date and clock (two groups), its sections as (start, end), and the words that stand before a section's percentages."""
+
+    title: str
+    clock: str
+    sections: dict[str, tuple[str, str]]
+    shares: dict[str, tuple[str, str]]
+    score: str
+
+
+#: The layout of an article page.
+ARTICLE = Article(
+    title=r"(?i)^(.+?)\s+vs?\s+(.+?)\s+(?:Prediction|H2H)\b",
+    clock=r"\bDate\s+(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2})",
+    sections={"winner": (r"\bWinner\b", r"\bTotal Goals\s*2\.5\b"), "goals": (r"\bTotal Goals\s*2\.5\b", r"\bBoth Teams to Score\b"), "both": (r"\bBoth Teams to Score\b", r"\bCorrect Score\b")},
+    shares={"h": ("winner", "Home"), "d": ("winner", "Draw"), "a": ("winner", "Away"), "over25": ("goals", "Over"), "under25": ("goals", "Under"), "both_yes": ("both", "Yes"), "both_no": ("both", "No")},
+    score=r"(?is)<h4\b[^>]*>\s*Correct Score\s*</h4>\s*<(?:h5|p)\b[^>]*>\s*(\d{1,2}\s*-\s*\d{1,2})(?:\s+\d{1,3}%\s+Others\s+\d{1,3}%)?\s*</",
+)
+EVENT = "struct<`@type`: string, url: string, startDate: string, homeTeam: struct<name: string>, awayTeam: struct<name: string>>"
+
+
+def article_rows(pages: DataFrame, spec: Article = ARTICLE) -> DataFrame:
+    """page_id, url, home, away, source_date, source_time, h, d, a, over25, under25, both_yes, both_no, score, kickoff, status: one row for each page that names its sides and its clock.
+
+    pages: page_id, url, html. A section starts behind its first heading and ends at the next, or after 1500 characters. The three shares of a winner count together: each from 0 to 1 and their sum within .025 of 1, else none does. The kickoff
+    counts if the page's event data (JSON-LD) has the same url and names and, at its own offset, the same date and clock; it is then VERIFIED, else WALL_TIME.
+    """
+    text = plain(F.regexp_replace(F.coalesce("html", F.lit("")), r"(?is)<script\b.*?</script>", " "))
+    x = pages.select("page_id", "url", "html", F.inline(F.array(F.struct(text.alias("text"), plain(F.regexp_extract("html", r"(?is)<h1\b[^>]*>(.*?)</h1>", 1)).alias("heading")))))
+    x = x.withColumns({"home": F.regexp_extract("heading", spec.title, 1), "away": F.regexp_extract("heading", spec.title, 2), "source_date": F.regexp_extract("text", spec.clock, 1), "source_time": F.regexp_extract("text", spec.clock, 2)})
+    x = x.where("home <> '' AND away <> '' AND source_date <> ''")
+
+    def section(start: str, end: str) -> Column:
+        after = F.regexp_extract("text", rf"(?is){start}(.*)", 1)
+        return F.when(after.rlike(rf"(?is){end}"), F.regexp_extract(after, rf"(?is)^(.*?){end}", 1)).otherwise(F.substring(after, 1, 1500))
+
+    x = x.select("page_id", "url", "html", "home", "away", "source_date", "source_time", F.inline(F.array(F.struct(*[section(*s).alias(n) for n, s in spec.sections.items()]))))
+
+    def share(name: str, word: str) -> Column:
+        n = F.regexp_extract(name, rf"(?i)\b{word}\s*(\d{{1,3}}(?:\.\d+)?)\s*%", 1).try_cast("double")
+        return F.when(n.between(0, 100), F.round(n / 100, 6))
+
+    scripts = F.regexp_extract_all("html", F.lit(r'(?is)<script\b[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'), F.lit(1))
+    events = F.flatten(F.transform(scripts, lambda j: F.when(F.trim(j).startswith("["), F.from_json(j, f"array<{EVENT}>")).otherwise(F.array(F.from_json(j, EVENT)))))
+    same = lambda e: (e["@type"] == "SportsEvent") & (e["url"] == F.col("url")) & (e["homeTeam"]["name"] == F.col("home")) & (e["awayTeam"]["name"] == F.col("away"))
+    x = x.select("page_id", "url", "home", "away", "source_date", "source_time", F.inline(F.array(F.struct(*[share(*s).alias(n) for n, s in spec.shares.items()], F.nullif(E.fmt_score(F.regexp_extract("html", spec.score, 1)), F.lit("")).alias("score"), F.try_element_at(F.filter(events, same), F.lit(-1))["startDate"].alias("start")))))
+    whole = F.abs(F.col("h") + F.col("d") + F.col("a") - 1) <= 0.025 + 1e-9
+    zoned = F.col("start").rlike(r"(?:Z|[+-]\d{2}:\d{2})$") & (F.substring("start", 1, 10) == F.col("source_date")) & (F.substring("start", 12, 5) == F.col("source_time"))
+    kickoff = F.when(zoned, F.try_to_timestamp("start"))
+    rest = [c for c in spec.shares if c not in "hda"]
+    return x.select("page_id", "url", "home", "away", F.col("source_date").try_cast("date").alias("source_date"), "source_time", *[F.when(whole, F.col(c)).alias(c) for c in "hda"], *rest, "score", kickoff.alias("kickoff"), F.when(kickoff.isNotNull(), "VERIFIED").otherwise("WALL_TIME").alias("status"))
