@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
 from matchlake.operators import links
+from matchlake.plans import models
 
 #: Seconds back, tolerance, and the change that counts as a move.
 BACK = {"24": (86_400, 10_800, 0.05), "2": (7_200, 4_500, 0.03), "1": (3_600, 2_400, 0.02)}
@@ -141,3 +144,28 @@ def live_control(live: DataFrame, scenario: DataFrame) -> DataFrame:
     for condition, s, r in reversed(steps):
         status, reason = F.when(condition, s).otherwise(status), F.when(condition, r).otherwise(reason)
     return x.select("event_id", "segment", "expected", "actual", "score", "n_metrics", status.alias("status"), reason.alias("reason"))
+
+
+def h2h_board(fixtures: DataFrame, results: DataFrame, coverage: DataFrame, overrides: Sequence[tuple[str, DataFrame]] = (), n: int = 5) -> DataFrame:
+    """event_id, games, wins, draws, losses, gf, ga, avg_total, last, source, quality: the last n meetings of each fixture from its home side's view.
+
+    Without meetings the quality says whether there are none in a whole history (coverage: team, status; both BOOTSTRAPPED) or the history is in part. Of the overrides (source, table of event_id,
+    verified, games, wins, draws, losses, gf, ga, last), in their order, the first that is verified, has games, and whose results add up to them wins as a whole.
+    """
+    own = models.h2h_summary(fixtures, results, n).drop("quality")
+    fields = ["games", "wins", "draws", "losses", "gf", "ga", "last"]
+    x = fixtures.select("event_id", "home_id", "away_id").join(own.select("event_id", F.struct(*fields).alias("own")), "event_id", "left")
+    ready = coverage.groupBy("team").agg(F.max(F.col("status") == "BOOTSTRAPPED").alias("ready"))
+    for s in ("home", "away"):
+        x = x.join(ready.withColumnsRenamed({"team": f"{s}_id", "ready": f"{s}_ready"}), f"{s}_id", "left")
+    chosen, source = F.col("own"), F.lit("RESULTS")
+    for name, df in reversed(list(overrides)):
+        good = df.where(F.col("verified") & (F.col("games") > 0) & (F.col("wins") + F.col("draws") + F.col("losses") == F.col("games")))
+        good = good.groupBy("event_id").agg(F.max(F.struct(*[F.col(f).cast(own.schema[f].dataType).alias(f) for f in fields])).alias(f"_{name}"))
+        x = x.join(good, "event_id", "left")
+        chosen, source = F.coalesce(F.col(f"_{name}"), chosen), F.when(F.col(f"_{name}").isNotNull(), name).otherwise(source)
+    x = x.select("event_id", "home_ready", "away_ready", F.inline(F.array(F.struct(chosen.alias("c"), source.alias("source")))))
+    games = F.coalesce("c.games", F.lit(0))
+    quality = F.when(games > 0, F.when(F.col("source") == "RESULTS", "H2H_OK").otherwise("H2H_VERIFIED")).when(F.coalesce(F.col("home_ready") & F.col("away_ready"), F.lit(False)), "NO_PREVIOUS_H2H").otherwise("HISTORY_PARTIAL")
+    count = [F.coalesce(F.col(f"c.{f}"), F.lit(0)).cast("long").alias(f) for f in fields[:-1]]
+    return x.select("event_id", *count, F.when(games > 0, F.round((F.col("c.gf") + F.col("c.ga")) / games, 2)).alias("avg_total"), F.coalesce("c.last", F.lit("")).alias("last"), "source", quality.alias("quality"))

@@ -193,3 +193,41 @@ def src6_articles(spark, sf):
     )
     rows = N.article_rows(res.select(e.alias("page_id"), url.alias("url"), html.alias("html")))
     return rows.drop("under25", "both_yes", "both_no")
+
+
+@query(
+    f"""+ r AS (SELECT *, least(home_id, away_id) AS lo, greatest(home_id, away_id) AS hi FROM results), p AS (SELECT f.event_id, CASE WHEN h.home_id = f.home_id THEN h.home_goals ELSE h.away_goals END AS gf, CASE WHEN h.home_id = f.home_id THEN h.away_goals ELSE h.home_goals END AS ga, row_number() OVER (PARTITION BY f.event_id ORDER BY h.kickoff DESC, h.event_id) AS n FROM r f JOIN r h ON f.lo = h.lo AND f.hi = h.hi AND h.kickoff < f.kickoff WHERE f.kickoff >= {NOW}),
+      o AS (SELECT event_id, count(*) AS games, count(*) FILTER (gf > ga) AS wins, count(*) FILTER (gf = ga) AS draws, count(*) FILTER (gf < ga) AS losses, sum(gf)::BIGINT AS gf, sum(ga)::BIGINT AS ga, string_agg(CASE WHEN gf > ga THEN 'W' WHEN gf < ga THEN 'L' ELSE 'D' END, '' ORDER BY n) AS last FROM p WHERE n <= 5 GROUP BY 1),
+      x AS (SELECT f.event_id, f.event_id % 7 = 0 AND f.event_id % 14 > 0 AS first, f.event_id % 5 = 0 AS second, home_id % 4 > 0 AND away_id % 4 > 0 AS ready, o.* EXCLUDE (event_id) FROM results f LEFT JOIN o ON o.event_id = f.event_id WHERE kickoff >= {NOW}),
+      c AS (SELECT event_id, ready, CASE WHEN first THEN 'A' WHEN second THEN 'B' ELSE 'RESULTS' END AS source, CASE WHEN first THEN 3 WHEN second THEN 2 ELSE coalesce(games, 0) END AS games, CASE WHEN first THEN 1 WHEN second THEN 2 ELSE coalesce(wins, 0) END AS wins, CASE WHEN first THEN 1 WHEN second THEN 0 ELSE coalesce(draws, 0) END AS draws, CASE WHEN first THEN 1 WHEN second THEN 0 ELSE coalesce(losses, 0) END AS losses,
+        CASE WHEN first THEN 4 WHEN second THEN 5 ELSE coalesce(gf, 0) END AS gf, CASE WHEN first THEN 4 WHEN second THEN 1 ELSE coalesce(ga, 0) END AS ga, CASE WHEN first THEN 'WDL' WHEN second THEN 'WW' ELSE coalesce(last, '') END AS last FROM x)
+      SELECT event_id, games::BIGINT AS games, wins::BIGINT AS wins, draws::BIGINT AS draws, losses::BIGINT AS losses, gf::BIGINT AS gf, ga::BIGINT AS ga, CASE WHEN games > 0 THEN round((gf + ga) / games, 2) END AS avg_total, last, source, CASE WHEN games > 0 THEN CASE WHEN source = 'RESULTS' THEN 'H2H_OK' ELSE 'H2H_VERIFIED' END WHEN ready THEN 'NO_PREVIOUS_H2H' ELSE 'HISTORY_PARTIAL' END AS quality FROM c""",
+    ("results",),
+)
+def md14_h2h_board(spark, sf):
+    """Two sources override: the first has rows whose results don't add up, the second all of its rows right; a quarter of the teams have their history in part."""
+    res, k = T.results(spark, sf), F.col("event_id")
+    row = lambda keep, verified, *values: res.where(keep).select("event_id", verified.alias("verified"), *[F.lit(v).alias(c) for c, v in zip(("games", "wins", "draws", "losses", "gf", "ga", "last"), values, strict=True)])
+    first = row(k % 7 == 0, k % 14 > 0, 3, 1, 1, 1, 4, 4, "WDL").union(row(k % 9 == 0, F.lit(True), 3, 1, 1, 0, 9, 9, "bad").where("event_id % 7 > 0"))
+    second = row(k % 5 == 0, F.lit(True), 2, 2, 0, 0, 5, 1, "WW")
+    teams = res.select(F.explode(F.array("home_id", "away_id")).alias("team")).distinct().select("team", F.when(F.col("team") % 4 > 0, "BOOTSTRAPPED").otherwise("PARTIAL").alias("status"))
+    return M.h2h_board(res.where(f"kickoff >= {NOW}"), res, teams, [("A", first), ("B", second)])
+
+
+@query(
+    """SELECT 'p' || c_custkey AS player_id, CASE WHEN c_custkey % 5 > 0 THEN c_name ELSE 'known ' || c_custkey END AS player_name, CASE WHEN c_custkey % 5 > 0 AND c_custkey % 3 > 0 THEN 't' || (c_custkey % 20) ELSE 'old team' END AS team_id, CASE WHEN c_custkey % 5 > 0 AND c_custkey % 7 = 0 THEN 'hamstring' END AS injury, CASE WHEN c_custkey % 5 > 0 AND c_custkey % 7 = 0 THEN DATE '2026-02-03' END AS injury_return,
+       CASE WHEN c_custkey % 5 > 0 AND c_custkey % 4 > 0 THEN '2025/26' WHEN c_custkey % 5 > 0 THEN '2024/25' END AS season, CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN 'Old Cup' WHEN c_custkey % 6 = 0 THEN 'League' ELSE 'Cup' END AS tournament,
+       CASE WHEN c_custkey % 5 > 0 THEN least(6, c_custkey % 9)::INTEGER ELSE 0 END AS recent_matches, CASE WHEN c_custkey % 5 > 0 THEN (45 * least(6, c_custkey % 9))::INTEGER ELSE 0 END AS recent_minutes, CASE WHEN c_custkey % 5 > 0 AND c_custkey % 9 > 0 THEN CAST(7.25 AS DOUBLE) END AS recent_rating,
+       CASE WHEN c_custkey % 5 > 0 AND c_custkey % 4 > 0 AND c_custkey % 6 = 0 THEN 'OK_CURRENT_STATS' WHEN c_custkey % 5 > 0 AND c_custkey % 9 > 0 THEN 'OK_RECENT_FORM' ELSE 'IDENTITY_ONLY' END AS quality FROM customer"""
+)
+def x37_player_profiles(spark, sf):
+    """Payloads whose newest season has no tournaments, whose main league is not the first, that lack a team, or that are no JSON."""
+    k, say = F.col("c_custkey"), F.format_string
+    team = F.when(k % 3 > 0, say('"primaryTeam":{"teamId":"t%d"},', k % 20)).otherwise("")
+    hurt = F.when(k % 7 == 0, '"injuryInformation":{"description":"hamstring","returnDate":"2026-02-03"},').otherwise("")
+    main = F.when(k % 6 == 0, '"mainLeague":{"leagueId":"47"},').otherwise('"mainLeague":{"leagueId":"none"},')
+    newest = F.when(k % 4 > 0, '{"seasonName":"2025/26","tournaments":[{"tournamentId":"9","name":"Cup"},{"tournamentId":"47","name":"League","categories":[{"title":"x"}]}]}').otherwise('{"seasonName":"2025/26","tournaments":[]}')
+    matches = F.array_join(F.array_repeat(F.lit('{"minutesPlayed":0},{"minutesPlayed":45,"goals":1,"rating":7.25}'), (k % 9).cast("int")), ",")
+    payload = F.concat(say('{"id":"p%d","name":"%s",', k, "c_name"), team, hurt, main, F.lit('"statSeasons":['), newest, F.lit(',{"seasonName":"2024/25","tournaments":[{"tournamentId":"1","name":"Old Cup"}]}],"recentMatches":['), matches, F.lit("]}"))
+    rows = T.table(spark, sf, "customer").select(F.concat(F.lit("p"), k).alias("player_id"), F.concat(F.lit("known "), k).alias("player_name"), F.lit("old team").alias("team_id"), F.lit(None).cast("string").alias("team_name"), F.lit("GK").alias("position"), F.when(k % 5 > 0, payload).when(k % 10 == 0, "no json").alias("payload"))
+    return X.player_profiles(rows).select("player_id", "player_name", "team_id", "injury", "injury_return", "season", "tournament", "recent_matches", "recent_minutes", "recent_rating", "quality")

@@ -345,6 +345,40 @@ def pick_stat(stats: DataFrame, aliases: DataFrame) -> DataFrame:
     return x.groupBy("event_id", "target").agg(F.min(rank).alias("r")).select("event_id", "target", F.col("r.path").alias("path"), F.col("r.value").alias("value"))
 
 
+#: The parts of a player's payload.
+PLAYER = """struct<id: string, name: string, isCaptain: boolean, primaryTeam: struct<teamId: string, teamName: string>, positionDescription: struct<primaryPosition: struct<label: string, key: string>>,
+  injuryInformation: struct<status: string, description: string, returnDate: string>, mainLeague: struct<leagueId: string, leagueName: string>,
+  statSeasons: array<struct<seasonName: string, tournaments: array<struct<tournamentId: string, name: string, categories: array<struct<title: string>>>>>>,
+  recentMatches: array<struct<minutesPlayed: int, goals: int, assists: int, rating: double>>>"""
+
+
+def player_profiles(payloads: DataFrame, games: int = 6) -> DataFrame:
+    """One profile per row of payloads (player_id, player_name, team_id, team_name, position: what is known already; payload: JSON): identity, injury, league, season, tournament, recent form and a quality label.
+
+    What the payload lacks comes from the row. The season is the first that has tournaments, the tournament in it that of the main league, else the first. Recent form is of the first `games`
+    matches with minutes. The quality is OK_CURRENT_STATS with stats in the tournament, else OK_RECENT_FORM with recent matches, else IDENTITY_ONLY. Text that is no JSON, and null, is a payload that lacks all.
+    """
+    d = payloads.withColumn("p", F.from_json("payload", PLAYER))
+    text = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
+    season = F.get(F.filter("p.statSeasons", lambda s: F.size(s["tournaments"]) > 0), F.lit(0))
+    main = text("p.mainLeague.leagueId")
+    d = d.select("*", F.inline(F.array(F.struct(season.alias("season")))))
+    picked = F.coalesce(F.get(F.filter("season.tournaments", lambda t: F.trim(t["tournamentId"]) == main), F.lit(0)), F.get("season.tournaments", F.lit(0)))
+    played = F.slice(F.filter("p.recentMatches", lambda m: m["minutesPlayed"] > 0), 1, games)
+    d = d.withColumn("picked", picked).withColumn("played", F.coalesce(played, F.array().cast("array<struct<minutesPlayed: int, goals: int, assists: int, rating: double>>")))
+    total = lambda c: F.aggregate("played", F.lit(0), lambda t, m: t + F.coalesce(m[c], F.lit(0)))
+    rated = F.filter(F.transform("played", lambda m: m["rating"]), lambda r: r.isNotNull())
+    mean = F.when(F.size(rated) > 0, F.round(F.aggregate(rated, F.lit(0.0), lambda t, r: t + r) / F.size(rated), 2))
+    stats = F.coalesce(F.size("picked.categories") > 0, F.lit(False))
+    quality = F.when(stats, "OK_CURRENT_STATS").when(F.size("played") > 0, "OK_RECENT_FORM").otherwise("IDENTITY_ONLY")
+    return d.select(
+        F.coalesce(text("p.id"), text("player_id")).alias("player_id"), F.coalesce(text("p.name"), text("player_name")).alias("player_name"), F.coalesce(text("p.primaryTeam.teamId"), text("team_id")).alias("team_id"), F.coalesce(text("p.primaryTeam.teamName"), text("team_name")).alias("team_name"),
+        F.coalesce(text("p.positionDescription.primaryPosition.label"), text("p.positionDescription.primaryPosition.key"), text("position")).alias("position"), F.coalesce("p.isCaptain", F.lit(False)).alias("is_captain"),
+        text("p.injuryInformation.status").alias("injury_status"), text("p.injuryInformation.description").alias("injury"), F.col("p.injuryInformation.returnDate").try_cast("date").alias("injury_return"), text("p.mainLeague.leagueName").alias("main_league"),
+        text("season.seasonName").alias("season"), text("picked.name").alias("tournament"), F.size("played").alias("recent_matches"), total("minutesPlayed").alias("recent_minutes"), total("goals").alias("recent_goals"), total("assists").alias("recent_assists"), mean.alias("recent_rating"), quality.alias("quality"),
+    )
+
+
 def pick_titled(items: DataFrame, aliases: DataFrame) -> DataFrame:
     """Per player and target the item (title, value, per90, percentile) whose title fits an alias best: equal (3) before one within the other (2), of equals the first by pos.
 

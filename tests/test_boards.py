@@ -138,3 +138,25 @@ def test_checked_sizes(spark, monkeypatch):
     empty = spark.createDataFrame([], "source string, name_key string, status string")
     with pytest.raises(ValueError):
         L.anchor_coverage(spark.createDataFrame([("k",)], "name_key string"), spark.createDataFrame([("a",), ("b",)], "source string"), empty, empty)
+
+
+def test_h2h_board_takes_the_first_consistent_override(spark):
+    past = spark.createDataFrame([(n, 1, 2, 2, n % 2, NOW - timedelta(days=n), "t") for n in range(1, 8)] + [(50, 2, 1, 3, 0, NOW - timedelta(hours=1), "t")], "event_id long, home_id long, away_id long, home_goals int, away_goals int, kickoff timestamp, tournament string")
+    fixtures = spark.createDataFrame([(100, 1, 2, NOW), (101, 3, 4, NOW), (102, 3, 5, NOW), (103, 2, 1, NOW)], "event_id long, home_id long, away_id long, kickoff timestamp")
+    coverage = spark.createDataFrame([(3, "BOOTSTRAPPED"), (4, "BOOTSTRAPPED"), (5, "PARTIAL")], "team long, status string")
+    columns = "event_id long, verified boolean, games int, wins int, draws int, losses int, gf int, ga int, last string"
+    a = spark.createDataFrame([(103, True, 3, 1, 0, 0, 9, 9, "bad"), (100, False, 1, 1, 0, 0, 9, 9, "W")], columns)
+    b = spark.createDataFrame([(103, True, 2, 1, 1, 0, 3, 1, "WD")], columns)
+    got = {r["event_id"]: r for r in M.h2h_board(fixtures, past, coverage, [("A", a), ("B", b)]).collect()}
+    assert tuple(got[100])[1:] == (5, 4, 0, 1, 8, 5, 2.6, "LWWWW", "RESULTS", "H2H_OK")
+    assert (got[101]["quality"], got[102]["quality"], got[101]["games"], got[101]["avg_total"]) == ("NO_PREVIOUS_H2H", "HISTORY_PARTIAL", 0, None)
+    assert (got[103]["source"], got[103]["games"], got[103]["last"], got[103]["quality"], got[103]["avg_total"]) == ("B", 2, "WD", "H2H_VERIFIED", 2.0)
+
+
+def test_player_profiles(spark):
+    full = '{"id":" 7 ","name":"A","isCaptain":true,"positionDescription":{"primaryPosition":{"key":"gk"}},"statSeasons":[{"seasonName":"new","tournaments":[]},{"seasonName":"old","tournaments":[{"tournamentId":"1","name":"x","categories":[{"title":"t"}]}]}],"recentMatches":[{"minutesPlayed":90,"goals":1,"rating":7.0},{"minutesPlayed":10},{"minutesPlayed":0,"goals":5}]}'
+    rows = spark.createDataFrame([("k1", "n1", "t1", "T1", "P1", full), ("k2", "n2", "t2", "T2", "P2", None), ("k3", "n3", None, "", None, "{bad"), ("k4", "n4", None, None, None, '{"recentMatches":[{"minutesPlayed":5}]}')], "player_id string, player_name string, team_id string, team_name string, position string, payload string")
+    got = {r["player_id"]: r for r in X.player_profiles(rows).collect()}
+    one = got["7"]
+    assert (one["player_name"], one["team_id"], one["position"], one["is_captain"], one["season"], one["tournament"], one["recent_matches"], one["recent_minutes"], one["recent_goals"], one["recent_rating"], one["quality"]) == ("A", "t1", "gk", True, "old", "x", 2, 100, 1, 7.0, "OK_CURRENT_STATS")
+    assert (got["k2"]["quality"], got["k2"]["position"], got["k3"]["quality"], got["k3"]["team_name"], got["k4"]["quality"]) == ("IDENTITY_ONLY", "P2", "IDENTITY_ONLY", None, "OK_RECENT_FORM")
