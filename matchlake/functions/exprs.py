@@ -15,6 +15,11 @@ def _null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
+def epoch(c: Column | str) -> Column:
+    """Seconds since 1970 with their fraction; `unix_seconds` drops it, which moves rows across limits."""
+    return F.unix_micros(c) / F.lit(1e6)
+
+
 # Names
 
 #: Latin letters without a decomposition, and what replaces them.
