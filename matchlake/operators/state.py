@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from matchlake.functions import exprs as E
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """The newest row per key, whole rows compared for equal times. An aggregate, so rows are combined before the shuffle."""
@@ -91,9 +93,9 @@ def reconcile_availability(feed: DataFrame, availability: DataFrame, targets: Da
 
 def sample_slots(history: DataFrame, now: Column, keep_days: int = 180) -> DataFrame:
     """The last snapshot in each slot: hours until four hours before kickoff, half-hours after; older than keep_days goes."""
-    minutes = F.when(F.unix_seconds("kickoff") - F.unix_seconds("captured_at") > 4 * 3600, 60).otherwise(30)
+    minutes = F.when(E.epoch("kickoff") - E.epoch("captured_at") > 4 * 3600, 60).otherwise(30)
     slot = F.timestamp_seconds(F.floor(F.unix_seconds("captured_at") / (60 * minutes)) * (60 * minutes))
-    h = history.where((F.unix_seconds(now) - F.unix_seconds("captured_at")) <= keep_days * 86_400).withColumn("slot", slot)
+    h = history.where((E.epoch(now) - E.epoch("captured_at")) <= keep_days * 86_400).withColumn("slot", slot)
     return latest_per_key(h, ["event_id", "slot"], "captured_at")
 
 
