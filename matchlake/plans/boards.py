@@ -13,7 +13,7 @@ from matchlake.operators import rollups, state
 
 
 def age_minutes(ts: str, now: Column) -> Column:
-    return (F.unix_seconds(now) - F.unix_seconds(ts)) / 60
+    return (E.epoch(now) - E.epoch(ts)) / 60
 
 
 # Feeds
