@@ -101,7 +101,7 @@ def range_volatility(history: DataFrame, value: str, now: Column, hours: int = 2
 
 def movement_series(history: DataFrame, value: str, hours: int = 24) -> DataFrame:
     """For every snapshot the change since the earliest in the hours before it, and the range there."""
-    w = Window.partitionBy("event_id").orderBy(F.unix_seconds("captured_at")).rangeBetween(-hours * 3600, 0)
+    w = Window.partitionBy("event_id").orderBy(F.unix_micros("captured_at")).rangeBetween(-hours * 3_600_000_000, 0)
     first = F.min(F.struct("captured_at", "snapshot_id", value)).over(w)
     return history.select("event_id", "snapshot_id", "captured_at", (F.col(value) - first[value]).alias("change"), (F.max(value).over(w) - F.min(value).over(w)).alias("spread"))
 
