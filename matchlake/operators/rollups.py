@@ -95,7 +95,7 @@ def runner_up_margin(df: DataFrame, key: str, score: str, tie: str) -> DataFrame
 
 def range_volatility(history: DataFrame, value: str, now: Column, hours: int = 24) -> DataFrame:
     """Highest less lowest value in the hours before now, with two points or more."""
-    x = history.where((F.unix_seconds(now) - F.unix_seconds("captured_at")).between(0, hours * 3600))
+    x = history.where((E.epoch(now) - E.epoch("captured_at")).between(0, hours * 3600))
     return x.groupBy("event_id").agg(F.when(F.count(value) >= 2, F.max(value) - F.min(value)).alias("volatility"), F.count(value).alias("points"))
 
 
