@@ -249,14 +249,31 @@ def runtime_health(health: DataFrame, report: DataFrame, floor: float = 0.8) ->
 
 
 def overlap_diagnostics(rows: DataFrame, targets: DataFrame, seconds: int = 60) -> DataFrame:
-    """How many rows fail to link for each first reason: no home, no away, no pair, league, clock; or link."""
-    t = targets.select("home_key", "away_key", F.col("league").alias("tl"), F.col("kickoff").alias("tk"))
+    """How many rows fail to link for each first reason: no home, no away, no pair, league, clock; or link.
+
+    A row does not meet its pair's targets but what they amount to: those of its league, those without one, or all if it has none, as the earliest and latest
+    clock in buckets as wide as the bound. The work grows with the rows and the targets, not with their pairs.
+    """
+    bound = seconds * 1_000_000
+    bucket = F.floor(F.col("_t") / (bound + 1))
+    scope = F.concat(F.lit("="), F.col("league").cast("string"))
+    t = targets.select("home_key", "away_key", "league", F.unix_micros("kickoff").alias("_t"))
     homes, aways = (t.select(k, F.lit(1).alias(f"_{k}")).distinct() for k in ("home_key", "away_key"))
-    x = rows.join(homes, "home_key", "left").join(aways, "away_key", "left").join(t, ["home_key", "away_key"], "left")
-    league = F.coalesce(F.col("league") == F.col("tl"), F.lit(True))
+    keys = ["home_key", "away_key"]
+    timed = t.where("_t IS NOT NULL").select(*keys, "_t", bucket.alias("bucket"), F.explode(F.array(F.lit("*"), F.coalesce(scope, F.lit("?")))).alias("scope"))
+    spans = timed.groupBy(*keys, "scope", "bucket").agg(F.min("_t").alias("lo"), F.max("_t").alias("hi"))
+    none = F.lit(None).cast("bigint")
+    entry = lambda n, before, after: F.struct((F.col("bucket") + n).alias("at"), before.alias("before"), after.alias("after"), F.lit(n == 0).alias("same"))
+    around = spans.select(*keys, "scope", F.inline(F.array(entry(1, F.col("hi"), none), entry(0, none, none), entry(-1, none, F.col("lo")))))
+    around = around.groupBy(*keys, "scope", F.col("at").alias("bucket")).agg(F.max("before").alias("before"), F.min("after").alias("after"), F.max("same").alias("same"))
+    pairs, scopes = spans.select(*keys, F.lit(1).alias("_pair")).distinct(), spans.select(*keys, "scope", F.lit(1).alias("_scope")).distinct()
+    asked = F.when(F.col("league").isNull(), F.array(F.lit("*"))).otherwise(F.array(scope, F.lit("?")))
+    x = rows.select("row_id", *keys, F.unix_micros("kickoff").alias("_t"), F.explode(asked).alias("scope")).withColumn("bucket", bucket)
+    x = x.join(homes, "home_key", "left").join(aways, "away_key", "left").join(pairs, keys, "left").join(scopes, [*keys, "scope"], "left").join(around, [*keys, "scope", "bucket"], "left")
+    close = F.col("_t").isNull() | F.coalesce("same", F.lit(False)) | F.coalesce(F.col("_t") - F.col("before") <= bound, F.lit(False)) | F.coalesce(F.col("after") - F.col("_t") <= bound, F.lit(False))
     reason = (
-        F.when(F.col("_home_key").isNull(), "1_NO_HOME").when(F.col("_away_key").isNull(), "2_NO_AWAY").when(F.col("tk").isNull(), "3_NO_PAIR").when(~league, "4_LEAGUE")
-        .when(F.abs(F.unix_seconds("kickoff") - F.unix_seconds("tk")) > seconds, "5_CLOCK").otherwise("6_LINK")
+        F.when(F.col("_home_key").isNull(), "1_NO_HOME").when(F.col("_away_key").isNull(), "2_NO_AWAY").when(F.col("_pair").isNull(), "3_NO_PAIR").when(F.col("_scope").isNull(), "4_LEAGUE")
+        .when(~close, "5_CLOCK").otherwise("6_LINK")
     )
     best = x.groupBy("row_id").agg(F.max(reason).alias("reason"))
     return best.groupBy("reason").agg(F.count("*").alias("n"))
