@@ -54,10 +54,15 @@ def unseen_priority(census: DataFrame) -> DataFrame:
     return census.orderBy(F.desc("n"), F.desc("last_seen"), "source", "name_key")
 
 
-def cap_by_priority(proven: DataFrame, fuzzy: DataFrame, cap: int) -> DataFrame:
-    """Proven rows, then fuzzy ones by their lower and summed similarity, up to the cap, which is the feature here: what may be published at once. More proven rows than that are an error."""
-    fits = proven.agg(F.when(F.count("*") > cap, F.raise_error(F.lit(f"more than {cap} proven rows"))).alias("_x"))
-    both = proven.withColumn("_p", F.lit(0)).unionByName(fuzzy.withColumn("_p", F.lit(1))).crossJoin(F.broadcast(fits)).where("_x IS NULL").drop("_x")
+def cap_by_priority(proven: DataFrame, fuzzy: DataFrame, cap: int, strict: bool = True) -> DataFrame:
+    """Proven rows, then fuzzy ones by their lower and summed similarity, up to the cap, which is the feature here: what may be published at once.
+
+    More proven rows than that are an error if `strict`; else the cap goes to the first of them in the same order.
+    """
+    both = proven.withColumn("_p", F.lit(0)).unionByName(fuzzy.withColumn("_p", F.lit(1)))
+    if strict:
+        fits = proven.agg(F.when(F.count("*") > cap, F.raise_error(F.lit(f"more than {cap} proven rows"))).alias("_x"))
+        both = both.crossJoin(F.broadcast(fits)).where("_x IS NULL").drop("_x")
     return both.orderBy("_p", F.desc(F.least("home_similarity", "away_similarity")), F.desc(F.col("home_similarity") + F.col("away_similarity")), "event_id").limit(cap).drop("_p")
 
 
