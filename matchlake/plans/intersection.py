@@ -17,30 +17,43 @@ def classify_targets(targets: DataFrame, observations: DataFrame, published: Dat
 
     targets: event_id, league, home_key, away_key, kickoff; observations: row_id, home_key, away_key, clock, fields_ok, league_code (rows without a clock show nothing).
     In this order: published; the pair at the kickoff (several rows, a league that contradicts a known code, or not published); the pair at another time, the nearest; the pair with invalid fields;
-    one side at the kickoff; any row at the kickoff; none. Pairs meet by both keys, sides by key and time, and rows of no side by the distinct clocks.
+    one side at the kickoff; any row at the kickoff; none. Targets meet the clocks of their pair within the tolerance and the one nearest on either side, the first rows of a side at those clocks, and the distinct clocks; never all rows of a pair.
     """
-    t = targets.where((F.col("kickoff") > now) & (F.unix_seconds("kickoff") <= F.unix_seconds(now) + 3600 * hours)).withColumn("at", F.unix_seconds("kickoff"))
+    second, keys = 1_000_000, ["home_key", "away_key"]
+    t = targets.where((F.col("kickoff") > now) & (E.epoch("kickoff") <= E.epoch(now) + 3600 * hours)).withColumn("at", F.unix_micros("kickoff")).withColumn("_k", F.struct(*keys, "at"))
     t = t.join(published.select("event_id", F.lit(True).alias("is_published")).distinct(), "event_id", "left")
-    o = observations.where("clock IS NOT NULL").withColumn("its", F.unix_seconds("clock"))
-    off = F.abs(F.col("its") - F.col("at"))
-    pair = t.select("event_id", "league", "home_key", "away_key", "at").join(o, ["home_key", "away_key"]).withColumn("off", off)
-    near = (F.col("off") <= tolerance) & F.col("fields_ok")
-    conflict = F.coalesce(~E.competition_ok(F.col("league_code"), F.col("league"), known or {}), F.lit(False))
-    pair = pair.groupBy("event_id").agg(
-        F.count_if(near).alias("n_near"), F.min(F.when(near, F.struct("row_id", conflict.alias("conflict")))).alias("near"), F.min(F.when(F.col("fields_ok"), F.struct("off", "row_id")))["row_id"].alias("apart"), F.count_if(~F.col("fields_ok")).alias("n_broken"),
-    )
-    width = 2 * tolerance + 1
+    o = observations.where("clock IS NOT NULL").withColumn("its", F.unix_micros("clock"))
+    width = (2 * tolerance + 1) * second
     bucket = lambda c: F.floor(F.col(c) / width)
-    around = t.select("event_id", "home_key", "away_key", "at", F.explode(F.array(*[bucket("at") + n for n in (-1, 0, 1)])).alias("bucket"))
-    seen = o.select("row_id", F.col("home_key").alias("oh"), F.col("away_key").alias("oa"), "its", bucket("its").alias("bucket"))
-    side = lambda mine, its: around.join(seen, (around[mine] == seen[its]) & (around["bucket"] == seen["bucket"])).where(off <= tolerance).select("event_id", "row_id", "home_key", "away_key", "oh", "oa")
-    sides = side("home_key", "oh").union(side("away_key", "oa")).where("NOT (home_key <=> oh AND away_key <=> oa)").groupBy("event_id").agg(F.min("row_id").alias("one"))
-    clocks = seen.select("its", "bucket").distinct()
-    any_row = around.join(clocks, "bucket").where(off <= tolerance).select("event_id", F.lit(True).alias("any_row")).distinct()
-    x = t.join(pair, "event_id", "left").join(sides, "event_id", "left").join(any_row, "event_id", "left")
+    asked = t.select("_k", *keys, "at").distinct()
+    around = asked.withColumn("bucket", F.explode(F.array(*[bucket("at") + n for n in (-1, 0, 1)])))
+    close = F.abs(F.col("its") - F.col("at")) <= tolerance * second
+    # Rows of one pair and clock are one entry, so targets meet clocks and not rows.
+    ok = o.where("fields_ok").groupBy(*keys, "its").agg(F.count("*").alias("n"), F.min(F.struct("row_id", "league_code")).alias("first"))
+    near = around.join(ok.withColumn("bucket", bucket("its")), [*keys, "bucket"]).where(close).groupBy("_k").agg(F.sum("n").alias("n_near"), F.min("first").alias("near"))
+    entry = F.struct(F.col("its").alias("at"), F.col("first.row_id").alias("row_id"))
+    clocks = ok.dropna(subset=keys).select(*keys, F.col("its").alias("_t"), entry.alias("_o"))
+    clocks = clocks.unionByName(asked.dropna(subset=keys).select("_k", *keys, F.col("at").alias("_t")), allowMissingColumns=True)
+    upto = lambda order: F.last("_o", ignorenulls=True).over(Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    off = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("_t") - F.col(f"{c}.at")).alias("off"), F.col(f"{c}.row_id").alias("row_id")))
+    apart = clocks.select("_k", "_t", upto(F.col("_t")).alias("p"), upto(F.desc("_t")).alias("q")).where("_k IS NOT NULL").select("_k", F.array_min(F.array_compact(F.array(off("p"), off("q"))))["row_id"].alias("apart"))
+    broken = o.where("NOT fields_ok").select(*keys, F.lit(1).alias("n_broken")).distinct()
+
+    def side(mine: str, other: str) -> DataFrame:
+        """The first row of one side only: of each key and clock the first rows of two different others are enough."""
+        first = o.groupBy(*keys, "its").agg(F.min("row_id").alias("row_id")).groupBy(mine, "its").agg(F.slice(F.sort_array(F.collect_list(F.struct("row_id", F.col(other).alias("other")))), F.lit(1), F.lit(2)).alias("two"))
+        x = around.join(first.withColumn("bucket", bucket("its")), [mine, "bucket"]).where(close)
+        return x.select("_k", F.array_min(F.transform(F.filter("two", lambda s: ~s["other"].eqNullSafe(F.col(other))), lambda s: s["row_id"])).alias("one"))
+
+    sides = side("home_key", "away_key").union(side("away_key", "home_key")).groupBy("_k").agg(F.min("one").alias("one"))
+    times = o.select("its", bucket("its").alias("bucket")).distinct()
+    any_row = around.select("at", "bucket").distinct().join(times, "bucket").where(close).select("at", F.lit(True).alias("any_row")).distinct()
+    facts = asked.select("_k").join(near, "_k", "left").join(apart, "_k", "left").join(sides, "_k", "left")
+    x = t.join(facts, "_k", "left").join(broken, keys, "left").join(any_row, "at", "left")
+    conflict = F.coalesce(~E.competition_ok(F.col("near.league_code"), F.col("league"), known or {}), F.lit(False))
     n = F.coalesce("n_near", F.lit(0))
     rules = [
-        (F.coalesce("is_published", F.lit(False)), PUBLISHED, F.lit(None)), (n > 1, "MULTIPLE_SOURCE_PAIRS_AT_KICKOFF", F.col("near.row_id")), ((n == 1) & F.col("near.conflict"), "KNOWN_LEAGUE_CONFLICT", F.col("near.row_id")),
+        (F.coalesce("is_published", F.lit(False)), PUBLISHED, F.lit(None)), (n > 1, "MULTIPLE_SOURCE_PAIRS_AT_KICKOFF", F.col("near.row_id")), ((n == 1) & conflict, "KNOWN_LEAGUE_CONFLICT", F.col("near.row_id")),
         (n == 1, "PAIR_AND_TIME_UNPUBLISHED", F.col("near.row_id")), (F.col("apart").isNotNull(), "VERIFIED_PAIR_DIFFERENT_KICKOFF", F.col("apart")), (F.coalesce("n_broken", F.lit(0)) > 0, "PAIR_WITH_INVALID_SOURCE_MODEL_OR_CLOCK", F.lit(None)),
         (F.col("one").isNotNull(), "ONE_VERIFIED_TEAM_AT_SAME_KICKOFF", F.col("one")), (F.coalesce("any_row", F.lit(False)), "OTHER_SOURCE_MATCHES_AT_SAME_KICKOFF", F.lit(None)),
     ]
