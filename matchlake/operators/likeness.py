@@ -1,9 +1,10 @@
 """Similarity joins of names: all pairs above a floor, without a time bound or a shared word, and links built on them.
 
-Names are compared once for each distinct pair that can reach the floor. A pair's lengths bound its edits, and the
-edits bound how many letter pairs (or letters, for short names and low floors) both must share; so both hold one of their few rarest
+Names are compared once for each distinct pair that can reach the floor. A pair's lengths bound its edits: of one more parts of a name than that, one
+is whole in the other name, and of two more, two are; so both meet at a whole part, or at two where one would be few letters, and only where the edits left can have moved it.
+For the sequence measure the lengths bound how many letters both share, so both hold one of their few rarest
 ones, and meet there. Names of which one lies within the other meet at a run of letters of the shorter. Nothing above the floor is lost, and nothing
-is collected: the work is an equi-join on (both lengths, letters). Distinct names, their runs and the pairs found are each settled
+is collected: the work is an equi-join on (both lengths, letters). Distinct names and the pairs found are each settled
 in the checkpoint folder, since plans use them several times.
 """
 
@@ -49,30 +50,90 @@ def _grams(name: Column, q: int) -> Column:
     return F.when(F.length(name) >= q, numbered).otherwise(F.array().cast("array<struct<gram:string,nth:int>>"))
 
 
-def _runs(sequence: bool) -> Column:
-    return _grams(F.col("name"), 1) if sequence else F.concat(_grams(F.col("name"), 1), _grams(F.col("name"), 2))
+def _needed(own: Column, other: Column, floor: float) -> Column:
+    """How many of a name's rarest letters there are, of which two names of these lengths whose sequence ratio reaches the floor share one of both's."""
+    return (own - F.ceil((own + other) * (floor / 2) - EPS) + 1).cast("int")
 
 
-def _needed(own: Column, other: Column, floor: float, sequence: bool) -> tuple[Column, Column]:
-    """(letters of a run, how many of a name's rarest runs): two names of these lengths that reach the floor share one of both's."""
-    longer = F.greatest(own, other)
-    if sequence:
-        shared = F.ceil((own + other) * (floor / 2) - EPS)
-        return F.lit(1), (own - shared + 1).cast("int")
-    edits = F.floor(longer * (1 - floor) + EPS)
-    two = 2 * edits + 1 <= F.least(own, other) - 1
-    return F.when(two, 2).otherwise(1), (own - longer + F.when(two, 2 * edits).otherwise(edits) + 1).cast("int")
-
-
-def _meeting(rare: DataFrame, floor: float, sequence: bool, left: bool) -> DataFrame:
-    """name, l, r, g: the lengths of both names of a pair and the run of letters at which a name meets those it can be like."""
-    shortest = floor / (2 - floor) if sequence else floor
+def _meeting(rare: DataFrame, floor: float, left: bool) -> DataFrame:
+    """name, l, r, g: the lengths of both names of a pair and the letter at which a name meets those it can be like."""
+    shortest = floor / (2 - floor)
     size = F.length("name")
     lengths = F.sequence(F.greatest(F.lit(1), F.ceil(size * shortest - EPS)).cast("int"), F.floor(size / shortest + EPS).cast("int"))
-    x = rare.where("in_left" if left else "in_right").select("name", "g1", "g2", size.alias("own"), F.explode(lengths).alias("other"))
-    q, most = _needed(F.col("own"), F.col("other"), floor, sequence)
-    few = F.slice(F.when(q == 2, F.col("g2")).otherwise(F.col("g1")), F.lit(1), F.greatest(most, F.lit(0)))
-    return x.select("name", (F.col("own") if left else F.col("other")).alias("l"), (F.col("other") if left else F.col("own")).alias("r"), F.explode(few).alias("x")).select("name", "l", "r", "x.g")
+    x = rare.where("in_left" if left else "in_right").select("name", "g1", size.alias("own"), F.explode(lengths).alias("other"))
+    few = F.slice("g1", F.lit(1), F.greatest(_needed(F.col("own"), F.col("other"), floor), F.lit(0)))
+    return x.select("name", (F.col("own") if left else F.col("other")).alias("l"), (F.col("other") if left else F.col("own")).alias("r"), F.explode(few).alias("g"))
+
+
+def _sharing_letters(both: DataFrame, floor: float) -> DataFrame:
+    """left, right: pairs of names that share a letter rare enough for the sequence ratio."""
+    runs = both.select("name", "in_left", "in_right", F.explode(_grams(F.col("name"), 1)).alias("g"))
+    counted = runs.join(runs.groupBy("g").agg(F.count("*").alias("n")), "g")
+    rare = settled(counted.groupBy("name", "in_left", "in_right").agg(F.sort_array(F.collect_list(F.struct("n", "g")))["g"].alias("g1")))
+    x = _meeting(rare, floor, True).withColumnRenamed("name", "left")
+    y = _meeting(rare, floor, False).withColumnRenamed("name", "right")
+    return x.join(y, ["l", "r", "g"]).select("left", "right")
+
+
+def _parts(both: DataFrame, floor: float) -> DataFrame:
+    """l, r, k, m, two, a, pa, na, b, pb, nb: for each two lengths within the floor the k edits allowed and the m parts of the right name: their numbers, places and lengths; two parts a < b where `two`, else a alone."""
+    length = lambda side, as_: both.where(side).select(F.length("name").alias(as_)).distinct()
+    x = length("in_left", "l").crossJoin(length("in_right", "r")).withColumn("k", F.floor(F.greatest("l", "r") * (1 - floor) + EPS).cast("int")).where(F.abs(F.col("l") - F.col("r")) <= F.col("k"))
+    x = x.withColumn("two", (F.col("r") < 5 * (F.col("k") + 1)) & (F.col("r") >= 2 * (F.col("k") + 2)) & F.col("k").between(2, 5))
+    x = x.withColumn("m", F.col("k") + F.when(F.col("two"), 2).otherwise(1)).withColumn("base", F.floor(F.col("r") / F.col("m")).cast("int")).withColumn("longer", F.col("r") - F.col("base") * F.col("m"))
+    place = lambda i: 1 + (F.col(i) - 1) * F.col("base") + F.greatest(F.lit(0), F.col(i) - 1 - F.col("m") + F.col("longer"))
+    many = lambda i: F.col("base") + F.when(F.col(i) > F.col("m") - F.col("longer"), 1).otherwise(0)
+    x = x.select("*", F.explode(F.sequence(F.lit(1), "m")).alias("a")).select("*", F.explode(F.when(F.col("two"), F.filter(F.sequence(F.lit(1), "m"), lambda b: b > F.col("a"))).otherwise(F.array("a"))).alias("b"))
+    return x.select("l", "r", "k", "two", "a", place("a").alias("pa"), many("a").alias("na"), "b", place("b").alias("pb"), many("b").alias("nb"))
+
+
+def _sharing_parts(both: DataFrame, floor: float) -> DataFrame:
+    """left, right: pairs of names that may be within the edits that the floor allows, each once or more.
+
+    The first whole part of the right name, or the first two, lie in the left one; each part before and between has an edit at least, and so has each letter by which they moved.
+    """
+    parts = settled(_parts(both, floor))
+    at = lambda p, n: F.substring(F.col("name"), F.col(p), F.col(n))
+    key = F.xxhash64("l", "r", "x.a", "x.b", at("x.pa", "x.na"), F.when(F.col("x.two"), at("x.pb", "x.nb"))).alias("key")
+
+    def keyed(places: DataFrame, own: str, other: str, as_: str, side: str) -> DataFrame:
+        of_length = places.groupBy(own).agg(F.collect_set(F.struct(other, "two", "a", "pa", "na", "b", "pb", "nb")).alias("places"))
+        x = both.where(side).select("name", F.length("name").alias(own)).join(F.broadcast(of_length), own)  # a row for each length
+        return x.select("name", own, F.explode("places").alias("x")).select("name", own, f"x.{other}", "x").select(F.col("name").alias(as_), key)
+
+    moves = F.sequence(-F.col("k"), F.col("k"))
+    moved = parts.select("*", F.explode(moves).alias("s")).select("*", F.explode(F.when(F.col("two"), moves).otherwise(F.array("s"))).alias("t"))
+    edits = F.greatest(F.abs("s"), F.col("a") - 1) + F.when(F.col("two"), F.greatest(F.abs(F.col("t") - F.col("s")), F.col("b") - F.col("a") - 1)).otherwise(0) + F.abs(F.col("l") - F.col("r") - F.col("t"))
+    moved = moved.where(edits <= F.col("k")).withColumn("pa", F.col("pa") + F.col("s")).withColumn("pb", F.col("pb") + F.col("t"))
+    moved = moved.where("pa >= 1 AND pb + nb - 1 <= l AND (NOT two OR pb >= pa + na)")
+    x, y = keyed(moved, "l", "r", "left", "in_left"), keyed(parts, "r", "l", "right", "in_right")
+    return x.hint("merge").join(y, "key").select("left", "right")
+
+
+def _within_edits(pairs: DataFrame, floor: float) -> DataFrame:
+    """Pairs by a banded distance, before those that meet more than once are made one."""
+    return pairs.where(F.expr(f"levenshtein(left, right, CAST(floor(greatest(length(left), length(right)) * {1 - floor!r}D + {EPS!r}D) AS INT)) >= 0"))
+
+
+#: Letters of the runs at which names meet of which one lies within the other, if the shorter has as many.
+LONG_RUN = 8
+
+
+def _within(both: DataFrame, least: int) -> DataFrame:
+    """left, right: pairs of different names of which one, of `least` letters or more, lies in the other. They meet at the rarest run of letters of the shorter."""
+    size, long_ = F.length("name"), max(least, LONG_RUN)
+    runs_of = lambda q: F.array_distinct(F.transform(F.sequence(F.lit(1), size - (q - 1)), lambda i: F.substring(F.col("name"), i, F.lit(q))))
+    own = F.when(size >= long_, runs_of(long_)).otherwise(runs_of(least))
+    inner = both.where(size >= least).select("name", "in_left", "in_right", F.explode(own).alias("run"))
+    shorter = both.select(F.length("name").alias("n")).where(f"n >= {least} AND n < {long_}").limit(1).count() > 0
+    every = F.when(size >= long_, F.concat(runs_of(long_), runs_of(least)) if shorter and long_ > least else runs_of(long_)).otherwise(runs_of(least))
+    outer = both.where(size > least).select(F.col("name").alias("long"), F.col("in_left").alias("ll"), F.col("in_right").alias("lr"), F.explode(F.array_distinct(every)).alias("run"))
+    often = outer.groupBy("run").agg(F.count("*").alias("n"))
+    rarest = inner.join(often.hint("merge"), "run").groupBy("name", "in_left", "in_right").agg(F.min(F.struct("n", "run"))["run"].alias("run"))
+    rarest = rarest.select(F.col("name").alias("short"), F.col("in_left").alias("sl"), F.col("in_right").alias("sr"), "run")
+    held = rarest.hint("merge").join(outer, "run").where((F.length("short") < F.length("long")) & F.contains("long", "short"))
+    sides = F.array(F.when(F.col("sl") & F.col("lr"), F.struct(F.col("short").alias("left"), F.col("long").alias("right"))), F.when(F.col("sr") & F.col("ll"), F.struct(F.col("long").alias("left"), F.col("short").alias("right"))))
+    return held.select(F.inline(F.array_compact(sides)))
 
 
 def similar_names(left: DataFrame, right: DataFrame, floor: float, measure: str = "edit", least: int = 4, contained: float | None = 0.94) -> DataFrame:
@@ -88,24 +149,9 @@ def similar_names(left: DataFrame, right: DataFrame, floor: float, measure: str
     sequence = measure == "sequence"
     marked = lambda df, l, r: df.where(F.length("name") > 0).select("name", F.lit(l).alias("in_left"), F.lit(r).alias("in_right"))
     both = settled(marked(left, True, False).union(marked(right, False, True)).groupBy("name").agg(F.max("in_left").alias("in_left"), F.max("in_right").alias("in_right")))
-    runs = both.select("name", "in_left", "in_right", F.explode(_runs(sequence)).alias("g"))
-    counted = runs.join(runs.groupBy("g").agg(F.count("*").alias("n")), "g")
-    sorted_runs = lambda q: F.sort_array(F.collect_list(F.when(F.length("g.gram") == q, F.struct("n", "g")))).alias(f"g{q}")
-    rare = settled(counted.groupBy("name", "in_left", "in_right").agg(sorted_runs(1), sorted_runs(2)))
-    x = _meeting(rare, floor, sequence, True).withColumnRenamed("name", "left")
-    y = _meeting(rare, floor, sequence, False).withColumnRenamed("name", "right")
-    met = x.join(y, ["l", "r", "g"])
-    if not sequence:  # a banded distance before pairs that meet more than once are made one
-        met = met.where(F.expr(f"levenshtein(left, right, CAST(floor(greatest(l, r) * {1 - floor!r}D + {EPS!r}D) AS INT)) >= 0"))
-    pairs = met.select("left", "right")
+    pairs = _sharing_letters(both, floor) if sequence else _within_edits(_sharing_parts(both, floor), floor)
     if contained is not None and floor <= contained:
-        at = F.transform(F.sequence(F.lit(1), F.length("name") - (least - 1)), lambda i: F.substring("name", i, F.lit(least)))
-        within = both.where(F.length("name") >= least).select("name", "in_left", "in_right", F.explode(F.array_distinct(at)).alias("run"))
-        rarest = within.join(within.groupBy("run").agg(F.count("*").alias("n")), "run").groupBy("name", "in_left", "in_right").agg(F.min(F.struct("n", "run"))["run"].alias("run"))
-        inner, outer = rarest.select(F.col("name").alias("short"), F.col("in_left").alias("sl"), F.col("in_right").alias("sr"), "run"), within.select(F.col("name").alias("long"), F.col("in_left").alias("ll"), F.col("in_right").alias("lr"), "run")
-        held = inner.join(outer, "run").where(F.contains("long", "short"))
-        sides = F.array(F.when(F.col("sl") & F.col("lr"), F.struct(F.col("short").alias("left"), F.col("long").alias("right"))), F.when(F.col("sr") & F.col("ll"), F.struct(F.col("long").alias("left"), F.col("short").alias("right"))))
-        pairs = pairs.union(held.select(F.inline(F.array_compact(sides))))
+        pairs = pairs.union(_within(both, least))
     return settled(_scored(pairs.distinct(), sequence, least, contained).where(F.col("score") >= floor))
 
 

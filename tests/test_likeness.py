@@ -74,6 +74,18 @@ def test_few_pairs_are_compared(spark, monkeypatch):
     assert seen[0] < 0.05 * 600 * 600
 
 
+def test_unlike_names_do_not_meet(spark):
+    """Few letters and equal lengths, as many names have them: of a million pairs less than a thousandth meet, and none that is like another is lost."""
+    rng = random.Random(7)
+    names = sorted({"".join(rng.choice("abcdefghijklmnop") for _ in range(7)) + " " + "".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(1000)})
+    own = [n[:4] + "xyz"[i % 3] + n[5:9] + n[10:] for i, n in enumerate(names)]
+    both = frame(spark, own).selectExpr("name", "true AS in_left", "false AS in_right").union(frame(spark, names).selectExpr("name", "false", "true")).where("name IS NOT NULL").distinct()
+    met = K._sharing_parts(both, 0.73)
+    assert met.count() < 20_000
+    assert {(a, b) for a, b in zip(own, names, strict=True)} <= set(map(tuple, met.distinct().collect()))
+    assert met.distinct().count() < 2_000
+
+
 def test_low_floors_are_refused(spark):
     with pytest.raises(ValueError):
         K.similar_names(frame(spark, ["a"]), frame(spark, ["a"]), 0.5)
