@@ -314,33 +314,47 @@ class AnchorProfile:
 ANCHORED = {"live": AnchorProfile(120, 180, 0.58, 0.74, 0.90, 0.06, no_clock=0.75), "player": AnchorProfile(150, 150, 0.60, 0.78, 0.92, 0.06)}
 
 
+def _fewer_names(rows: DataFrame, targets: DataFrame) -> tuple[str, str]:
+    """The side with fewer different names, and the other one: an index of few names is cheap at low floors, where most names of a long one meet."""
+    n = rows.select("home", "away").union(targets.select("home", "away")).agg(F.approx_count_distinct("home").alias("home"), F.approx_count_distinct("away").alias("away")).first()
+    return ("away", "home") if n["away"] < n["home"] else ("home", "away")
+
+
 def link_anchored(rows: DataFrame, targets: DataFrame, profile: AnchorProfile, measure: str = "edit") -> DataFrame:
     """row_id, event_id, score, runner_up, hs, as_, gap_seconds, path, status: one row for each of rows (row_id, home, away, kickoff).
 
     A candidate (targets: event_id, home, away, kickoff) within the time bound has both sides above the floor (path BOTH), or starts within anchor_minutes and has one side of `anchor` and the other
     of `other` at least (path ANCHOR, which counts if it scores more). Scores: .42 and .42 of the sides and .16 of the time's; or .55 of the stronger, .25 of the weaker and .20.
     Rows without a clock have a time score of `no_clock`, or no candidates. LINKED; AMBIGUOUS below `sure` without the margin; BELOW; NO_CANDIDATE.
-    Of equal scores the nearer in time, then the smaller event_id. Candidates come out of the name index, for the home side from the floor on and for either from the anchor on.
+    Of equal scores the nearer in time, then the smaller event_id. Candidates come out of the name indexes: of the side with fewer names (`_fewer_names`) from the floor on and of the other from the anchor on,
+    which leaves none out, since both sides are above the floor or one is an anchor. They are scored as they meet.
     """
     p, width = profile, profile.minutes * 60
-    index = similar_names(_both_sides(rows), _both_sides(targets), p.floor, measure)  # one for both sides and floors
-    like = lambda floor: index.where(F.col("score") >= floor).select(F.col("left").alias("own"), F.col("right").alias("its"))
+    near_side, far_side = _fewer_names(rows, targets)
+    name = lambda df, s: df.select(F.col(s).alias("name"))
+    indexes = {s: similar_names(name(rows, s), name(targets, s), floor, measure).select(F.col("left").alias("own"), F.col("right").alias("its"), F.col("score").alias("known")) for s, floor in ((near_side, p.floor), (far_side, p.anchor))}
     bucket = F.floor(F.unix_seconds("kickoff") / width)
     r = rows.select("row_id", F.col("home").alias("rh"), F.col("away").alias("ra"), F.col("kickoff").alias("rk"), F.when(F.col("kickoff").isNotNull(), F.array(bucket - 1, bucket, bucket + 1)).alias("buckets"))
     t = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), F.col("kickoff").alias("tk"), bucket.alias("bucket"))
     clocked = r.where("rk IS NOT NULL").select("*", F.explode("buckets").alias("bucket")).drop("buckets")
-    meet = lambda c, floor: clocked.join(like(floor), F.col(f"r{c}") == F.col("own")).join(t.withColumnRenamed("bucket", "tb"), (F.col("its") == F.col(f"t{c}")) & (F.col("bucket") == F.col("tb")))
     columns = ["row_id", "event_id", "rh", "ra", "th", "ta", "rk", "tk"]
-    c = meet("h", p.floor).select(*columns).union(meet("a", p.anchor).select(*columns))
-    if p.no_clock is not None:
-        free = r.where("rk IS NULL").join(like(p.floor), F.col("rh") == F.col("own")).join(t, F.col("its") == F.col("th"))
-        c = c.union(free.select(*columns))
-    c = c.distinct().withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= width))
     sim = (lambda a, b: E.name_sim(F.col(a), F.col(b))) if measure == "edit" else (lambda a, b: sequence_sim(F.col(a), F.col(b)))
-    c = c.withColumn("hs", sim("rh", "th")).withColumn("as_", sim("ra", "ta"))
-    c = c.withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_")).withColumn("near", F.coalesce(F.greatest(F.lit(0.0), 1 - F.col("gap") / (p.decay * 60)), F.lit(p.no_clock)))
-    anchored = F.coalesce(F.col("gap") <= p.anchor_minutes * 60, F.lit(False)) & (F.col("high") >= p.anchor) & (F.col("low") >= p.other)
-    c = c.withColumn("anchored", anchored).where((F.col("low") >= p.floor) | F.col("anchored"))
+
+    def scored(c: DataFrame, s: str) -> DataFrame:
+        c = c.select(*columns, "known").withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= width))
+        c = c.withColumn("hs", F.col("known") if s == "home" else sim("rh", "th")).withColumn("as_", F.col("known") if s == "away" else sim("ra", "ta")).drop("known").withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_"))
+        anchored = F.coalesce(F.col("gap") <= p.anchor_minutes * 60, F.lit(False)) & (F.col("high") >= p.anchor) & (F.col("low") >= p.other)
+        return c.withColumn("anchored", anchored).where((F.col("low") >= p.floor) | F.col("anchored"))
+
+    def meet(s: str) -> DataFrame:
+        x = clocked.join(indexes[s], F.col(f"r{s[0]}") == F.col("own"))
+        return scored(x.join(t.withColumnRenamed("bucket", "tb"), (F.col("its") == F.col(f"t{s[0]}")) & (F.col("bucket") == F.col("tb"))), s)
+
+    c = meet(near_side).union(meet(far_side))
+    if p.no_clock is not None:
+        free = r.where("rk IS NULL").join(indexes[near_side], F.col(f"r{near_side[0]}") == F.col("own")).join(t, F.col("its") == F.col(f"t{near_side[0]}"))
+        c = c.union(scored(free, near_side))
+    c = c.distinct().withColumn("near", F.coalesce(F.greatest(F.lit(0.0), 1 - F.col("gap") / (p.decay * 60)), F.lit(p.no_clock)))
     both = F.col("hs") * 0.42 + F.col("as_") * 0.42 + F.col("near") * 0.16
     strong = F.when(F.col("anchored"), F.col("high") * 0.55 + F.col("low") * 0.25 + F.col("near") * 0.20).otherwise(0.0)
     c = c.withColumn("score", F.greatest(both, strong)).withColumn("path", F.when(strong > both, "ANCHOR").otherwise("BOTH"))

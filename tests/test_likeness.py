@@ -131,3 +131,16 @@ def test_book_quotes(spark):
     quotes, rejected = K.book_quotes(df, targets)
     assert [tuple(r)[:2] + tuple(r)[3:] for r in quotes.collect()] == [("e1", "f1", 1.5, 3.9, 6.0)]
     assert {r["row_id"]: r["reason"] for r in rejected.collect()} == {"f2": "TARGET_TAKEN", "f3": "PRICES_INCOMPLETE", "f4": "NO_NAME_PAIR"}
+
+
+def test_anchored_links_search_the_side_of_fewer_names_at_the_low_floor(spark, monkeypatch):
+    homes = misspelt(9, 40)
+    games = [(i, h, ["ajax", "porto"][i % 2], 600 * i) for i, h in enumerate(homes)]
+    df = lambda key, g: spark.createDataFrame(g, f"{key} long, home string, away string, at long").selectExpr(key, "home", "away", "timestamp_seconds(at) AS kickoff")
+    floors, index = {}, K.similar_names
+    monkeypatch.setattr(K, "similar_names", lambda left, right, floor, measure: floors.update({floor: right.distinct().count()}) or index(left, right, floor, measure))
+    turned = [(i, a, h, t) for i, h, a, t in games]
+    for rows in (games, turned):
+        got = {r["row_id"]: (r["event_id"], r["status"]) for r in K.link_anchored(df("row_id", rows), df("event_id", rows), K.ANCHORED["live"]).collect()}
+        assert floors == {0.58: 2, 0.85: len(set(homes))}
+        assert all(got[i] == (i, "LINKED") for i, h, *_ in games if homes.count(h) == 1 and got[i][1] != "AMBIGUOUS") and len(got) == 40
