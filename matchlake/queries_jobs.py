@@ -118,7 +118,7 @@ def src12_team_stats(spark, sf):
     groups = lambda more: F.concat(F.lit('{"stats":[{"title":"Top stats","key":"top","stats":['), xg, F.lit(","), xg, F.lit(']},{"title":"Passes","stats":['), balls, F.lit(",{}]}"), more, F.lit("]}"))
     more = F.concat(F.lit(',{"title":"Outer","x":{"title":"Deep","list":[[{"a":'), deep, F.lit("}]]}}"))
     tree = F.concat(F.lit('{"content":{"stats":{"Periods":{"All":'), groups(more), F.lit(',"FirstHalf":'), groups(F.lit("")), F.lit("}}}}"))
-    details = T.results(spark, sf).select("event_id", F.when(e % 13 > 0, tree).when(e % 2 == 0, "no json").alias("detail"))
+    details = T.spread(T.results(spark, sf), "event_id").select("event_id", F.when(e % 13 > 0, tree).when(e % 2 == 0, "no json").alias("detail"))
     return X.team_stats(details)
 
 

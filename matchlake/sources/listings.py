@@ -100,40 +100,41 @@ def listing_rows(pages: DataFrame, fields: Sequence[Field] = LISTING, css: str =
     return x.drop("requested_date")
 
 
+STAT = "struct<group: string, key: string, title: string, home: string, away: string, path: string>"
+
+
 def team_stats(details: DataFrame, depth: int = 8) -> DataFrame:
     """event_id, period, group, key, title, home, away: every two-sided stat of a stat tree, whatever its nesting and names.
 
     details: event_id, detail (JSON text; its periods under $.content.stats.Periods). A stat is an object whose `stats` begins with a plain value and has two at least; its
     group is the title of the nearest titled object around it, its key the slug of its key or else title. Equal (period, key, home, away) of an event
     count once, the first by path. Text that is no JSON, and null, has no rows. A tree deeper than `depth` levels is an error, so nothing is lost in silence.
+    Each tree is walked once, level by level, in one pass without a shuffle.
     """
-    text = lambda c, at: F.nullif(F.trim(F.try_variant_get(c, at, "string")), F.lit(""))
-    v = F.try_parse_json("detail")
-    top = details.select("event_id", F.try_variant_get(v, "$.content.stats.Periods", "variant").alias("node"))
-    spark, views = details.sparkSession, []
-
-    def children(df: DataFrame, columns: str, key: str) -> DataFrame:
-        return spark.sql(f"SELECT {columns}, {key} AS name, t.pos, t.value AS node FROM {{df}} x, LATERAL variant_explode(x.node) t", df=df)
-
-    periods = children(top.where("node IS NOT NULL"), "x.event_id", "t.key")
-    level = periods.select("event_id", F.trim("name").alias("period"), F.lit("").alias("group"), F.format_string("%s", "name").alias("path"), "node")
-    for n in range(depth):
-        kind = F.schema_of_variant("node")
-        values = F.when(kind.startswith("OBJECT"), F.try_variant_get("node", "$.stats", "array<variant>"))
-        nested = F.coalesce(F.schema_of_variant(F.get(values, F.lit(0))).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-        is_pair = F.coalesce(F.size(values) >= 2, F.lit(False)) & ~nested
-        level = level.withColumn("pair", is_pair).withColumn("title", F.when(kind.startswith("OBJECT"), text(F.col("node"), "$.title")))
+    text = lambda at: F.nullif(F.trim(F.try_variant_get("node", at, "string")), F.lit(""))
+    top = details.select("event_id", F.try_variant_get(F.try_parse_json("detail"), "$.content.stats.Periods", "variant").alias("node")).where("node IS NOT NULL")
+    spark = details.sparkSession
+
+    def children(df: DataFrame, columns: str, node: str) -> DataFrame:
+        return spark.sql(f"SELECT {columns}, t.pos, t.key AS name, t.value AS child FROM {{df}} x, LATERAL variant_explode_outer({node}) t", df=df)
+
+    x = children(top, "x.event_id", "x.node").where("pos IS NOT NULL")
+    x = x.select("event_id", F.trim("name").alias("period"), F.lit("").alias("group"), F.format_string("%s", "name").alias("path"), F.col("child").alias("node"), F.lit(None).cast(STAT).alias("found"))
+    for _ in range(depth):
+        values = F.try_variant_get("node", "$.stats", "array<variant>")
+        first = F.get(values, F.lit(0))
+        plain_first = F.try_variant_get(first, "$", "array<variant>").isNull() & F.try_variant_get(first, "$", "map<string,variant>").isNull()
         side = lambda k: F.try_variant_get("node", f"$.stats[{k}]", "string")
-        views.append(level.where("pair").select("event_id", "period", "group", F.coalesce(text(F.col("node"), "$.key"), F.col("title")).alias("key"), F.coalesce("title", text(F.col("node"), "$.key")).alias("title"), side(0).alias("home"), side(1).alias("away"), "path"))
-        inner = level.select("event_id", "period", F.coalesce("title", "group").alias("group"), "path", "pair", "node")
-        level = children(inner, "x.event_id, x.period, x.`group`, x.path, x.pair", "t.key").where("NOT (pair AND name = 'stats')")
-        level = level.select("event_id", "period", "group", F.format_string("%s/%04d", "path", "pos").alias("path"), "node")
-    stuck = F.when(F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)"), F.raise_error(F.lit(f"a stat tree is deeper than {depth} levels")).cast("boolean")).otherwise(False)
-    none = level.where(stuck).select("event_id", "period", "group", *[F.lit(None).cast("string").alias(c) for c in ("key", "title", "home", "away")], "path")
-    out = none
-    for x in views:
-        out = out.union(x)
-    out = out.withColumn("key", E.stat_slug(F.col("key"))).withColumn("_n", F.row_number().over(Window.partitionBy("event_id", "period", "key", F.trim("home"), F.trim("away")).orderBy("path")))
+        stat = F.struct("group", F.coalesce(text("$.key"), text("$.title")).alias("key"), F.coalesce(text("$.title"), text("$.key")).alias("title"), side(0).alias("home"), side(1).alias("away"), "path")
+        x = x.select("event_id", "period", F.coalesce(text("$.title"), "group").alias("group"), "path", "node", "found", F.when((F.size(values) >= 2) & plain_first, stat).alias("own"))
+        # A stat goes on in the row of its `stats`, which is not walked; its other children are. Rows found stay one row each.
+        x = children(x, "x.event_id, x.period, x.`group`, x.path, x.found, x.own", "CASE WHEN x.found IS NULL THEN x.node END").where("found IS NOT NULL OR pos IS NOT NULL")
+        found = F.coalesce("found", F.when(F.col("name") == "stats", F.col("own")))
+        x = x.select("event_id", "period", "group", F.format_string("%s/%04d", "path", "pos").alias("path"), F.col("child").alias("node"), found.alias("found"))
+    deeper = F.schema_of_variant("node").rlike("^(OBJECT|ARRAY)")
+    out = x.where(F.when(F.col("found").isNotNull(), True).when(deeper, F.raise_error(F.lit(f"a stat tree is deeper than {depth} levels")).cast("boolean")).otherwise(False))
+    out = out.select("event_id", "period", "found.*").withColumn("key", E.stat_slug(F.col("key")))
+    out = out.withColumn("_n", F.row_number().over(Window.partitionBy("event_id", "period", "key", F.trim("home"), F.trim("away")).orderBy("path")))
     return out.where("_n = 1").select("event_id", "period", "group", "key", "title", "home", "away")
 
 

@@ -20,6 +20,11 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df in spark.sql.shuffle.partitions parts by key, which stay as many: its few bytes become much work, and files of few bytes come in few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def odds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS event_id", *[f"{e} AS {n}" for n, e in _ODDS("o_orderkey").items()])
 
