@@ -281,13 +281,14 @@ def link_slugs(targets: DataFrame, links: DataFrame, profile: NameProfile = PROF
     """
     path = F.regexp_replace(F.regexp_replace("url", r"^[A-Za-z]+://[^/]*", ""), r"[?#].*$", "")
     u = links.select("url").distinct().select("url", slug_words(path).alias("words"), (F.regexp_extract("url", r"\d{2}-\d{2}-\d{4}", 0) != "").alias("dated"))
-    t = targets.select("event_id", "kickoff", slug_words(F.col("home")).alias("h"), slug_words(F.col("away")).alias("a"))
-    meet = u.select("url", F.explode("words").alias("w")).join(t.select("event_id", F.explode("h").alias("w")), "w").select("event_id", "url").distinct()
+    t = targets.select("event_id", "kickoff", slug_words(F.col("home")).alias("h"), slug_words(F.col("away")).alias("a")).where(F.size("a") > 0)
+    # A pair counts at the first word that it shares only, and is scored there: neither pairs nor what they are scored by move again.
     share = lambda c: F.size(F.array_intersect(c, "words")) / F.size(c)
-    c = meet.join(t, "event_id").join(u, "url").where(F.size("a") > 0).withColumn("hs", share("h")).withColumn("as_", share("a")).withColumn("worse", F.least("hs", "as_"))
+    c = u.select("*", F.explode("words").alias("w")).join(t.select("*", F.explode("h").alias("w")), "w").where(F.get(F.array_intersect("h", "words"), F.lit(0)) == F.col("w"))
+    c = c.withColumn("hs", share("h")).withColumn("as_", share("a")).withColumn("worse", F.least("hs", "as_"))
     on_day = lambda n: F.contains("url", F.date_format(F.date_add(F.to_date("kickoff"), n), "dd-MM-yyyy"))
     c = c.where(~F.col("dated") | on_day(-1) | on_day(0) | on_day(1)).withColumn("score", (F.col("hs") + F.col("as_")) / 2)
-    c = c.where((F.col("score") >= profile.accept) & (F.col("worse") >= profile.floor))
+    c = c.where((F.col("score") >= profile.accept) & (F.col("worse") >= profile.floor)).select("event_id", "url", "score", "worse")
     w = Window.partitionBy("event_id").orderBy(F.desc("score"), F.desc("worse"), F.desc("url"))
     c = c.withColumn("_n", F.row_number().over(w)).withColumn("runner_up", F.lead("score").over(w)).where("_n = 1")
     clear = (F.col("score") >= profile.sure) | F.col("runner_up").isNull() | (F.col("score") - F.col("runner_up") >= profile.margin)
