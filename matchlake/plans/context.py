@@ -190,12 +190,24 @@ def near_miss(best: DataFrame) -> DataFrame:
     return best.select("row_id", reason.alias("reason"))
 
 
+#: Days of a span, within which two names' rows and targets of a rollover meet.
+DAYS = 60
+
+
 def attach_rollover(unlinked: DataFrame, targets: DataFrame) -> DataFrame:
-    """Links a day apart: both names equal, exactly one target within a day of the source date."""
-    day = F.explode(F.array(*[F.date_add("source_date", n) for n in (-1, 0, 1)])).alias("day")
-    r = unlinked.select("row_id", "home_key", "away_key", day)
-    c = r.join(targets.select("event_id", "home_key", "away_key", F.to_date("kickoff").alias("day")), ["home_key", "away_key", "day"])
-    return c.groupBy("row_id").agg(F.count_distinct("event_id").alias("n"), F.min("event_id").alias("event_id")).where("n = 1").drop("n")
+    """Links a day apart: both names equal, exactly one target within a day of the source date.
+
+    The days of two names are dealt out in spans, which have the targets of the days next to them too, and rows see their targets in a window of a span.
+    So rows move once to meet them, and so do targets other than those at the ends of spans.
+    """
+    names, span = ["home_key", "away_key"], lambda d: F.floor(d / DAYS)
+    side = lambda df, day, row, event: df.select(*names, F.unix_date(F.to_date(day)).alias("d"), row.alias("row_id"), event.alias("event_id"), F.lit(event is none).alias("asked")).dropna(subset=[*names, "d"])
+    none = F.lit(None)
+    r = side(unlinked, "source_date", F.col("row_id"), none).withColumn("span", span(F.col("d")))
+    t = side(targets, "kickoff", none, F.col("event_id")).withColumn("span", F.explode(F.array_distinct(F.array(span(F.col("d") - 1), span(F.col("d") + 1)))))
+    near = Window.partitionBy(*names, "span").orderBy("d").rangeBetween(-1, 1)
+    x = r.unionByName(t).select("row_id", "asked", F.min("event_id").over(near).alias("low"), F.max("event_id").over(near).alias("high")).where("asked AND low IS NOT NULL")
+    return x.groupBy("row_id").agg(F.min("low").alias("event_id"), F.max("high").alias("high")).where("event_id = high").drop("high")
 
 
 def attach_tiered(rows: DataFrame, targets: DataFrame, tiers: Sequence[tuple[str, DataFrame]]) -> DataFrame:
