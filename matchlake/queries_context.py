@@ -178,7 +178,7 @@ def src6_articles(spark, sf):
     from matchlake.sources import listings as N
 
     e, say = F.col("event_id"), F.format_string
-    res = T.results(spark, sf)
+    res = T.spread(T.results(spark, sf), "event_id")
     day, clock = F.date_format("kickoff", "yyyy-MM-dd"), say("%02d:15", e % 24)
     url = say("https://a.example/football/%d/", e)
     h, d = e % 60, (e * 7) % 40

@@ -19,3 +19,10 @@ def test_a_stat_tree_is_read_once_for_all_its_levels(spark):
 
 def test_small_files_come_in_as_many_tasks_as_asked(spark):
     assert T.spread(T.results(spark, "/root/testdata/sf0.001"), "event_id").rdd.getNumPartitions() == 4
+
+
+def test_articles_are_read_in_as_many_tasks_as_asked(spark):
+    from matchlake import queries_context as Q
+
+    plan = Q.src6_articles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [event_id" in plan
