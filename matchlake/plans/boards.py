@@ -272,9 +272,13 @@ def overlap_diagnostics(rows: DataFrame, targets: DataFrame, seconds: int = 60)
     around = spans.select(*keys, "scope", F.inline(F.array(entry(1, F.col("hi"), none), entry(0, none, none), entry(-1, none, F.col("lo")))))
     around = around.groupBy(*keys, "scope", F.col("at").alias("bucket")).agg(F.max("before").alias("before"), F.min("after").alias("after"), F.max("same").alias("same"))
     pairs, scopes = spans.select(*keys, F.lit(1).alias("_pair")).distinct(), spans.select(*keys, "scope", F.lit(1).alias("_scope")).distinct()
-    asked = F.when(F.col("league").isNull(), F.array(F.lit("*"))).otherwise(F.array(scope, F.lit("?")))
-    x = rows.select("row_id", *keys, F.unix_micros("kickoff").alias("_t"), F.explode(asked).alias("scope")).withColumn("bucket", bucket)
-    x = x.join(homes, "home_key", "left").join(aways, "away_key", "left").join(pairs, keys, "left").join(scopes, [*keys, "scope"], "left").join(around, [*keys, "scope", "bucket"], "left")
+    free = F.max(F.col("scope") == "?").alias("_free")  # the pair has targets without a league, which rows of any league may meet
+    # What a pair of names amounts to is found once and not for each of its rows, which meet it in one join: they are the many, and each join moves them.
+    both = rows.select(*keys).distinct().join(homes, "home_key", "left").join(aways, "away_key", "left").join(pairs, keys, "left").join(spans.groupBy(*keys).agg(free), keys, "left")
+    asked = F.when(F.col("league").isNull(), F.array(F.lit("*"))).when(F.col("_free"), F.array(scope, F.lit("?"))).otherwise(F.array(scope))
+    x = rows.select("row_id", *keys, "league", F.unix_micros("kickoff").alias("_t")).alias("r").join(both.alias("b"), F.col("r.home_key").eqNullSafe(F.col("b.home_key")) & F.col("r.away_key").eqNullSafe(F.col("b.away_key")))
+    x = x.select("row_id", *[F.col(f"r.{k}").alias(k) for k in keys], "_t", "_home_key", "_away_key", "_pair", F.explode(asked).alias("scope")).withColumn("bucket", bucket)
+    x = x.join(scopes, [*keys, "scope"], "left").join(around, [*keys, "scope", "bucket"], "left")
     close = F.col("_t").isNull() | F.coalesce("same", F.lit(False)) | F.coalesce(F.col("_t") - F.col("before") <= bound, F.lit(False)) | F.coalesce(F.col("after") - F.col("_t") <= bound, F.lit(False))
     reason = (
         F.when(F.col("_home_key").isNull(), "1_NO_HOME").when(F.col("_away_key").isNull(), "2_NO_AWAY").when(F.col("_pair").isNull(), "3_NO_PAIR").when(F.col("_scope").isNull(), "4_LEAGUE")
