@@ -320,7 +320,7 @@ def j4_link_fuzzy(spark, sf):
     named = res.join(names.withColumnRenamed("name", "home"), F.col("home_id") == F.col("k")).drop("k").join(names.withColumnRenamed("name", "away"), F.col("away_id") == F.col("k")).drop("k")
     named = named.withColumn("kickoff", F.col("kickoff") + F.make_interval(mins=(F.col("event_id") % 1440).cast("int")))
     rows = named.select(F.col("event_id").alias("row_id"), F.replace("home", F.lit("#"), F.lit(" ")).alias("home"), "away", (F.col("kickoff") + F.expr("INTERVAL 5 MINUTES")).alias("kickoff"))
-    return L.link_fuzzy(rows, named.select("event_id", "home", "away", "kickoff"), L.PROFILES["live"]).select("row_id", "event_id", r6("score").alias("score"), "linked")
+    return L.link_fuzzy(rows, named.select("event_id", "home", "away", "kickoff"), L.PROFILES["live"], runner_up=False).select("row_id", "event_id", r6("score").alias("score"), "linked")
 
 
 @query(

@@ -1,7 +1,13 @@
 """Links whose rows meet few others where many could be met, against the links of all pairs."""
 
-from datetime import datetime
+import random
+from collections import Counter
+from datetime import datetime, timedelta
 
+import pytest
+from pyspark.sql import functions as F
+
+from matchlake.operators import links
 from matchlake.plans import boards
 
 T0 = datetime(2026, 1, 1, 12)
@@ -23,3 +29,27 @@ def test_overlap_rows_move_in_three_joins(spark):
     got = boards.overlap_diagnostics(rows, targets)
     assert {r["reason"]: r["n"] for r in got.collect()} == {"1_NO_HOME": 1, "2_NO_AWAY": 1, "6_LINK": 1, "4_LEAGUE": 1, "3_NO_PAIR": 1}
     assert _row_joins(got, "row_id") == 3
+
+
+NAMES = ["red star", "red stars", "blue sky", "blue skye", "lone wolf", "north end", "northend", "", None]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("profile", ["live", "odds"])
+def test_links_told_by_names_against_all_candidates(spark, seed, profile):
+    r = random.Random(seed)
+    some = lambda n, k: [(i, r.choice(NAMES), r.choice(NAMES), None if r.random() < 0.05 else T0 + timedelta(seconds=30 * r.randint(0, 2000))) for i in range(n)]
+    schema = "{} long, home string, away string, kickoff timestamp"
+    rows, targets = spark.createDataFrame(some(200, 0), schema.format("row_id")), spark.createDataFrame(some(150, 0), schema.format("event_id"))
+    p = links.PROFILES[profile]
+    key = lambda df: Counter((x["row_id"], x["event_id"], round(x["score"], 9), x["linked"]) for x in df.collect())
+    want = key(links.link_fuzzy(rows, targets, p))
+    assert len(want) > 60
+    assert key(links.link_fuzzy(rows, targets, p, runner_up=False)) == want
+    assert links._told_by_names(rows, targets, p).count() > 5
+
+
+def test_rows_told_by_names_do_not_meet_all_of_their_clock(spark):
+    t = spark.range(60_000).select("id", F.concat(F.lit("club of "), F.md5((F.col("id") % 50).cast("string").cast("binary"))).alias("home"), F.concat(F.lit("town of "), F.md5((F.col("id") % 1201).cast("string").cast("binary"))).alias("away"), F.timestamp_seconds(F.lit(1_800_000_000) + F.col("id") % 60).alias("kickoff"))
+    got = links.link_fuzzy(t.withColumnRenamed("id", "row_id"), t.withColumnRenamed("id", "event_id"), links.PROFILES["live"], runner_up=False)  # 3.6 * 10^9 pairs
+    assert got.where("linked AND row_id = event_id").count() == 60_000
