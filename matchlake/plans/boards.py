@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import exprs as E
 from matchlake.operators import likeness as K
 from matchlake.operators import rollups, state
+from matchlake.operators.lineage import settled
 
 
 def age_minutes(ts: str, now: Column) -> Column:
@@ -135,23 +137,44 @@ def learn_availability(availability: DataFrame, floor: float = 0.94) -> DataFram
 
 # Provisional links
 
+#: Targets of each key that a row is held against first: of a row that is like two of them the rest does not matter.
+PROBES = 4
+
+
 def provisional_links(rows: DataFrame, targets: DataFrame, verified: DataFrame, floor: float = 0.30, strong: float = 0.70) -> DataFrame:
     """Links for unverified rows of a competition and clock: exactly one verified side, else both names similar enough; unique at both ends, verified sides first.
 
-    rows: row_id, home, away, league, kickoff; targets: event_id, home, away, league, kickoff; verified: name, target_name.
+    rows: row_id, home, away, league, kickoff; targets: event_id, home, away, league, kickoff; verified: name, target_name. Verified sides meet by name, similar ones by
+    competition and clock. Only a row with one target of a kind can have a link of it, so rows with two among the first few are out before all pairs are made; then the targets of
+    those left are held against all rows.
     """
-    t = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), "league", "kickoff")
-    c = rows.join(t, ["league", "kickoff"])
-    for s, name in (("h", "home"), ("a", "away")):
-        c = c.join(verified.select(F.col("name").alias(name), F.col("target_name").alias(f"t{s}"), F.lit(True).alias(f"v{s}")).distinct(), [name, f"t{s}"], "left").withColumn(f"v{s}", F.coalesce(f"v{s}", F.lit(False)))
+    at = ["league", "kickoff"]
+    used = rows.select(F.explode(F.array("home", "away")).alias("name")).distinct()
+    known = verified.join(used, "name").groupBy("name").agg(F.collect_set("target_name").alias("known"))
+    of = lambda side: known.select(F.col("name").alias(side), F.col("known").alias(f"v_{side}"))
+    r = rows.select("row_id", "home", "away", *at).join(of("home"), "home", "left").join(of("away"), "away", "left")
+    t = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), *at)
+    has = lambda side, name: F.coalesce(F.array_contains(f"v_{side}", F.col(name)), F.lit(False))
     hs, as_ = E.name_sim(F.col("home"), F.col("th")), E.name_sim(F.col("away"), F.col("ta"))
-    one = F.col("vh") != F.col("va")
-    fuzzy = ~F.col("vh") & ~F.col("va") & (F.least(hs, as_) >= floor) & (F.greatest(hs, as_) >= strong)
-    c = c.withColumn("kind", F.when(one, "ONE_SIDE").when(fuzzy, "SIMILARITY")).where("kind IS NOT NULL")
-    only = lambda k: F.count("*").over(Window.partitionBy(k, "kind")) == 1
-    c = c.withColumn("_r", only("row_id")).withColumn("_e", only("event_id")).where("_r AND _e")
-    first = lambda k: F.row_number().over(Window.partitionBy(k).orderBy("kind", "row_id", "event_id")) == 1
-    return c.withColumn("_a", first("row_id")).withColumn("_b", first("event_id")).where("_a AND _b").select("row_id", "event_id", "kind")
+    similar = ~has("home", "th") & ~has("away", "ta") & (F.least(hs, as_) >= floor) & (F.greatest(hs, as_) >= strong)
+    by_name = lambda side, own, its: (r.select("*", F.explode(f"v_{side}").alias("key")), t.withColumn("key", F.col(own)), [*at, "key"], ~its)
+    ways = {"ONE_SIDE": [by_name("home", "th", has("away", "ta")), by_name("away", "ta", has("home", "th"))], "SIMILARITY": [(r, t, at, similar)]}
+
+    def only(meetings: list[DataFrame], k: str, other: str) -> DataFrame:
+        return reduce(DataFrame.union, meetings).groupBy(k).agg(F.count("*").alias("n"), F.min(other).alias(other))
+
+    links_ = []
+    for kind, ways_ in ways.items():
+        meet = lambda a, b, keys, fits: a.join(b, keys).where(fits).select("row_id", "event_id")
+        first = lambda b, keys: b.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("event_id"))).where(F.col("_n") <= PROBES).drop("_n")
+        crowded = only([meet(a, first(b, keys), keys, fits) for a, b, keys, fits in ways_], "row_id", "event_id").where("n > 1").select("row_id")
+        mine = settled(only([meet(a.join(crowded, "row_id", "left_anti"), b, keys, fits) for a, b, keys, fits in ways_], "row_id", "event_id").where("n = 1").drop("n"))
+        asked = mine.select("event_id").distinct()
+        its = only([meet(a, b.join(asked, "event_id"), keys, fits) for a, b, keys, fits in ways_], "event_id", "row_id").where("n = 1").drop("n")
+        links_.append(mine.join(its, ["row_id", "event_id"]).withColumn("kind", F.lit(kind)))
+    c = reduce(DataFrame.union, links_).select("row_id", "event_id", "kind")
+    nth = lambda k: F.row_number().over(Window.partitionBy(k).orderBy("kind", "row_id", "event_id"))
+    return c.withColumn("_a", nth("row_id")).withColumn("_b", nth("event_id")).where("_a = 1 AND _b = 1").select("row_id", "event_id", "kind")
 
 
 def provisional_feed(stored: DataFrame, fixtures: DataFrame, predictions: DataFrame) -> DataFrame:

@@ -53,3 +53,46 @@ def test_rows_told_by_names_do_not_meet_all_of_their_clock(spark):
     t = spark.range(60_000).select("id", F.concat(F.lit("club of "), F.md5((F.col("id") % 50).cast("string").cast("binary"))).alias("home"), F.concat(F.lit("town of "), F.md5((F.col("id") % 1201).cast("string").cast("binary"))).alias("away"), F.timestamp_seconds(F.lit(1_800_000_000) + F.col("id") % 60).alias("kickoff"))
     got = links.link_fuzzy(t.withColumnRenamed("id", "row_id"), t.withColumnRenamed("id", "event_id"), links.PROFILES["live"], runner_up=False)  # 3.6 * 10^9 pairs
     assert got.where("linked AND row_id = event_id").count() == 60_000
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_provisional_links_against_all_pairs(spark, seed):
+    r = random.Random(seed)
+    names = ["alpha", "alphas", "beta", "betas", "gamma town", "gamma city", "delta", "omega", "zeta"]
+    some = lambda v: None if r.random() < 0.05 else v
+    make = lambda n: [(i, some(r.choice(names)), some(r.choice(names)), some(r.choice("xyz")), T0 + timedelta(hours=r.randint(0, 6))) for i in range(n)]
+    rows, targets = make(120), make(100)
+    verified = [("alpha", "alpha"), ("alpha", "alphas"), ("beta", "betas"), ("beta", "betas"), ("delta", "delta"), (None, "omega")]
+    sim = lambda a, b: 0.0 if not a or not b else 1.0 if a == b else max(0.94, min(len(a), len(b)) / max(len(a), len(b))) if min(len(a), len(b)) >= 4 and (a in b or b in a) else 1 - _edits(a, b) / max(len(a), len(b))
+    pairs = []
+    for i, h, a, league, at in rows:
+        for e, th, ta, its, clock in targets:
+            if league is not None and (league, at) == (its, clock):
+                vh, va = h is not None and (h, th) in verified, a is not None and (a, ta) in verified
+                s = sorted((sim(h, th), sim(a, ta)))
+                kind = "ONE_SIDE" if vh != va else "SIMILARITY" if not vh and s[0] >= 0.3 and s[1] >= 0.7 else None
+                pairs += [(kind, i, e)] if kind else []
+    n_row, n_event = Counter((k, i) for k, i, _ in pairs), Counter((k, e) for k, _, e in pairs)
+    alone = sorted(p for p in pairs if n_row[p[0], p[1]] == 1 and n_event[p[0], p[2]] == 1)
+    first = lambda at: {min(p for p in alone if p[at] == k) for k in {p[at] for p in alone}}
+    want = {(i, e, k) for k, i, e in first(1) & first(2)}
+    assert {k for *_, k in want} == {"ONE_SIDE", "SIMILARITY"}
+    df = lambda x, c: spark.createDataFrame(x, f"{c} long, home string, away string, league string, kickoff timestamp")
+    got = boards.provisional_links(df(rows, "row_id"), df(targets, "event_id"), spark.createDataFrame(verified, "name string, target_name string"))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def _edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_rows_of_one_clock_do_not_meet_all_its_targets(spark):
+    t = spark.range(100_000).select("id", F.concat(F.lit("club of town "), F.col("id") % 30).alias("home"), F.concat(F.lit("club of city "), F.col("id") % 29).alias("away"), F.lit("x").alias("league"), F.timestamp_seconds(F.lit(0)).alias("kickoff"))
+    names = spark.range(30).select(F.concat(F.lit("club of town "), "id").alias("name"), F.concat(F.lit("club of town "), "id").alias("target_name"))
+    got = boards.provisional_links(t.withColumnRenamed("id", "row_id"), t.withColumnRenamed("id", "event_id"), names)  # 10^10 pairs
+    assert got.count() == 0
