@@ -35,12 +35,12 @@ def name_key(c: Column) -> Column:
 
 
 def fold_name(c: Column) -> Column:
-    """Lower case without accents, & as and, other characters as single spaces."""
+    """Lower case without accents, & as and, other characters as single spaces. Most names are in that form, which one look tells."""
     x = F.translate(F.lower(c), ACCENTED, BASE)
     for a, b in SPECIAL.items():
         x = F.replace(x, F.lit(a), F.lit(b))
     x = F.regexp_replace(F.replace(x, F.lit("&"), F.lit(" and ")), "[^a-z0-9]+", " ")
-    return F.trim(x)
+    return F.when(c.rlike(r"[^a-z0-9 ]|^ | \z|  "), F.trim(x)).otherwise(c.cast("string"))
 
 
 #: What each profile of normalize_name drops and rewrites.

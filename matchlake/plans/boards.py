@@ -328,7 +328,7 @@ def discover_dataset(fixtures: DataFrame, datasets: DataFrame, master: DataFrame
     key = E.fold_name
     sets = datasets.select("dataset", "name", key(F.col("name")).alias("k"), F.col("competition").alias("scope")).distinct()
     own = sets.where("scope IS NOT NULL").select(F.col("scope").alias("competition"), F.lit(True).alias("special")).distinct()
-    f = fixtures.join(own, "competition", "left").select("event_id", key(F.col("home")).alias("hk"), key(F.col("away")).alias("ak"), F.when(F.col("special"), F.col("competition")).alias("scope"))
+    f = settled(fixtures.join(own, "competition", "left").select("event_id", key(F.col("home")).alias("hk"), key(F.col("away")).alias("ak"), F.when(F.col("special"), F.col("competition")).alias("scope")))
     known = (master if master is not None else fixtures.sparkSession.createDataFrame([], "source_name string, canonical string")).select(key(F.col("source_name")).alias("source"), key(F.col("canonical")).alias("canonical"))
     reverse = known.groupBy("canonical").agg(F.min("source").alias("source"))
     forward = known.groupBy("source").agg(F.min("canonical").alias("canonical"))
@@ -346,7 +346,7 @@ def discover_dataset(fixtures: DataFrame, datasets: DataFrame, master: DataFrame
     c = f.join(side("hk"), "hk").where(F.col("scope").eqNullSafe(F.col("_s"))).drop("_s").join(side("ak").drop("_s"), ["dataset", "ak"]).where("hk_name <> ak_name")
     c = c.withColumn("score", (F.col("hk_score") + F.col("ak_score")) / 2).where(F.col("score") >= profile.accept)
     found = c.groupBy("event_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "dataset", "hk_name", "ak_name")).alias("d"))
-    x = fixtures.select("event_id").join(verified, "event_id", "left").join(found, "event_id", "left")
+    x = f.select("event_id").join(verified, "event_id", "left").join(found, "event_id", "left")
     pick = lambda c: F.coalesce(F.col(f"v.{c}"), F.col(f"d.{c}"))
     path = F.when(F.col("v").isNotNull(), "VERIFIED").when(F.col("d").isNotNull(), "DISCOVERED").otherwise("NONE")
     return x.select("event_id", pick("dataset").alias("dataset"), pick("hk_name").alias("home_name"), pick("ak_name").alias("away_name"), F.when(F.col("v").isNotNull(), 1.0).otherwise(-F.col("d.s")).alias("score"), path.alias("path"))

@@ -1,9 +1,33 @@
-"""Evidence that one strong side leads to."""
+"""Names that are folded and looked up once, and evidence that one strong side leads to."""
 
+from pyspark.sql import functions as F
+
+from matchlake.functions import exprs as E
 from matchlake.operators import likeness as K
+from matchlake.plans import boards
 from matchlake.sources import feeds
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_folded_names_are_told_by_one_look(spark):
+    want = {"red star": "red star", "": "", " red": "red", "red ": "red", "red  star": "red star", "red\n": "red", "red star\n": "red star", "Red": "red", "a&b": "a and b", "Łódź": "lodz", "4 x": "4 x", "-": "", "red\tstar": "red star", None: None}
+    df = spark.createDataFrame([(n,) for n in want], "name string")
+    got = df.select("name", E.fold_name(F.col("name")).alias("k"))
+    assert {r["name"]: r["k"] for r in got.collect()} == want
+    assert "RLIKE" in _plan(got).upper()
+
+
+def test_datasets_read_fixtures_once(spark):
+    f = spark.range(6).select(F.col("id").alias("event_id"), F.concat(F.lit("red star "), F.col("id") % 2).alias("home"), F.lit("blue sky").alias("away"), F.lit("L").alias("competition"))
+    sets = spark.createDataFrame([(1, "red star 0", None), (1, "blue sky", None)], "dataset int, name string, competition string")
+    found = boards.discover_dataset(f, sets)
+    assert {r["event_id"]: r["path"] for r in found.collect() if r["event_id"] % 2 == 0} == {0: "DISCOVERED", 2: "DISCOVERED", 4: "DISCOVERED"}
+    assert "Range" not in _plan(found)
+
+
 def test_evidence_is_led_by_the_stronger_side(spark, monkeypatch):
     floors, real = [], K.similar_names
     monkeypatch.setattr(K, "similar_names", lambda a, b, floor, *x, **y: floors.append(floor) or real(a, b, floor, *x, **y))
