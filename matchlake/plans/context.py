@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchlake.functions import exprs as E
 from matchlake.operators import likeness as K
 from matchlake.operators import links, rollups, state
+from matchlake.operators.lineage import settled
 
 
 def enrich(fixture: DataFrame, sources: dict[str, DataFrame], key: str = "event_id", ts: str = "updated_at") -> DataFrame:
@@ -152,9 +153,10 @@ def match_ratings(names: DataFrame, ratings: DataFrame, master: DataFrame | None
     """
     profile = K.PROFILES["rating"]
     squeeze = lambda c: F.regexp_replace(c, " ", "")
+    # Names are made distinct before they are folded, as a filter by the folded form would go down to each fixture.
     r = ratings.select(E.fold_name(F.col("name")).alias("k"), F.struct("rating", "name").alias("r")).where("k <> ''").groupBy("k").agg(F.max("r").alias("r")).select("k", "r.rating", F.col("r.name").alias("club"))
     small = r.groupBy(squeeze(F.col("k")).alias("small")).agg(F.max(F.struct("rating", "club")).alias("s"))
-    n = names.select("name").distinct().withColumn("k", E.fold_name(F.col("name"))).where("k <> ''")
+    n = settled(names.select("name").distinct()).withColumn("k", E.fold_name(F.col("name"))).where("k <> ''")
     known = (master if master is not None else names.sparkSession.createDataFrame([], "canonical string, source_name string")).groupBy(E.fold_name(F.col("canonical")).alias("k")).agg(F.min(E.fold_name(F.col("source_name"))).alias("v"))
     x = n.join(known, "k", "left")
     tiers = None
@@ -163,7 +165,7 @@ def match_ratings(names: DataFrame, ratings: DataFrame, master: DataFrame | None
         here = [F.when(F.col("_r").isNotNull(), F.struct(F.col("_r.rating"), F.col("_r.club"), F.lit(exact).alias("match"))), F.when(F.col("_s").isNotNull(), F.struct(F.col("_s.rating"), F.col("_s.club"), F.lit(squeezed).alias("match")))]
         x = x.withColumn(f"t_{form}", F.coalesce(*here)).drop("_r", "_s", "_small")
         tiers = F.col(f"t_{form}") if tiers is None else F.coalesce(tiers, F.col(f"t_{form}"))
-    x = x.select("name", "k", tiers.alias("t"))
+    x = settled(x.select("name", "k", tiers.alias("t")))
     unseen, clubs = x.where("t IS NULL").select(F.col("k").alias("name")), r.select(F.col("k").alias("name"))
     floor = profile.floor - profile.margin
     pairs = K.similar_names(unseen, clubs, floor, measure, contained=None).union(K.core_pairs(unseen, clubs, floor)).groupBy("left", "right").agg(F.max("score").alias("score"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from matchlake.functions import exprs as E
 from matchlake.operators import likeness as K
-from matchlake.plans import boards
+from matchlake.plans import boards, context
 from matchlake.sources import feeds
 
 
@@ -20,8 +20,12 @@ def test_folded_names_are_told_by_one_look(spark):
     assert "RLIKE" in _plan(got).upper()
 
 
-def test_datasets_read_fixtures_once(spark):
+def test_ratings_and_datasets_read_fixtures_once(spark):
     f = spark.range(6).select(F.col("id").alias("event_id"), F.concat(F.lit("red star "), F.col("id") % 2).alias("home"), F.lit("blue sky").alias("away"), F.lit("L").alias("competition"))
+    ratings = spark.createDataFrame([("red star 0", 1.5), ("blue  sky", 2.5)], "name string, rating double")
+    got = context.match_ratings(f.select(F.col("home").alias("name")).union(f.select("away")), ratings)
+    assert {r["name"]: (r["rating"], r["match"]) for r in got.where("match >= 0.99").collect()} == {"red star 0": (1.5, 1.0), "blue sky": (2.5, 1.0)}
+    assert "Range" not in _plan(got)
     sets = spark.createDataFrame([(1, "red star 0", None), (1, "blue sky", None)], "dataset int, name string, competition string")
     found = boards.discover_dataset(f, sets)
     assert {r["event_id"]: r["path"] for r in found.collect() if r["event_id"] % 2 == 0} == {0: "DISCOVERED", 2: "DISCOVERED", 4: "DISCOVERED"}
