@@ -259,10 +259,11 @@ def book_quotes(raw: DataFrame, targets: DataFrame, market: str = "40", measure:
     s = s.withColumn("side", F.when(like("h") >= 0.80, "H").when(F.col("selection").isin(*DRAW), "D").when(like("a") >= 0.80, "A"))
     price = lambda x: F.max(F.when(F.col("side") == x, F.struct("selection", "price")))["price"].alias(x.lower())
     prices = s.groupBy("row_id").agg(price("H"), price("D"), price("A"))
-    x = fixtures.select("row_id").join(best.groupBy("row_id").agg(F.max("score").alias("top")), "row_id", "left").join(linked, "row_id", "left").join(prices, "row_id", "left")
     whole = F.col("h").isNotNull() & F.col("d").isNotNull() & F.col("a").isNotNull()
+    quotes = linked.join(prices, "row_id").where(whole).select("event_id", "row_id", "score", "h", "d", "a")  # by links alone: fixtures without one are told only where they are asked for
+    x = fixtures.select("row_id").join(best.groupBy("row_id").agg(F.max("score").alias("top")), "row_id", "left").join(linked, "row_id", "left").join(prices, "row_id", "left")
     x = x.withColumn("reason", F.when(F.col("top").isNull(), "NO_NAME_PAIR").when(F.col("event_id").isNull(), "TARGET_TAKEN").when(~whole, "PRICES_INCOMPLETE"))
-    return x.where("reason IS NULL").select("event_id", "row_id", "score", "h", "d", "a"), x.where("reason IS NOT NULL").select("row_id", "reason")
+    return quotes, x.where("reason IS NOT NULL").select("row_id", "reason")
 
 
 #: Words that no slug is told by. Fixed values.

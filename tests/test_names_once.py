@@ -45,3 +45,12 @@ def test_evidence_is_led_by_the_stronger_side(spark, monkeypatch):
     assert floors == [0.76]
     assert feeds.fixture_evidence(df.where("doc_id >= 3"), targets, none, none.drop("competition")).count() == 0
     assert feeds.fixture_evidence(df.where("doc_id = 2"), targets, none, none.drop("competition")).count() == 1
+
+
+def test_quotes_do_not_ask_for_what_was_rejected(spark):
+    rows = [("1", "40", "red star", "blue sky", s, p) for s, p in (("red star", "1.5"), ("draw", "3"), ("blue sky", "4"))] + [("2", "40", "nobody", "here", "draw", "3"), ("3", "40", "red star", "blue sky", "draw", "3")]
+    raw = spark.createDataFrame(rows, "fixture_id string, market_id string, home string, away string, selection string, price string")
+    quotes, rejected = K.book_quotes(raw, spark.createDataFrame([("9", "red star", "blue sky")], "event_id string, home string, away string"))
+    assert [tuple(r) for r in quotes.collect()] == [("9", "1", 1.0, 1.5, 3.0, 4.0)]
+    assert {r["row_id"]: r["reason"] for r in rejected.collect()} == {"2": "NO_NAME_PAIR", "3": "TARGET_TAKEN"}
+    assert "LeftOuter" not in _plan(quotes)
