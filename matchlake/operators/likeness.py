@@ -316,13 +316,92 @@ class AnchorProfile:
 ANCHORED = {"live": AnchorProfile(120, 180, 0.58, 0.74, 0.90, 0.06, no_clock=0.75), "player": AnchorProfile(150, 150, 0.60, 0.78, 0.92, 0.06)}
 
 
-def _fewer_names(rows: DataFrame, targets: DataFrame) -> tuple[str, str]:
+def _names(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """side, in_left, name: the different names of rows and of targets, found in one pass over both."""
+    sides = F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("name")) for s in ("home", "away")]))
+    of = lambda df, left: df.select(sides).select("side", F.lit(left).alias("in_left"), "name")
+    return settled(of(rows, True).union(of(targets, False)).where(F.length("name") > 0).distinct())
+
+
+def _fewer_names(names: DataFrame) -> tuple[str, str]:
     """The side with fewer different names, and the other one: an index of few names is cheap at low floors, where most names of a long one meet."""
-    n = rows.select("home", "away").union(targets.select("home", "away")).agg(F.approx_count_distinct("home").alias("home"), F.approx_count_distinct("away").alias("away")).first()
-    return ("away", "home") if n["away"] < n["home"] else ("home", "away")
+    n = names.select("side", "name").distinct().groupBy("side").count().collect()
+    n = {x["side"]: x["count"] for x in n}
+    return ("away", "home") if n.get("away", 0) < n.get("home", 0) else ("home", "away")
+
+
+#: Floors of the names that a row is told by where the runner-up is not asked for: first of all rows, then of those without a clock. Fixed values.
+TOLD, TOLD_LOW = 0.80, 0.70
+
+
+class _Anchored:
+    """Rows (row_id, home, away, kickoff) and targets that meet by names of the profile and are scored as they meet."""
 
+    def __init__(self, rows: DataFrame, targets: DataFrame, profile: AnchorProfile, measure: str):
+        self.p, self.measure, self.width = profile, measure, profile.minutes * 60
+        self.names = _names(rows, targets)
+        self.near, self.far = _fewer_names(self.names)
+        self.rows = rows.select("row_id", F.col("home").alias("rh"), F.col("away").alias("ra"), F.col("kickoff").alias("rk"))
+        self.targets = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), F.col("kickoff").alias("tk"))
 
-def link_anchored(rows: DataFrame, targets: DataFrame, profile: AnchorProfile, measure: str = "edit") -> DataFrame:
+    def index(self, side: str, floor: float, names: DataFrame | None = None) -> DataFrame:
+        """own, its, known: the names of rows, or of these, and of targets that are `floor` alike on a side."""
+        of = lambda left: self.names.where((F.col("side") == side) & (F.col("in_left") == left)).select("name")
+        return similar_names(of(True) if names is None else names, of(False), floor, self.measure).select(F.col("left").alias("own"), F.col("right").alias("its"), F.col("score").alias("known"))
+
+    def _scored(self, c: DataFrame, s: str, keep: list[str]) -> DataFrame:
+        p, sim = self.p, (lambda a, b: E.name_sim(F.col(a), F.col(b))) if self.measure == "edit" else (lambda a, b: sequence_sim(F.col(a), F.col(b)))
+        c = c.withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= self.width))
+        c = c.withColumn("hs", F.col("known") if s == "home" else sim("rh", "th")).withColumn("as_", F.col("known") if s == "away" else sim("ra", "ta")).withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_"))
+        anchored = F.coalesce(F.col("gap") <= p.anchor_minutes * 60, F.lit(False)) & (F.col("high") >= p.anchor) & (F.col("low") >= p.other)
+        return c.withColumn("anchored", anchored).where((F.col("low") >= p.floor) | F.col("anchored")).select("row_id", "event_id", "rh", "ra", "th", "ta", "rk", "tk", "gap", "hs", "as_", "low", "high", "anchored", *keep)
+
+    def clocked(self, rows: DataFrame, index: DataFrame, s: str, widths: int, keep: list[str] | None = None) -> DataFrame:
+        """Candidates of rows with a clock by a side's index; they meet in spans of `widths` times the time bound. A row goes to its spans once its names are known."""
+        span = widths * self.width
+        at = lambda k, by=0: F.floor((F.unix_seconds(k) + by) / span)
+        x = rows.where("rk IS NOT NULL").join(index, F.col(f"r{s[0]}") == F.col("own")).drop("own").withColumn("span", F.explode(F.sequence(at("rk", -self.width), at("rk", self.width))))
+        t = self.targets.withColumn("t_span", at("tk"))
+        return self._scored(x.join(t, (F.col("its") == F.col(f"t{s[0]}")) & (F.col("span") == F.col("t_span"))), s, keep or [])
+
+    def clockless(self, rows: DataFrame, index: DataFrame, s: str, keep: list[str] | None = None) -> DataFrame:
+        """Candidates of rows without a clock by a side's index. Targets of the same two names score the same, so only the first two of them are met."""
+        w = Window.partitionBy("th", "ta").orderBy("event_id")
+        t = self.targets.repartition("th", "ta").distinct().withColumn("_n", F.row_number().over(w)).where("_n <= 2").drop("_n")
+        return self._scored(rows.where("rk IS NULL").join(index, F.col(f"r{s[0]}") == F.col("own")).join(t, F.col("its") == F.col(f"t{s[0]}")), s, keep or [])
+
+    def best(self, c: DataFrame) -> DataFrame:
+        """The candidate of each row that scores most, with the score of the next, and its status."""
+        p = self.p
+        drop = ["rh", "ra", "th", "ta", "rk", "tk"]
+        c = c.withColumn("names", F.xxhash64(*drop)).drop(*drop).repartition("row_id").distinct()  # a candidate may be met on either side
+        c = c.withColumn("near", F.coalesce(F.greatest(F.lit(0.0), 1 - F.col("gap") / (p.decay * 60)), F.lit(p.no_clock)))
+        both = F.col("hs") * 0.42 + F.col("as_") * 0.42 + F.col("near") * 0.16
+        strong = F.when(F.col("anchored"), F.col("high") * 0.55 + F.col("low") * 0.25 + F.col("near") * 0.20).otherwise(0.0)
+        c = c.withColumn("score", F.greatest(both, strong)).withColumn("path", F.when(strong > both, "ANCHOR").otherwise("BOTH"))
+        w = Window.partitionBy("row_id").orderBy(F.desc("score"), "gap", "event_id")
+        c = c.withColumn("_n", F.row_number().over(w)).withColumn("runner_up", F.lead("score").over(w)).where("_n = 1")
+        clear = (F.col("score") >= p.sure) | F.col("runner_up").isNull() | (F.col("score") - F.col("runner_up") >= p.margin)
+        return c.withColumn("status", F.when(F.col("score") < p.accept, "BELOW").when(clear, "LINKED").otherwise("AMBIGUOUS"))
+
+    def told(self, c: DataFrame, floor: float) -> DataFrame:
+        """The bests among candidates whose far names are `floor` alike, that are bests of all and have their status whatever else there is.
+
+        Any other candidate has a far name below the floor, a near one of `most` at best, and the row's clock, or no clock as any; it scores less than `others`.
+        """
+        p = self.p
+        near = F.when(F.col("gap").isNull(), F.col("near")).otherwise(1.0)
+        both = F.when(F.col("most") >= p.floor, 0.42 * floor + F.col("most") * 0.42 + near * 0.16).otherwise(0.0)
+        anchored = F.when(F.col("gap").isNotNull() & (F.col("most") >= p.anchor), F.col("most") * 0.55 + 0.25 * floor + 0.20).otherwise(0.0)
+        x = self.best(c).withColumn("others", F.greatest(both, anchored) + EPS)
+        status = (F.col("score") >= p.sure) | (F.col("score") < p.accept) | (F.col("score") - F.col("others") >= p.margin) | (F.col("score") - F.col("runner_up") < p.margin)
+        return settled(x.where((F.col("score") > F.col("others")) & F.coalesce(status, F.lit(False))).select(*FOUND))
+
+
+FOUND = ("row_id", "event_id", "score", "hs", "as_", "gap", "path", "status")
+
+
+def link_anchored(rows: DataFrame, targets: DataFrame, profile: AnchorProfile, measure: str = "edit", runner_up: bool = True) -> DataFrame:
     """row_id, event_id, score, runner_up, hs, as_, gap_seconds, path, status: one row for each of rows (row_id, home, away, kickoff).
 
     A candidate (targets: event_id, home, away, kickoff) within the time bound has both sides above the floor (path BOTH), or starts within anchor_minutes and has one side of `anchor` and the other
@@ -330,38 +409,31 @@ def link_anchored(rows: DataFrame, targets: DataFrame, profile: AnchorProfile, m
     Rows without a clock have a time score of `no_clock`, or no candidates. LINKED; AMBIGUOUS below `sure` without the margin; BELOW; NO_CANDIDATE.
     Of equal scores the nearer in time, then the smaller event_id. Candidates come out of the name indexes: of the side with fewer names (`_fewer_names`) from the floor on and of the other from the anchor on,
     which leaves none out, since both sides are above the floor or one is an anchor. They are scored as they meet.
+
+    Without `runner_up` that column is left out, and rows that are told by the candidates whose names on the side with more names are most like theirs (`_Anchored.told`) meet no others; a row_id is one row then.
     """
-    p, width = profile, profile.minutes * 60
-    near_side, far_side = _fewer_names(rows, targets)
-    name = lambda df, s: df.select(F.col(s).alias("name"))
-    indexes = {s: similar_names(name(rows, s), name(targets, s), floor, measure).select(F.col("left").alias("own"), F.col("right").alias("its"), F.col("score").alias("known")) for s, floor in ((near_side, p.floor), (far_side, p.anchor))}
-    bucket = F.floor(F.unix_seconds("kickoff") / width)
-    r = rows.select("row_id", F.col("home").alias("rh"), F.col("away").alias("ra"), F.col("kickoff").alias("rk"), F.when(F.col("kickoff").isNotNull(), F.array(bucket - 1, bucket, bucket + 1)).alias("buckets"))
-    t = targets.select("event_id", F.col("home").alias("th"), F.col("away").alias("ta"), F.col("kickoff").alias("tk"), bucket.alias("bucket"))
-    clocked = r.where("rk IS NOT NULL").select("*", F.explode("buckets").alias("bucket")).drop("buckets")
-    columns = ["row_id", "event_id", "rh", "ra", "th", "ta", "rk", "tk"]
-    sim = (lambda a, b: E.name_sim(F.col(a), F.col(b))) if measure == "edit" else (lambda a, b: sequence_sim(F.col(a), F.col(b)))
-
-    def scored(c: DataFrame, s: str) -> DataFrame:
-        c = c.select(*columns, "known").withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= width))
-        c = c.withColumn("hs", F.col("known") if s == "home" else sim("rh", "th")).withColumn("as_", F.col("known") if s == "away" else sim("ra", "ta")).drop("known").withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_"))
-        anchored = F.coalesce(F.col("gap") <= p.anchor_minutes * 60, F.lit(False)) & (F.col("high") >= p.anchor) & (F.col("low") >= p.other)
-        return c.withColumn("anchored", anchored).where((F.col("low") >= p.floor) | F.col("anchored"))
-
-    def meet(s: str) -> DataFrame:
-        x = clocked.join(indexes[s], F.col(f"r{s[0]}") == F.col("own"))
-        return scored(x.join(t.withColumnRenamed("bucket", "tb"), (F.col("its") == F.col(f"t{s[0]}")) & (F.col("bucket") == F.col("tb"))), s)
-
-    c = meet(near_side).union(meet(far_side))
-    if p.no_clock is not None:
-        free = r.where("rk IS NULL").join(indexes[near_side], F.col(f"r{near_side[0]}") == F.col("own")).join(t, F.col("its") == F.col(f"t{near_side[0]}"))
-        c = c.union(scored(free, near_side))
-    c = c.distinct().withColumn("near", F.coalesce(F.greatest(F.lit(0.0), 1 - F.col("gap") / (p.decay * 60)), F.lit(p.no_clock)))
-    both = F.col("hs") * 0.42 + F.col("as_") * 0.42 + F.col("near") * 0.16
-    strong = F.when(F.col("anchored"), F.col("high") * 0.55 + F.col("low") * 0.25 + F.col("near") * 0.20).otherwise(0.0)
-    c = c.withColumn("score", F.greatest(both, strong)).withColumn("path", F.when(strong > both, "ANCHOR").otherwise("BOTH"))
-    w = Window.partitionBy("row_id").orderBy(F.desc("score"), "gap", "event_id")
-    c = c.withColumn("_n", F.row_number().over(w)).withColumn("runner_up", F.lead("score").over(w)).where("_n = 1")
-    clear = (F.col("score") >= p.sure) | F.col("runner_up").isNull() | (F.col("score") - F.col("runner_up") >= p.margin)
-    status = F.when(F.col("score").isNull(), "NO_CANDIDATE").when(F.col("score") < p.accept, "BELOW").when(clear, "LINKED").otherwise("AMBIGUOUS")
-    return rows.select("row_id").join(c, "row_id", "left").select("row_id", "event_id", "score", "runner_up", "hs", "as_", F.col("gap").alias("gap_seconds"), "path", status.alias("status"))
+    p, m = profile, _Anchored(rows, targets, profile, measure)
+    near, r = m.index(m.near, p.floor), m.rows
+    if runner_up:
+        far, told = m.index(m.far, p.anchor), None
+    else:
+        far = m.index(m.far, min(TOLD, p.anchor))
+        most = near.groupBy(F.col("own").alias(f"r{m.near[0]}")).agg(F.max("known").alias("most"))
+        like = r.join(most, f"r{m.near[0]}", "left").withColumn("most", F.coalesce("most", F.lit(0.0)))
+        c = m.clocked(like, far, m.far, 4, ["most"])
+        told = m.told(c if p.no_clock is None else c.union(m.clockless(like, far, m.far, ["most"])), min(TOLD, p.anchor))
+        rest = lambda x: x.join(told.select("row_id"), "row_id", "left_anti")
+        if p.no_clock is not None and p.floor < TOLD_LOW:
+            less = settled(rest(like.where("rk IS NULL")))
+            if not less.isEmpty():
+                low = m.index(m.far, TOLD_LOW, less.select(F.col(f"r{m.far[0]}").alias("name")))
+                told = told.union(m.told(m.clockless(less, low, m.far, ["most"]), TOLD_LOW))
+        r = settled(rest(r))
+    c = m.clocked(r, near, m.near, 1).union(m.clocked(r, far, m.far, 4))
+    if p.no_clock is not None and (runner_up or not r.where("rk IS NULL").isEmpty()):
+        c = c.union(m.clockless(r, near, m.near))
+    found = m.best(c)
+    if not runner_up:
+        found = told.union(found.select(*FOUND))
+    second = ["runner_up"] if runner_up else []
+    return rows.select("row_id").join(found, "row_id", "left").select("row_id", "event_id", "score", *second, "hs", "as_", F.col("gap").alias("gap_seconds"), "path", F.coalesce("status", F.lit("NO_CANDIDATE")).alias("status"))

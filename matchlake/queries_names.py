@@ -91,7 +91,7 @@ def _link_anchored(spark, sf, profile):
     c, games = clubs(spark, sf), meetings(spark, sf)
     at = F.when(F.col("event_id") % 50 > 0, F.col("kickoff") + F.make_interval(mins=(F.col("event_id") % 9).cast("int")))
     rows = named(games, c, "spelling").select(F.col("event_id").alias("row_id"), "home", "away", at.alias("kickoff"))
-    found = K.link_anchored(rows, named(games, c, "name").select("event_id", "home", "away", "kickoff"), K.ANCHORED[profile])
+    found = K.link_anchored(rows, named(games, c, "name").select("event_id", "home", "away", "kickoff"), K.ANCHORED[profile], runner_up=False)
     return found.select("row_id", "event_id", r6("score").alias("score"), "status")
 
 

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from matchlake.operators import links
+from matchlake.operators import likeness, links
 from matchlake.plans import boards
 
 T0 = datetime(2026, 1, 1, 12)
@@ -96,3 +96,31 @@ def test_rows_of_one_clock_do_not_meet_all_its_targets(spark):
     names = spark.range(30).select(F.concat(F.lit("club of town "), "id").alias("name"), F.concat(F.lit("club of town "), "id").alias("target_name"))
     got = boards.provisional_links(t.withColumnRenamed("id", "row_id"), t.withColumnRenamed("id", "event_id"), names)  # 10^10 pairs
     assert got.count() == 0
+
+
+@pytest.mark.parametrize("profile,seed", [("live", 1), ("player", 3)])
+def test_anchored_links_told_by_names_against_all_candidates(spark, profile, seed, monkeypatch):
+    r = random.Random(seed)
+    homes, aways = ["red star belgrade", "red stars belgrade", "rad stor belgrade", "lone wolf", "lone wolves", "lone wolf united", "northern end", "nothern end", "", None], ["blue sky", "blue skye", "blau sky", "old town", ""]
+    at = lambda: None if r.random() < 0.2 else T0 + timedelta(seconds=30 * r.randint(0, 2500))
+    some = lambda n: [(i, r.choice(homes), r.choice(aways), at()) for i in range(n)]
+    schema = "{} long, home string, away string, kickoff timestamp"
+    turn = lambda x: [(i, a, h, k) for i, h, a, k in x] if seed == 3 else x
+    games = turn(some(25))
+    near = [(200 + i, h, a, k and k + timedelta(minutes=1)) for i, h, a, k in games]
+    rows, targets = spark.createDataFrame(turn(some(150)) + near, schema.format("row_id")), spark.createDataFrame(games, schema.format("event_id"))
+    p, told, real = likeness.ANCHORED[profile], [], likeness._Anchored.told
+    monkeypatch.setattr(likeness._Anchored, "told", lambda self, c, floor: told.append(real(self, c, floor)) or told[-1])
+    key = lambda df: Counter(tuple(round(v, 9) if isinstance(v, float) else v for v in x) for x in df.drop("runner_up").collect())
+    want = key(likeness.link_anchored(rows, targets, p))
+    assert not told and sum(want.values()) == 175 and len({x[-1] for x in want}) > 2
+    assert key(likeness.link_anchored(rows, targets, p, runner_up=False)) == want
+    assert 5 < sum(x.count() for x in told) < 175 and len(told) == (2 if profile == "live" else 1)
+
+
+def test_rows_without_a_clock_do_not_meet_all_targets_of_a_name(spark):
+    club = lambda n: F.substring(F.md5((F.col("id") % n).cast("string").cast("binary")), 1, 14)
+    t = spark.range(60_000).select("id", club(20_000).alias("home"), club(3).alias("away"), F.timestamp_seconds(F.lit(1_800_000_000) + 60 * F.col("id")).alias("kickoff"))
+    rows = t.withColumnRenamed("id", "row_id").withColumn("kickoff", F.lit(None).cast("timestamp"))
+    got = likeness.link_anchored(rows, t.withColumnRenamed("id", "event_id"), likeness.ANCHORED["live"], runner_up=False)  # 1.2 * 10^9 pairs of one away name
+    assert [tuple(x) for x in got.groupBy("status", "hs", "as_").count().collect()] == [("LINKED", 1.0, 1.0, 60_000)]
