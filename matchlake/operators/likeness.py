@@ -10,6 +10,7 @@ in the checkpoint folder, since plans use them several times.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -201,6 +202,11 @@ def best_names(pairs: DataFrame, profile: NameProfile, scope: list[str] | None =
     return x.withColumn("accepted", (F.col("score") >= profile.floor) & clear)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once for each row: filters on it stay behind the explode and don't repeat it in a join's condition."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def _both_sides(df: DataFrame) -> DataFrame:
     return df.select(F.explode(F.array("home", "away")).alias("name"))
 
@@ -232,6 +238,51 @@ def link_names(rows: DataFrame, targets: DataFrame, profile: NameProfile, measur
     return rows.select("row_id").join(c, "row_id", "left").select("row_id", "event_id", "score", "runner_up", status.alias("status"))
 
 
+def _best_candidates(rows: DataFrame, targets: DataFrame, profile: NameProfile, measure: str = "edit", fold: Callable[[Column], Column] = lambda c: c, named: DataFrame | None = None) -> DataFrame:
+    """row_id, event_id, score: of the candidates that the profile accepts, those of which any can be the best of its row or of its target.
+
+    An accepted pair has a side of `accept` at least. The far side has more names, so rows and targets meet there from `accept` on. Others have a far name below and a near one of `most` at best:
+    only rows and targets whose best known candidate scores no more than that could still have such a one as their best, and meet from the floor on. Names are folded by `fold` once each and not in rows;
+    `named` has all names of rows where that is cheaper to read.
+    """
+    p, names = profile, _names(rows if named is None else named, targets, fold)
+    near, far = _fewer_names(names)
+    of = lambda side, left: names.where((F.col("side") == side) & (F.col("in_left") == left))
+    known_as = lambda side, left, as_: of(side, left).select(F.col("raw").alias(f"{as_}_{'near' if side == near else 'far'}"), F.col("name").alias(as_))
+    nearby = similar_names(of(near, True).select("name"), of(near, False).select("name"), p.accept, measure)
+
+    def side(df: DataFrame, key: str, left: bool, as_: str) -> DataFrame:
+        most = nearby.groupBy(F.col("left" if left else "right").alias(as_)).agg(F.max("score").alias(f"{as_}_most"))
+        x = df.select(key, F.col(near).alias(f"{as_}_near"), F.col(far).alias(f"{as_}_far"))
+        return x.join(settled(known_as(near, left, as_).join(most, as_, "left")), f"{as_}_near")
+
+    r, t = side(rows, "row_id", True, "r"), side(targets, "event_id", False, "t")
+
+    def like(floor: float, rs: DataFrame | None = None, ts: DataFrame | None = None) -> DataFrame:
+        """r_far, t_far, known: the far names that are `floor` alike, as rows and targets have them."""
+        of_far = lambda left, df, as_: known_as(far, left, as_) if df is None else known_as(far, left, as_).join(df.select(f"{as_}_far").distinct(), f"{as_}_far", "left_semi")
+        a, b = of_far(True, rs, "r"), of_far(False, ts, "t")
+        pairs = similar_names(a.select(F.col("r").alias("name")), b.select(F.col("t").alias("name")), floor, measure)
+        return pairs.select(F.col("left").alias("r"), F.col("right").alias("t"), F.col("score").alias("known")).join(a, "r").join(b, "t").drop("r", "t")
+
+    def meet(r: DataFrame, t: DataFrame, like: DataFrame) -> DataFrame:
+        a, b = F.col("r"), F.col("t")
+        c = _once(r.join(like, "r_far").join(t, "t_far"), "other", E.name_sim(a, b) if measure == "edit" else sequence_sim(a, b)).where(F.col("other") >= p.floor)
+        return c.withColumn("score", (F.col("known") + F.col("other")) / 2).where(F.col("score") >= p.accept).select("row_id", "event_id", "score", "r_most", "t_most")
+
+    known = settled(meet(r, t, like(p.accept)))
+
+    def rest(df: DataFrame, key: str, most: str) -> DataFrame:
+        told = known.groupBy(key).agg(F.max("score").alias("s"), F.max(most).alias("m")).where((F.col("m").isNull()) | (F.col("s") > (p.accept + F.col("m")) / 2 + EPS))
+        return settled(df.where(F.col(most).isNotNull()).join(told, key, "left_anti"))
+
+    c, found = known, ["row_id", "event_id", "score"]
+    for less, rs, ts in ((x := rest(r, "row_id", "r_most"), x, t), (x := rest(t, "event_id", "t_most"), r, x)):
+        if not less.isEmpty():
+            c = c.union(meet(rs, ts, like(p.floor, rs if less is rs else None, ts if less is ts else None)))
+    return c.select(*found).repartition("row_id").distinct()
+
+
 #: Words of a draw, as book rows have them. Fixed values.
 DRAW = ("draw", "empate")
 
@@ -247,8 +298,7 @@ def book_quotes(raw: DataFrame, targets: DataFrame, market: str = "40", measure:
     rows = raw.where((F.col("market_id") == market) & (F.coalesce(F.trim("fixture_id"), F.lit("")) != ""))
     fold = lambda c: E.fold_name(F.col(c)).alias(c)
     fixtures = rows.groupBy("fixture_id").agg(F.min(F.struct("home", "away")).alias("s")).select(F.col("fixture_id").alias("row_id"), F.col("s.home").alias("home"), F.col("s.away").alias("away"))
-    fixtures = fixtures.select("row_id", fold("home"), fold("away"))
-    c = pair_candidates(fixtures, targets.select("event_id", fold("home"), fold("away")), p.floor, measure).where(F.col("score") >= p.accept)
+    c = _best_candidates(fixtures, targets.select("event_id", "home", "away"), p, measure, E.fold_name, rows)
     rank = lambda k, o: F.row_number().over(Window.partitionBy(k).orderBy(F.desc("score"), o))
     best = c.withColumn("_r", rank("row_id", "event_id")).withColumn("_t", rank("event_id", "row_id"))
     linked = best.where("_r = 1 AND _t = 1").select("row_id", "event_id", "score")
@@ -256,7 +306,7 @@ def book_quotes(raw: DataFrame, targets: DataFrame, market: str = "40", measure:
     s = rows.select(F.col("fixture_id").alias("row_id"), fold("selection"), F.expr("try_cast(price AS double)").alias("price"), F.col("home").alias("h"), F.col("away").alias("a")).where("price IS NOT NULL")
     s = s.select("row_id", "selection", "price", E.fold_name(F.col("h")).alias("h"), E.fold_name(F.col("a")).alias("a"))
     like = lambda c: E.name_sim(F.col("selection"), F.col(c)) if measure == "edit" else sequence_sim(F.col("selection"), F.col(c))
-    s = s.withColumn("side", F.when(like("h") >= 0.80, "H").when(F.col("selection").isin(*DRAW), "D").when(like("a") >= 0.80, "A"))
+    s = _once(s, "side", F.when(like("h") >= 0.80, "H").when(F.col("selection").isin(*DRAW), "D").when(like("a") >= 0.80, "A"))
     price = lambda x: F.max(F.when(F.col("side") == x, F.struct("selection", "price")))["price"].alias(x.lower())
     prices = s.groupBy("row_id").agg(price("H"), price("D"), price("A"))
     whole = F.col("h").isNotNull() & F.col("d").isNotNull() & F.col("a").isNotNull()
@@ -316,11 +366,11 @@ class AnchorProfile:
 ANCHORED = {"live": AnchorProfile(120, 180, 0.58, 0.74, 0.90, 0.06, no_clock=0.75), "player": AnchorProfile(150, 150, 0.60, 0.78, 0.92, 0.06)}
 
 
-def _names(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """side, in_left, name: the different names of rows and of targets, found in one pass over both."""
-    sides = F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("name")) for s in ("home", "away")]))
-    of = lambda df, left: df.select(sides).select("side", F.lit(left).alias("in_left"), "name")
-    return settled(of(rows, True).union(of(targets, False)).where(F.length("name") > 0).distinct())
+def _names(rows: DataFrame, targets: DataFrame, fold: Callable[[Column], Column] = lambda c: c) -> DataFrame:
+    """side, in_left, raw, name: the different names of rows and of targets, found in one pass over both, and folded once each."""
+    sides = F.inline(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("raw")) for s in ("home", "away")]))
+    of = lambda df, left: df.select(sides).select("side", F.lit(left).alias("in_left"), "raw")
+    return settled(_once(of(rows, True).union(of(targets, False)).distinct(), "name", fold(F.col("raw"))).where(F.length("name") > 0))
 
 
 def _fewer_names(names: DataFrame) -> tuple[str, str]:
@@ -352,7 +402,8 @@ class _Anchored:
     def _scored(self, c: DataFrame, s: str, keep: list[str]) -> DataFrame:
         p, sim = self.p, (lambda a, b: E.name_sim(F.col(a), F.col(b))) if self.measure == "edit" else (lambda a, b: sequence_sim(F.col(a), F.col(b)))
         c = c.withColumn("gap", F.abs(F.unix_seconds("rk") - F.unix_seconds("tk"))).where(F.col("gap").isNull() | (F.col("gap") <= self.width))
-        c = c.withColumn("hs", F.col("known") if s == "home" else sim("rh", "th")).withColumn("as_", F.col("known") if s == "away" else sim("ra", "ta")).withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_"))
+        home = s == "home"
+        c = _once(c, "other", sim("ra", "ta") if home else sim("rh", "th")).withColumns({"hs": F.col("known" if home else "other"), "as_": F.col("other" if home else "known")}).withColumn("low", F.least("hs", "as_")).withColumn("high", F.greatest("hs", "as_"))
         anchored = F.coalesce(F.col("gap") <= p.anchor_minutes * 60, F.lit(False)) & (F.col("high") >= p.anchor) & (F.col("low") >= p.other)
         return c.withColumn("anchored", anchored).where((F.col("low") >= p.floor) | F.col("anchored")).select("row_id", "event_id", "rh", "ra", "th", "ta", "rk", "tk", "gap", "hs", "as_", "low", "high", "anchored", *keep)
 

@@ -124,3 +124,19 @@ def test_rows_without_a_clock_do_not_meet_all_targets_of_a_name(spark):
     rows = t.withColumnRenamed("id", "row_id").withColumn("kickoff", F.lit(None).cast("timestamp"))
     got = likeness.link_anchored(rows, t.withColumnRenamed("id", "event_id"), likeness.ANCHORED["live"], runner_up=False)  # 1.2 * 10^9 pairs of one away name
     assert [tuple(x) for x in got.groupBy("status", "hs", "as_").count().collect()] == [("LINKED", 1.0, 1.0, 60_000)]
+
+
+@pytest.mark.parametrize("told", [True, False])
+def test_book_bests_against_all_candidates(spark, told, monkeypatch):
+    r = random.Random(4)
+    homes, aways = ["abcdefghij", "abcdefghxy", "abcdefgxyz", "abcdexghij", "mnopqrstuv", "mnopqrsxyz", "zzzz", "", None], ["klmnopqrst", "klmnopqrsx", "klmnopqxyz", "fedcbahgji"]
+    some = lambda n: [(i, r.choice(homes), r.choice(aways)) for i in range(n)]
+    rows, targets = (some(60), some(40)) if not told else ([(i, "abcdefghij"[i:] + "mnopqrstuv"[:i] + "w", "klmnopqrst") for i in range(0, 10, 3)], [(i, "abcdefghij"[i:] + "mnopqrstuv"[:i], "klmnopqrst") for i in range(0, 10, 3)])
+    rows, targets = spark.createDataFrame(rows, "row_id int, home string, away string"), spark.createDataFrame(targets, "event_id int, home string, away string")
+    p, floors, real = likeness.PROFILES["book"], [], likeness.similar_names
+    every = [(x["row_id"], x["event_id"], round(x["score"], 9)) for x in likeness.pair_candidates(rows, targets, p.floor).where(F.col("score") >= p.accept).collect()]
+    monkeypatch.setattr(likeness, "similar_names", lambda a, b, floor, *x, **y: floors.append(floor) or real(a, b, floor, *x, **y))
+    got = [(x["row_id"], x["event_id"], round(x["score"], 9)) for x in likeness._best_candidates(rows, targets, p).collect()]
+    assert floors == ([p.accept] * 2 if told else [p.accept] * 2 + [p.floor] * 2) and len(got) == len(set(got)) and set(got) <= set(every) and every
+    best = lambda c, k: {x[k]: min((-y[2], y[1 - k]) for y in c if y[k] == x[k]) for x in c}
+    assert best(got, 0) == best(every, 0) and best(got, 1) == best(every, 1)
